@@ -17,7 +17,7 @@ def shared_root(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir, or in local mode one of our own where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
-        return root.rstrip("/")
+        return ("file://" + root[5:] if root.startswith("file:/") and not root.startswith("file://") else root).rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
