@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from tributary.llm.simhash import op2_simhash
+from tributary.llm.warc import op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
 }
 
