@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from tributary.llm.ann import op3_ann
 from tributary.llm.simhash import op2_simhash
 from tributary.llm.warc import op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
+    "op3_ann": op3_ann,
 }
 
 ORACLE: dict[str, str] = {}
