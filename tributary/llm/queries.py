@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tributary.llm.ann import op3_ann
+from tributary.llm.bpe import op5_bpe
 from tributary.llm.mixing import op4_mixing
 from tributary.llm.simhash import op2_simhash
 from tributary.llm.warc import op1_warc
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_ann": op3_ann,
     "op4_mixing": op4_mixing,
+    "op5_bpe": op5_bpe,
 }
 
 ORACLE: dict[str, str] = {}
