@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tributary.llm.ann import op3_ann
 from tributary.llm.bpe import op5_bpe
+from tributary.llm.langid import op6_langid
 from tributary.llm.mixing import op4_mixing
 from tributary.llm.simhash import op2_simhash
 from tributary.llm.warc import op1_warc
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_ann": op3_ann,
     "op4_mixing": op4_mixing,
     "op5_bpe": op5_bpe,
+    "op6_langid": op6_langid,
 }
 
 ORACLE: dict[str, str] = {}
