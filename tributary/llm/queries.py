@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tributary.llm.ann import op3_ann
 from tributary.llm.bpe import op5_bpe
+from tributary.llm.chat import OP7_SQL, op7_chat
 from tributary.llm.langid import op6_langid
 from tributary.llm.mixing import op4_mixing
 from tributary.llm.simhash import op2_simhash
@@ -16,6 +17,9 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_bpe": op5_bpe,
     "op6_langid": op6_langid,
+    "op7_chat": op7_chat,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_chat": OP7_SQL,
+}
