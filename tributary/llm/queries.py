@@ -7,6 +7,7 @@ from tributary.llm.bpe import op5_bpe
 from tributary.llm.chat import OP7_SQL, op7_chat
 from tributary.llm.langid import op6_langid
 from tributary.llm.mixing import op4_mixing
+from tributary.llm.quality import op8_quality
 from tributary.llm.simhash import op2_simhash
 from tributary.llm.warc import op1_warc
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_langid": op6_langid,
     "op7_chat": op7_chat,
+    "op8_quality": op8_quality,
 }
 
 ORACLE: dict[str, str] = {
