@@ -5,6 +5,7 @@ from __future__ import annotations
 from tributary.llm.ann import op3_ann
 from tributary.llm.bpe import op5_bpe
 from tributary.llm.chat import OP7_SQL, op7_chat
+from tributary.llm.knn import OP9_SQL, op9_topk
 from tributary.llm.langid import op6_langid
 from tributary.llm.mixing import op4_mixing
 from tributary.llm.quality import op8_quality
@@ -20,8 +21,10 @@ QUERIES = {
     "op6_langid": op6_langid,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
+    "op9_topk": op9_topk,
 }
 
 ORACLE: dict[str, str] = {
     "op7_chat": OP7_SQL,
+    "op9_topk": OP9_SQL,
 }
