@@ -7,6 +7,7 @@ from tributary.llm.bpe import op5_bpe
 from tributary.llm.chat import OP7_SQL, op7_chat
 from tributary.llm.knn import OP9_SQL, op9_topk
 from tributary.llm.langid import op6_langid
+from tributary.llm.licenses import op10_licenses
 from tributary.llm.mixing import op4_mixing
 from tributary.llm.quality import op8_quality
 from tributary.llm.simhash import op2_simhash
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE: dict[str, str] = {
