@@ -19,7 +19,7 @@ START, END = "<|im_start|>", "<|im_end|>\n"
 
 def escaped(text) -> F.Column:
     """A backslash goes between `<` and a `|` or a backslash, so that no control string is left."""
-    return F.regexp_replace(text, r"<(?=[|\\])", r"<\\\\")
+    return F.regexp_replace(text, r"<(?=[|\\])", r"<\\")
 
 
 def unescaped(text) -> F.Column:
