@@ -9,10 +9,10 @@ short ones take the same steps.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -174,36 +174,37 @@ def samples(documents: DataFrame, docs: int = 60, chars: int = 24_000, row: int
 _MODELS: dict[int, Model] = {}
 
 
-def predicted(documents: DataFrame, given: dict[str, str], *keep: str) -> DataFrame:
-    """(*keep, lang_pred, score) of every row: a narrow pass with the samples, whose size is bounded, broadcast."""
-    shared, key = documents.sparkSession.sparkContext.broadcast(given), hash(tuple(sorted(given.items())))
-    rows = documents.select(*keep, F.col("text").alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
+def predict(spark, given: dict[str, str], piece: int = 8_000_000) -> Callable:
+    """A function of a text column to (lang_pred, score). The samples, whose size has a bound, are broadcast."""
+    shared, key = spark.sparkContext.broadcast(given), hash(tuple(sorted(given.items())))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("lang_pred string, score double")
+    def run(texts: pd.Series) -> pd.DataFrame:
         if key not in _MODELS:
             _MODELS.clear()
             _MODELS[key] = Model(shared.value)
-        model = _MODELS[key]
-        for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            langs, scores = [], []
-            i = 0
-            while i < len(texts):
-                j, size = i, 0
-                while j < len(texts) and size < 8_000_000:
-                    size += len(texts[j] or "")
-                    j += 1
-                a, b = model.predict(texts[i:j])
-                langs += a
-                scores += b
-                i = j
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
-
-    return rows.mapInArrow(run, f"{fields}, lang_pred string, score double")
+        langs, scores, part, size = [], [], [], 0
+        for i, t in enumerate(texts):
+            part.append(t)
+            size += len(t or "")
+            if size >= piece or i + 1 == len(texts):
+                a, b = _MODELS[key].predict(part)
+                langs, scores, part, size = langs + a, scores + b, [], 0
+        return pd.DataFrame({"lang_pred": langs, "score": scores})
+
+    return run
+
+
+def known(documents: DataFrame) -> DataFrame:
+    """The rows of documents, with all their columns, whose text has a language; a null lang is filled with it."""
+    guess = predict(documents.sparkSession, samples(documents))
+    rows = documents.select(F.struct("*").alias("whole"), guess("text").alias("guess")).filter("guess.lang_pred <> 'und'")
+    filled = F.coalesce("whole.lang", "guess.lang_pred")
+    return rows.select(*[filled.alias("lang") if c == "lang" else F.col("whole").getField(c).alias(c) for c in documents.columns])
 
 
 def op6_langid(spark, sf_dir: str) -> DataFrame:
     """Whole documents table: doc_id, held_out, lang_pred, score."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return predicted(docs.withColumn("held_out", held_out("doc_id")), samples(docs), "doc_id", "held_out")
+    out = docs.select("doc_id", held_out("doc_id").alias("held_out"), predict(spark, samples(docs))("text").alias("guess"))
+    return out.select("doc_id", "held_out", "guess.lang_pred", "guess.score")

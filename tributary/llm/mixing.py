@@ -21,6 +21,8 @@ from tributary.llm.common import written
 MOST = 3
 #: Rates and shares are summed as integers of this fraction.
 ONE = 1 << 30
+#: Stands for an infinite lambda in a table.
+ENDLESS = 1e300
 
 
 def sizes(documents: DataFrame, *keep: str) -> DataFrame:
@@ -97,46 +99,74 @@ def solve(histogram: DataFrame, stats: dict, target: dict, steps: int = 40, clos
     return out | {s: x for s, (x, _, _) in open_.items()}
 
 
-def _fix(docs: DataFrame, gap: dict, bins: int = 2048, rounds: int = 2) -> DataFrame:
-    """Adds to `copies` where a source has too few words, takes away where it has too many, in the order of `turn` in [0, 1).
-
-    The place where a source's gap closes is found by sums over bins of turn, each round within the bin that the last one found.
-    gap: words by source. A document is added once if it has fewer than MOST copies, taken away once if it has any.
-    """
-    spark = docs.sparkSession
-    from_, wide = {s: 0.0 for s, g in gap.items() if g}, 1.0
-    left = {s: abs(g) for s, g in gap.items() if g}
-    if not left:
-        return docs
-    sign = {s: 1 if gap[s] > 0 else -1 for s in left}
-    able = F.col("size").between(1, F.col("room")) & F.when(F.col("up") > 0, F.col("copies") < MOST).otherwise(F.col("copies") > 0)
-    for _ in range(rounds):
-        state = _state(spark, [(s, from_[s], sign[s], abs(gap[s])) for s in left], "low double, up int, room long")
-        bin_ = F.floor((F.col("turn") - F.col("low")) / (wide / bins)).cast("int")
-        rows = _with(docs, state).filter(able & (F.col("turn") >= F.col("low")) & (F.col("turn") < F.col("low") + wide)).groupBy("source", bin_.alias("bin")).agg(F.sum("size").alias("words")).collect()
-        sums: dict = {}
-        for r in rows:
-            sums.setdefault(r["source"], {})[r["bin"]] = r["words"]
-        wide /= bins
-        for s in left:
-            at = 0
-            while at < bins and left[s] - sums.get(s, {}).get(at, 0) >= 0:
-                left[s] -= sums.get(s, {}).get(at, 0)
-                at += 1
-            from_[s] += at * wide
-    state = _state(spark, [(s, from_[s], sign[s], abs(gap[s])) for s in left], "low double, up int, room long")
-    out = docs.join(state, docs["source"].eqNullSafe(state["s"]), "left").drop("s")
-    step = F.when(able & (F.col("turn") < F.col("low")), F.col("up")).otherwise(0)
-    return out.withColumn("copies", F.col("copies") + F.coalesce(step, F.lit(0))).drop("low", "up", "room")
-
-
-def mixed(documents: DataFrame, max_sources: int = 100_000) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rate, copies, taken) for each row of documents.
-
-    One row for each source is held on the driver; more than max_sources raise an error.
+class Plan:
+    """What decides each document's copies, given its source, size and doc_id: a few numbers for each source."""
+
+    def __init__(self, base: list[tuple]):
+        self.base, self.steps = base, []
+
+    def applied(self, docs: DataFrame) -> DataFrame:
+        """Adds source_size, target, rate and copies to docs with doc_id, source and size; no shuffle."""
+        out = _with(docs, _state(docs.sparkSession, self.base, "source_size long, target double, lam double, mean double"))
+        power = F.when(F.col("size") == 0, 0.0).otherwise(F.least(F.lit(50.0), F.greatest(F.lit(-700.0), F.col("lam") * (F.col("size") / F.col("mean")))))
+        rate = F.when(F.col("lam") <= -ENDLESS, 0.0).otherwise(F.least(F.lit(float(MOST)), F.exp(power)))
+        out = out.withColumn("rate", rate).drop("lam", "mean")
+        up = F.when(F.col("size") * 100 <= F.col("target"), unit("round")).otherwise(0.0)  # a document of over a hundredth of the target is added later, if it fits
+        out = out.withColumn("copies", F.least(F.lit(MOST), F.floor(F.round(F.col("rate"), 9) + up)).cast("int"))
+        for salt, rows in self.steps:
+            out = self._step(out, salt, rows).drop("turn", "able")
+        return out
+
+    @staticmethod
+    def _able(docs: DataFrame, salt: str, rows: list[tuple], how: str) -> DataFrame:
+        """Joins low, up and room, and adds turn and able: whether a document may be added or taken away once."""
+        state = _state(docs.sparkSession, rows, "low double, up int, room long")
+        able = F.col("size").between(1, F.col("room")) & F.when(F.col("up") > 0, F.col("copies") < MOST).otherwise(F.col("copies") > 0)
+        return docs.join(state, docs["source"].eqNullSafe(state["s"]), how).drop("s").withColumn("turn", unit(salt)).withColumn("able", able)
+
+    def _step(self, docs: DataFrame, salt: str, rows: list[tuple]) -> DataFrame:
+        out = self._able(docs, salt, rows, "left")
+        step = F.when(F.col("able") & (F.col("turn") < F.col("low")), F.col("up")).otherwise(0)
+        return out.withColumn("copies", F.col("copies") + F.coalesce(step, F.lit(0))).drop("low", "up", "room")
+
+    def close(self, docs: DataFrame, salt: str, gap: dict, bins: int = 2048, rounds: int = 2) -> DataFrame:
+        """Adds a step: documents no larger than a source's gap are added or taken away in the order of a hash, until it closes.
+
+        The place where it does is found by sums over bins, each round within the bin that the last one found. gap: words by source.
+        """
+        low, left = {s: 0.0 for s, g in gap.items() if g}, {s: abs(g) for s, g in gap.items() if g}
+        if not left:
+            return docs
+        rows, wide = lambda: [(s, low[s], 1 if gap[s] > 0 else -1, abs(gap[s])) for s in left], 1.0
+        for _ in range(rounds):
+            bin_ = F.floor((F.col("turn") - F.col("low")) / (wide / bins)).cast("int")
+            here = self._able(docs, salt, rows(), "inner").filter(F.col("able") & (F.col("turn") >= F.col("low")) & (F.col("turn") < F.col("low") + wide))
+            sums: dict = {}
+            for r in here.groupBy("source", bin_.alias("bin")).agg(F.sum("size").alias("words")).collect():
+                sums.setdefault(r["source"], {})[r["bin"]] = r["words"]
+            wide /= bins
+            for s in left:
+                at = 0
+                while at < bins and left[s] - sums.get(s, {}).get(at, 0) >= 0:
+                    left[s] -= sums.get(s, {}).get(at, 0)
+                    at += 1
+                low[s] += at * wide
+        self.steps.append((salt, rows()))
+        return self._step(docs, salt, rows()).drop("turn", "able")
+
+
+def unit(salt: str) -> F.Column:
+    """A number in [0, 1) that only the document decides."""
+    return F.pmod(F.xxhash64("doc_id", "size", F.lit(salt)), F.lit(1 << 40)).cast("double") / float(1 << 40)
+
+
+def planned(documents: DataFrame, max_sources: int = 100_000, passes: int = 8, close: float = 1e-4) -> tuple[Plan, DataFrame]:
+    """The plan, and (doc_id, source, size, source_size, target, rate, copies) of each row.
+
+    One row for each source is held on the driver and broadcast; more than max_sources raise an error. Copies are added or taken
+    away until each source is within `close` of its target, or nothing changes, in so many passes at most.
     """
     docs = written(sizes(documents, "doc_id"), "sizes")
-    spark = docs.sparkSession
     histogram = written(docs.groupBy("source", "size").agg(F.count("*").alias("n")), "histogram")
     rows = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words"), F.sum(F.when(F.col("size") > 0, F.col("n")).otherwise(0)).alias("n"))
     rows = rows.limit(max_sources + 1).collect()
@@ -145,18 +175,28 @@ def mixed(documents: DataFrame, max_sources: int = 100_000) -> DataFrame:
     stats = {r["source"]: (r["words"], r["n"]) for r in rows}
     target = targets([(s, w) for s, (w, _) in stats.items()])
     lam = solve(histogram, stats, target)
-    big = 1e300
-    state = _state(spark, [(s, w, float(target[s]), max(-big, min(big, lam[s])), w / n if n else 1.0) for s, (w, n) in stats.items()], "source_size long, target double, lam double, mean double")
-    out = _with(docs, state)
-    power = F.when(F.col("size") == 0, 0.0).otherwise(F.least(F.lit(50.0), F.greatest(F.lit(-700.0), F.col("lam") * (F.col("size") / F.col("mean")))))
-    rate = F.when(F.col("lam") <= -big, 0.0).otherwise(F.least(F.lit(float(MOST)), F.exp(power)))
-    unit = lambda salt: F.pmod(F.xxhash64("doc_id", "size", F.lit(salt)), F.lit(1 << 40)).cast("double") / float(1 << 40)
-    out = out.withColumn("rate", rate).withColumn("copies", F.least(F.lit(MOST), F.floor(F.round(F.col("rate"), 9) + unit("round"))).cast("int"))
-    for salt in ("first", "second", "third"):
-        out = written(out.withColumn("turn", unit(salt)).drop("taken"), "copies")
+    plan = Plan([(s, w, float(target[s]), max(-ENDLESS, min(ENDLESS, lam[s])), w / n if n else 1.0) for s, (w, n) in stats.items()])
+    out, before = written(plan.applied(docs), "copies"), None
+    for n in range(passes):
         got = {r["source"]: r["words"] for r in out.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("words")).collect()}
-        out = _fix(out, {s: round(target[s]) - got[s] for s in got})
-    return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+        gap = {s: g for s in got if abs(g := round(target[s]) - got[s]) > close * target[s]}
+        if not gap or gap == before:
+            break
+        out, before = written(plan.close(out, f"pass {n}", gap), "copies"), gap
+    return plan, out
+
+
+def mixed(documents: DataFrame) -> DataFrame:
+    """(doc_id, source, size, source_size, target, rate, copies, taken) for each row of documents."""
+    return planned(documents)[1].withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
+
+
+def repeated(documents: DataFrame) -> DataFrame:
+    """The mix itself: each row of documents, with all its columns, as often as its copies say. The texts aren't shuffled."""
+    plan, _ = planned(documents)
+    whole = documents.select(F.struct("*").alias("whole"), "doc_id", "text", "source")
+    out = plan.applied(sizes(whole, "doc_id", "whole"))
+    return out.filter("copies > 0").select("whole", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("whole.*")
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

@@ -10,9 +10,11 @@ empty table gives an empty result; without trusted rows everything that has text
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -108,25 +110,19 @@ def dense(levels: list) -> np.ndarray:
 _TABLES: dict[str, np.ndarray] = {}
 
 
-def scored(documents: DataFrame, levels: list, table: np.ndarray, name: str, *keep: str) -> DataFrame:
-    """(*keep, n, bits): characters of the whole text and the model's bits for them; a narrow pass."""
-    shared = documents.sparkSession.sparkContext.broadcast((levels, table))
-    rows = documents.select(*keep, F.col("text").alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
+def bits(spark, levels: list, table: np.ndarray) -> Callable:
+    """A function of a text column: the model's bits for the whole text. The model, whose size has a bound, is broadcast."""
+    shared, name = spark.sparkContext.broadcast((levels, table)), uuid.uuid4().hex
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def cost(texts: pd.Series) -> pd.Series:
         if name not in _TABLES:
             _TABLES.clear()
             _TABLES[name] = dense(shared.value[0])
-        cost, table = _TABLES[name], shared.value[1]
-        for b in batches:
-            n, bits = [], []
-            for t in b.column(len(keep)).to_pylist():
-                n.append(len(t or ""))
-                bits.append(float(cost[grams(codes(t, table))].sum(dtype=np.float64)) if t else 0.0)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(n, pa.int64()), pa.array(bits, pa.float64())], [*keep, "n", "bits"])
+        per, classes = _TABLES[name], shared.value[1]
+        return pd.Series([float(per[grams(codes(t, classes))].sum(dtype=np.float64)) if t else 0.0 for t in texts])
 
-    return rows.mapInArrow(run, f"{fields}, n long, bits double")
+    return cost
 
 
 def classes_of(texts: DataFrame) -> np.ndarray:
@@ -149,40 +145,62 @@ def classes_of(texts: DataFrame) -> np.ndarray:
     return table
 
 
-def judged(documents: DataFrame, labels: DataFrame, most: int = 12_000, quantile: float = 0.995, slack: float = 1.08, prior: float = 60.0) -> DataFrame:
-    """(doc_id, lang, n_chars, perplexity, excess, threshold, keep): what each document's whole text scores, and the decision.
+class Judge:
+    """The model and the limits; verdict() applies them to any rows with text and lang.
 
     most: the most trusted documents that train, a documented bound; their ids are broadcast. prior: so many characters of a
     language's mean are added to each text, because few characters say little. A document is kept unless its bits for a character,
     so smoothed, exceed slack times the quantile over its language's trusted rows that didn't train; where a language has none, the
     quantile over all languages holds.
     """
-    ids = written(trusted_ids(labels, most), "trusted")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    train = docs.join(F.broadcast(ids.filter("train").select("doc_id")), "doc_id", "left_semi").select("text")
-    train = written(train.filter("length(text) > 0"), "train")
-    table = classes_of(train)
-    levels = model(train, table)
-    score = written(scored(docs, levels, table, str(id(levels)) + str(len(levels[-1][0])), "doc_id", "lang"), "scores")
-    fresh = score.join(ids.filter("not train").select("doc_id"), "doc_id", "left_semi").filter("n > 0")
-    every = fresh.agg((F.sum("bits") / F.sum("n")).alias("mean")).first()["mean"] or 0.0
-    mean = fresh.groupBy("lang").agg((F.sum("bits") / F.sum("n")).alias("mean"))
-    if mean.count() > 10_000:
-        raise ValueError("over 10000 languages; their limits are broadcast")
-
-    def smooth(df: DataFrame) -> DataFrame:
-        m = mean.withColumnRenamed("lang", "lang_m")
-        df = df.join(F.broadcast(m), df["lang"].eqNullSafe(m["lang_m"]), "left").drop("lang_m")
-        return df.withColumn("excess", (F.col("bits") + prior * F.coalesce("mean", F.lit(every))) / (F.col("n") + prior)).drop("mean")
-
-    checked = smooth(fresh)
-    limit = checked.groupBy(F.col("lang").alias("lang_t")).agg((F.percentile_approx("excess", quantile, 10_000) * slack).alias("own"))
-    whole = checked.agg(F.percentile_approx("excess", quantile, 10_000)).first()[0]
-    whole = float("inf") if whole is None else whole * slack
-    out = smooth(score)
-    out = out.join(F.broadcast(limit), out["lang"].eqNullSafe(limit["lang_t"]), "left").withColumn("threshold", F.coalesce("own", F.lit(whole)))
+
+    def __init__(self, documents: DataFrame, labels: DataFrame, most: int = 12_000, quantile: float = 0.995, slack: float = 1.08, prior: float = 60.0, max_langs: int = 10_000):
+        spark, self.prior = documents.sparkSession, prior
+        ids = written(trusted_ids(labels, most), "trusted")
+        docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+        train = docs.join(F.broadcast(ids.filter("train").select("doc_id")), "doc_id", "left_semi").select("text")
+        train = written(train.filter("length(text) > 0"), "train")
+        table = classes_of(train)
+        self.bits = bits(spark, model(train, table), table)
+        self.scores = written(self.scored(docs.select("doc_id", "lang", "text")).drop("text"), "scores")
+        fresh = self.scores.join(ids.filter("not train").select("doc_id"), "doc_id", "left_semi").filter("n > 0")
+        means = fresh.groupBy("lang").agg((F.sum("bits") / F.sum("n")).alias("mean")).limit(max_langs + 1).collect()
+        if len(means) > max_langs:
+            raise ValueError(f"over {max_langs} languages; their limits are broadcast")
+        self.mean = fresh.agg((F.sum("bits") / F.sum("n")).alias("mean")).first()["mean"] or 0.0
+        self.limits = spark.createDataFrame([tuple(r) for r in means], "lang_m string, mean double")
+        checked = self.smoothed(fresh)
+        own = checked.groupBy("lang").agg((F.percentile_approx("excess", quantile, 10_000) * slack).alias("own")).collect()
+        whole = checked.agg(F.percentile_approx("excess", quantile, 10_000)).first()[0]
+        self.whole = float("inf") if whole is None else whole * slack
+        limit = {r["lang"]: r["own"] for r in own}
+        self.limits = spark.createDataFrame([(r["lang"], r["mean"], limit[r["lang"]]) for r in means], "lang_m string, mean double, own double")
+
+    def scored(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("n", F.length(F.coalesce("text", F.lit(""))).cast("long")).withColumn("bits", self.bits("text"))
+
+    def smoothed(self, scores: DataFrame) -> DataFrame:
+        out = scores.join(F.broadcast(self.limits), scores["lang"].eqNullSafe(self.limits["lang_m"]), "left").drop("lang_m")
+        return out.withColumn("excess", (F.col("bits") + self.prior * F.coalesce("mean", F.lit(self.mean))) / (F.col("n") + self.prior)).drop("mean")
+
+    def verdict(self, scores: DataFrame) -> DataFrame:
+        """Adds excess, threshold and keep to rows with lang, n and bits."""
+        out = self.smoothed(scores).withColumn("threshold", F.coalesce("own", F.lit(self.whole))).drop("own")
+        return out.withColumn("keep", (F.col("n") > 0) & (F.col("excess") <= F.col("threshold")))
+
+
+def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, lang, n_chars, perplexity, excess, threshold, keep): what each document's whole text scores, and the decision."""
+    judge = Judge(documents, labels)
     ppl = F.when(F.col("n") > 0, F.pow(F.lit(2.0), F.col("bits") / F.col("n")))
-    return out.select("doc_id", "lang", F.col("n").alias("n_chars"), ppl.alias("perplexity"), "excess", "threshold", ((F.col("n") > 0) & (F.col("excess") <= F.col("threshold"))).alias("keep"))
+    return judge.verdict(judge.scores).select("doc_id", "lang", F.col("n").alias("n_chars"), ppl.alias("perplexity"), "excess", "threshold", "keep")
+
+
+def kept(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of documents, with all their columns, that the judge keeps. Scoring them again saves a shuffle of the texts."""
+    judge = Judge(documents, labels)
+    rows = judge.scored(documents.select(F.struct("*").alias("whole"), "lang", "text"))
+    return judge.verdict(rows).filter("keep").select("whole.*")
 
 
 def op8_quality(spark, sf_dir: str) -> DataFrame:
