@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from tributary.llm.common import connected_components, written
 
@@ -215,6 +215,163 @@ def components(documents: DataFrame, k: int = 3, radius: int = 3) -> DataFrame:
     return docs.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+# ---- near-duplicates by similarity of shingles
+
+ROWS, BANDS = 4, 14
+_RNG = np.random.default_rng(SEED)
+_MULTIPLY = _RNG.integers(1, 2**63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _RNG.integers(0, 2**63, ROWS * BANDS, dtype=np.uint64)
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """A key for each band of ROWS minima under random permutations, as signed numbers."""
+    low = np.full(ROWS * BANDS, np.iinfo(np.uint64).max)
+    for i in range(0, len(hashes), 8192):
+        low = np.minimum(low, (np.multiply.outer(_MULTIPLY, hashes[i : i + 8192]) + _ADD[:, None]).min(axis=1))
+    return [xxh64_intdigest(b.tobytes(), n) - (1 << 63) for n, b in enumerate(low.reshape(BANDS, ROWS))]
+
+
+def signatures(documents: DataFrame, k: int) -> DataFrame:
+    """(doc_id, same, fp, bands): same is a digest of all words in their order, equal for exact copies only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            same, fp, bands = [], [], []
+            for t in b.column(1):
+                w = words(t.as_py())
+                h = shingle_hashes(w, k)
+                same.append(xxh3_128_digest(b" ".join(w)))
+                fp.append(fingerprint(h))
+                bands.append(band_keys(h) if len(h) else [])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same, pa.binary()), pa.array(fp, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "same", "fp", "bands"])
+
+    return documents.select(_id("doc_id"), "text").mapInArrow(run, "doc_id long, same binary, fp long, bands array<long>")
+
+
+def _id(c: str) -> F.Column:
+    """A null doc_id counts as the smallest."""
+    return F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63))).alias("doc_id")
+
+
+def shingle_sets(documents: DataFrame, k: int) -> DataFrame:
+    """(doc_id, shingles): the distinct hashes in order, 32 bits of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [np.unique(shingle_hashes(words(t.as_py()), k).astype(np.uint32)).tobytes() for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["doc_id", "shingles"])
+
+    return documents.select(_id("doc_id"), "text").mapInArrow(run, "doc_id long, shingles binary")
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each task of in_parts, keyed by the first three columns (band key, i, j)."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns[:3]])
+        cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        for i, j in zip(np.r_[0, cut], np.r_[cut, b.num_rows], strict=True):
+            mine = tuple(key[:, i].tolist())
+            if held and mine != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = mine
+            held.append(b.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Where the tree's keys and the queries are: all rows for a part with itself, else one part each."""
+    i, j, part = (t.column(c).to_numpy() for c in ("i", "j", "part"))
+    return (np.arange(len(i)),) * 2 if i[0] == j[0] else (np.flatnonzero(part == i[0]), np.flatnonzero(part == j[0]))
+
+
+def _near(radius: int):
+    """mapInArrow function: the rows that have another one within the radius in their shard."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _shards(batches):
+            if t.num_rows < 2:
+                continue
+            fp, (tree, ask) = t.column("fp").to_numpy(), _sides(t)
+            hit = np.zeros(len(fp), bool)
+            if len(tree) and len(ask):
+                for q, x in BKTree(fp[tree]).search(fp[ask], radius):
+                    differ = ask[q] != tree[x]
+                    hit[ask[q[differ]]] = hit[tree[x[differ]]] = True
+            if hit.any():
+                yield from t.filter(pa.array(hit)).to_batches()
+
+    return near
+
+
+def _verified(radius: int, similarity: float):
+    """mapInArrow function: edges (a, b) to the first row of each component of pairs that are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _shards(batches):
+            fp, ids, (tree, ask) = t.column("fp").to_numpy(), t.column("doc_id").to_numpy(), _sides(t)
+            sets = [np.frombuffer(x, np.uint32) for x in t.column("shingles").to_pylist()]
+            up = list(range(len(ids)))
+
+            def top(x: int, up=up) -> int:
+                while up[x] != x:
+                    up[x] = x = up[up[x]]
+                return x
+
+            pairs = BKTree(fp[tree]).search(fp[ask], radius) if len(tree) and len(ask) else []
+            for q, x in pairs:
+                for a, b in zip(ask[q].tolist(), tree[x].tolist(), strict=True):
+                    m, n = len(sets[a]), len(sets[b])
+                    if a == b or min(m, n) < similarity * max(m, n) or (ra := top(a)) == (rb := top(b)):
+                        continue
+                    both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                    if both >= similarity * (m + n - both):
+                        up[max(ra, rb)] = min(ra, rb)
+            root = [top(x) for x in range(len(ids))]
+            linked = [(ids[x], ids[r]) for x, r in enumerate(root) if x != r]
+            if linked:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in linked], pa.int64()), pa.array([x for _, x in linked], pa.int64())], ["a", "b"])
+
+    return run
+
+
+def near_duplicates(documents: DataFrame, k: int = 5, similarity: float = 0.8, radius: int = 24, most: int = 512) -> DataFrame:
+    """(doc_id, keeper) of every document that has a smaller doc_id in its group; keeper is the smallest.
+
+    Documents are linked if their words are the same, or if the Jaccard similarity of their distinct shingles of k words is at
+    least `similarity`; a group is what links connect. At 0.8, fingerprints differ in ten bits or so, too many for blocks of equal
+    bits, so a shard holds the documents that agree in a band of minima, which a pair at 0.8 misses once in some thousand times.
+    Each shard's BK-tree gives the pairs within the radius, and these are verified on the shingles themselves.
+    """
+    docs = documents.select("doc_id", "text")
+    sig = written(signatures(docs, k), "signatures")
+    first = written(sig.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "first")
+    shards = first.select(F.explode("bands").alias("band"), "doc_id", "fp")
+    rows = in_parts(shards, ["band"], "doc_id", most).select("band", "i", "j", "part", "doc_id", "fp")
+    near = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_near(radius), "band long, i long, j long, part long, doc_id long, fp long")
+    near = written(near, "near")
+    held = docs.join(near.select("doc_id").distinct().withColumnRenamed("doc_id", "near_id"), _id("doc_id") == F.col("near_id"), "left_semi")
+    whole = near.join(shingle_sets(held, k).dropDuplicates(["doc_id"]), "doc_id").select("band", "i", "j", "part", "doc_id", "fp", "shingles")
+    edges = whole.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_verified(radius, similarity), "a long, b long")
+    root = written(connected_components(edges), "roots")
+    group = first.select("same", F.col("doc_id").alias("first")).join(root, F.col("first") == F.col("node"), "left").select("same", F.coalesce("root", "first").alias("keeper"))
+    return sig.select("doc_id", "same").join(group, "same").filter("doc_id <> keeper").select("doc_id", "keeper").distinct()
+
+
+def deduplicated(documents: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of documents, with all their columns, but one of each group only; of rows that repeat a doc_id, one."""
+    gone = written(near_duplicates(documents, k, similarity).select(F.col("doc_id").alias("gone")), "gone")
+    rows = documents.select(F.struct("*").alias("whole"), _id("doc_id")).join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    if documents.select(_id("doc_id")).groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        rows = rows.dropDuplicates(["doc_id"])
+    return rows.select("whole.*")
+
+
 def op2_simhash(spark, sf_dir: str) -> DataFrame:
     """Whole documents table: doc_id, fingerprint, component_id."""
     found = components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
