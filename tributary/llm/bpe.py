@@ -9,6 +9,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -18,27 +19,33 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.common import resident
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
-#: Rows (w, pos, tok) are the tokens of word w so far. Each round joins every token and the one after it with the merge table,
-#: and contracts the leftmost pair of minimum rank in each word; a word without such a pair has reached its fixpoint.
+#: Rows (w, pos, tok) are the tokens of word w so far, each with the place and id of the next one and, as key, its pair's rank and
+#: place. Each round contracts the leftmost pair of minimum rank in each word: the least key. Only pairs beside a contraction are
+#: joined with the merge table again. A word without a pair in that table has reached its fixpoint; its rows stop being live.
 ENCODE = """
-WITH RECURSIVE s(w, pos, tok, round) AS (
-  SELECT w, pos, tok, 0 FROM base
+WITH RECURSIVE s(w, pos, tok, npos, ntok, key, live) AS (
+  SELECT b.w, b.pos, b.tok, b.pos + 1, b.ntok, m.rank * 4294967296::BIGINT + b.pos, true
+  FROM base b LEFT JOIN merges m ON m.a = b.tok AND m.b = b.ntok
   UNION ALL
-  SELECT w, pos, CASE WHEN pos = best % 4294967296 THEN (best // 4294967296)::INTEGER ELSE tok END, round + 1
+  SELECT u.w, u.pos, u.tok, u.npos, u.ntok, CASE WHEN u.changed THEN m.rank * 4294967296::BIGINT + u.pos ELSE u.key END, u.live
   FROM (
-    SELECT w, pos, tok, round, before, min(m.rank * 4294967296::BIGINT + pos) OVER (PARTITION BY w) AS best
-    FROM (
-      SELECT *, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS after, lag(pos) OVER (PARTITION BY w ORDER BY pos) AS before
-      FROM s
-    ) p LEFT JOIN merges m ON m.a = p.tok AND m.b = p.after
-  )
-  WHERE best IS NOT NULL AND before IS DISTINCT FROM best % 4294967296
+    SELECT r.w, r.pos, r.key, t.w IS NOT NULL AS live, coalesce(r.pos = t.pos OR r.npos = t.pos, false) AS changed,
+      CASE WHEN r.pos = t.pos THEN t.tok ELSE r.tok END AS tok,
+      CASE WHEN r.pos = t.pos THEN t.npos ELSE r.npos END AS npos,
+      CASE WHEN r.pos = t.pos THEN t.ntok WHEN r.npos = t.pos THEN t.tok ELSE r.ntok END AS ntok
+    FROM s r LEFT JOIN (
+      SELECT b.w, (b.key % 4294967296)::INTEGER AS pos, (b.key // 4294967296)::INTEGER AS tok, b.gone, x.npos, x.ntok
+      FROM (SELECT w, min(key) AS key, arg_min(npos, key) AS gone FROM s WHERE live GROUP BY w HAVING min(key) IS NOT NULL) b
+      JOIN s x ON x.w = b.w AND x.pos = b.gone
+    ) t ON t.w = r.w
+    WHERE r.live AND r.pos IS DISTINCT FROM t.gone
+  ) u LEFT JOIN merges m ON m.a = CASE WHEN u.changed THEN u.tok END AND m.b = u.ntok
 )
-SELECT w, list(tok ORDER BY pos) AS ids
-FROM (SELECT *, max(round) OVER (PARTITION BY w) AS last FROM s)
-WHERE round = last GROUP BY w
+SELECT w, list(tok ORDER BY pos) AS ids FROM s WHERE NOT live GROUP BY w
 """
 
 #: Rows (w, pos, tok) to the bytes of each w, in the order of pos.
@@ -48,14 +55,14 @@ DECODE = "SELECT w, string_agg(v.piece, '' ORDER BY t.pos) AS bytes FROM tokens
 class Codec:
     """One in each Python worker: the merge table in DuckDB, and the words that it has encoded lately."""
 
-    def __init__(self, ranks: bytes, pattern: str, remember: int = 300_000, longest: int = 256):
+    def __init__(self, ranks: bytes, pattern: str, remember: int = 500_000, longest: int = 256):
         """longest: words of more bytes would take a round for each merge; the same merges are then done by a loop, one by one."""
         self.rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines()) if a}
         self.split = regex.compile(pattern).findall
-        self.remember, self.longest, self.known = remember, longest, {}
+        self.remember, self.longest, self.known, self.odd = remember, longest, {}, {}
         self.byte = np.array([self.rank[bytes([i])] for i in range(256)], np.int32)
         merges = [(self.rank[t[:i]], self.rank[t[i:]], r) for t, r in self.rank.items() for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "preserve_insertion_order": False})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "preserve_insertion_order": False})
         a, b, rank = (pa.array(x, pa.int32()) for x in zip(*merges, strict=True))
         self._table("merges", {"a": a, "b": b, "rank": rank})
         self._table("vocabulary", {"id": pa.array(self.rank.values(), pa.int32()), "piece": pa.array([t.hex() for t in self.rank])})
@@ -97,10 +104,12 @@ class Codec:
         left = [i for i, x in enumerate(ids) if x is None]
         if left:
             size = np.array([len(words[i]) for i in left])
-            start = np.cumsum(size) - size
-            pos = np.arange(size.sum()) - np.repeat(start, size)
+            end = np.cumsum(size)
             tok = self.byte[np.frombuffer(b"".join(words[i] for i in left), np.uint8)]
-            self._table("base", {"w": pa.array(np.repeat(np.arange(len(left), dtype=np.int32), size)), "pos": pa.array(pos), "tok": pa.array(tok)})
+            last = np.zeros(len(tok), bool)
+            last[end - 1] = True
+            pos = (np.arange(len(tok)) - np.repeat(end - size, size)).astype(np.int32)
+            self._table("base", {"w": pa.array(np.repeat(np.arange(len(left), dtype=np.int32), size)), "pos": pa.array(pos), "tok": pa.array(tok), "ntok": pa.array(np.roll(tok, -1), mask=last)})
             out = self.db.sql(ENCODE).to_arrow_table()
             for w, x in zip(out.column("w").to_pylist(), out.column("ids").to_pylist(), strict=True):
                 ids[left[w]] = x
@@ -117,18 +126,28 @@ class Codec:
         return [found.get(i, b"") for i in range(len(ids))]
 
     def learn(self, texts: list[str]) -> list[list[str]]:
-        """The words of each text; afterwards known has (ids, ids as text, decoded bytes) of each."""
+        """The words of each text; afterwards known has the ids of each as text, and odd the bytes of those that decode to others."""
         if len(self.known) > self.remember:
             self.known.clear()
+            self.odd.clear()
         split = [self.split(t) for t in texts]
-        new = list({w for ws in split for w in ws if w not in self.known})
-        ids = self.encode_words([w.encode() for w in new])
-        for w, i, b in zip(new, ids, self.decode_many(ids) if new else [], strict=True):
-            self.known[w] = (len(i), " ".join(map(str, i)), b)
+        new = list(set(chain.from_iterable(split)).difference(self.known))
+        if new:
+            raw = [w.encode() for w in new]
+            ids = self.encode_words(raw)
+            for w, i, before, after in zip(new, ids, raw, self.decode_many(ids), strict=True):
+                self.known[w] = " ".join(map(str, i))
+                if before != after:
+                    self.odd[w] = after
         return split
 
+    def ids(self, words: list[str]) -> str:
+        """The ids of a text's words, joined by spaces."""
+        return " ".join(map(self.known.__getitem__, words))
 
-_CODECS: dict[int, Codec] = {}
+    def bytes(self, words: list[str]) -> bytes:
+        """What the ids of a text's words decode to."""
+        return b"".join([self.odd.get(w) or w.encode() for w in words]) if self.odd else "".join(words).encode()
 
 
 def pieces(texts: list[str], most: int = 3_000_000) -> Iterator[list[str]]:
@@ -151,26 +170,22 @@ def encoded(documents: DataFrame, ranks: bytes | None = None, pattern: str = pub
     """
     ranks = ranks or open(public_tokenizers.path(VOCABULARY), "rb").read()
     spark = documents.sparkSession
-    shared, key = spark.sparkContext.broadcast(ranks), hash((ranks, pattern))
+    shared, key = spark.sparkContext.broadcast(ranks), ("bpe", hash((ranks, pattern)))
     kept = documents.select(*keep, F.coalesce("text", F.lit("")).alias("text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _CODECS:
-            _CODECS.clear()
-            _CODECS[key] = Codec(shared.value, pattern)
-        codec = _CODECS[key]
+        codec = resident(key, lambda: Codec(shared.value, pattern))
         for batch in batches:
             n, ids_sha, out_sha, ids = [], [], [], []
             for part in pieces(batch.column(len(keep)).to_pylist()):
                 for ws in codec.learn(part):
-                    got = [codec.known[w] for w in ws]
-                    n.append(sum(g[0] for g in got))
-                    text = " ".join([g[1] for g in got])
+                    text = codec.ids(ws)
+                    n.append(text.count(" ") + 1 if text else 0)
                     ids_sha.append(hashlib.sha256(text.encode()).hexdigest())
-                    out_sha.append(hashlib.sha256(b"".join([g[2] for g in got])).hexdigest())
+                    out_sha.append(hashlib.sha256(codec.bytes(ws)).hexdigest())
                     if with_ids:
-                        ids.append(np.array(text.split(), np.int32).astype("<i4").tobytes())
+                        ids.append(np.array(text.split(), "<i4").tobytes())
             columns = [*batch.columns[: len(keep)], pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(out_sha, pa.string())]
             names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
@@ -183,15 +198,13 @@ def encoded(documents: DataFrame, ranks: bytes | None = None, pattern: str = pub
 def decoded(ids: DataFrame, ranks: bytes | None = None) -> DataFrame:
     """(doc_id, text) of (doc_id, ids binary), as encoded(..., with_ids=True) gives them; null ids give a null text."""
     ranks = ranks or open(public_tokenizers.path(VOCABULARY), "rb").read()
-    shared, key = ids.sparkSession.sparkContext.broadcast(ranks), hash((ranks, public_tokenizers.PATTERN))
+    shared, key = ids.sparkSession.sparkContext.broadcast(ranks), ("bpe", hash((ranks, public_tokenizers.PATTERN)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _CODECS:
-            _CODECS.clear()
-            _CODECS[key] = Codec(shared.value, public_tokenizers.PATTERN)
+        codec = resident(key, lambda: Codec(shared.value, public_tokenizers.PATTERN))
         for batch in batches:
             rows = [None if x is None else np.frombuffer(x, "<i4").tolist() for x in batch.column(1).to_pylist()]
-            out = _CODECS[key].decode_many([x or [] for x in rows]) if rows else []
+            out = codec.decode_many([x or [] for x in rows]) if rows else []
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if x is None else b.decode("utf-8", "replace") for x, b in zip(rows, out, strict=True)], pa.string())], ["doc_id", "text"])
 
     return ids.select(F.col("doc_id").cast("long"), F.col("ids").cast("binary")).mapInArrow(run, "doc_id long, text string")

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +51,21 @@ def cleanup() -> None:
 
 atexit.register(cleanup)
 
+_RESIDENT: dict[Hashable, Any] = {}
+
+
+def resident(key: Hashable, build: Callable[[], Any]) -> Any:
+    """What build() makes, kept in a Python worker until another key is asked for: workers live on, and hold one model at a time."""
+    if key not in _RESIDENT:
+        if _RESIDENT:
+            _RESIDENT.clear()
+            gc.collect()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+        _RESIDENT[key] = build()
+    return _RESIDENT[key]
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read again: this cuts the lineage and survives lost executors."""

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.common import resident
+
 SEGMENT = 256
 CLASSES = 128
 
@@ -171,24 +173,19 @@ def samples(documents: DataFrame, docs: int = 60, chars: int = 24_000, row: int
     return out
 
 
-_MODELS: dict[int, Model] = {}
-
-
 def predict(spark, given: dict[str, str], piece: int = 8_000_000) -> Callable:
     """A function of a text column to (lang_pred, score). The samples, whose size has a bound, are broadcast."""
-    shared, key = spark.sparkContext.broadcast(given), hash(tuple(sorted(given.items())))
+    shared, key = spark.sparkContext.broadcast(given), ("langid", hash(tuple(sorted(given.items()))))
 
     @F.pandas_udf("lang_pred string, score double")
     def run(texts: pd.Series) -> pd.DataFrame:
-        if key not in _MODELS:
-            _MODELS.clear()
-            _MODELS[key] = Model(shared.value)
+        model = resident(key, lambda: Model(shared.value))
         langs, scores, part, size = [], [], [], 0
         for i, t in enumerate(texts):
             part.append(t)
             size += len(t or "")
             if size >= piece or i + 1 == len(texts):
-                a, b = _MODELS[key].predict(part)
+                a, b = model.predict(part)
                 langs, scores, part, size = langs + a, scores + b, [], 0
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import written
+from tributary.llm.common import resident, written
 
 ORDER = 4
 #: The 63 most frequent characters of the trusted sample have a class of their own; 0 is any other.
@@ -107,19 +107,13 @@ def dense(levels: list) -> np.ndarray:
     return -np.log2(np.maximum(p, 1e-12)).astype(np.float32)
 
 
-_TABLES: dict[str, np.ndarray] = {}
-
-
 def bits(spark, levels: list, table: np.ndarray) -> Callable:
     """A function of a text column: the model's bits for the whole text. The model, whose size has a bound, is broadcast."""
     shared, name = spark.sparkContext.broadcast((levels, table)), uuid.uuid4().hex
 
     @F.pandas_udf("double")
     def cost(texts: pd.Series) -> pd.Series:
-        if name not in _TABLES:
-            _TABLES.clear()
-            _TABLES[name] = dense(shared.value[0])
-        per, classes = _TABLES[name], shared.value[1]
+        per, classes = resident(("quality", name), lambda: dense(shared.value[0])), shared.value[1]
         return pd.Series([float(per[grams(codes(t, classes))].sum(dtype=np.float64)) if t else 0.0 for t in texts])
 
     return cost
