@@ -82,7 +82,7 @@ def test_email_decisions(spark):
 
 
 TEXTS = {
-    "slip": "Banco Itaú 341-7\n34191.79001 01043.510047 91020.150008 5 84410026000000\nBeneficiário: ALFA SERVICOS LTDA CNPJ 11.222.333/0001-44\nVencimento 20/02/2025\nNosso Número 109/00012345-6\nValor do Documento R$ 260,00",
+    "slip": "Banco Itaú 341-7\n34191.79001 01043.510047 91020.150008 5 84410000026000\nBeneficiário: ALFA SERVICOS LTDA CNPJ 11.222.333/0001-44\nVencimento 20/02/2025\nNosso Número 109/00012345-6\nValor do Documento R$ 260,00",
     "service": "PREFEITURA MUNICIPAL DE TESTE\nNota Fiscal de Serviço Eletrônica - NFS-e\nNúmero da Nota: 00000321\nCNPJ 11.222.333/0001-44\nValor Total R$ 1.500,00\nISS R$ 75,00",
     "product": "RECEBEMOS DE BETA COMERCIO LTDA OS PRODUTOS\nDANFE\nNº 000.123 SÉRIE 2\nVALOR TOTAL DA NOTA 99,90",
     "energy": "CEMIG DISTRIBUICAO\nCONSUMO 100 KWH\nTOTAL A PAGAR R$ 369, 4 0\nVENCIMENTO 10/03/2025",
@@ -113,5 +113,5 @@ def test_custom_extractor(spark):
 
 
 def test_xml_errors(spark):
-    df = spark.createDataFrame([("<nfeProc><nNF>1</nNF>",), ("not xml",), (None,), ('<a:nfeProc xmlns:a="u"><a:nNF>7</a:nNF><a:vNF>1.50</a:vNF></a:nfeProc>',)], "xml string")
+    df = spark.createDataFrame([("<nfeProc><nNF>1</nNF>",), ("not xml",), (None,), ('<a:nfeProc xmlns:a="http://www.portalfiscal.inf.br/nfe"><a:nNF>7</a:nNF><a:vNF>1.50</a:vNF></a:nfeProc>',)], "xml string")
     assert [(r.numero_nota, r.valor, r._error) for r in xmls.parsed(df).collect()] == [("1", None, "malformed document"), (None, None, "unknown dialect"), (None, None, "unknown dialect"), ("7", 1.5, None)]

@@ -37,7 +37,27 @@ def register(e: Extractor, before: str | None = None) -> Extractor:
 
 
 def upper(x: str) -> Column:
-    return F.upper(F.coalesce(F.col(x), F.lit("")))
+    """The text in upper case, as prepared() has it."""
+    return F.col(f"{x}__upper")
+
+
+def compact(x: str) -> Column:
+    """Upper-case letters and digits of the text, as prepared() has them."""
+    return F.col(f"{x}__compact")
+
+
+def fenced(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns by a generator of one row, which the optimizer doesn't merge with what reads them: each is evaluated once for a row."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def prepared(df: DataFrame, x: str) -> DataFrame:
+    """Adds what the predicates ask many times of a text: its upper-case and compact forms, and whether it has a slip's line."""
+    return fenced(fenced(df, {f"{x}__upper": F.upper(F.coalesce(F.col(x), F.lit(""))), f"{x}__compact": T.compact(x)}), {f"{x}__line": has_slip_line(x)})
+
+
+def unprepared(df: DataFrame, x: str) -> DataFrame:
+    return df.drop(f"{x}__upper", f"{x}__compact", f"{x}__line")
 
 
 def count_in(t: Column, words: list[str]) -> Column:
@@ -83,9 +103,9 @@ BANKS = {"001": "BANCO DO BRASIL", "033": "SANTANDER", "077": "INTER", "104": "C
 
 
 def is_slip(x: str) -> Column:
-    c = T.compact(x)
+    c = compact(x)
     invoice = any_in(c, ["DANFSE", "DOCUMENTOAUXILIARDANFS"]) | (c.contains("CHAVEDEACESSO") & any_in(c, ["NFSE", "NOTAFISCALDESERVICO"]))
-    return ~invoice & ((count_in(c, SLIP_WORDS) >= 3) | has_slip_line(x)) & (count_in(c, INVOICE_WORDS) < 3)
+    return ~invoice & ((count_in(c, SLIP_WORDS) >= 3) | F.col(f"{x}__line")) & (count_in(c, INVOICE_WORDS) < 3)
 
 
 def slip_line(x: str) -> Column:
@@ -151,7 +171,7 @@ def is_admin(x: str) -> Column:
     """A paper that says what it is and is neither an invoice nor a slip."""
     t = upper(x)
     fiscal = count_in(t, ["NFS-E", "NF-E", "DANFE", "CHAVE DE ACESSO", "PREFEITURA", "CÓDIGO DE VERIFICAÇÃO"])
-    return ~((fiscal >= 2) | t.rlike(r"(?<!\d)\d{44}(?!\d)") | (count_in(T.compact(x), SLIP_WORDS) >= 3)) & T.any_match(x, list(ADMIN.values()))
+    return ~((fiscal >= 2) | t.rlike(r"(?<!\d)\d{44}(?!\d)") | (count_in(compact(x), SLIP_WORDS) >= 3)) & T.any_match(x, list(ADMIN.values()))
 
 
 register(Extractor("admin", "OUTRO", is_admin, {
@@ -172,7 +192,7 @@ def is_other(x: str) -> Column:
 OTHER_VALUE = [rf"(?iu)\bTOTAL\s+A\s+PAGAR\b[\s\S]{{0,80}}?{AMOUNT}\b", rf"(?iu)\bVALOR\s+DA\s+LOCA[ÇC][ÃA]O\b[\s\S]{{0,40}}?{AMOUNT}\b", rf"(?iu)\bTOTAL\s*R\$\s*{AMOUNT}", rf"(?iu)\bVALOR\b[\s\S]{{0,20}}?R\$\s*{AMOUNT}", rf"\bR\$\s*{AMOUNT}\b"]
 
 register(Extractor("other", "OUTRO", is_other, {
-    "subtipo": lambda x: F.when(upper(x).contains("LOCA"), "LOCACAO").otherwise("FATURA"),
+    "subtipo": lambda x: F.when(F.upper(F.col(x)).contains("LOCA"), "LOCACAO").otherwise("FATURA"),
     "numero_documento": lambda x: T.first_group(x, [r"(?iu)\bN[º°o]\.?\s*[:\-]?\s*(\d+)", r"(?iu)FATURA\s*[:\-]?\s*(\d+)"]),
     "valor": lambda x: F.coalesce(*[F.when((v := T.money(T.group(x, p))) > 0, v) for p in OTHER_VALUE], F.lit(0.0)),
     "vencimento": lambda x: T.date_br(T.first_group(x, [rf"(?iu)\bVENCIMENTO\b\s*[:\-]?\s*{DAY}", rf"(?iu)Data\s+de\s+Vencimento\s+do\s+Contrato\s*[:\-]?\s*{DAY}"])),
@@ -186,7 +206,7 @@ SERVICE_MARKS = ["NFS-E", "NFSE", "NOTA FISCAL DE SERVIÇO", "NOTA FISCAL DE SER
 def is_service(x: str) -> Column:
     """A service invoice: a strong mark and no slip line; else anything that is neither a product invoice, a slip nor another kind."""
     t = upper(x)
-    return (any_in(t, SERVICE_MARKS) & ~has_slip_line(x)) | ~(is_product(x) | is_slip(x) | is_other(x))
+    return (any_in(t, SERVICE_MARKS) & ~F.col(f"{x}__line")) | ~(is_product(x) | is_slip(x) | is_other(x))
 
 
 def is_product(x: str) -> Column:
@@ -298,15 +318,10 @@ def with_layouts(layouts: list[Layout] = LAYOUTS) -> list[Extractor]:
     return out + REGISTRY
 
 
-def fenced(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Adds columns by a generator of one row, which the optimizer doesn't merge with what reads them: large expressions are evaluated once."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
-
-
 def routed(texts: DataFrame, column: str = "text", registry: list[Extractor] | None = None) -> DataFrame:
     """Adds extractor, the name of the first one that accepts the text; null for an empty text."""
     use = REGISTRY if registry is None else registry
-    return fenced(texts, {"extractor": F.when(T.blank_to_null(column).isNotNull(), F.coalesce(*[F.when(e.accepts(column), F.lit(e.name)) for e in use]))})
+    return unprepared(fenced(prepared(texts, column), {"extractor": F.when(T.blank_to_null(column).isNotNull(), F.coalesce(*[F.when(e.accepts(column), F.lit(e.name)) for e in use]))}), column)
 
 
 def extracted(texts: DataFrame, name: str, column: str = "text", registry: list[Extractor] | None = None) -> DataFrame:
@@ -324,6 +339,7 @@ def extracted_all(texts: DataFrame, column: str = "text", registry: list[Extract
     return fenced(out, {"doc_type": F.coalesce(*[F.when(F.col("extractor") == e.name, F.lit(e.doc_type)) for e in use])} | {k: pick(k) for k in names})
 
 
-def incomplete(x: str = "text") -> Column:
-    """Whether a text looks as if a page's text were missing: under 300 characters, or a slip or invoice without any amount."""
-    return (F.length(F.coalesce(F.col(x), F.lit(""))) < 300) | ((is_slip(x) | is_product(x)) & (T.money_max(x) == 0))
+def incomplete(texts: DataFrame, x: str = "text") -> DataFrame:
+    """Adds incompleto: the text looks as if some of it were missing, with under 300 characters, or as a slip or invoice without any amount."""
+    bare = (F.length(F.coalesce(F.col(x), F.lit(""))) < 300) | ((is_slip(x) | is_product(x)) & (T.money_max(x) == 0))
+    return unprepared(fenced(prepared(texts, x), {"incompleto": bare}), x)

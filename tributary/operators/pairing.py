@@ -29,7 +29,7 @@ def status(invoice: Column, slip: Column, forced: Column | None = None) -> Colum
     """CONCILIADO, DIVERGENTE, CONFERIR or, for a pair that was forced, PAREADO_FORCADO or DIVERGENTE_VALOR."""
     forced = F.lit(False) if forced is None else forced
     return (
-        F.when((invoice > 0) & (slip > 0), F.when(F.abs(invoice - slip) <= TOLERANCE, "CONCILIADO").when(forced, "DIVERGENTE_VALOR").otherwise("DIVERGENTE"))
+        F.when((invoice > 0) & (slip > 0), F.when(F.abs(F.round(invoice - slip, 2)) <= TOLERANCE, "CONCILIADO").when(forced, "DIVERGENTE_VALOR").otherwise("DIVERGENTE"))
         .when((slip > 0) & forced, "PAREADO_FORCADO")
         .otherwise("CONFERIR")
     )

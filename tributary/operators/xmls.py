@@ -63,6 +63,6 @@ def parsed(docs: DataFrame, column: str = "xml") -> DataFrame:
         elif k in ("data_emissao", "vencimento"):
             v = F.coalesce(F.date_format(F.try_to_date(F.substring(v, 1, 10), "yyyy-MM-dd"), "yyyy-MM-dd"), T.date_br(F.substring(v, 1, 10)))
         out = out.withColumn(k, v)
-    whole = F.regexp_extract(F.trim(F.col("_flat")), r"(?s)<([A-Za-z]\w*)[^>]*>.*</\1>\s*$", 1) != ""
+    whole = F.regexp_extract(F.trim(F.col("_flat")), r"(?s)^(?:<\?[^>]*\?>\s*)?<([A-Za-z]\w*)[^>]*>.*</\1>\s*$", 1) != ""
     error = F.when(F.col("dialect").isNull(), "unknown dialect").when(~whole, "malformed document").when(F.col("numero_nota").isNull(), "no number")
     return out.withColumn("doc_type", F.when(F.col("dialect") == "NFE", "DANFE").when(F.col("dialect").isNotNull(), "NFSE")).withColumn("_error", error).drop("_flat")

@@ -95,9 +95,9 @@ def _split(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 add("xml_complete_anti_join", lambda s, d: B.merged(*_split(s, d)).filter("doc_type = 'DANFE'").select(*_KEYS),
     """WITH p AS (SELECT * FROM invoices WHERE doc_type = 'DANFE'), m AS (
-      SELECT x.batch_id, x.ordinal, arg_min(p.vencimento, p.ordinal) AS v, arg_min(p.numero_nota, p.ordinal) AS n, arg_min(p.valor, p.ordinal) AS w FROM invoices x JOIN p ON p.batch_id = x.batch_id AND (p.numero_nota = x.numero_nota
+      SELECT x.batch_id, x.ordinal, min(p.ordinal) AS o FROM invoices x JOIN p ON p.batch_id = x.batch_id AND (p.numero_nota = x.numero_nota
         OR (x.valor > 0 AND upper(p.fornecedor_nome) = upper(x.fornecedor_nome) AND abs(round(p.valor * 100) - round(x.valor * 100)) <= 1)) WHERE x.doc_type = 'NFSE' GROUP BY ALL
-    ), f AS (SELECT x.batch_id, coalesce(x.vencimento, m.v) AS v, coalesce(x.numero_nota, m.n) AS n, CASE WHEN x.valor > 0 THEN x.valor ELSE coalesce(m.w, x.valor) END AS w FROM invoices x LEFT JOIN m USING (batch_id, ordinal) WHERE x.doc_type = 'NFSE')
+    ), f AS (SELECT x.batch_id, coalesce(x.vencimento, p.vencimento) AS v, coalesce(x.numero_nota, p.numero_nota) AS n, CASE WHEN x.valor > 0 THEN x.valor ELSE coalesce(p.valor, x.valor) END AS w FROM invoices x LEFT JOIN m USING (batch_id, ordinal) LEFT JOIN p ON p.batch_id = m.batch_id AND p.ordinal = m.o WHERE x.doc_type = 'NFSE')
     SELECT batch_id, ordinal::INTEGER AS ordinal FROM p WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.batch_id = p.batch_id AND f.n = p.numero_nota AND f.v IS NOT NULL AND f.w > 0)""", "invoices")
 add("xml_fill_from_pdf", lambda s, d: B.merged(*_split(s, d)).filter("doc_type = 'NFSE'").select(*_KEYS, "vencimento", "numero_nota", "numero_pedido", "valor"),
     """WITH p AS (SELECT * FROM invoices WHERE doc_type = 'DANFE'), m AS (
@@ -258,7 +258,7 @@ add("bank_lookup", lambda s, d: K.bank_names(S.load(s, d, "orders").select("o_or
 add("slip_fields", lambda s, d: X.extracted(S.slip_texts(s, d), "slip").select("doc_id", "numero_documento", "valor", "vencimento", "data_emissao", "nosso_numero", "cnpj", "fornecedor_nome", "banco"),
     f"""SELECT doc_id, doc_id::VARCHAR AS numero_documento, cents / 100.0::DOUBLE AS valor, strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') AS vencimento, {_ISO} AS data_emissao, '09/' || lpad(doc_id::VARCHAR, 11, '0') || '-4' AS nosso_numero,
     {_FMT.format("lpad(o_custkey::VARCHAR, 8, '0') || '000200'")} AS cnpj, 'COMERCIAL' || CASE WHEN o_custkey < 1000 THEN ' ' || o_custkey ELSE '' END || ' LTDA' AS fornecedor_nome, 'BRADESCO' AS banco FROM slip_texts""", "slip_texts")
-add("slip_value_from_line", lambda s, d: S.slip_texts(s, d).select("doc_id", X.slip_line_cents("text").alias("centavos"), X.has_slip_line("text").alias("linha")), "SELECT doc_id, nullif(cents, 0) AS centavos, true AS linha FROM slip_texts", "slip_texts")
+add("slip_value_from_line", lambda s, d: X.prepared(S.slip_texts(s, d), "text").select("doc_id", X.slip_line_cents("text").alias("centavos"), F.col("text__line").alias("linha")), "SELECT doc_id, nullif(cents, 0) AS centavos, true AS linha FROM slip_texts", "slip_texts")
 _I = lambda kind, name, *cols: (lambda s, d: X.extracted(S.invoice_texts(s, d).filter(F.col("kind") == kind), name).select("batch_id", "ordinal", *cols))
 _DUE, _SHIP, _OK = "strftime(l_shipdate + INTERVAL 30 DAY, '%Y-%m-%d') AS vencimento", "strftime(l_shipdate, '%Y-%m-%d') AS data_emissao", "batch_id, ordinal::INTEGER AS ordinal"
 _VAL = "cents / 100.0::DOUBLE AS valor"
@@ -274,7 +274,7 @@ add("extract_all", lambda s, d: X.extracted_all(S.invoice_texts(s, d)).groupBy("
     "SELECT CASE kind WHEN 'product' THEN 'DANFE' WHEN 'rental' THEN 'OUTRO' ELSE 'NFSE' END AS doc_type, CASE kind WHEN 'rental' THEN 'other' ELSE kind END AS extractor, count(*) AS n, sum((cents / 100.0)::DECIMAL(18,2))::DOUBLE AS total, count(*) AS com_vencimento FROM invoice_rows GROUP BY ALL", "invoice_rows")
 add("weighted_value", lambda s, d: S.invoice_texts(s, d).filter("kind = 'product'").select("batch_id", "ordinal", X.weighted_value("text", [(r"VALOR\s+TOTAL", 9)], 0).alias("valor")), f"SELECT {_OK}, {_VAL} FROM invoice_rows WHERE kind = 'product'", "invoice_rows")
 add("layout_extractors", lambda s, d: X.extracted_all(S.slip_texts(s, d).withColumn("text", F.concat(F.lit("REPROMAQ LOCACAO\n"), "text")), registry=X.with_layouts()).select("doc_id", "extractor", "valor"), "SELECT doc_id, 'line_based_slip' AS extractor, cents / 100.0::DOUBLE AS valor FROM slip_texts", "slip_texts")
-add("text_incomplete", lambda s, d: S.slip_texts(s, d).select("doc_id", X.incomplete().alias("incompleto")), "SELECT doc_id, length(text) < 300 AS incompleto FROM slip_texts", "slip_texts")
+add("text_incomplete", lambda s, d: X.incomplete(S.slip_texts(s, d)).select("doc_id", "incompleto"), "SELECT doc_id, length(text) < 300 AS incompleto FROM slip_texts", "slip_texts")
 
 
 def _xmls(s: SparkSession, d: str) -> DataFrame:
