@@ -99,7 +99,7 @@ def bank_names(df: DataFrame, banks: DataFrame, code: str = "codigo_banco") -> D
     return df.join(dim, df[code] == F.col("_c"), "left").withColumn("banco", F.coalesce("_n", F.concat(F.lit("BANCO_"), F.col(code)))).drop("_c", "_n")
 
 
-def supplier_repair(df: DataFrame, column: str = "fornecedor_nome", text: str = "text") -> Column:
+def supplier_repair(text: str = "text") -> Column:
     """(sugestao, confianca): a label's name at 0.8, a line with a legal form at 0.6, the first long line at 0.4."""
     label = T.entity_name(T.first_group(text, [r"(?imu)^\s*(?:Raz[ãa]o\s+Social|Benefici[áa]rio|Fornecedor)\s*:\s*([^\n]+)"]))
     legal = T.entity_name(T.group(text, r"(?mu)^\s*([^\n]*\b(?:LTDA|EIRELI|S/A)\b)"))

@@ -411,3 +411,24 @@ def _passwords(s: SparkSession, d: str) -> DataFrame:
     from tributary.sources.readers import passwords
 
     return passwords(S.load(s, d, "supplier").select(T.cnpj_format(_14).alias("cnpj")))
+
+
+# ---- single values
+
+_WORDING = F.when(F.col("o_orderkey") % 3 == 0, "Nota Fiscal do prestador").when(F.col("o_orderkey") % 3 == 1, "Contrato e comunicado: nota fiscal").otherwise("xyz")
+add("text_class", lambda s, d: S.load(s, d, "orders").withColumn("text", _WORDING).select("o_orderkey", C.text_class().alias("c")).select("o_orderkey", "c.classe", F.round("c.confianca", 6).alias("confianca")),
+    "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'NFSE' WHEN 1 THEN 'ADMIN' ELSE 'DESCONHECIDO' END AS classe, CASE o_orderkey % 3 WHEN 0 THEN 1.0 WHEN 1 THEN round(2 / 3.0::DOUBLE, 6) ELSE 0.0 END::DOUBLE AS confianca FROM orders")
+add("supplier_repair", lambda s, d: _mentions(s, d).select("doc_id", K.supplier_repair().alias("r")).select("doc_id", "r.sugestao", "r.confianca"), "SELECT s_suppkey AS doc_id, 'PRESTADOR Alfa LTDA' AS sugestao, 0.6::DOUBLE AS confianca FROM supplier")
+add("sender_parts", lambda s, d: S.emails(s, d).withColumn("sender", F.concat(F.lit('"Nome '), F.col("email_id").cast("string"), F.lit('" <'), "sender_address", F.lit(">"))).select("email_id", E.sender_parts().alias("p")).select("email_id", "p.name", "p.address"), "SELECT email_id, 'Nome ' || email_id AS name, sender_address AS address FROM emails", "emails")
+add("number_from_file_name", lambda s, d: S.documents(s, d).select("batch_id", "ordinal", T.number_in_file_name("arquivo_origem").alias("numero")), r"SELECT batch_id, ordinal::INTEGER AS ordinal, CASE WHEN starts_with(arquivo_origem, 'NF ') THEN regexp_extract(arquivo_origem, 'NF (\d+)', 1) END AS numero FROM docs", "docs")
+add("due_date_to_iso", lambda s, d: S.load(s, d, "orders").select("o_orderkey", T.iso_date(F.date_format("o_orderdate", "d.M.yyyy")).alias("data"), T.iso_date(F.lit("amanhã")).alias("outra")), f"SELECT o_orderkey, {_ISO} AS data, 'amanhã' AS outra FROM orders")
+add("email_key", lambda s, d: _email_keys(s, d), "SELECT event_id, event_id || '@host_' || event_type AS chave FROM events")
+add("metrics_json", lambda s, d: M.as_json(M.counters(S.load(s, d, "events"), "event_type")), """SELECT '{"event_type":"' || event_type || '","n":' || count(*) || '}' AS line FROM events GROUP BY event_type""")
+add("run_totals", lambda s, d: M.run_totals(S.load(s, d, "orders").select(F.when(F.col("o_orderstatus") == "F", "OK").when(F.col("o_orderstatus") == "O", "TIMEOUT").otherwise("ERROR").alias("status"))), "SELECT count(*) AS lotes, count(*) FILTER (o_orderstatus = 'F') AS ok, count(*) FILTER (o_orderstatus = 'O') AS timeout, count(*) FILTER (o_orderstatus = 'P') AS erro FROM orders")
+add("pair_status_counts", lambda s, d: P.paired(S.documents(s, d)).groupBy("status").agg(F.count("*").alias("n")))
+
+
+def _email_keys(s: SparkSession, d: str) -> DataFrame:
+    from tributary.sources.readers import email_key
+
+    return S.load(s, d, "events").withColumn("email_id", F.concat(F.col("event_id").cast("string"), F.lit("@host/"), "event_type")).select("event_id", email_key().alias("chave"))
