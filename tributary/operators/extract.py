@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import text as T
 
+# Formats of amounts and days.
 AMOUNT = r"(\d{1,3}(?:\.\d{3})*,\d{2})"
 DAY = r"(\d{2}/\d{2}/\d{4})"
 
@@ -96,6 +97,7 @@ def has_slip_line(x: str) -> Column:
 
 # ---- bank slips
 
+# Words of slips and of invoices, in compact form.
 SLIP_WORDS = ["LINHADIGITAVEL", "BENEFICI", "BENEFICIARIO", "VENCIMENTO", "VALORDODOCUMENTO", "NOSSO", "NOSSONUMERO", "CODIGODEBARRAS", "AGENCIACODIGO", "CEDENTE", "RECIBODOPAGADOR", "RECIBODOSACADO"]
 INVOICE_WORDS = ["NFSE", "NOTAFISCALDESERVICOELETRONICA", "PREFEITURA", "DANFE", "DOCUMENTOAUXILIARDANOTAFISCAL", "DOCUMENTOAUXILIARDANFS", "DANFSE"]
 # Codes of banks.
@@ -118,6 +120,7 @@ def slip_line_cents(x: str) -> Column:
     return F.when(slip_line(x).isNotNull() & (d > 0), d)
 
 
+# Labels before a slip's value, due date and number, and before the number of its invoice.
 SLIP_VALUE = [rf"(?iu)Valor\s+do\s+Documento\s*[:\s]*R\$?\s*{AMOUNT}", rf"(?iu)Valor\s+Nominal\s*[:\s]*R\$?\s*{AMOUNT}", rf"(?iu)Valor\s+Cobrado\s*[:\s]*R\$?\s*{AMOUNT}", rf"(?iu)Valor\s+do\s+Documento[\s\n]+{AMOUNT}\b", rf"(?iu)Valor\s+Nominal[\s\n]+{AMOUNT}\b", rf"(?iu)Valor\s*[:\s]*R\$\s*{AMOUNT}"]
 SLIP_DUE = [rf"(?iu)\bDATA\s+DE\s+VENCIMENTO\b[^\n\d]{{0,60}}{DAY}", rf"(?iu)\bData\s+Vencimento\b[^\n\d]{{0,60}}{DAY}", rf"(?iu)\bVencimento\b[^\n\d]{{0,60}}{DAY}"]
 SLIP_NUMBER = [r"(?iu)N[uú]mero\s+do\s+Documento\s*[:\s]*([0-9]+(?:\.[0-9]+)?)", r"(?iu)Num\.?\s*Documento\s*[:\s]*([0-9]+(?:\.[0-9]+)?)", r"(?iu)N[º°]\s*Documento\s*[:\s]*([0-9]+(?:[/.][0-9]+)?)", r"\b(20\d{2}\.\d+)\b"]
@@ -147,6 +150,7 @@ def bank_name(x: str) -> Column:
     return F.coalesce(*[F.when(code == k, v) for k, v in BANKS.items()], F.concat(F.lit("BANCO_"), code))
 
 
+# Fixed values in the extractors below: words that show the kind of a document, and labels before its fields.
 register(Extractor("energy", "NFSE", lambda x: count_in(upper(x), ["DISTRIB DE ENERGIA", "DISTRIBUIDORA DE ENERGIA", "ENERGIA ELÉTRICA", "ENERGIA ELETRICA", "CONSUMO", "KWH", "INSTALAÇÃO", "INSTALACAO", "BANDEIRA TARIFÁRIA", "BANDEIRA TARIFARIA", "FATURA DE ENERGIA", "CONTA DE LUZ", "CONTA DE ENERGIA", "CEMIG", "COPEL", "CPFL", "ENERGISA", "NEOENERGIA", "ELEKTRO", "CELESC"]) >= 2, {
     "numero_nota": lambda x: T.first_group(x, [r"(?iu)NOTA\s+FISCAL\s*N[°º]?\s*[:\-]?\s*([0-9.\-]+)", r"(?iu)FATURA\s*N[°º]?\s*[:\-]?\s*([0-9.\-]+)", r"(?iu)DOCUMENTO\s*[:\-]?\s*([0-9.\-]+)"]),
     "instalacao": lambda x: T.first_group(x, [r"(?iu)INSTALA[ÇC][ÃA]O\s*[:\-]?\s*(\d+)", r"(?iu)(\d{8,12})\s*(?:INSTALA[ÇC][ÃA]O|MATR[ÍI]CULA)"]),
@@ -189,6 +193,7 @@ def is_other(x: str) -> Column:
     return ~fiscal & ~taxes & ((t.contains("DEMONSTRATIVO") & t.contains("LOCA")) | t.contains("VALOR DA LOCA") | invoice)
 
 
+# Labels before the value of a rental or administrative invoice.
 OTHER_VALUE = [rf"(?iu)\bTOTAL\s+A\s+PAGAR\b[\s\S]{{0,80}}?{AMOUNT}\b", rf"(?iu)\bVALOR\s+DA\s+LOCA[ÇC][ÃA]O\b[\s\S]{{0,40}}?{AMOUNT}\b", rf"(?iu)\bTOTAL\s*R\$\s*{AMOUNT}", rf"(?iu)\bVALOR\b[\s\S]{{0,20}}?R\$\s*{AMOUNT}", rf"\bR\$\s*{AMOUNT}\b"]
 
 register(Extractor("other", "OUTRO", is_other, {
@@ -200,6 +205,7 @@ register(Extractor("other", "OUTRO", is_other, {
     "fornecedor_nome": lambda x: T.entity_name(T.first_group(x, [r"(?iu)(?:Locador|Fornecedor)\s*:\s*([^\n]+)"])),
 }))
 
+# What a service invoice says of itself.
 SERVICE_MARKS = ["NFS-E", "NFSE", "NOTA FISCAL DE SERVIÇO", "NOTA FISCAL DE SERVICO", "DOCUMENTO AUXILIAR DA NFS-E", "CÓDIGO DE VERIFICAÇÃO", "CODIGO DE VERIFICACAO", "PREFEITURA MUNICIPAL"]
 
 
@@ -220,6 +226,7 @@ def tax(names: list[str]) -> Callable[[str], Column]:
     return lambda x: F.coalesce(*[F.when((g := T.group(x, rf"(?iu){n}[:\s]*R?\$?\s*{AMOUNT}")).isNotNull(), T.money(g)) for n in names])
 
 
+# Labels before the value and number of a service invoice.
 SERVICE_VALUE = [rf"(?iu)Valor\s+Total\s*(?:do\s+Servi[çc]o)?\s*[:=\s]*R\$\s*{AMOUNT}", rf"(?iu)Valor\s+da\s+Nota\s*[:\s]*R\$\s*{AMOUNT}", rf"(?iu)Valor\s*[:\s]*R\$\s*{AMOUNT}", rf"(?iu)Valor\s+(?:Total|da\s+Nota)\s*[:\s]+{AMOUNT}\b", rf"(?iu)Total\s+Nota\s*[:\s]+{AMOUNT}\b", rf"(?iu)Valor\s+L[ií]quido\s*[:\s]+{AMOUNT}\b", rf"\bR\$\s*{AMOUNT}\b"]
 SERVICE_NUMBER = [r"(?iu)NFS-?e\s*(?:N[º°o]|Num)?\.?\s*[:.-]?\s*(\d{4}[/\-]\d{1,6})\b", r"(?iu)N[úu]mero\s+da\s+Nota[^\d]{0,40}(?<!\d)(\d{1,15})(?!\d)", r"(?iu)Nota\s*Fiscal\s*(?:N[º°o]|Num)?\.?\s*[:.-]?\s*(\d{1,15})", r"(?iu)(?:N[úu]mero|N[º°o])\s*[:.-]?\s*(\d{1,15})"]
 
@@ -295,6 +302,7 @@ class Layout:
     constants: dict[str, str] = field(default_factory=dict)
 
 
+# suppliers' own layouts, their words, and the labels that weigh.
 LAYOUTS = [
     Layout("line_based_slip", "slip", ["REPROMAQ", "BRADESCO"], [(r"Valor\s+do\s+Documento", 3), (r"Valor\s+(Cobrado|Nominal)", 2)], 5),
     Layout("rental_invoice", "other", ["FATURA DE LOCA", "EMC"], [(r"TOTAL\s*R\$", 3), (r"\bTOTAL\b", 2)], 0, {"subtipo": "FATURA_LOCACAO_EMC"}),
