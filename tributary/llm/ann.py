@@ -150,21 +150,35 @@ def searched(rows: DataFrame, asked: DataFrame, tree: dict, leaves: int, k: int,
     ask = asked.mapInArrow(route, "leaf long, query_id long, v array<double>").join(F.broadcast(size), "leaf")
     ask = ask.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).cast("long").alias("kind"), F.col("query_id").alias("id"), "v")
 
+    def best_here(found: list) -> list:
+        """One triple of arrays with the k nearest of each query among the triples (query, id, distance)."""
+        q, n, d = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.lexsort((n, d, q))
+        q, n, d = q[order], n[order], d[order]
+        first = np.maximum.accumulate(np.where(np.r_[True, q[1:] != q[:-1]], np.arange(len(q)), 0))
+        keep = np.arange(len(q)) - first < k
+        return [(q[keep], n[keep], d[keep])]
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0  # a task merges what its leaves give before it hands on
         for t in _grouped(batches, 2):
             t = t.combine_chunks()
             kind, ids, v = t.column(2).to_numpy(), t.column(3).to_numpy(), matrix(t.column(4).combine_chunks())
             own, x = ids[kind == 1], v[kind == 1]
-            qs, ns, ds = [], [], []
             for q, y in zip(ids[kind == 0], v[kind == 0], strict=True):
                 use = own != q
                 d = distances(x[use], y)
                 at = nearest(own[use], d, k)
-                qs.append(np.full(len(at), q))
-                ns.append(own[use][at])
-                ds.append(d[at])
-            if qs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (qs, ns, ds)], ["query_id", "vec_id", "score"])
+                found.append((np.full(len(at), q), own[use][at], d[at]))
+                size += len(at)
+            if size > 400_000:
+                found = best_here(found)
+                size = len(found[0][0])
+                if size > 200_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found[0]], ["query_id", "vec_id", "score"])
+                    found, size = [], 0
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in best_here(found)[0]], ["query_id", "vec_id", "score"])
 
     both = data.union(ask).repartition("leaf", "part").sortWithinPartitions("leaf", "part", "kind")
     return best(both.mapInArrow(search, "query_id long, vec_id long, score double"), k, True)
