@@ -30,7 +30,7 @@ def in_proportion(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of each document of the mix, with the digests of its ids and of what they decode to."""
-    return bpe.encoded(docs, with_ids=True, keep=("doc_id", "lang", "source"))
+    return bpe.encoded(docs, with_ids=True, keep=("doc_id", "lang", "source"), remember=0)
 
 
 STAGES = [

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import resident
+from tributary.llm.common import evict, resident
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -62,7 +62,7 @@ class Codec:
         self.remember, self.longest, self.known, self.odd = remember, longest, {}, {}
         self.byte = np.array([self.rank[bytes([i])] for i in range(256)], np.int32)
         merges = [(self.rank[t[:i]], self.rank[t[i:]], r) for t, r in self.rank.items() for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "preserve_insertion_order": False})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "preserve_insertion_order": False})
         a, b, rank = (pa.array(x, pa.int32()) for x in zip(*merges, strict=True))
         self._table("merges", {"a": a, "b": b, "rank": rank})
         self._table("vocabulary", {"id": pa.array(self.rank.values(), pa.int32()), "piece": pa.array([t.hex() for t in self.rank])})
@@ -163,10 +163,11 @@ def pieces(texts: list[str], most: int = 3_000_000) -> Iterator[list[str]]:
         yield run
 
 
-def encoded(documents: DataFrame, ranks: bytes | None = None, pattern: str = public_tokenizers.PATTERN, with_ids: bool = False, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encoded(documents: DataFrame, ranks: bytes | None = None, pattern: str = public_tokenizers.PATTERN, with_ids: bool = False, keep: tuple[str, ...] = ("doc_id",), remember: int = 500_000) -> DataFrame:
     """(*keep, n_tokens, ids_sha256, decoded_sha256[, ids binary]): a narrow pass. ids: little-endian 32-bit numbers.
 
-    ranks: the content of a tiktoken rank file, by default VOCABULARY; its fixed size makes it safe to broadcast.
+    ranks: the content of a tiktoken rank file, by default VOCABULARY; its fixed size makes it safe to broadcast. remember: the
+    words that a worker keeps between tasks; with 0 it keeps nothing, for jobs whose other stages need the memory.
     """
     ranks = ranks or open(public_tokenizers.path(VOCABULARY), "rb").read()
     spark = documents.sparkSession
@@ -175,7 +176,7 @@ def encoded(documents: DataFrame, ranks: bytes | None = None, pattern: str = pub
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = resident(key, lambda: Codec(shared.value, pattern))
+        codec = resident(key, lambda: Codec(shared.value, pattern, remember or 100_000))
         for batch in batches:
             n, ids_sha, out_sha, ids = [], [], [], []
             for part in pieces(batch.column(len(keep)).to_pylist()):
@@ -191,6 +192,8 @@ def encoded(documents: DataFrame, ranks: bytes | None = None, pattern: str = pub
             if with_ids:
                 columns, names = [*columns, pa.array(ids, pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        if not remember:
+            evict()
 
     return kept.mapInArrow(run, f"{fields}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
 

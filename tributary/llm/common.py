@@ -54,15 +54,19 @@ atexit.register(cleanup)
 _RESIDENT: dict[Hashable, Any] = {}
 
 
+def evict() -> None:
+    """Frees what resident() keeps, and gives the memory back to the system."""
+    _RESIDENT.clear()
+    gc.collect()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def resident(key: Hashable, build: Callable[[], Any]) -> Any:
     """What build() makes, kept in a Python worker until another key is asked for: workers live on, and hold one model at a time."""
     if key not in _RESIDENT:
         if _RESIDENT:
-            _RESIDENT.clear()
-            gc.collect()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            evict()
         _RESIDENT[key] = build()
     return _RESIDENT[key]
 

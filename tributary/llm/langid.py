@@ -9,14 +9,14 @@ short ones take the same steps.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import resident
+from tributary.llm.common import evict, resident
 
 SEGMENT = 256
 CLASSES = 128
@@ -173,23 +173,26 @@ def samples(documents: DataFrame, docs: int = 60, chars: int = 24_000, row: int
     return out
 
 
-def predict(spark, given: dict[str, str], piece: int = 8_000_000) -> Callable:
+def predict(spark, given: dict[str, str], piece: int = 4_000_000) -> Callable:
     """A function of a text column to (lang_pred, score). The samples, whose size has a bound, are broadcast."""
     shared, key = spark.sparkContext.broadcast(given), ("langid", hash(tuple(sorted(given.items()))))
 
     @F.pandas_udf("lang_pred string, score double")
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = resident(key, lambda: Model(shared.value))
-        langs, scores, part, size = [], [], [], 0
-        for i, t in enumerate(texts):
-            part.append(t)
-            size += len(t or "")
-            if size >= piece or i + 1 == len(texts):
-                a, b = model.predict(part)
-                langs, scores, part, size = langs + a, scores + b, [], 0
-        return pd.DataFrame({"lang_pred": langs, "score": scores})
-
-    return run
+        for texts in batches:
+            langs, scores, part, size = [], [], [], 0
+            for i, t in enumerate(texts):
+                part.append(t)
+                size += len(t or "")
+                if size >= piece or i + 1 == len(texts):
+                    a, b = model.predict(part)
+                    langs, scores, part, size = langs + a, scores + b, [], 0
+            yield pd.DataFrame({"lang_pred": pd.Series(langs, dtype=object), "score": pd.Series(scores, dtype=float)})
+        del model
+        evict()
+
+    return run.asNondeterministic()  # else the optimizer runs it once for a filter and once more for what is selected
 
 
 def known(documents: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import resident, written
+from tributary.llm.common import evict, resident, written
 
 ORDER = 4
 #: The 63 most frequent characters of the trusted sample have a class of their own; 0 is any other.
@@ -101,10 +101,13 @@ def dense(levels: list) -> np.ndarray:
     for k, (gram, share, context, rest) in enumerate(levels):
         weight = np.ones(CLASSES**k, np.float32)
         weight[context] = rest
-        q = (p.reshape(-1, CLASSES) if k == 0 else np.tile(p, CLASSES).reshape(-1, CLASSES)) * weight[:, None]
-        p = q.ravel()
-        p[gram] += share
-    return -np.log2(np.maximum(p, 1e-12)).astype(np.float32)
+        p = np.tile(p, CLASSES if k else 1)
+        rows = p.reshape(-1, CLASSES)
+        rows *= weight[:, None]
+        p[gram] += share.astype(np.float32)
+    np.maximum(p, 1e-12, out=p)
+    np.log2(p, out=p)
+    return np.negative(p, out=p)
 
 
 def bits(spark, levels: list, table: np.ndarray) -> Callable:
@@ -112,17 +115,21 @@ def bits(spark, levels: list, table: np.ndarray) -> Callable:
     shared, name = spark.sparkContext.broadcast((levels, table)), uuid.uuid4().hex
 
     @F.pandas_udf("double")
-    def cost(texts: pd.Series) -> pd.Series:
+    def cost(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         per, classes = resident(("quality", name), lambda: dense(shared.value[0])), shared.value[1]
-        return pd.Series([float(per[grams(codes(t, classes))].sum(dtype=np.float64)) if t else 0.0 for t in texts])
+        for texts in batches:
+            yield pd.Series([float(per[grams(codes(t, classes))].sum(dtype=np.float64)) if t else 0.0 for t in texts])
+        del per
+        evict()
 
-    return cost
+    return cost.asNondeterministic()  # else the optimizer may run it once for a filter and once more for what is selected
 
 
 def classes_of(texts: DataFrame) -> np.ndarray:
     """The class of each code point up to 0xFFFF, by its frequency in the texts. Spaces are class 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        evict()
         seen = np.zeros(0x10000, np.int64)
         for b in batches:
             for t in b.column(0).to_pylist():

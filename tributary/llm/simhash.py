@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from tributary.llm.common import connected_components, written
+from tributary.llm.common import connected_components, evict, written
 
 SEED = 42
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -235,6 +235,7 @@ def signatures(documents: DataFrame, k: int) -> DataFrame:
     """(doc_id, same, fp, bands): same is a digest of all words in their order, equal for exact copies only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        evict()
         for b in batches:
             same, fp, bands = [], [], []
             for t in b.column(1):
@@ -257,6 +258,7 @@ def shingle_sets(documents: DataFrame, k: int) -> DataFrame:
     """(doc_id, shingles): the distinct hashes in order, 32 bits of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        evict()
         for b in batches:
             out = [np.unique(shingle_hashes(words(t.as_py()), k).astype(np.uint32)).tobytes() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["doc_id", "shingles"])
@@ -294,6 +296,7 @@ def _near(radius: int):
     """mapInArrow function: the rows that have another one within the radius in their shard."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        evict()
         for t in _shards(batches):
             if t.num_rows < 2:
                 continue
@@ -313,6 +316,7 @@ def _verified(radius: int, similarity: float):
     """mapInArrow function: edges (a, b) to the first row of each component of pairs that are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        evict()
         for t in _shards(batches):
             fp, ids, (tree, ask) = t.column("fp").to_numpy(), t.column("doc_id").to_numpy(), _sides(t)
             sets = [np.frombuffer(x, np.uint32) for x in t.column("shingles").to_pylist()]
