@@ -215,11 +215,11 @@ add("date_first", lambda s, d: _dates(s, d).select("o_orderkey", T.first_date("t
 add("email_date", lambda s, d: _dates(s, d).select("o_orderkey", T.email_date("mail").alias("data")), f"SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN {_ISO} END AS data FROM orders")
 _D14 = "lpad(s_suppkey::VARCHAR, 8, '0') || '000100'"
 _FMT = r"regexp_replace({}, '^(\d{{2}})(\d{{3}})(\d{{3}})(\d{{4}})(\d{{2}})$', '\1.\2.\3/\4-\5')"
-_14 = F.concat(F.lpad(F.col("s_suppkey").cast("string"), 8, "0"), F.lit("000100"))
-add("cnpj_format", lambda s, d: S.load(s, d, "supplier").select("s_suppkey", T.cnpj_format(_14).alias("cnpj"), T.cnpj_format(F.col("s_suppkey").cast("string")).alias("curto"), T.cnpj_format(F.col("s_suppkey").cast("string"), "empty").alias("vazio")), f"SELECT s_suppkey, {_FMT.format(_D14)} AS cnpj, s_suppkey::VARCHAR AS curto, '' AS vazio FROM supplier")
-add("cnpj_digits", lambda s, d: S.load(s, d, "supplier").withColumn("t", F.concat(F.lit("x "), T.cnpj_format(_14), F.lit(" y 123"))).select("s_suppkey", T.cnpj("t").alias("formatado"), T.cnpj_digits(T.cnpj("t")).alias("digitos"), T.cnpj_flexible("t").alias("livre"), T.is_cnpj(T.cnpj("t")).alias("ok")), f"SELECT s_suppkey, {_FMT.format(_D14)} AS formatado, {_D14} AS digitos, {_FMT.format(_D14)} AS livre, true AS ok FROM supplier")
-_CPF = F.regexp_replace(F.lpad(F.col("c_custkey").cast("string"), 11, "0"), r"^(\d{3})(\d{3})(\d{3})(\d{2})$", "$1.$2.$3-$4")
-add("cpf_extract", lambda s, d: S.load(s, d, "customer").withColumn("t", F.concat(F.lit("CPF: "), _CPF, F.lit("; tel 11 99999-0000"))).select("c_custkey", T.cpf("t").alias("cpf"), T.is_cpf(T.cpf("t")).alias("ok")), r"SELECT c_custkey, regexp_replace(lpad(c_custkey::VARCHAR, 11, '0'), '^(\d{3})(\d{3})(\d{3})(\d{2})$', '\1.\2.\3-\4') AS cpf, true AS ok FROM customer")
+_14 = lambda: F.concat(F.lpad(F.col("s_suppkey").cast("string"), 8, "0"), F.lit("000100"))
+add("cnpj_format", lambda s, d: S.load(s, d, "supplier").select("s_suppkey", T.cnpj_format(_14()).alias("cnpj"), T.cnpj_format(F.col("s_suppkey").cast("string")).alias("curto"), T.cnpj_format(F.col("s_suppkey").cast("string"), "empty").alias("vazio")), f"SELECT s_suppkey, {_FMT.format(_D14)} AS cnpj, s_suppkey::VARCHAR AS curto, '' AS vazio FROM supplier")
+add("cnpj_digits", lambda s, d: S.load(s, d, "supplier").withColumn("t", F.concat(F.lit("x "), T.cnpj_format(_14()), F.lit(" y 123"))).select("s_suppkey", T.cnpj("t").alias("formatado"), T.cnpj_digits(T.cnpj("t")).alias("digitos"), T.cnpj_flexible("t").alias("livre"), T.is_cnpj(T.cnpj("t")).alias("ok")), f"SELECT s_suppkey, {_FMT.format(_D14)} AS formatado, {_D14} AS digitos, {_FMT.format(_D14)} AS livre, true AS ok FROM supplier")
+_CPF = lambda: F.regexp_replace(F.lpad(F.col("c_custkey").cast("string"), 11, "0"), r"^(\d{3})(\d{3})(\d{3})(\d{2})$", "$1.$2.$3-$4")
+add("cpf_extract", lambda s, d: S.load(s, d, "customer").withColumn("t", F.concat(F.lit("CPF: "), _CPF(), F.lit("; tel 11 99999-0000"))).select("c_custkey", T.cpf("t").alias("cpf"), T.is_cpf(T.cpf("t")).alias("ok")), r"SELECT c_custkey, regexp_replace(lpad(c_custkey::VARCHAR, 11, '0'), '^(\d{3})(\d{3})(\d{3})(\d{2})$', '\1.\2.\3-\4') AS cpf, true AS ok FROM customer")
 add("accents_strip", lambda s, d: S.load(s, d, "documents").select("doc_id", F.translate(T.strip_accents("text"), "ß", "").alias("plano")), "SELECT doc_id, replace(strip_accents(text), 'ß', '') AS plano FROM documents")
 add("entity_name", lambda s, d: S.load(s, d, "part").select("p_partkey", T.entity_name(F.concat(F.lit("  - "), F.upper("p_name"), F.lit("   LTDA 12.345.678/0001-90  2025.12 : "), F.lpad(F.col("p_partkey").cast("string"), 7, "0"), F.lit(" -;"))).alias("nome")), "SELECT p_partkey, upper(p_name) || ' LTDA' AS nome FROM part")
 add("supplier_normalize", lambda s, d: S.load(s, d, "part").select("p_partkey", T.supplier_name(F.concat(F.lit("Razão Social:  "), "p_name", F.lit("\n x"))).alias("nome"), T.supplier_name(F.concat(F.lit("Beneficiário - "), "p_name"), ("Beneficiário",), True).alias("maiusculo")), "SELECT p_partkey, p_name || ' x' AS nome, upper(p_name) AS maiusculo FROM part")
@@ -232,12 +232,12 @@ add("html_text", lambda s, d: S.load(s, d, "pages").select("page_id", F.trim(F.r
 
 
 def _companies(s: SparkSession, d: str) -> DataFrame:
-    return S.load(s, d, "supplier").filter("s_suppkey % 10 = 0").select(T.cnpj_format(_14).alias("cnpj"), F.concat(F.lit("Z"), F.col("s_suppkey").cast("string"), F.lit(" Comercio LTDA")).alias("razao_social"), F.col("s_suppkey").alias("ordinal"))
+    return S.load(s, d, "supplier").filter("s_suppkey % 10 = 0").select(T.cnpj_format(_14()).alias("cnpj"), F.concat(F.lit("Z"), F.col("s_suppkey").cast("string"), F.lit(" Comercio LTDA")).alias("razao_social"), F.col("s_suppkey").alias("ordinal"))
 
 
 def _mentions(s: SparkSession, d: str) -> DataFrame:
     k = F.col("s_suppkey")
-    text = F.concat(F.lit("PRESTADOR Alfa LTDA CNPJ "), T.cnpj_format(_14), F.lit("\nTOMADOR Z"), (k - k % 10).cast("string"), F.lit(" CNPJ "), T.cnpj_format(F.concat(F.lpad((k - k % 10).cast("string"), 8, "0"), F.lit("000100"))), F.lit("\nContato: a@z"), (k - k % 10).cast("string"), F.lit(".com.br"))
+    text = F.concat(F.lit("PRESTADOR Alfa LTDA CNPJ "), T.cnpj_format(_14()), F.lit("\nTOMADOR Z"), (k - k % 10).cast("string"), F.lit(" CNPJ "), T.cnpj_format(F.concat(F.lpad((k - k % 10).cast("string"), 8, "0"), F.lit("000100"))), F.lit("\nContato: a@z"), (k - k % 10).cast("string"), F.lit(".com.br"))
     return S.load(s, d, "supplier").select(k.alias("doc_id"), text.alias("text"))
 
 
@@ -247,7 +247,7 @@ add("company_match_name", lambda s, d: K.by_code(_mentions(s, d), _companies(s,
 add("company_match_domain", lambda s, d: K.by_domain(_mentions(s, d), _companies(s, d)), f"SELECT s_suppkey AS doc_id, 'Z' || {_TENS} || ' Comercio LTDA' AS razao_social, 'Z' || {_TENS} AS codigo, (7 + least(3, length('Z' || {_TENS})))::INTEGER AS score FROM supplier")
 add("company_match", lambda s, d: K.matched(_mentions(s, d), _companies(s, d)), f"SELECT s_suppkey AS doc_id, 'Z' || {_TENS} || ' Comercio LTDA' AS razao_social, 'Z' || {_TENS} AS codigo, 'cnpj' AS method FROM supplier")
 add("company_in_email", lambda s, d: K.in_email(_mentions(s, d), _companies(s, d)).select("doc_id", "codigo"), f"SELECT s_suppkey AS doc_id, 'Z' || {_TENS} AS codigo FROM supplier WHERE {_TENS} >= 10")
-add("company_semi", lambda s, d: K.ours(S.load(s, d, "supplier").withColumn("cnpj", T.cnpj_format(_14)), _companies(s, d)).select("s_suppkey"), "SELECT s_suppkey FROM supplier WHERE s_suppkey % 10 = 0")
+add("company_semi", lambda s, d: K.ours(S.load(s, d, "supplier").withColumn("cnpj", T.cnpj_format(_14())), _companies(s, d)).select("s_suppkey"), "SELECT s_suppkey FROM supplier WHERE s_suppkey % 10 = 0")
 add("company_anti_first", lambda s, d: K.first_foreign_cnpj(_mentions(s, d), _companies(s, d)), f"SELECT s_suppkey AS doc_id, {_D14} AS cnpj_digits FROM supplier WHERE s_suppkey % 10 <> 0")
 add("supplier_inferred", lambda s, d: K.inferred_supplier(_mentions(s, d), _companies(s, d)), "SELECT s_suppkey AS doc_id, 'Alfa LTDA' AS fornecedor FROM supplier WHERE s_suppkey % 10 <> 0")
 add("bank_lookup", lambda s, d: K.bank_names(S.load(s, d, "orders").select("o_orderkey", F.lpad((F.col("o_orderkey") % 400).cast("string"), 3, "0").alias("codigo_banco")), s.createDataFrame(list(X.BANKS.items()), "codigo string, nome string")).select("o_orderkey", "banco"),
@@ -345,10 +345,10 @@ add("classify_other", _why("OUTRO"), f"SELECT {_OK}, {_GOOD} AS sucesso, concat_
 add("success_rates", lambda s, d: C.success_rates(_judged(s, d)), f"SELECT doc_type, count(*) AS total, count(*) FILTER (ok) AS sucessos, total - sucessos AS falhas, sucessos * 100 / total AS taxa FROM (SELECT doc_type, {_GOOD} AND (doc_type <> 'BOLETO' OR vencimento IS NOT NULL OR batch_id % 2 = 0) AS ok FROM docs) GROUP BY doc_type", "docs")
 add("failure_type", lambda s, d: S.documents(s, d).withColumn("texto", F.when(F.col("ordinal") == 2, "contrato de Locação").otherwise("")).select("batch_id", "ordinal", C.failure_type().alias("falha")),
     f"SELECT {_OK}, CASE WHEN doc_type IN ('BOLETO', 'OUTRO') THEN 'BOLETO/RECIBO (Ignorar se não for NF).' WHEN ordinal = 2 THEN 'LOCAÇÃO (Layout atípico).' WHEN valor = 0 THEN 'Regex de VALOR falhou.' WHEN numero_nota IS NULL THEN 'Regex de NÚMERO DA NOTA falhou.' ELSE 'Falha genérica de extração.' END AS falha FROM docs", "docs")
-_DUES = F.when(F.col("o_orderkey") % 4 == 0, "2024-02-30").when(F.col("o_orderkey") % 4 == 1, F.lit("2024-02-29")).when(F.col("o_orderkey") % 4 == 2, F.date_format("o_orderdate", "yyyy-MM-dd"))
-add("validate_due_date", lambda s, d: S.load(s, d, "orders").select("o_orderkey", _DUES.alias("vencimento")).select("o_orderkey", F.array_join(C.due_date_problems(), ",").alias("problemas")), "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'INVALIDO' WHEN 1 THEN '' WHEN 2 THEN CASE WHEN year(o_orderdate) BETWEEN 2020 AND 2035 THEN '' ELSE 'ANO_FORA' END ELSE 'AUSENTE' END AS problemas FROM orders")
-_NAMES = F.when(F.col("s_suppkey") % 5 == 0, "CNPJ:").when(F.col("s_suppkey") % 5 == 1, "X").when(F.col("s_suppkey") % 5 == 2, "123-45").when(F.col("s_suppkey") % 5 == 3, F.col("s_name"))
-add("validate_supplier", lambda s, d: S.load(s, d, "supplier").select("s_suppkey", _NAMES.alias("fornecedor_nome")).select("s_suppkey", F.array_join(C.supplier_problems(), ",").alias("problemas"), C.severity(F.size(C.supplier_problems())).alias("severidade")), "SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'GENERICO' WHEN 1 THEN 'CURTO' WHEN 2 THEN 'SO_NUMEROS' WHEN 3 THEN '' ELSE 'AUSENTE' END AS problemas, CASE WHEN s_suppkey % 5 = 3 THEN 'BAIXA' ELSE 'MEDIA' END AS severidade FROM supplier")
+_DUES = lambda: F.when(F.col("o_orderkey") % 4 == 0, "2024-02-30").when(F.col("o_orderkey") % 4 == 1, F.lit("2024-02-29")).when(F.col("o_orderkey") % 4 == 2, F.date_format("o_orderdate", "yyyy-MM-dd"))
+add("validate_due_date", lambda s, d: S.load(s, d, "orders").select("o_orderkey", _DUES().alias("vencimento")).select("o_orderkey", F.array_join(C.due_date_problems(), ",").alias("problemas")), "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'INVALIDO' WHEN 1 THEN '' WHEN 2 THEN CASE WHEN year(o_orderdate) BETWEEN 2020 AND 2035 THEN '' ELSE 'ANO_FORA' END ELSE 'AUSENTE' END AS problemas FROM orders")
+_NAMES = lambda: F.when(F.col("s_suppkey") % 5 == 0, "CNPJ:").when(F.col("s_suppkey") % 5 == 1, "X").when(F.col("s_suppkey") % 5 == 2, "123-45").when(F.col("s_suppkey") % 5 == 3, F.col("s_name"))
+add("validate_supplier", lambda s, d: S.load(s, d, "supplier").select("s_suppkey", _NAMES().alias("fornecedor_nome")).select("s_suppkey", F.array_join(C.supplier_problems(), ",").alias("problemas"), C.severity(F.size(C.supplier_problems())).alias("severidade")), "SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'GENERICO' WHEN 1 THEN 'CURTO' WHEN 2 THEN 'SO_NUMEROS' WHEN 3 THEN '' ELSE 'AUSENTE' END AS problemas, CASE WHEN s_suppkey % 5 = 3 THEN 'BAIXA' ELSE 'MEDIA' END AS severidade FROM supplier")
 add("severity", lambda s, d: S.load(s, d, "orders").groupBy(C.severity(F.col("o_orderkey") % 5).alias("severidade")).agg(F.count("*").alias("n")), "SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'BAIXA' WHEN o_orderkey % 5 <= 2 THEN 'MEDIA' ELSE 'ALTA' END AS severidade, count(*) AS n FROM orders GROUP BY 1")
 add("withholdings", lambda s, d: S.load(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_tax").alias("a"), F.when(F.col("l_linenumber") > 2, F.col("l_discount")).alias("b")).groupBy("l_orderkey").agg(F.sum(C.withholdings("a", "b").cast("decimal(18,2)")).cast("double").alias("retencoes")), "SELECT l_orderkey, sum(l_tax::DECIMAL(18,2) + CASE WHEN l_linenumber > 2 THEN l_discount::DECIMAL(18,2) ELSE 0 END)::DOUBLE AS retencoes FROM lineitem GROUP BY l_orderkey")
 add("problem_cases", lambda s, d: C.problem_cases(B.batch_summary(S.documents(s, d)).join(B.purchase_value(S.documents(s, d)), "batch_id")).select("batch_id", "outros", "nfses"), f"WITH {BUY}, c AS (SELECT batch_id, count(*) FILTER (doc_type = 'OUTRO') AS outros, count(*) FILTER (doc_type = 'NFSE') AS nfses FROM docs GROUP BY batch_id) SELECT batch_id, outros, nfses FROM c JOIN buy USING (batch_id) WHERE (outros > 0 OR nfses > 0) AND valor_compra = 0", "docs")
@@ -410,13 +410,13 @@ add("pdf_passwords", lambda s, d: _passwords(s, d), "WITH c AS (SELECT lpad(s_su
 def _passwords(s: SparkSession, d: str) -> DataFrame:
     from tributary.sources.readers import passwords
 
-    return passwords(S.load(s, d, "supplier").select(T.cnpj_format(_14).alias("cnpj")))
+    return passwords(S.load(s, d, "supplier").select(T.cnpj_format(_14()).alias("cnpj")))
 
 
 # ---- single values
 
-_WORDING = F.when(F.col("o_orderkey") % 3 == 0, "Nota Fiscal do prestador").when(F.col("o_orderkey") % 3 == 1, "Contrato e comunicado: nota fiscal").otherwise("xyz")
-add("text_class", lambda s, d: S.load(s, d, "orders").withColumn("text", _WORDING).select("o_orderkey", C.text_class().alias("c")).select("o_orderkey", "c.classe", F.round("c.confianca", 6).alias("confianca")),
+_WORDING = lambda: F.when(F.col("o_orderkey") % 3 == 0, "Nota Fiscal do prestador").when(F.col("o_orderkey") % 3 == 1, "Contrato e comunicado: nota fiscal").otherwise("xyz")
+add("text_class", lambda s, d: S.load(s, d, "orders").withColumn("text", _WORDING()).select("o_orderkey", C.text_class().alias("c")).select("o_orderkey", "c.classe", F.round("c.confianca", 6).alias("confianca")),
     "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'NFSE' WHEN 1 THEN 'ADMIN' ELSE 'DESCONHECIDO' END AS classe, CASE o_orderkey % 3 WHEN 0 THEN 1.0 WHEN 1 THEN round(2 / 3.0::DOUBLE, 6) ELSE 0.0 END::DOUBLE AS confianca FROM orders")
 add("supplier_repair", lambda s, d: _mentions(s, d).select("doc_id", K.supplier_repair().alias("r")).select("doc_id", "r.sugestao", "r.confianca"), "SELECT s_suppkey AS doc_id, 'PRESTADOR Alfa LTDA' AS sugestao, 0.6::DOUBLE AS confianca FROM supplier")
 add("sender_parts", lambda s, d: S.emails(s, d).withColumn("sender", F.concat(F.lit('"Nome '), F.col("email_id").cast("string"), F.lit('" <'), "sender_address", F.lit(">"))).select("email_id", E.sender_parts().alias("p")).select("email_id", "p.name", "p.address"), "SELECT email_id, 'Nome ' || email_id AS name, sender_address AS address FROM emails", "emails")
