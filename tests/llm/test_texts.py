@@ -268,3 +268,13 @@ def test_licenses_add_labels(spark):
     rows = [(i, text(rng, 40)) for i in range(50)] + [(90, "x Licensed under CC BY-NC 4.0. y"), (91, "All rights reserved."), (92, "all the rights were reserved")]
     got = {r.doc_id: (r.labels, r.score) for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[90][0] == "cc-by-nc" and got[91][0] == "proprietary" and got[92][0] == "" and got[5] == ("", 0.0)
+
+
+def test_licenses_of_one_text_are_all_found(spark):
+    rng = np.random.default_rng(10)
+    notices = [n for _, n, _ in licenses.TEMPLATES]
+    pairs = [(i, j) for i in range(len(notices)) for j in range(len(notices)) if i != j]
+    rows = [(1000 + i, text(rng, 40)) for i in range(50)] + [(0, " . ".join(notices))] + [(1 + k, f"{notices[i]} quick {notices[j]}") for k, (i, j) in enumerate(pairs)]
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == {x for x, _, _ in licenses.TEMPLATES}
+    assert all({licenses.TEMPLATES[i][0], licenses.TEMPLATES[j][0]} <= got[1 + k] for k, (i, j) in enumerate(pairs))

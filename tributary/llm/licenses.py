@@ -67,13 +67,14 @@ def base_places(hits) -> F.Column:
     return F.filter(F.transform(hits, lambda x: F.struct(x["at"].alias("at"), label(x).alias("label"))), lambda y: y["label"].isNotNull())
 
 
-def scanned(documents: DataFrame, rare: int = 4, coverage: float = 0.6) -> DataFrame:
+def scanned(documents: DataFrame, coverage: float = 0.6) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) for each row of documents.
 
-    The frequency of the templates' words is taken over all documents. Of the template words that a document has, the `rare` with
-    the highest IDF are looked up; each posting gives a place where the template would begin, and at each such place all its
-    postings are intersected with the document by relative position. The template's label is given if the mandatory phrase is
-    there and the words in their places have `coverage` of the template's IDF. score is the highest coverage, 1 for a base phrase.
+    The frequency of the templates' words is taken over all documents. Of each template's mandatory phrase, the word with the highest
+    IDF is looked up in every document; wherever it stands gives a place where the template would begin, and at each such place all
+    its postings are intersected with the document by relative position. The template's label is given if the mandatory phrase is
+    there and the words in their places have `coverage` of the template's IDF. Since a phrase has to be there whole, no place is
+    missed for beginning at one of its words. score is the highest coverage, 1 for a base phrase.
     """
     rows = written(found(documents).withColumn("row", F.monotonically_increasing_id()), "hits")
     spark = rows.sparkSession
@@ -84,16 +85,12 @@ def scanned(documents: DataFrame, rare: int = 4, coverage: float = 0.6) -> DataF
     for w, t, _, _ in postings():
         total[t] = total.get(t, 0.0) + idf[w]
     musts = {t: sum(p[3] for p in postings() if p[1] == t) for t in total}
-    row = lambda w, t, at, must: F.struct(F.lit(w).alias("word"), F.lit(t).alias("template"), F.lit(at).alias("pos"), F.lit(must).alias("must"), F.lit(idf[w]).alias("idf"), F.lit(total[t]).alias("total"), F.lit(musts[t]).alias("musts"), F.lit(TEMPLATES[t][0]).alias("label"))
+    rarest = {t: min((-idf[w], at) for w, n, at, must in postings() if n == t and must)[1] for t in total}
+    row = lambda w, t, at, must: F.struct(F.lit(w).alias("word"), F.lit(t).alias("template"), F.lit(at).alias("pos"), F.lit(must).alias("must"), F.lit(at == rarest[t]).alias("is_rarest"), F.lit(idf[w]).alias("idf"), F.lit(total[t]).alias("total"), F.lit(musts[t]).alias("musts"), F.lit(TEMPLATES[t][0]).alias("label"))
     table = F.broadcast(spark.range(1).select(F.inline(F.array(*[row(*p) for p in postings()]))))  # as many rows as the templates have words
-    order = sorted(idf, key=lambda w: (-idf[w], w))
-    place = F.create_map(*[x for i, w in enumerate(order) for x in (F.lit(w), F.lit(i))])
-    best = F.slice(F.array_sort(F.array_distinct(F.transform("hits", lambda x: F.element_at(place, x["word"])))), 1, rare)
-    anchor = F.array(*map(F.lit, order))
-    some = rows.filter(F.size("hits") > 0).select("row", "hits", F.transform(best, lambda i: F.get(anchor, i)).alias("best"))
-    each = some.select("row", "best", F.explode("hits").alias("hit")).select("row", F.col("hit.at").alias("at"), F.col("hit.word").alias("word"), F.array_contains("best", F.col("hit.word")).alias("is_rare"))
+    each = rows.select("row", F.explode("hits").alias("hit")).select("row", F.col("hit.at").alias("at"), F.col("hit.word").alias("word"))
     posted = each.join(table, "word").withColumn("start", F.col("at") - F.col("pos"))
-    begins = posted.filter("is_rare and must").select("row", "template", "start").distinct()
+    begins = posted.filter("is_rarest").select("row", "template", "start").distinct()
     there = posted.select("row", "template", "start", "pos", "must", "idf", "total", "musts", "label").join(begins, ["row", "template", "start"])
     met = there.groupBy("row", "template", "start").agg(F.count_if("must").alias("got"), F.first("musts").alias("musts"), (F.sum("idf") / F.first("total")).alias("share"), F.first("label").alias("label"))
     more = met.filter((F.col("got") >= F.col("musts")) & (F.col("share") >= coverage)).groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
