@@ -116,6 +116,28 @@ def test_near_duplicates(spark, docs, rows, empty):
     assert {r.doc_id for r in simhash.near_duplicates(docs, most=2).collect()} == {d for d, _ in gone}
 
 
+def own_keepers(texts, k=5, similarity=0.8):
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)})
+    return groups(len(texts), lambda i, j: len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]))
+
+
+def test_near_duplicates_with_repeated_passages(spark):
+    rng = np.random.default_rng(11)
+    say = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 3000, n))
+    texts = []
+    for n in (1, 10, 30, 60):
+        for _ in range(15):
+            body, passage = say(300), say(30)
+            texts += [f"{body} {passage}", f"{body}{(' ' + passage) * n}", say(200)]
+    of = own_keepers(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for most in (512, 2):
+        assert {(r.doc_id, r.keeper) for r in simhash.near_duplicates(df, most=most).collect()} == {(i, g) for i, g in enumerate(of) if i != g}
+
+
 RANKS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path(bpe.VOCABULARY), "rb"))}
 TIKTOKEN = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 

@@ -232,21 +232,22 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def signatures(documents: DataFrame, k: int) -> DataFrame:
-    """(doc_id, same, fp, bands): same is a digest of all words in their order, equal for exact copies only."""
+    """(doc_id, same, fp, size, bands): same is a digest of all words in their order, equal for exact copies only; fp and size are of the distinct shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evict()
         for b in batches:
-            same, fp, bands = [], [], []
+            same, fp, size, bands = [], [], [], []
             for t in b.column(1):
                 w = words(t.as_py())
-                h = shingle_hashes(w, k)
+                h = np.unique(shingle_hashes(w, k))
                 same.append(xxh3_128_digest(b" ".join(w)))
                 fp.append(fingerprint(h))
+                size.append(len(h))
                 bands.append(band_keys(h) if len(h) else [])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same, pa.binary()), pa.array(fp, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "same", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same, pa.binary()), pa.array(fp, pa.int64()), pa.array(size, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "same", "fp", "size", "bands"])
 
-    return documents.select(_id("doc_id"), "text").mapInArrow(run, "doc_id long, same binary, fp long, bands array<long>")
+    return documents.select(_id("doc_id"), "text").mapInArrow(run, "doc_id long, same binary, fp long, size long, bands array<long>")
 
 
 def _id(c: str) -> F.Column:
@@ -292,54 +293,68 @@ def _sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return (np.arange(len(i)),) * 2 if i[0] == j[0] else (np.flatnonzero(part == i[0]), np.flatnonzero(part == j[0]))
 
 
-def _near(radius: int):
-    """mapInArrow function: the rows that have another one within the radius in their shard."""
+def _near(similarity: float):
+    """mapInArrow function: the rows that have another one in their shard whose size lets the two be similar enough."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evict()
         for t in _shards(batches):
             if t.num_rows < 2:
                 continue
-            fp, (tree, ask) = t.column("fp").to_numpy(), _sides(t)
-            hit = np.zeros(len(fp), bool)
-            if len(tree) and len(ask):
-                for q, x in BKTree(fp[tree]).search(fp[ask], radius):
-                    differ = ask[q] != tree[x]
-                    hit[ask[q[differ]]] = hit[tree[x[differ]]] = True
+            size, sides = t.column("size").to_numpy(), _sides(t)
+            hit = np.zeros(len(size), bool)
+            for mine, others in (sides, sides[::-1]):
+                n, other = size[mine], np.sort(size[others])
+                low, high = np.searchsorted(other, n * (similarity - 1e-6)), np.searchsorted(other, n / (similarity - 1e-6), "right")
+                hit[mine] |= high - low > (1 if mine is others else 0)  # a row of the same part finds itself
             if hit.any():
                 yield from t.filter(pa.array(hit)).to_batches()
 
     return near
 
 
-def _verified(radius: int, similarity: float):
-    """mapInArrow function: edges (a, b) to the first row of each component of pairs that are similar enough."""
+def shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each of the others has in common with one; all are distinct and in order, and none is empty."""
+    flat = np.concatenate(others)
+    hit = one[np.minimum(np.searchsorted(one, flat), len(one) - 1)] == flat
+    return np.add.reduceat(hit, np.cumsum([0, *map(len, others[:-1])]), dtype=np.int64)
+
+
+def _verified(radius: int, similarity: float, piece: int = 1_000_000):
+    """mapInArrow function: edges (a, b) to the first row of each component of pairs that are similar enough.
+
+    Pairs within the radius come first, since most of what is linked is among them. Then every other pair is verified whose
+    sizes admit the similarity and whose rows aren't in one component yet.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evict()
         for t in _shards(batches):
             fp, ids, (tree, ask) = t.column("fp").to_numpy(), t.column("doc_id").to_numpy(), _sides(t)
             sets = [np.frombuffer(x, np.uint32) for x in t.column("shingles").to_pylist()]
-            up = list(range(len(ids)))
-
-            def top(x: int, up=up) -> int:
-                while up[x] != x:
-                    up[x] = x = up[up[x]]
-                return x
-
-            pairs = BKTree(fp[tree]).search(fp[ask], radius) if len(tree) and len(ask) else []
-            for q, x in pairs:
-                for a, b in zip(ask[q].tolist(), tree[x].tolist(), strict=True):
-                    m, n = len(sets[a]), len(sets[b])
-                    if a == b or min(m, n) < similarity * max(m, n) or (ra := top(a)) == (rb := top(b)):
-                        continue
-                    both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                    if both >= similarity * (m + n - both):
-                        up[max(ra, rb)] = min(ra, rb)
-            root = [top(x) for x in range(len(ids))]
-            linked = [(ids[x], ids[r]) for x, r in enumerate(root) if x != r]
-            if linked:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in linked], pa.int64()), pa.array([x for _, x in linked], pa.int64())], ["a", "b"])
+            size = np.fromiter(map(len, sets), np.int64, len(sets))
+            root = np.arange(len(ids))
+
+            def join(a: int, others: np.ndarray, root=root, sets=sets, size=size) -> None:
+                both = shared(sets[a], [sets[x] for x in others])
+                for x in others[both >= similarity * (size[a] + size[others] - both)]:
+                    if (r := root[a]) != (q := root[x]):
+                        root[root == max(r, q)] = min(r, q)
+
+            def fit(a: int, others: np.ndarray, root=root, size=size) -> np.ndarray:
+                return others[(root[others] != root[a]) & (np.minimum(size[others], size[a]) >= similarity * np.maximum(size[others], size[a]))]
+
+            for q, x in BKTree(fp[tree]).search(fp[ask], radius) if len(tree) and len(ask) else []:
+                for a, b in zip(ask[q].tolist(), tree[x], strict=True):
+                    if a != b and len(b := fit(a, np.array([b]))):
+                        join(a, b)
+            for a in ask.tolist() if (root != root[0]).any() else []:
+                far = fit(a, tree[tree > a] if tree is ask else tree)
+                for cut in np.split(far, np.flatnonzero(np.diff(np.cumsum(size[far]) // piece)) + 1) if len(far) else []:
+                    join(a, cut)
+            linked = np.flatnonzero(root != np.arange(len(ids)))
+            if len(linked):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[linked], pa.int64()), pa.array(ids[root[linked]], pa.int64())], ["a", "b"])
 
     return run
 
@@ -350,14 +365,15 @@ def near_duplicates(documents: DataFrame, k: int = 5, similarity: float = 0.8, r
     Documents are linked if their words are the same, or if the Jaccard similarity of their distinct shingles of k words is at
     least `similarity`; a group is what links connect. At 0.8, fingerprints differ in ten bits or so, too many for blocks of equal
     bits, so a shard holds the documents that agree in a band of minima, which a pair at 0.8 misses once in some thousand times.
-    Each shard's BK-tree gives the pairs within the radius, and these are verified on the shingles themselves.
+    Every pair of a shard whose sizes admit the similarity is verified on the shingles themselves, unless its rows are linked
+    already; a BK-tree over the fingerprints of distinct shingles gives the pairs within the radius first.
     """
     docs = documents.select("doc_id", "text")
     sig = written(signatures(docs, k), "signatures")
-    first = written(sig.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "first")
-    shards = first.select(F.explode("bands").alias("band"), "doc_id", "fp")
-    rows = in_parts(shards, ["band"], "doc_id", most).select("band", "i", "j", "part", "doc_id", "fp")
-    near = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_near(radius), "band long, i long, j long, part long, doc_id long, fp long")
+    first = written(sig.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("bands").alias("bands")), "first")
+    shards = first.select(F.explode("bands").alias("band"), "doc_id", "fp", "size")
+    rows = in_parts(shards, ["band"], "doc_id", most).select("band", "i", "j", "part", "doc_id", "fp", "size")
+    near = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_near(similarity), "band long, i long, j long, part long, doc_id long, fp long, size long")
     near = written(near, "near")
     held = docs.join(near.select("doc_id").distinct().withColumnRenamed("doc_id", "near_id"), _id("doc_id") == F.col("near_id"), "left_semi")
     whole = near.join(shingle_sets(held, k).dropDuplicates(["doc_id"]), "doc_id").select("band", "i", "j", "part", "doc_id", "fp", "shingles")
