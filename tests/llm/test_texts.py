@@ -138,6 +138,15 @@ def test_near_duplicates_with_repeated_passages(spark):
         assert {(r.doc_id, r.keeper) for r in simhash.near_duplicates(df, most=most).collect()} == {(i, g) for i, g in enumerate(of) if i != g}
 
 
+def test_near_duplicates_keep_different_texts_of_one_id(spark):
+    rng = np.random.default_rng(12)
+    a, b, c, d, e = (" ".join(f"w{x}" for x in rng.integers(0, 3000, 200)) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d + " tail"), (8, a + " tail"), (9, b + " tail"), (10, e), (11, c + " tail")]
+    kept = [(r.doc_id, r.text) for r in simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(kept) == 5 and {(None, a), (None, b), (7, c), (10, e)} <= set(kept)
+    assert {t for i, t in kept if i == 7} - {c} < {d, d + " tail"}
+
+
 RANKS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path(bpe.VOCABULARY), "rb"))}
 TIKTOKEN = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 

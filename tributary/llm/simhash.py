@@ -232,22 +232,22 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def signatures(documents: DataFrame, k: int) -> DataFrame:
-    """(doc_id, same, fp, size, bands): same is a digest of all words in their order, equal for exact copies only; fp and size are of the distinct shingles."""
+    """(doc_id, key, same, fp, size, bands): same is a digest of all words in their order, equal for exact copies only; fp and size are of the distinct shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evict()
         for b in batches:
             same, fp, size, bands = [], [], [], []
-            for t in b.column(1):
+            for t in b.column(2):
                 w = words(t.as_py())
                 h = np.unique(shingle_hashes(w, k))
                 same.append(xxh3_128_digest(b" ".join(w)))
                 fp.append(fingerprint(h))
                 size.append(len(h))
                 bands.append(band_keys(h) if len(h) else [])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same, pa.binary()), pa.array(fp, pa.int64()), pa.array(size, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "same", "fp", "size", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(same, pa.binary()), pa.array(fp, pa.int64()), pa.array(size, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "key", "same", "fp", "size", "bands"])
 
-    return documents.select(_id("doc_id"), "text").mapInArrow(run, "doc_id long, same binary, fp long, size long, bands array<long>")
+    return documents.select(_id("doc_id"), _key("text"), "text").mapInArrow(run, "doc_id long, key binary, same binary, fp long, size long, bands array<long>")
 
 
 def _id(c: str) -> F.Column:
@@ -255,16 +255,21 @@ def _id(c: str) -> F.Column:
     return F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63))).alias("doc_id")
 
 
+def _key(c: str) -> F.Column:
+    """With doc_id it names a row: rows that have both in common have the same text. Null is like an empty text."""
+    return F.unhex(F.md5(F.coalesce(F.col(c), F.lit("")).cast("binary"))).alias("key")
+
+
 def shingle_sets(documents: DataFrame, k: int) -> DataFrame:
-    """(doc_id, shingles): the distinct hashes in order, 32 bits of each."""
+    """(id, shingles) of rows (id, text): the distinct hashes in order, 32 bits of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evict()
         for b in batches:
             out = [np.unique(shingle_hashes(words(t.as_py()), k).astype(np.uint32)).tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["id", "shingles"])
 
-    return documents.select(_id("doc_id"), "text").mapInArrow(run, "doc_id long, shingles binary")
+    return documents.select("id", "text").mapInArrow(run, "id long, shingles binary")
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -330,7 +335,7 @@ def _verified(radius: int, similarity: float, piece: int = 1_000_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evict()
         for t in _shards(batches):
-            fp, ids, (tree, ask) = t.column("fp").to_numpy(), t.column("doc_id").to_numpy(), _sides(t)
+            fp, ids, (tree, ask) = t.column("fp").to_numpy(), t.column("id").to_numpy(), _sides(t)
             sets = [np.frombuffer(x, np.uint32) for x in t.column("shingles").to_pylist()]
             size = np.fromiter(map(len, sets), np.int64, len(sets))
             root = np.arange(len(ids))
@@ -360,7 +365,10 @@ def _verified(radius: int, similarity: float, piece: int = 1_000_000):
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, similarity: float = 0.8, radius: int = 24, most: int = 512) -> DataFrame:
-    """(doc_id, keeper) of every document that has a smaller doc_id in its group; keeper is the smallest.
+    """(doc_id, key, keeper) of every document but the first by doc_id and key of its group; keeper is the first one's doc_id.
+
+    key is a digest of the text. Groups are of texts, each of which has an id of its own, so a doc_id that is null or that different
+    texts share links nothing.
 
     Documents are linked if their words are the same, or if the Jaccard similarity of their distinct shingles of k words is at
     least `similarity`; a group is what links connect. At 0.8, fingerprints differ in ten bits or so, too many for blocks of equal
@@ -368,27 +376,29 @@ def near_duplicates(documents: DataFrame, k: int = 5, similarity: float = 0.8, r
     Every pair of a shard whose sizes admit the similarity is verified on the shingles themselves, unless its rows are linked
     already; a BK-tree over the fingerprints of distinct shingles gives the pairs within the radius first.
     """
-    docs = documents.select("doc_id", "text")
-    sig = written(signatures(docs, k), "signatures")
-    first = written(sig.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("bands").alias("bands")), "first")
-    shards = first.select(F.explode("bands").alias("band"), "doc_id", "fp", "size")
-    rows = in_parts(shards, ["band"], "doc_id", most).select("band", "i", "j", "part", "doc_id", "fp", "size")
-    near = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_near(similarity), "band long, i long, j long, part long, doc_id long, fp long, size long")
+    docs = documents.select(_id("doc_id"), _key("text"), "text")
+    sig = written(signatures(documents, k), "signatures")
+    first = sig.groupBy("same").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    first = written(first.withColumn("id", F.monotonically_increasing_id()), "first")
+    shards = first.select(F.explode("bands").alias("band"), "id", "fp", "size")
+    rows = in_parts(shards, ["band"], "id", most).select("band", "i", "j", "part", "id", "fp", "size")
+    near = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_near(similarity), "band long, i long, j long, part long, id long, fp long, size long")
     near = written(near, "near")
-    held = docs.join(near.select("doc_id").distinct().withColumnRenamed("doc_id", "near_id"), _id("doc_id") == F.col("near_id"), "left_semi")
-    whole = near.join(shingle_sets(held, k).dropDuplicates(["doc_id"]), "doc_id").select("band", "i", "j", "part", "doc_id", "fp", "shingles")
+    held = docs.join(first.join(near.select("id").distinct(), "id", "left_semi").select("id", "least.doc_id", "least.key"), ["doc_id", "key"])
+    whole = near.join(shingle_sets(held, k).dropDuplicates(["id"]), "id").select("band", "i", "j", "part", "id", "fp", "shingles")
     edges = whole.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_verified(radius, similarity), "a long, b long")
     root = written(connected_components(edges), "roots")
-    group = first.select("same", F.col("doc_id").alias("first")).join(root, F.col("first") == F.col("node"), "left").select("same", F.coalesce("root", "first").alias("keeper"))
-    return sig.select("doc_id", "same").join(group, "same").filter("doc_id <> keeper").select("doc_id", "keeper").distinct()
+    group = written(first.join(root, F.col("id") == F.col("node"), "left").select("same", "least", F.coalesce("root", "id").alias("root")), "groups")
+    group = group.select("same", "root").join(group.groupBy("root").agg(F.min("least").alias("least")), "root").select("same", "least")
+    return sig.select("doc_id", "key", "same").join(group, "same").filter(F.struct("doc_id", "key") != F.col("least")).select("doc_id", "key", F.col("least.doc_id").alias("keeper")).distinct()
 
 
 def deduplicated(documents: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of documents, with all their columns, but one of each group only; of rows that repeat a doc_id, one."""
-    gone = written(near_duplicates(documents, k, similarity).select(F.col("doc_id").alias("gone")), "gone")
-    rows = documents.select(F.struct("*").alias("whole"), _id("doc_id")).join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
-    if documents.select(_id("doc_id")).groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        rows = rows.dropDuplicates(["doc_id"])
+    """The rows of documents, with all their columns, but one of each group only; of rows that repeat a doc_id and its text, one."""
+    gone = written(near_duplicates(documents, k, similarity).select("doc_id", "key"), "gone")
+    rows = documents.select(F.struct("*").alias("whole"), _id("doc_id"), _key("text")).join(gone, ["doc_id", "key"], "left_anti")
+    if documents.select(_id("doc_id"), _key("text")).groupBy("doc_id", "key").count().filter("count > 1").limit(1).count():
+        rows = rows.dropDuplicates(["doc_id", "key"])
     return rows.select("whole.*")
 
 
