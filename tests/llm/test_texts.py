@@ -239,6 +239,21 @@ def test_kneser_ney_is_a_distribution(spark):
     assert {r.gram: r.n for r in quality.counted(df, table).collect()} == grams
 
 
+def test_quality_tells_junk_of_rare_characters(spark):
+    rng = np.random.default_rng(13)
+    many = [chr(0x4E00 + i) for i in range(120)]
+    han = lambda n: "".join(many[x] + many[(x + 1) % 120] for x in rng.integers(0, 120, n))
+    good = [(i, text(rng, 80) + ". ", "en") for i in range(300)] + [(500 + i, han(60), "zh") for i in range(100)]
+    junk = ["1234567890 " * 40, "\u6f22" * 400, "\U0001f600" * 400, "\u00a7\u00b6" * 200, "\u10d0\u10d1\u10d2 " * 100]
+    noise = ["".join(rng.choice(many, 120)) for _ in range(5)]
+    rows = good + [(1000 + i, t, "en") for i, t in enumerate(junk)] + [(2000 + i, t, "zh") for i, t in enumerate(noise)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], 1) for r in good], "doc_id long, quality int")
+    got = {r.doc_id: r.keep for r in quality.judged(df, labels).collect()}
+    assert sum(got[r[0]] for r in good) >= 390
+    assert not any(got[1000 + i] for i in range(len(junk))) and not any(got[2000 + i] for i in range(len(noise)))
+
+
 def test_mixing(spark, docs, rows, empty):
     got = mixing.mixed(docs).collect()
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))

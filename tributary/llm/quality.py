@@ -22,13 +22,21 @@ from pyspark.sql import functions as F
 from tributary.llm.common import evict, resident, written
 
 ORDER = 4
-#: The 63 most frequent characters of the trusted sample have a class of their own; 0 is any other.
+#: The 63 most frequent characters of the trusted text have a class of their own; any other is 0 and the SPELLED digits of its code point.
 CLASSES = 64
+SPELLED = 4
 
 
 def codes(text: str, table: np.ndarray) -> np.ndarray:
     point = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    return np.where(point < 0x10000, table[np.minimum(point, 0xFFFF)], 0).astype(np.int64)
+    c = np.where(point < 0x10000, table[np.minimum(point, 0xFFFF)], 0).astype(np.int64)
+    rare = np.flatnonzero(c == 0)
+    if len(rare):
+        c = np.repeat(c, np.where(c == 0, 1 + SPELLED, 1))
+        at = rare + SPELLED * np.arange(len(rare))
+        for i in range(SPELLED):
+            c[at + 1 + i] = point[rare].astype(np.int64) // CLASSES ** (SPELLED - 1 - i) % CLASSES
+    return c
 
 
 def grams(c: np.ndarray) -> np.ndarray:
