@@ -239,6 +239,11 @@ def test_kneser_ney_is_a_distribution(spark):
     assert {r.gram: r.n for r in quality.counted(df, table).collect()} == grams
 
 
+def test_quality_trains_on_all_that_is_not_held_out(spark):
+    labels = spark.range(40_000).selectExpr("id AS doc_id", "1 AS quality")
+    assert 29_000 < quality.trusted_ids(labels).filter("train").count() < 31_000
+
+
 def test_quality_tells_junk_of_rare_characters(spark):
     rng = np.random.default_rng(13)
     many = [chr(0x4E00 + i) for i in range(120)]

@@ -48,13 +48,11 @@ def grams(c: np.ndarray) -> np.ndarray:
     return out
 
 
-def trusted_ids(labels: DataFrame, most: int) -> DataFrame:
-    """(doc_id, train): of the trusted documents, those of up to about `most` smallest hashes train; a quarter never does."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, train): three quarters of the trusted documents train, by a hash; the others never do."""
     good = labels.filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().dropna()
-    n = good.count()
-    share = min(1.0, most / max(1, n))
     h = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 40)).cast("double") / float(1 << 40)
-    return good.withColumn("train", h < 0.75 * share)
+    return good.withColumn("train", h < 0.75)
 
 
 def counted(texts: DataFrame, table: np.ndarray) -> DataFrame:
@@ -157,17 +155,17 @@ def classes_of(texts: DataFrame) -> np.ndarray:
 class Judge:
     """The model and the limits; verdict() applies them to any rows with text and lang.
 
-    most: the most trusted documents that train, a documented bound; their ids are broadcast. prior: so many characters of a
+    prior: so many characters of a
     language's mean are added to each text, because few characters say little. A document is kept unless its bits for a character,
     so smoothed, exceed slack times the quantile over its language's trusted rows that didn't train; where a language has none, the
     quantile over all languages holds.
     """
 
-    def __init__(self, documents: DataFrame, labels: DataFrame, most: int = 12_000, quantile: float = 0.995, slack: float = 1.08, prior: float = 60.0, max_langs: int = 10_000):
+    def __init__(self, documents: DataFrame, labels: DataFrame, quantile: float = 0.995, slack: float = 1.08, prior: float = 60.0, max_langs: int = 10_000):
         spark, self.prior = documents.sparkSession, prior
-        ids = written(trusted_ids(labels, most), "trusted")
+        ids = written(trusted_ids(labels), "trusted")
         docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-        train = docs.join(F.broadcast(ids.filter("train").select("doc_id")), "doc_id", "left_semi").select("text")
+        train = docs.join(ids.filter("train").select("doc_id"), "doc_id", "left_semi").select("text")
         train = written(train.filter("length(text) > 0"), "train")
         table = classes_of(train)
         self.bits = bits(spark, model(train, table), table)
