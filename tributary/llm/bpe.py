@@ -1,7 +1,7 @@
 """Byte-level BPE by recursive SQL in DuckDB, over the distinct words of each batch.
 
 Null and empty texts have no tokens. Rows repeat as they come, and an empty table gives an empty result. Only doc_id and text are
-read. Long texts are whole: a batch is cut into pieces at whole documents, and a document's words are distinct rows in DuckDB.
+read. Texts are whole: a batch is cut into pieces of whole documents, and what comes out of a piece is handed on before the next.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,7 +63,7 @@ class Codec:
         self.remember, self.longest, self.known, self.odd = remember, longest, {}, {}
         self.byte = np.array([self.rank[bytes([i])] for i in range(256)], np.int32)
         merges = [(self.rank[t[:i]], self.rank[t[i:]], r) for t, r in self.rank.items() for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "preserve_insertion_order": False})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "preserve_insertion_order": False})
         a, b, rank = (pa.array(x, pa.int32()) for x in zip(*merges, strict=True))
         self._table("merges", {"a": a, "b": b, "rank": rank})
         self._table("vocabulary", {"id": pa.array(self.rank.values(), pa.int32()), "piece": pa.array([t.hex() for t in self.rank])})
@@ -150,17 +151,14 @@ class Codec:
         return b"".join([self.odd.get(w) or w.encode() for w in words]) if self.odd else "".join(words).encode()
 
 
-def pieces(texts: list[str], most: int = 3_000_000) -> Iterator[list[str]]:
-    """Runs of whole texts of about `most` characters together."""
-    run, size = [], 0
-    for t in texts:
-        run.append(t)
-        size += len(t)
-        if size >= most:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def pieces(batch: pa.RecordBatch, column: int, most: int = 500_000) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of whole rows whose texts have about `most` bytes together."""
+    end = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)).cast(pa.int64()), 0)).to_numpy()
+    at = 0
+    while at < len(end):
+        to = int(np.searchsorted(end, (end[at - 1] if at else 0) + most)) + 1
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def encoded(documents: DataFrame, ranks: bytes | None = None, pattern: str = public_tokenizers.PATTERN, with_ids: bool = False, keep: tuple[str, ...] = ("doc_id",), remember: int = 500_000) -> DataFrame:
@@ -176,17 +174,16 @@ def encoded(documents: DataFrame, ranks: bytes | None = None, pattern: str = pub
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = resident(key, lambda: Codec(shared.value, pattern, remember or 100_000))
-        for batch in batches:
+        codec = resident(key, lambda: Codec(shared.value, pattern, remember or 300_000))
+        for batch in chain.from_iterable(pieces(b, len(keep)) for b in batches):
             n, ids_sha, out_sha, ids = [], [], [], []
-            for part in pieces(batch.column(len(keep)).to_pylist()):
-                for ws in codec.learn(part):
-                    text = codec.ids(ws)
-                    n.append(text.count(" ") + 1 if text else 0)
-                    ids_sha.append(hashlib.sha256(text.encode()).hexdigest())
-                    out_sha.append(hashlib.sha256(codec.bytes(ws)).hexdigest())
-                    if with_ids:
-                        ids.append(np.array(text.split(), "<i4").tobytes())
+            for ws in codec.learn(batch.column(len(keep)).to_pylist()):
+                text = codec.ids(ws)
+                n.append(text.count(" ") + 1 if text else 0)
+                ids_sha.append(hashlib.sha256(text.encode()).hexdigest())
+                out_sha.append(hashlib.sha256(codec.bytes(ws)).hexdigest())
+                if with_ids:
+                    ids.append(np.array(text.split(), "<i4").tobytes())
             columns = [*batch.columns[: len(keep)], pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(out_sha, pa.string())]
             names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
