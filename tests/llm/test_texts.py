@@ -227,16 +227,68 @@ def test_quality(spark, docs, empty):
     assert quality.judged(empty, none).count() == 0 and all(r.keep == (r.n_chars > 0) for r in quality.judged(df, none).collect())
 
 
-def test_kneser_ney_is_a_distribution(spark):
-    df = spark.createDataFrame([("abracadabra " * 20,), ("the cat sat on the mat",), ("x",)], "text string")
-    table = quality.classes_of(df)
-    p = 2.0 ** -quality.dense(quality.model(df, table)).astype(float).reshape(-1, quality.CLASSES)
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-3)
-    grams = {}
-    for t in ("abracadabra " * 20, "the cat sat on the mat", "x"):
-        for g in quality.grams(quality.codes(t, table)):
-            grams[int(g)] = grams.get(int(g), 0) + 1
-    assert {r.gram: r.n for r in quality.counted(df, table).collect()} == grams
+class OwnKneserNey:
+    """Brute force, by dictionaries of strings."""
+
+    def __init__(self, texts, order=quality.ORDER):
+        pad, self.order = "\ue000" * (order - 1), order
+        count = {}
+        for t in texts:
+            for i in range(len(t)):
+                g = (pad + t)[i : i + order]
+                count[g] = count.get(g, 0) + 1
+        self.level = {order: count}
+        for k in range(order - 1, 0, -1):
+            low = {}
+            for g in self.level[k + 1]:
+                low[g[1:]] = low.get(g[1:], 0) + 1
+            self.level[k] = low
+        self.cut, self.total, self.gone = {}, {}, {}
+        for k, grams in self.level.items():
+            d = quality.discounts([sum(n == i for n in grams.values()) for i in (1, 2, 3, 4)])
+            self.cut[k] = d
+            for g, n in grams.items():
+                key = (k, g[:-1])
+                self.total[key] = self.total.get(key, 0) + n
+                self.gone[key] = self.gone.get(key, 0) + d[min(n, 3) - 1]
+
+    def p(self, g):
+        if not g:
+            return 1 / quality.START
+        key, lower = (len(g), g[:-1]), self.p(g[1:])
+        if key not in self.total:
+            return lower
+        n = self.level[len(g)].get(g, 0)
+        return ((n - self.cut[len(g)][min(n, 3) - 1] if n else 0) + self.gone[key] * lower) / self.total[key]
+
+    def bits(self, t):
+        pad = "\ue000" * (self.order - 1)
+        return sum(-np.log2(self.p((pad + t)[i : i + self.order])) for i in range(len(t)))
+
+
+def test_perplexity_is_that_of_kneser_ney(spark):
+    rng = np.random.default_rng(11)
+    train = ["abracadabra " * 20, "the cat sat on the mat", "x", "\u6f22\u5b57 \U0001f600", *(text(rng, 30) for _ in range(40))]
+    ask = [*train[:4], None, "", "q", "zzz \u00e9\U0001f601", text(rng, 400), "abracadabra", text(rng, 10)[::-1], "the cat sat on the mat"]
+    own = OwnKneserNey(train)
+    table, floor = quality.model(spark.createDataFrame([(t,) for t in train], "text string"))
+    rows = spark.createDataFrame(list(enumerate(ask)), "i int, text string").repartition(3)
+    for most, segment in ((1_000_000, 1_000_000), (100, 7)):
+        cut = quality.segments.__defaults__
+        quality.segments.__defaults__ = (segment,)
+        got = {r.i: r for r in quality.scored(rows, table, floor, most).collect()}
+        quality.segments.__defaults__ = cut
+        for i, t in enumerate(ask):
+            assert got[i].n == len(t or "") and abs(got[i].bits - own.bits(t or "")) <= 0.004 * len(t or "") + 1e-9, t
+    total = sum(own.p("abra" + chr(c)) for c in range(0x3000)) + own.p("abra\u6f22") + own.p("abra\u5b57") + own.p("abra\U0001f600")
+    assert 0.97 < total < 1  # the rest is for the other code points
+
+
+def test_segments_of_a_text_are_the_whole():
+    texts = ["abcdefghij" * 3, None, "", "xy", "\U0001f600" * 9]
+    whole = [(int(o), tuple(int(x) for x in k)) for s, at, owner in quality.segments(texts) for o, k in zip(owner, zip(*(x[at] for x in quality.keys(s)), strict=True), strict=True)]
+    cut = [(int(o), tuple(int(x) for x in k)) for s, at, owner in quality.segments(texts, 4) for o, k in zip(owner, zip(*(x[at] for x in quality.keys(s)), strict=True), strict=True)]
+    assert whole == cut and len(whole) == 30 + 2 + 9
 
 
 def test_quality_trains_on_all_that_is_not_held_out(spark):

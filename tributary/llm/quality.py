@@ -1,50 +1,74 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of characters, trained on trusted text.
 
-The counts are joined shard by shard in Spark; every document of the table gets a perplexity, and is kept unless that exceeds its
-language's limit, a quantile over the trusted documents that the model hasn't seen.
+Trusted documents give counts of n-grams over any code points, so the model grows with what is trusted. Scoring joins the sharded
+model with the distinct n-grams of each chunk of documents, some tens of megabytes of whole texts in the shared folder: n-grams and
+their probabilities travel, texts don't. Every document gets a perplexity, and is kept unless that exceeds its language's limit, a
+quantile over the trusted documents that the model hasn't seen.
 
 Null and empty texts have no perplexity (null) and are kept = false, since there is nothing to train on in them. Null is a language
-like any other. Repeated rows of a document count as often as they come, and labels that disagree on one trust it if any does. An
-empty table gives an empty result; without trusted rows everything that has text is kept. Only the named columns are read.
+like any other. Repeated rows of a document count as often as they come, and labels that disagree on one trust it if any does. A
+text at the limit itself is kept. Very long texts are counted and scored in segments that overlap by the context, so that the result
+is that of the whole. An empty table gives an empty result; without trusted rows everything that has text is kept. Only the named
+columns are read.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import evict, resident, written
+from tributary.llm.common import evict, scratch, written
 
-ORDER = 4
-#: The 63 most frequent characters of the trusted text have a class of their own; any other is 0 and the SPELLED digits of its code point.
-CLASSES = 64
-SPELLED = 4
+ORDER = 5
+#: Before a text stand ORDER - 1 of this symbol, which isn't a code point and is never predicted.
+START = 0x110000
+#: An n-gram's key has so many bits. A foreign n-gram takes a model's place once in 2 ** KEY / (the model's n-grams).
+KEY = 48
+#: Costs are sent as whole numbers of this fraction of a bit; ABSENT stands for none.
+FRACTION, ABSENT = 1024, 0xFFFF
+#: Bits of a character that the model has never seen, beside the weight of the unseen: any code point alike.
+UNSEEN = float(np.log2(START))
 
 
-def codes(text: str, table: np.ndarray) -> np.ndarray:
-    point = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    c = np.where(point < 0x10000, table[np.minimum(point, 0xFFFF)], 0).astype(np.int64)
-    rare = np.flatnonzero(c == 0)
-    if len(rare):
-        c = np.repeat(c, np.where(c == 0, 1 + SPELLED, 1))
-        at = rare + SPELLED * np.arange(len(rare))
-        for i in range(SPELLED):
-            c[at + 1 + i] = point[rare].astype(np.int64) // CLASSES ** (SPELLED - 1 - i) % CLASSES
-    return c
+def segments(texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(symbols, at, owner) of runs of about `most` characters: at tells where symbols has characters of the texts, owner of which.
 
-
-def grams(c: np.ndarray) -> np.ndarray:
-    """The n-grams of the highest order as numbers in base CLASSES; the text begins after spaces of class 1."""
-    c = np.concatenate([np.ones(ORDER - 1, np.int64), c])
-    out = c[: len(c) - ORDER + 1].copy()
-    for i in range(1, ORDER):
-        out = out * CLASSES + c[i : len(c) - ORDER + 1 + i]
+    Before each of a segment's characters stand ORDER - 1 others or START.
+    """
+    part, where, owner, size = [], [], [], 0
+    for i, t in enumerate(texts):
+        if not t:
+            continue
+        whole = np.concatenate([np.full(ORDER - 1, START, np.uint32), np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32)])
+        for s in range(0, len(whole) - ORDER + 1, most):
+            cut = whole[s : s + most + ORDER - 1]
+            where.append(np.arange(size + ORDER - 1, size + len(cut)))
+            owner.append(np.full(len(cut) - ORDER + 1, i))
+            part.append(cut)
+            size += len(cut)
+            if size >= most:
+                yield np.concatenate(part), np.concatenate(where), np.concatenate(owner)
+                part, where, owner, size = [], [], [], 0
+    if part:
+        yield np.concatenate(part), np.concatenate(where), np.concatenate(owner)
+
+
+def keys(symbols: np.ndarray) -> list[np.ndarray]:
+    """For each order from 1, the key of the n-gram that ends at each symbol."""
+    out, raw = [], np.zeros(len(symbols), np.uint64)
+    c = symbols.astype(np.uint64) + np.uint64(1)
+    for k in range(1, ORDER + 1):
+        raw = np.concatenate([raw[:1], raw[:-1]]) * np.uint64(0x9E3779B97F4A7C15) + c
+        x = raw + np.uint64(k * 0x632BE59BD9B4E019 % 2**64)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append((x ^ (x >> np.uint64(31))) >> np.uint64(64 - KEY))
     return out
 
 
@@ -55,22 +79,35 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.withColumn("train", h < 0.75)
 
 
-def counted(texts: DataFrame, table: np.ndarray) -> DataFrame:
-    """(gram, n) over all rows of texts; counts are summed in each task first, so a task sends each gram once."""
+#: Of an n-gram of the highest order: its own key, those of its endings, and of each of these the key of what stands before its last character.
+GRAMS, BEFORE = [f"g{k}" for k in range(1, ORDER + 1)], [f"b{k}" for k in range(2, ORDER + 1)]
+
+
+def counted(texts: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """(g1.., b2.., n) over all rows of texts; a task sums its counts before it sends them, whenever it holds `most` n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.int64)
-        times = np.zeros(0, np.int64)
-        for b in batches:
-            got = [grams(codes(t, table)) for t in b.column(0).to_pylist() if t]
-            new, n = np.unique(np.concatenate([seen[:0], *got]), return_counts=True)
-            both = np.concatenate([seen, new])
-            seen, at = np.unique(both, return_inverse=True)
-            times = np.bincount(at, np.concatenate([times, n]), len(seen)).astype(np.int64)
-        for i in range(0, len(seen), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(seen[i : i + 50_000]), pa.array(times[i : i + 50_000])], ["gram", "n"])
+        seen, times = np.zeros((len(GRAMS) + len(BEFORE), 0), np.uint64), np.zeros(0, np.int64)
 
-    return texts.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        def out() -> Iterator[pa.RecordBatch]:
+            for i in range(0, len(times), 50_000):
+                yield pa.RecordBatch.from_arrays([*(pa.array(c[i : i + 50_000].astype(np.int64)) for c in seen), pa.array(times[i : i + 50_000])], [*GRAMS, *BEFORE, "n"])
+
+        for b in batches:
+            for symbols, at, _ in segments(b.column(0).to_pylist()):
+                k = keys(symbols)
+                _, first, n = np.unique(k[-1][at], return_index=True, return_counts=True)
+                rows = np.stack([x[at[first]] for x in k] + [x[at[first] - 1] for x in k[:-1]])
+                seen, times = np.concatenate([seen, rows], axis=1), np.concatenate([times, n])
+                _, first, same = np.unique(seen[ORDER - 1], return_index=True, return_inverse=True)
+                seen, times = seen[:, first], np.bincount(same, times, len(first)).astype(np.int64)
+                if len(times) >= most:
+                    yield from out()
+                    seen, times = seen[:, :0], times[:0]
+        yield from out()
+
+    found = texts.select("text").mapInArrow(run, ", ".join(f"{c} long" for c in [*GRAMS, *BEFORE, "n"]))
+    return found.groupBy(GRAMS[-1]).agg(*(F.min(c).alias(c) for c in [*GRAMS[:-1], *BEFORE]), F.sum("n").alias("n"))
 
 
 def discounts(n: list[int]) -> list[float]:
@@ -80,134 +117,295 @@ def discounts(n: list[int]) -> list[float]:
     return [min(k + 0.95, max(0.05, k + 1 - (k + 2) * y * n[k + 1] / n[k])) if k < 2 else min(2.95, max(0.05, 3 - 4 * y * n[3] / n[2])) for k in range(3)]
 
 
-def model(texts: DataFrame, table: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each order from 1: n-grams, their discounted shares, contexts, the weights of the lower order in them.
+def model(texts: DataFrame) -> tuple[DataFrame, float]:
+    """(key, p, rest) of every n-gram of the texts, and the weight of the unseen at order 1.
 
-    Below the highest order, an n-gram counts once for each character seen before it. All counts, context sums and joins are
-    grouped by n-gram in Spark; what comes back has at most CLASSES ** ORDER rows, however large the trusted text is.
+    p is the interpolated probability of an n-gram's last character after those before it; rest is the weight of the lower order
+    after the n-gram as a context. Below the highest order, an n-gram counts once for each character seen before it. Everything but
+    the numbers of n-grams seen one to four times stays in Spark.
     """
-    out, level = [], written(counted(texts, table), "counts")
+    level = written(counted(texts), "counts")
+    levels, floor = [], 1.0
     for k in range(ORDER, 0, -1):
         tally = {r["n"]: r["c"] for r in level.filter("n <= 4").groupBy("n").agg(F.count("*").alias("c")).collect()}
         d = discounts([tally.get(i, 0) for i in (1, 2, 3, 4)])
         cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        row = level.withColumn("context", F.expr(f"gram div {CLASSES}")).withColumn("cut", cut)
-        sums = row.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("rest"))
-        joined = row.join(sums, "context").select("gram", ((F.col("n") - F.col("cut")) / F.col("total")).alias("share"))
-        a, b = joined.toPandas().sort_values("gram"), sums.select("context", "rest").toPandas().sort_values("context")
-        out.append((a["gram"].to_numpy(), a["share"].to_numpy(), b["context"].to_numpy(), b["rest"].to_numpy()))
+        row = level.withColumn("cut", cut)
         if k > 1:
-            level = level.groupBy(F.pmod("gram", F.lit(CLASSES ** (k - 1))).alias("gram")).agg(F.count("*").alias("n"))
-    return out[::-1]
-
-
-def dense(levels: list) -> np.ndarray:
-    """-log2 of each n-gram's probability after its context, with the lower orders mixed in."""
-    p = np.full(CLASSES, 1.0 / CLASSES, np.float32)  # of order 0, every character alike
-    for k, (gram, share, context, rest) in enumerate(levels):
-        weight = np.ones(CLASSES**k, np.float32)
-        weight[context] = rest
-        p = np.tile(p, CLASSES if k else 1)
-        rows = p.reshape(-1, CLASSES)
-        rows *= weight[:, None]
-        p[gram] += share.astype(np.float32)
-    np.maximum(p, 1e-12, out=p)
-    np.log2(p, out=p)
-    return np.negative(p, out=p)
-
-
-def bits(spark, levels: list, table: np.ndarray) -> Callable:
-    """A function of a text column: the model's bits for the whole text. The model, whose size has a bound, is broadcast."""
-    shared, name = spark.sparkContext.broadcast((levels, table)), uuid.uuid4().hex
-
-    @F.pandas_udf("double")
-    def cost(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        per, classes = resident(("quality", name), lambda: dense(shared.value[0])), shared.value[1]
-        for texts in batches:
-            yield pd.Series([float(per[grams(codes(t, classes))].sum(dtype=np.float64)) if t else 0.0 for t in texts])
-        del per
+            sums = row.groupBy(f"b{k}").agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("rest"))
+            levels.append((row.join(sums, f"b{k}").select(F.col(f"g{k}").alias("key"), F.col(f"g{k - 1}").alias("lower"), ((F.col("n") - F.col("cut")) / F.col("total")).alias("share"), "rest"), sums.select(F.col(f"b{k}").alias("key"), "rest")))
+            lower = [c for j in range(1, k - 1) for c in (f"g{j}", f"b{j + 1}")]
+            level = written(level.groupBy(f"g{k - 1}").agg(*(F.min(c).alias(c) for c in lower), F.count("*").alias("n")), f"level{k - 1}")
+        else:
+            got = row.agg(F.sum("n").alias("total"), F.sum("cut").alias("cut")).first()
+            total = float(got["total"] or 1)
+            floor = (got["cut"] or total) / total
+            p = row.select(F.col("g1").alias("key"), ((F.col("n") - F.col("cut")) / total + floor / START).alias("p"))
+    out = p.withColumn("rest", F.lit(None).cast("double"))
+    for rows, contexts in levels[::-1]:
+        p = written(rows.join(p.withColumnRenamed("key", "lower"), "lower").select("key", (F.col("share") + F.col("rest") * F.col("p")).alias("p")), "level")
+        out = out.union(p.withColumn("rest", F.lit(None).cast("double"))).union(contexts.select("key", F.lit(None).cast("double").alias("p"), "rest"))
+    return out.groupBy("key").agg(F.max("p").alias("p"), F.max("rest").alias("rest")), floor
+
+
+# ---- scoring
+
+
+def packed(k: np.ndarray) -> bytes:
+    """Keys in KEY // 8 bytes each."""
+    return np.ascontiguousarray(k.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY // 8]).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // (KEY // 8), 8), np.uint8)
+    out[:, : KEY // 8] = np.frombuffer(data, np.uint8).reshape(-1, KEY // 8)
+    return out.view("<u8").ravel()
+
+
+class Table:
+    """Costs by key: open addressing in arrays, looked up for many keys at once."""
+
+    def __init__(self, k: np.ndarray, cost: np.ndarray):
+        """cost: for each key two numbers, of p and of rest."""
+        self.mask = np.uint64((1 << max(4, (4 * len(k)).bit_length())) - 1)
+        self.key, self.cost = np.full(int(self.mask) + 1, 2**64 - 1, np.uint64), np.full((int(self.mask) + 1, 2), ABSENT, np.uint16)
+        slot, left = k & self.mask, np.arange(len(k))
+        while len(left):
+            free = self.key[slot[left]] == 2**64 - 1
+            self.key[slot[left[free]]] = k[left[free]]
+            there = self.key[slot[left]] == k[left]
+            self.cost[slot[left[there]]] = cost[left[there]]
+            left = left[~there]
+            slot[left] = (slot[left] + np.uint64(1)) & self.mask
+
+    def get(self, k: np.ndarray, which: int) -> np.ndarray:
+        """The cost of each key, ABSENT where there is none."""
+        out, slot, left = np.full(len(k), ABSENT, np.uint16), k & self.mask, np.arange(len(k))
+        while len(left):
+            at = self.key[slot]
+            hit = at == k[left]
+            out[left[hit]] = self.cost[slot[hit], which]
+            go = ~hit & (at != 2**64 - 1)
+            left, slot = left[go], (slot[go] + np.uint64(1)) & self.mask
+        return out
+
+
+def costs(texts: list[str | None], table: Table, floor: float) -> np.ndarray:
+    """The model's bits for each text: p of the longest n-gram it has, after the weights of the contexts that it has of longer ones."""
+    total = np.zeros(len(texts))
+    for symbols, at, owner in segments(texts):
+        k, cost, left = keys(symbols), np.zeros(len(at), np.int64), np.arange(len(at))
+        for order in range(ORDER, 0, -1):
+            p = table.get(k[order - 1][at[left]], 0)
+            cost[left[p != ABSENT]] += p[p != ABSENT]
+            left = left[p == ABSENT]
+            if order > 1 and len(left):
+                rest = table.get(k[order - 2][at[left] - 1], 1)
+                cost[left] += np.where(rest == ABSENT, 0, rest)
+        bits = cost / FRACTION
+        bits[left] += UNSEEN - np.log2(floor)
+        total += np.bincount(owner, bits, len(texts))
+    return total
+
+
+def slices(batch: pa.RecordBatch, text: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of whole rows whose texts have about `most` characters together."""
+    size, at = 0, 0
+    for i, t in enumerate(batch.column(text)):
+        size += t.as_buffer().size if t.is_valid else 0
+        if size >= most:
+            yield batch.slice(at, i + 1 - at)
+            at, size = i + 1, 0
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
+def asked(rows: DataFrame, text: int, shards: int, most: int = 48_000_000) -> DataFrame:
+    """(chunk, shard, keys): writes the rows to chunks, files of about `most` characters, and gives each one's distinct n-grams by shard.
+
+    Each chunk has a row with shard -1, too. A task that runs again writes new chunks; only those of the run that succeeds are listed.
+    """
+    root = scratch(rows.sparkSession, "chunks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evict()
+        store, base = fs.FileSystem.from_uri(root)
+        store.create_dir(base, recursive=True)
+        name = writer = sink = None
+        seen, size = np.zeros(0, np.uint64), 0
+
+        def done() -> pa.RecordBatch:
+            writer.close()
+            sink.close()
+            shard = (seen % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            cut = np.searchsorted(shard[order], np.arange(shards + 1))
+            has = np.flatnonzero(np.diff(cut))
+            return pa.RecordBatch.from_arrays([pa.array([name] * (len(has) + 1)), pa.array([-1, *has.tolist()], pa.int64()), pa.array([None, *(packed(seen[order[cut[s] : cut[s + 1]]]) for s in has)], pa.binary())], ["chunk", "shard", "keys"])
+
+        for b in (s for x in batches for s in slices(x, text)):
+            if writer is None:
+                name = f"{uuid.uuid4().hex}.arrows"
+                sink = store.open_output_stream(f"{base}/{name}")
+                writer = pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+            writer.write_batch(b)
+            for symbols, at, _ in segments(b.column(text).to_pylist()):
+                used = np.zeros(len(symbols), bool)
+                used[at] = used[at - 1] = True
+                seen = np.unique(np.concatenate([seen, *(np.unique(k[used]) for k in keys(symbols))]))
+                size += len(at)
+            if size >= most:
+                yield done()
+                writer, seen, size = None, seen[:0], 0
+        if writer is not None:
+            yield done()
+        evict()
+
+    return written(rows.mapInArrow(run, "chunk string, shard long, keys binary"), "asked").withColumn("root", F.lit(root))
 
-    return cost.asNondeterministic()  # else the optimizer may run it once for a filter and once more for what is selected
 
+def _blocks(table: DataFrame, shards: int) -> DataFrame:
+    """(shard, chunk null, keys, costs): the model's rows of a shard, packed."""
 
-def classes_of(texts: DataFrame) -> np.ndarray:
-    """The class of each code point up to 0xFFFF, by its frequency in the texts. Spaces are class 1."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            shard, key = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.uint64)
+            cost = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns[2:]], axis=1).astype(np.uint16)
+            has = np.unique(shard)
+            rows = [np.flatnonzero(shard == s) for s in has]
+            yield pa.RecordBatch.from_arrays([pa.array(has), pa.nulls(len(has), pa.string()), pa.array([packed(key[r]) for r in rows], pa.binary()), pa.array([cost[r].tobytes() for r in rows], pa.binary())], ["shard", "chunk", "keys", "costs"])
+
+    code = lambda c: F.coalesce(F.least(F.lit(ABSENT - 1), F.round(-F.log2(F.greatest(F.col(c), F.lit(1e-18))) * FRACTION)), F.lit(ABSENT)).cast("int").alias(c)
+    rows = table.select(F.pmod("key", F.lit(shards)).alias("shard"), "key", code("p"), code("rest"))
+    return rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "shard long, chunk string, keys binary, costs binary")
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (shard, chunk, keys, costs) by shard, the model's first, to (chunk, keys, costs) of the n-grams that it has."""
+    now, k, c, table = None, [], [], None
+    for b in batches:
+        out = []
+        for shard, chunk, wanted, cost in zip(*(x.to_pylist() for x in b.columns), strict=True):
+            if shard != now:
+                now, k, c, table = shard, [], [], None
+            if chunk is None:
+                k.append(unpacked(wanted))
+                c.append(np.frombuffer(cost, np.uint16).reshape(-1, 2))
+                continue
+            if table is None:
+                table = Table(np.concatenate(k), np.concatenate(c)) if k else Table(np.zeros(0, np.uint64), np.zeros((0, 2), np.uint16))
+            want = unpacked(wanted)
+            cost = np.stack([table.get(want, 0), table.get(want, 1)], axis=1)
+            hit = (cost != ABSENT).any(axis=1)
+            out.append((chunk, packed(want[hit]), cost[hit].tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else ([], [], []), (pa.string(), pa.binary(), pa.binary()), strict=True)], ["chunk", "keys", "costs"])
+
+
+def scored(rows: DataFrame, table: DataFrame, floor: float, most: int = 1_000_000) -> DataFrame:
+    """The rows with n, the characters of their text, and bits, what the model needs for them. table: (key, p, rest).
+
+    The model is cut into shards of about `most` n-grams, however many it has. A shard answers each chunk once for each n-gram,
+    however often it stands there, so frequent n-grams make no shard hot.
+    """
+    table = written(table, "model")
+    shards = -(-max(1, table.count()) // most)
+    names = [f"c{i}" for i in range(len(rows.columns))]
+    plain, text = rows.toDF(*names), rows.columns.index("text")
+    fields = [f"{n} {f.dataType.simpleString()}" for n, f in zip(names, rows.schema, strict=True)]
+    ask = asked(plain, text, shards)
+    both = _blocks(table, shards).union(ask.filter("shard >= 0").select("shard", "chunk", "keys", F.lit(None).cast("binary")))
+    answers = written(both.repartition("shard").sortWithinPartitions("shard", F.col("chunk").asc_nulls_first()).mapInArrow(_answers, "chunk string, keys binary, costs binary"), "answers")
+    chunks = ask.filter("shard < 0").select("chunk", "root")
+    root = (chunks.select("root").first() or [""])[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evict()
-        seen = np.zeros(0x10000, np.int64)
+
+        def told(chunk: str, k: list[bytes], c: list[bytes]) -> Iterator[pa.RecordBatch]:
+            costs_of = Table(np.concatenate([unpacked(x) for x in k]) if k else np.zeros(0, np.uint64), np.frombuffer(b"".join(c), np.uint16).reshape(-1, 2))
+            store, base = fs.FileSystem.from_uri(root)
+            with store.open_input_stream(f"{base}/{chunk}") as f, pa.ipc.open_stream(f) as parts:
+                for b in parts:
+                    texts = b.column(text).to_pylist()
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array([len(t or "") for t in texts], pa.int64()), pa.array(costs(texts, costs_of, floor))], [*names, "n", "bits"])
+
+        now, k, c = None, [], []
         for b in batches:
-            for t in b.column(0).to_pylist():
-                point = np.frombuffer((t or "").encode("utf-32-le", "replace"), np.uint32)
-                seen += np.bincount(point[point < 0x10000], minlength=0x10000)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at])], ["point", "n"])
+            for chunk, wanted, cost in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                if chunk != now:
+                    if now is not None:
+                        yield from told(now, k, c)
+                    now, k, c = chunk, [], []
+                if wanted:
+                    k.append(wanted)
+                    c.append(cost)
+        if now is not None:
+            yield from told(now, k, c)
+        evict()
 
-    top = texts.select("text").mapInArrow(run, "point int, n long").groupBy("point").agg(F.sum("n").alias("n")).filter(F.col("point") != 32)
-    table = np.zeros(0x10000, np.uint8)
-    table[32] = 1
-    for i, r in enumerate(top.orderBy(F.desc("n"), "point").limit(CLASSES - 2).collect()):
-        table[r["point"]] = i + 2
-    return table
+    null = F.lit(None).cast("binary")
+    tasks = chunks.select("chunk", null.alias("keys"), null.alias("costs")).union(answers)
+    parts = max(1, min(100_000, 2 * chunks.count()))  # a partition that AQE may not join with others: a chunk's work isn't in the size of its row
+    out = tasks.repartition(parts, "chunk").sortWithinPartitions("chunk").mapInArrow(run, ", ".join([*fields, "n long", "bits double"]))
+    return out.toDF(*rows.columns, "n", "bits")
 
 
 class Judge:
-    """The model and the limits; verdict() applies them to any rows with text and lang.
+    """The model and the limits; verdict() applies them to rows with lang, n and bits.
 
-    prior: so many characters of a
-    language's mean are added to each text, because few characters say little. A document is kept unless its bits for a character,
-    so smoothed, exceed slack times the quantile over its language's trusted rows that didn't train; where a language has none, the
-    quantile over all languages holds.
+    prior: so many characters of a language's mean are added to each text, because few characters say little. A document is kept
+    unless its bits for a character, so smoothed, exceed slack times the quantile over its language's trusted rows that didn't train;
+    where a language has none, the quantile over all languages holds.
     """
 
-    def __init__(self, documents: DataFrame, labels: DataFrame, quantile: float = 0.995, slack: float = 1.08, prior: float = 60.0, max_langs: int = 10_000):
+    def __init__(self, documents: DataFrame, labels: DataFrame, keep: bool, quantile: float = 0.995, slack: float = 1.08, prior: float = 60.0, max_langs: int = 10_000):
+        """keep: whether rows is to have all columns of documents, else doc_id and lang only."""
         spark, self.prior = documents.sparkSession, prior
         ids = written(trusted_ids(labels), "trusted")
-        docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-        train = docs.join(ids.filter("train").select("doc_id"), "doc_id", "left_semi").select("text")
-        train = written(train.filter("length(text) > 0"), "train")
-        table = classes_of(train)
-        self.bits = bits(spark, model(train, table), table)
-        self.scores = written(self.scored(docs.select("doc_id", "lang", "text")).drop("text"), "scores")
+        self.names = [f"c{i}" for i in range(len(documents.columns))]
+        at = {c: self.names[documents.columns.index(c)] for c in ("doc_id", "text", "lang")}
+        train = documents.join(ids.filter("train").select("doc_id"), "doc_id", "left_semi").select("text").filter("length(text) > 0")
+        table, floor = model(train)
+        if keep:  # under names that can't clash
+            rows = scored(documents.toDF(*["text" if n == at["text"] else n for n in self.names]), table, floor).withColumnRenamed("text", at["text"])
+        else:
+            rows = scored(documents.select("doc_id", "lang", "text"), table, floor).drop("text")
+            at = {"doc_id": "doc_id", "lang": "lang"}
+        self.rows = written(rows, "scores")
+        self.scores = self.rows.select(F.col(at["doc_id"]).cast("long").alias("doc_id"), F.col(at["lang"]).alias("lang"), "n", "bits")
         fresh = self.scores.join(ids.filter("not train").select("doc_id"), "doc_id", "left_semi").filter("n > 0")
         means = fresh.groupBy("lang").agg((F.sum("bits") / F.sum("n")).alias("mean")).limit(max_langs + 1).collect()
         if len(means) > max_langs:
             raise ValueError(f"over {max_langs} languages; their limits are broadcast")
-        self.mean = fresh.agg((F.sum("bits") / F.sum("n")).alias("mean")).first()["mean"] or 0.0
+        self.lang, self.mean = at["lang"], fresh.agg((F.sum("bits") / F.sum("n")).alias("mean")).first()["mean"] or 0.0
         self.limits = spark.createDataFrame([tuple(r) for r in means], "lang_m string, mean double")
-        checked = self.smoothed(fresh)
+        checked = self.smoothed(fresh, "lang")
         own = checked.groupBy("lang").agg((F.percentile_approx("excess", quantile, 10_000) * slack).alias("own")).collect()
         whole = checked.agg(F.percentile_approx("excess", quantile, 10_000)).first()[0]
         self.whole = float("inf") if whole is None else whole * slack
         limit = {r["lang"]: r["own"] for r in own}
         self.limits = spark.createDataFrame([(r["lang"], r["mean"], limit[r["lang"]]) for r in means], "lang_m string, mean double, own double")
 
-    def scored(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("n", F.length(F.coalesce("text", F.lit(""))).cast("long")).withColumn("bits", self.bits("text"))
-
-    def smoothed(self, scores: DataFrame) -> DataFrame:
-        out = scores.join(F.broadcast(self.limits), scores["lang"].eqNullSafe(self.limits["lang_m"]), "left").drop("lang_m")
+    def smoothed(self, scores: DataFrame, lang: str) -> DataFrame:
+        out = scores.join(F.broadcast(self.limits), scores[lang].eqNullSafe(self.limits["lang_m"]), "left").drop("lang_m")
         return out.withColumn("excess", (F.col("bits") + self.prior * F.coalesce("mean", F.lit(self.mean))) / (F.col("n") + self.prior)).drop("mean")
 
-    def verdict(self, scores: DataFrame) -> DataFrame:
-        """Adds excess, threshold and keep to rows with lang, n and bits."""
-        out = self.smoothed(scores).withColumn("threshold", F.coalesce("own", F.lit(self.whole))).drop("own")
+    def verdict(self) -> DataFrame:
+        """The rows with excess, threshold and keep."""
+        out = self.smoothed(self.rows, self.lang).withColumn("threshold", F.coalesce("own", F.lit(self.whole))).drop("own")
         return out.withColumn("keep", (F.col("n") > 0) & (F.col("excess") <= F.col("threshold")))
 
 
 def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, lang, n_chars, perplexity, excess, threshold, keep): what each document's whole text scores, and the decision."""
-    judge = Judge(documents, labels)
     ppl = F.when(F.col("n") > 0, F.pow(F.lit(2.0), F.col("bits") / F.col("n")))
-    return judge.verdict(judge.scores).select("doc_id", "lang", F.col("n").alias("n_chars"), ppl.alias("perplexity"), "excess", "threshold", "keep")
+    return Judge(documents, labels, keep=False).verdict().select("doc_id", "lang", F.col("n").alias("n_chars"), ppl.alias("perplexity"), "excess", "threshold", "keep")
 
 
 def kept(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of documents, with all their columns, that the judge keeps. Scoring them again saves a shuffle of the texts."""
-    judge = Judge(documents, labels)
-    rows = judge.scored(documents.select(F.struct("*").alias("whole"), "lang", "text"))
-    return judge.verdict(rows).filter("keep").select("whole.*")
+    """The rows of documents, with all their columns, that the judge keeps."""
+    judge = Judge(documents, labels, keep=True)
+    return judge.verdict().filter("keep").select(*[F.col(n).alias(c) for n, c in zip(judge.names, documents.columns, strict=True)])
 
 
 def op8_quality(spark, sf_dir: str) -> DataFrame:
