@@ -193,22 +193,60 @@ def test_language(spark, empty):
     assert {r.g.lang_pred for r in df.select(alone("text").alias("g")).collect()} == {"und"}
 
 
-def test_automaton_counts_longest_matches():
+def own_phrases(t, sample):
+    count, at = 0, 0
+    while at < len(t):
+        end = at
+        while end < len(t) and t[at : end + 1] in sample:
+            end += 1
+        if end == at:  # a byte that the sample lacks ends a phrase by itself
+            count, at = count + 1, at + 1
+        else:
+            count, at = count + (end < len(t) and t[end] in sample), end
+    return count
+
+
+def test_automaton_counts_longest_matches_over_whole_texts():
     rng = np.random.default_rng(6)
-    sample, tried = "".join(rng.choice(list("abc "), 400)), ["".join(rng.choice(list("abcd "), langid.SEGMENT)) for _ in range(20)]
-    model = langid.Model({"x": sample})
-    grid = np.stack([model.coded(t) for t in tried]).T
-    for t, n in zip(tried, model.automata[0].phrases(np.ascontiguousarray(grid)), strict=True):
-        count, at = 0, 0
-        while at < len(t):
-            end = at
-            while end < len(t) and t[at : end + 1] in sample:
-                end += 1
-            if end == at:  # a character that the sample lacks ends a phrase by itself
-                count, at = count + 1, at + 1
-            else:
-                count, at = count + (end < len(t) and t[end] in sample), end
-        assert n == count
+    sample = "".join(rng.choice(list("abc "), 4000)).encode()
+    tried = ["".join(rng.choice(list("abcd "), n)).encode() for n in (1, 255, 256, 257, 5000)]
+    tried += [sample[500:2500], sample[100:1500] + b"d" + sample, b"ddd", b"a" * 3000, sample[:256], sample[:512] + sample[:1000]]
+    a = langid.Automaton(sample)
+    size = langid.SEGMENT
+    cuts = [-(-len(t) // size) for t in tried]
+    grid = np.frombuffer(b"".join(t.ljust(k * size, b"\xff") for t, k in zip(tried, cuts, strict=True)), np.uint8).reshape(-1, size)
+    follows = np.concatenate([np.arange(k) > 0 for k in cuts])
+    got = np.bincount(np.repeat(np.arange(len(tried)), cuts), a.phrases(np.ascontiguousarray(grid.T), follows))
+    assert [int(n) - k * size + len(t) for n, k, t in zip(got, cuts, tried, strict=True)] == [own_phrases(t, sample) for t in tried]
+
+
+def test_predictions_are_those_of_brute_force(spark):
+    rng = np.random.default_rng(16)
+    scripts = {"aa": "kalomiture", "bb": "schnpfleti", "cc": "\u043a\u0438\u043b\u043e\u043c\u0435", "dd": "".join(chr(0x4E00 + i) for i in range(400)), "ee": "".join(chr(0x1E900 + i) for i in range(34)), "ff": "kalmschnet"}
+    say = lambda x, n: " ".join("".join(rng.choice(list(scripts[x]), int(rng.integers(1, 6)))) for _ in range(n))
+    given = {x: langid.letters(say(x, 150)) for x in scripts}
+    model = langid.Model(given)
+    truth = [x for x in scripts for _ in range(6)]
+    texts = [say(x, int(rng.integers(20, 200))) for x in truth] + ["\u00bd", "12 \u00b2", None, "q"]
+    langs, scores, _, _ = model.predict(texts)
+    assert all(x == y for x, y in zip(langs, truth, strict=False) if y in ("cc", "dd", "ee")) and langs[-4:-1] == ["und"] * 3 and scores[-4:-1] == [0.0] * 3
+    for t, lang, score in zip(texts, langs, scores, strict=True):
+        if b := langid.letters(t or ""):
+            cost = sorted(((own_phrases(b, s) + 1) * np.log2(len(s)), x) for x, s in given.items())
+            assert cost[0][1] == lang and abs(score - (1 - cost[0][0] / cost[1][0])) < 1e-9
+
+
+def test_language_learns_from_long_rows_and_rejects_noise(spark):
+    rng = np.random.default_rng(17)
+    of = {"aa": "ka lo mi tu re".split(), "bb": "schn pfl auk ung eit".split()}
+    say = lambda x, n: " ".join("".join(rng.choice(of[x], int(rng.integers(1, 4)))) for _ in range(n))
+    rows = [(i, ["9" * 5000 + " ", ""][i % 3 > 0] + say(["aa", "bb"][i % 2], 3000), ["aa", "bb"][i % 2]) for i in range(40)]
+    noise = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 3000))
+    df = spark.createDataFrame(rows + [(100, noise, None), (101, say("aa", 500), None)], "doc_id long, text string, lang string")
+    learned = langid.samples(df)
+    assert set(learned) == {"aa", "bb"} and all(20_000 < len(x) < 60_000 for x in learned.values())
+    kept = {r.doc_id: r.lang for r in langid.known(df).collect()}
+    assert set(kept) == {*range(40), 101} and kept[101] == "aa"
 
 
 def test_quality(spark, docs, empty):
