@@ -97,47 +97,77 @@ def table(spark, n=700, d=8, seed=1):
     rng = np.random.default_rng(seed)
     v = rng.normal(size=(n, d)).round(3).tolist()
     v[40:90] = [v[40]] * 50  # ties
-    rows = [(i, x, 0, 1) for i, x in enumerate(v)] + [(1000, None, 0, 1), (1001, [0.0] * d, 0, 1), (1002, [1.0, float("nan")] + [0.0] * (d - 2), 0, 1), (1003, [float("inf")] * d, 0, 1), (1004, [None] * d, 0, 1), (1005, [1.0], 0, 1), (50, v[3], 0, 1), (None, v[4], 0, 1)]
+    rows = [(i, x, 0, 1) for i, x in enumerate(v)] + [(1000, None, 0, 1), (1001, [0.0] * d, 0, 1), (1002, [1.0, float("nan")] + [0.0] * (d - 2), 0, 1), (1003, [float("inf")] * d, 0, 1), (1004, [None] * d, 0, 1), (1005, [], 0, 1), (50, v[3], 0, 1), (100, v[100], 0, 1), (200, v[7], 0, 1), (None, v[4], 0, 1)]
     return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>, v int, leaf int")
 
 
 def truth(rows, every, k, score, zero):
-    use = [(i, np.array(x, float)) for i, x, *_ in rows if i is not None and x and len(x) == 8 and None not in x and np.isfinite(np.array(x, float)).all() and (zero or any(x))]
-    out = {}
-    for q, x in use:
-        if q % every == 0:
-            out.setdefault(q, []).extend((score(x, y), i) for i, y in use if i != q)
-    return {q: sorted(v)[:k] for q, v in out.items()}
+    """For each query row, the k best (score, vec_id)."""
+    use = [(i, np.array(x, float)) for i, x, *_ in rows if i is not None and x and None not in x and np.isfinite(np.array(x, float)).all() and (zero or any(x))]
+    return sorted((q, sorted((score(x, y), i) for i, y in use if i != q)[:k]) for q, x in use if q % every == 0)
+
+
+def answers(got, k, sign=1):
+    """The answers by query row: rows of one query_id and rank belong to different rows that ask."""
+    by = {}
+    for r in got:
+        by.setdefault((r.query_id, r.rank), []).append((sign * r.score, r.vec_id))
+    assert {n for _, n in by} <= set(range(1, k + 1))
+    return by
 
 
 def test_top_products(spark):
     rows, df = table(spark)
-    rows_of_one_id = [r for r in rows if r[0] != 50 or r[1] == rows[50][1]]
-    df = df.filter("vec_id is null or vec_id <> 50").union(df.filter("vec_id = 50").limit(1))
-    kept = [r[1] for r in df.filter("vec_id = 50").select("vec_id", "embedding").collect()]
-    rows = [(i, kept[0] if i == 50 else x) for i, x, *_ in rows_of_one_id]
     score = lambda a, b: -sum(math.floor(256 * x) * math.floor(256 * y) for x, y in zip(a, b, strict=True))
-    want = {q: [(i, -s) for s, i in v] for q, v in truth(rows, 50, 5, score, True).items()}
-    for shard, block, seed in ((8192, 1024, 64), (100, 3, 20)):
-        got = {}
-        for r in sorted(knn.top_products(df, 50, 5, shard, block, seed).collect(), key=lambda r: (r.query_id, r.rank)):
-            got.setdefault(r.query_id, []).append((r.vec_id, r.score))
-        assert got == want
+    want = {}
+    for q, found in truth(rows, 50, 5, score, True):
+        for i, x in enumerate(found):
+            want.setdefault((q, i + 1), []).append(x)
+    assert {len(x) for x in want.values()} == {1, 2}
+    for shard, block, first, most in ((8192, 1024, 2, 8192), (100, 3, 1, 30), (40, 1000, 3, 10_000)):
+        got = answers(knn.top_products(df, 50, 5, shard, block, first, most=most).collect(), 5, -1)
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
     assert knn.top_products(df.limit(0), 50, 5).count() == 0
     few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1e200, 1.0]), (3, [-1.0, 0.5])], "vec_id long, embedding array<double>")
     assert [(r.rank, r.vec_id) for r in knn.top_products(few, 50, 5).orderBy("rank").collect()] == [(1, 1), (2, 3)]
+    with pytest.raises(ValueError):
+        knn.top_products(spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0])], "vec_id long, embedding array<double>"), 50, 5)
+
+
+def test_top_products_sql(spark, tmp_path):
+    rows, df = table(spark, n=300)
+    df.coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert sorted(tuple(r) for r in knn.op9_topk(spark, str(tmp_path)).collect()) == sorted(db.execute(knn.OP9_SQL).fetchall())
+
+
+def test_top_splits_cut_all_rows():
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 3, (500, 4)).astype(float)
+    for parts in (1, 2, 7, 64):
+        splits = knn.top_splits(x, parts)
+        home = knn.shard_of(splits, x)
+        assert set(home) == set(range(home.max() + 1)) and home.max() < parts
+    assert knn.top_splits(np.ones((50, 2)), 8) == []
 
 
 def test_neighbours(spark):
     rows, df = table(spark, n=900)
-    df = df.filter("vec_id is null or vec_id <> 50").cache()
-    rows = [r for r in rows if r[0] != 50]
     want = truth(rows, 100, 10, lambda a, b: float(np.sqrt(((a - b) ** 2).sum())), False)
-    got = {}
-    for r in sorted(ann.neighbours(df, 100, 10, leaf_rows=16).collect(), key=lambda r: (r.query_id, r.rank)):
-        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
-    assert set(got) == set(want) and all(len(v) == 10 and v == sorted(v) for v in got.values())
-    assert sum(len(set(got[q]) & set(want[q])) for q in want) >= 0.9 * 10 * len(want)
+    got = answers(ann.neighbours(df, 100, 10, leaf_rows=16).collect(), 10)
+    hits = {}
+    for q, found in want:
+        hits.setdefault(q, []).extend(found)
+    assert {q for q, _ in got} == set(hits)
+    for q, found in hits.items():
+        each = len(found) // 10
+        mine = sorted(x for n in range(1, 11) for x in got[q, n])
+        assert len(mine) == len(found) and len(found) in (10, 20)
+        assert all(len(got[q, n]) == each for n in range(1, 11))
+    assert sum(len({i for n in range(1, 11) for _, i in got[q, n]} & {i for _, i in f}) for q, f in hits.items()) >= 0.9 * sum(len({i for _, i in f}) for f in hits.values())
+    once = [q for q, f in hits.items() if len(f) == 10]
+    assert all([x for n in range(1, 11) for x in got[q, n]] == sorted(x for n in range(1, 11) for x in got[q, n]) for q in once)
     assert ann.neighbours(df.limit(0), 100, 10).count() == 0
     two = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in ann.neighbours(two, 100, 10).collect()] == [(0, 1, 1, 1.0)]
@@ -149,7 +179,7 @@ def test_hot_leaf_is_cut(spark):
     v = spark.createDataFrame(rows, "vec_id long, v array<double>")
     tree = ann.fit(np.array([x for _, x in rows]), 32)
     data = written(ann.indexed(v, tree), "index")
-    ask = v.filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
+    ask = ann.queries(v, 100)
     n = int((tree["count"] == 0).sum())
     got = {}
     for r in sorted(ann.searched(data, ask, tree, n, 10, most=16).collect(), key=lambda r: (r.query_id, r.rank)):

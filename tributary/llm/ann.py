@@ -1,8 +1,9 @@
 """Approximate nearest neighbours: a hierarchical k-means tree, searched best bin first.
 
-Vectors that are null, zero, or hold null or non-finite components take no part, nor do those of another length than the most
-frequent one (the smallest of these, in a tie). Rows that repeat a vec_id are rows of their own, apart from a query's own id. Fewer
-candidates than wanted are all returned. An empty table gives an empty result. Only vec_id and embedding are read.
+Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows without a vec_id; vectors of
+different lengths raise an error. Rows that repeat a vec_id are rows of their own: each of them asks for itself, so that its id has
+as many answers as rows, and a query's candidates are the rows with any other id. Fewer candidates than wanted are all returned. An
+empty table gives an empty result. Only vec_id and embedding are read.
 """
 
 from __future__ import annotations
@@ -25,8 +26,16 @@ def vectors(table: DataFrame, zero_too: bool) -> DataFrame:
     v = v.filter(~F.coalesce(bad, F.lit(True)))
     if not zero_too:
         v = v.filter(F.exists("v", lambda x: x != 0))
-    most = v.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
-    return v.filter(F.size("v") == (most[0]["n"] if most else 0))
+    size = v.agg(F.min(F.size("v")).alias("least"), F.max(F.size("v")).alias("most")).first()
+    if size["least"] != size["most"]:
+        raise ValueError(f"vectors of {size['least']} to {size['most']} components")
+    return v
+
+
+def queries(rows: DataFrame, every: int) -> DataFrame:
+    """(q, query_id, v) of the rows whose vec_id is divisible by `every`; q is each row's own number."""
+    asked = rows.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v")
+    return written(asked.withColumn("q", F.monotonically_increasing_id()).select("q", "query_id", "v"), "asked")
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -124,14 +133,14 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[pa.Table]:
 
 
 def best(found: DataFrame, k: int, nearest_first: bool) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the k best of (query_id, vec_id, score), ties to the smaller vec_id."""
+    """(q, query_id, rank, vec_id, score) of the k best of (q, query_id, vec_id, score), ties to the smaller vec_id."""
     order = F.struct((F.col("score") if nearest_first else F.bitwise_not("score")).alias("o"), "vec_id", "score")
-    top = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(order)), 1, k).alias("top"))
-    return top.select("query_id", F.posexplode("top").alias("p", "x")).select("query_id", (F.col("p") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")
+    top = found.groupBy("q", "query_id").agg(F.slice(F.array_sort(F.collect_list(order)), 1, k).alias("top"))
+    return top.select("q", "query_id", F.posexplode("top").alias("p", "x")).select("q", "query_id", (F.col("p") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")
 
 
 def searched(rows: DataFrame, asked: DataFrame, tree: dict, leaves: int, k: int, most: int = 4096) -> DataFrame:
-    """The k nearest of rows (leaf, vec_id, v) for each of asked (query_id, v), in `leaves` leaves each.
+    """The k nearest of rows (leaf, vec_id, v) for each of asked (q, query_id, v), in `leaves` leaves each.
 
     Rows and queries meet leaf by leaf. A leaf of over `most` rows is cut into parts, each of which all the leaf's queries visit.
     """
@@ -140,48 +149,50 @@ def searched(rows: DataFrame, asked: DataFrame, tree: dict, leaves: int, k: int,
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [visits(shared.value, q, leaves) for q in matrix(b.column(1))]
+            got = [visits(shared.value, q, leaves) for q in matrix(b.column(2))]
             at = pa.array(np.repeat(np.arange(len(got)), [len(g) for g in got]), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([x for g in got for x in g], pa.int64()), b.column(0).take(at), b.column(1).take(at)], ["leaf", "query_id", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array([x for g in got for x in g], pa.int64()), *(c.take(at) for c in b.columns)], ["leaf", "q", "query_id", "v"])
 
     size = rows.groupBy("leaf").count().select("leaf", F.ceil(F.col("count") / most).cast("long").alias("parts"))
     cut = rows.join(F.broadcast(size.filter("parts > 1")), "leaf", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))  # a row for each leaf at most
-    data = cut.select("leaf", F.pmod(F.xxhash64("vec_id"), "parts").alias("part"), F.lit(1).cast("long").alias("kind"), F.col("vec_id").alias("id"), "v")
-    ask = asked.mapInArrow(route, "leaf long, query_id long, v array<double>").join(F.broadcast(size), "leaf")
-    ask = ask.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).cast("long").alias("kind"), F.col("query_id").alias("id"), "v")
+    data = cut.select("leaf", F.pmod(F.xxhash64("vec_id"), "parts").alias("part"), F.lit(1).cast("long").alias("kind"), F.lit(0).cast("long").alias("q"), F.col("vec_id").alias("id"), "v")
+    ask = asked.mapInArrow(route, "leaf long, q long, query_id long, v array<double>").join(F.broadcast(size), "leaf")
+    ask = ask.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).cast("long").alias("kind"), "q", F.col("query_id").alias("id"), "v")
 
     def best_here(found: list) -> list:
-        """One triple of arrays with the k nearest of each query among the triples (query, id, distance)."""
-        q, n, d = (np.concatenate(c) for c in zip(*found, strict=True))
+        """One list of arrays with the k nearest of each query among the lists (q, query, id, distance)."""
+        q, own, n, d = (np.concatenate(c) for c in zip(*found, strict=True))
         order = np.lexsort((n, d, q))
-        q, n, d = q[order], n[order], d[order]
+        q, own, n, d = q[order], own[order], n[order], d[order]
         first = np.maximum.accumulate(np.where(np.r_[True, q[1:] != q[:-1]], np.arange(len(q)), 0))
         keep = np.arange(len(q)) - first < k
-        return [(q[keep], n[keep], d[keep])]
+        return [(q[keep], own[keep], n[keep], d[keep])]
+
+    names = ["q", "query_id", "vec_id", "score"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = [], 0  # a task merges what its leaves give before it hands on
         for t in _grouped(batches, 2):
             t = t.combine_chunks()
-            kind, ids, v = t.column(2).to_numpy(), t.column(3).to_numpy(), matrix(t.column(4).combine_chunks())
+            kind, number, ids, v = t.column(2).to_numpy(), t.column(3).to_numpy(), t.column(4).to_numpy(), matrix(t.column(5).combine_chunks())
             own, x = ids[kind == 1], v[kind == 1]
-            for q, y in zip(ids[kind == 0], v[kind == 0], strict=True):
-                use = own != q
+            for q, me, y in zip(number[kind == 0], ids[kind == 0], v[kind == 0], strict=True):
+                use = own != me
                 d = distances(x[use], y)
                 at = nearest(own[use], d, k)
-                found.append((np.full(len(at), q), own[use][at], d[at]))
+                found.append((np.full(len(at), q), np.full(len(at), me), own[use][at], d[at]))
                 size += len(at)
             if size > 400_000:
                 found = best_here(found)
                 size = len(found[0][0])
                 if size > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found[0]], ["query_id", "vec_id", "score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found[0]], names)
                     found, size = [], 0
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in best_here(found)[0]], ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in best_here(found)[0]], names)
 
     both = data.union(ask).repartition("leaf", "part").sortWithinPartitions("leaf", "part", "kind")
-    return best(both.mapInArrow(search, "query_id long, vec_id long, score double"), k, True)
+    return best(both.mapInArrow(search, "q long, query_id long, vec_id long, score double"), k, True)
 
 
 def indexed(v: DataFrame, tree: dict) -> DataFrame:
@@ -211,19 +222,19 @@ def calibrated(rows: DataFrame, tree: dict, probes: int, k: int, recall: float,
         for b in batches:
             leaf, ids, x = b.column(0).to_numpy(), b.column(1).to_numpy(), matrix(b.column(2))
             out = ([], [], [], [])
-            for q, y in zip(pids, pv, strict=True):
-                use = np.flatnonzero(ids != q)
+            for q, (me, y) in enumerate(zip(pids, pv, strict=True)):
+                use = np.flatnonzero(ids != me)
                 at = use[nearest(ids[use], distances(x[use], y), k)]
                 for o, c in zip(out, (np.full(len(at), q), ids[at], distances(x[at], y), leaf[at]), strict=True):
                     o.append(c)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], ["query_id", "vec_id", "score", "leaf"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], ["q", "vec_id", "score", "leaf"])
 
-    near = rows.mapInArrow(truth, "query_id long, vec_id long, score double, leaf long")
-    top = near.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id", "leaf"))), 1, k).alias("top")).collect()
-    where = {r["query_id"]: [x["leaf"] for x in r["top"]] for r in top}
+    near = rows.mapInArrow(truth, "q long, vec_id long, score double, leaf long")
+    top = near.groupBy("q").agg(F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id", "leaf"))), 1, k).alias("top")).collect()
+    where = {r["q"]: [x["leaf"] for x in r["top"]] for r in top}
     n = int((tree["count"] == 0).sum())
     needed = np.zeros(n + 1)
-    for q, y in zip(pids.tolist(), pv, strict=True):
+    for q, y in enumerate(pv):
         place = {leaf: i + 1 for i, leaf in enumerate(visits(tree, y, n))}
         for leaf in where.get(q, []):
             needed[place[leaf]] += 1
@@ -242,11 +253,11 @@ def neighbours(table: DataFrame, every: int, k: int, recall: float = 0.95, margi
     part = v if n <= sample else v.filter(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1_000_000)) < int(1_000_000 * sample / n))
     x = matrix(part.select("v").limit(2 * sample).toArrow().column(0).combine_chunks())
     if not len(x):
-        return best(v.select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0.0).alias("score")), k, True)
+        return best(v.select(F.lit(0).cast("long").alias("q"), F.col("vec_id").alias("query_id"), "vec_id", F.lit(0.0).alias("score")), k, True).drop("q")
     tree = fit(x, max(2, int(max(leaf_rows * min(1.0, len(x) / n), len(x) / max_leaves))))
     rows = written(indexed(v, tree), "index")
     leaves = calibrated(rows, tree, probes, k, recall, margin)
-    return searched(rows, rows.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v"), tree, leaves, k)
+    return searched(rows, queries(rows, every), tree, leaves, k).drop("q")
 
 
 def op3_ann(spark, sf_dir: str) -> DataFrame:

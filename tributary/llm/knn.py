@@ -1,9 +1,10 @@
 """Exact top-k by inner product of integers, with KD-trees over shards.
 
-Vectors that are null, or hold null or non-finite components, take no part, nor do those of another length than the most frequent
-one. Zero vectors do. A score beyond 64 bits is the largest or smallest long. Rows that repeat a vec_id are rows of their own, apart
-from a query's own id. Fewer candidates than wanted are all returned. An empty table gives an empty result. Only vec_id and
-embedding are read.
+Vectors that are null, empty, or hold null or non-finite components take no part, nor do rows without a vec_id; vectors of different
+lengths raise an error. Zero vectors take part. A score beyond 64 bits is the largest or smallest long. Rows that repeat a vec_id are
+rows of their own: each of them asks for itself, so that its id has as many answers as rows, and a query's candidates are the rows
+with any other id. Fewer candidates than wanted are all returned. An empty table gives an empty result. Only vec_id and embedding
+are read.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.ann import _grouped, best, matrix, vectors
+from tributary.llm.ann import _grouped, best, matrix, queries, vectors
 from tributary.llm.common import written
 
 
@@ -49,8 +50,7 @@ class KDTree:
         self.order, self.low, self.high = order, np.array(low), np.array(high)
 
     def bounds(self, q: np.ndarray) -> np.ndarray:
-        """For each query and node, the largest inner product that a vector in the node's box can have."""
-        return np.maximum(q, 0) @ self.high.T + np.minimum(q, 0) @ self.low.T
+        return bounds(q, self.low, self.high)
 
     def search(self, q: np.ndarray, bound: np.ndarray, ids: np.ndarray, own: int, k: int, floor: float) -> list[tuple[float, int]]:
         """(score, vec_id) of the k best, best node first; nodes that can't reach the k-th score so far, or floor, stay closed."""
@@ -90,48 +90,145 @@ def exact(v: np.ndarray) -> np.ndarray:
     return np.array([[floor(256 * x) if abs(x) < 1e300 else 256 * int(x) for x in row] for row in v.tolist()], dtype=object)
 
 
-def top_products(table: DataFrame, every: int, k: int, shard: int = 8192, block: int = 1024, seed: int = 4096) -> DataFrame:
+def top_splits(x: np.ndarray, parts: int) -> list[tuple[int, float, int, int]]:
+    """Median splits of the sample x into `parts` shards: (dimension, value, left, right); a negative child -1 - s is shard s."""
+    splits: list = []
+    shard = 0
+
+    def cut(at: np.ndarray, n: int) -> int:
+        nonlocal shard
+        rows = x[at]
+        spread = rows.max(axis=0) - rows.min(axis=0) if len(at) else np.zeros(1)
+        d = int(spread.argmax())
+        if n < 2 or not spread[d] > 0:
+            shard += 1
+            return -shard
+        value = float(np.partition(rows[:, d], len(at) // 2)[len(at) // 2])
+        left = rows[:, d] < value
+        if not left.any():  # more than half have the least value: it gets a side of its own
+            value = float(rows[rows[:, d] > value, d].min())
+            left = rows[:, d] < value
+        me = len(splits)
+        splits.append(None)
+        splits[me] = (d, value, cut(at[left], n // 2), cut(at[~left], n - n // 2))
+        return me
+
+    cut(np.arange(len(x)), parts)
+    return splits
+
+
+def shard_of(splits: list, x: np.ndarray) -> np.ndarray:
+    out, todo = np.zeros(len(x), np.int64), [(0, np.arange(len(x)))] if splits else []
+    while todo:
+        node, at = todo.pop()
+        d, value, left, right = splits[node]
+        low = x[at, d] < value
+        for child, rows in ((left, at[low]), (right, at[~low])):
+            if child < 0:
+                out[rows] = -1 - child
+            elif len(rows):
+                todo.append((child, rows))
+    return out
+
+
+def bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """For each query and box, the largest inner product that a vector in the box can have."""
+    return np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+
+
+def top_products(table: DataFrame, every: int, k: int, shard: int = 8192, block: int = 65_536, first: int = 2, max_shards: int = 8192, most: int = 65_536) -> DataFrame:
     """(query_id, rank, vec_id, score): for each vec_id divisible by `every`, its k highest inner products over all other rows.
 
-    The rows are dealt into shards of about `shard` rows, the queries into blocks of about `block`; each shard's tree is searched
-    by each block. A query starts from the k-th score among `seed` rows at most, which each task gets: no tree opens a box that
-    stays below it. The number of rows that are compared is the rows times the stated queries at worst, in blocks.
+    Median splits of a sample cut the table into shards of about `shard` rows, max_shards at most; a shard of over `most` rows is
+    cut further by a hash. The shards' tight boxes are broadcast, max_shards times max_parts of them at most. In a first wave each
+    query visits the `first` shards whose boxes promise most; its k-th score then goes with it into the second wave, to all other
+    shards that can still reach it and to no more. In a shard, a KD-tree is searched best box first from that score. Rows are shuffled
+    once a wave, and again only for each further `block` queries that a shard is asked.
     """
     spark = table.sparkSession
     v = written(vectors(table, zero_too=True), "vectors")
     n = v.count()
-    shards, blocks = max(1, -(-n // shard)), max(1, -(-n // (every * block)))
-    near = v.orderBy(F.xxhash64("vec_id", F.lit("seed")), "vec_id").limit(seed) if n <= 4 * seed else v.filter(F.pmod(F.xxhash64("vec_id", F.lit("seed")), F.lit(1_000_000)) < int(1_000_000 * seed / n)).limit(seed)
-    first = near.collect()
-    shared = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in first], np.int64), np.array([r["v"] for r in first])))
-    part = F.pmod(F.xxhash64("vec_id", F.lit("shard")), F.lit(shards))
-    data = v.select(part.alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.lit(1).cast("long").alias("kind"), "vec_id", "v")
-    asked = v.filter(F.col("vec_id") % every == 0)
-    ask = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).alias("block"), F.lit(0).cast("long").alias("kind"), "vec_id", "v")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shards = min(max_shards, max(1, -(-n // shard)))
+    sample = 16 * shards
+    near = v if n <= 2 * sample else v.filter(F.pmod(F.xxhash64("vec_id", F.lit("split")), F.lit(1_000_000)) < int(1_000_000 * sample / n))
+    x = matrix(near.select("v").limit(2 * sample).toArrow().column(0).combine_chunks()) if shards > 1 else np.zeros((0, 1))
+    splits = spark.sparkContext.broadcast(top_splits(x, shards) if len(x) else [])
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(shard_of(splits.value, matrix(b.column(1)))), *b.columns], ["shard", "vec_id", "v"])
+
+    rows = v.mapInArrow(dealt, "shard long, vec_id long, v array<double>")
+    many = rows.groupBy("shard").count().filter(F.col("count") > most).select("shard", F.ceil(F.col("count") / most).cast("long").alias("parts"))
+    rows = rows.join(F.broadcast(many), "shard", "left")  # a row for each shard at most
+    rows = written(rows.select((F.col("shard") * (1 << 32) + F.pmod(F.xxhash64("vec_id"), F.coalesce("parts", F.lit(1)))).alias("shard"), "vec_id", "v"), "shards")
+
+    def boxed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        box: dict = {}
+        for b in batches:
+            s, m = b.column(0).to_numpy(), np.floor(256 * matrix(b.column(1)))
+            for i in np.unique(s):
+                lo, hi = m[s == i].min(axis=0), m[s == i].max(axis=0)
+                old = box.get(i, (lo, hi))
+                box[i] = (np.minimum(lo, old[0]), np.maximum(hi, old[1]))
+        low, high = ([x[i].tolist() for x in box.values()] for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(list(box), pa.int64()), pa.array(low, pa.list_(pa.float64())), pa.array(high, pa.list_(pa.float64()))], ["shard", "low", "high"])
+
+    at = F.posexplode(F.arrays_zip("low", "high")).alias("d", "x")
+    box = rows.select("shard", "v").mapInArrow(boxed, "shard long, low array<double>, high array<double>")
+    box = box.select("shard", at).groupBy("shard", "d").agg(F.min("x.low").alias("low"), F.max("x.high").alias("high"))
+    box = box.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("d", "low", "high"))).alias("b")).select("shard", F.col("b.low").alias("low"), F.col("b.high").alias("high")).orderBy("shard").collect()
+    low, high = np.array([r["low"] for r in box]), np.array([r["high"] for r in box])
+    wide = bool(len(box)) and not (low.shape[1] * max(np.abs(low).max(), np.abs(high).max()) ** 2 < 2**53)  # then products aren't exact in doubles
+    shared = spark.sparkContext.broadcast((np.array([r["shard"] for r in box], np.int64), low, high))
+
+    def routed(wave: int):
+        """Rows (q, query_id, floor, v) to one for each shard that the query visits in the wave."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, low, high = shared.value
+            for b in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
+                reach = np.zeros((b.num_rows, len(ids))) if wide else bounds(np.floor(256 * matrix(b.column(3))), low, high)
+                order = np.argsort(-reach, axis=1, kind="stable")[:, :first]
+                begin = np.zeros(reach.shape, bool)
+                np.put_along_axis(begin, order, True, axis=1)
+                floor = b.column(2).to_numpy(zero_copy_only=False)[:, None]
+                go = begin if wave == 0 else ~begin if wide else ~begin & (reach >= floor)
+                q, s = np.nonzero(go)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[s]), *(c.take(pa.array(q)) for c in b.columns)], ["shard", "q", "query_id", "floor", "v"])
+
+        return run
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _grouped(batches, 2):
-            kind, ids, all_ = t.column(2).to_numpy(), t.column(3).to_numpy(), matrix(t.column(4).combine_chunks())
-            own, mine, qids = ids[kind == 1], all_[kind == 1], ids[kind == 0]
-            if not len(own) or not len(qids):
+            kind, number, ids, floor, all_ = *(t.column(i).to_numpy() for i in (2, 3, 4, 5)), matrix(t.column(6).combine_chunks())
+            own, asking = ids[kind == 0], np.flatnonzero(kind == 1)
+            if not len(own) or not len(asking):
                 continue
-            sid, sv = shared.value
-            both = exact(np.concatenate([mine, all_[kind == 0], sv]))
-            x, q, s = both[: len(own)], both[len(own) : len(own) + len(qids)], both[len(own) + len(qids) :]
-            tree = KDTree(x)
-            bound, known = tree.bounds(q), q @ s.T
-            qs, ns, ss = [], [], []
-            for i, me in enumerate(qids.tolist()):
-                other = known[i][sid != me]
-                floor = np.sort(other)[-k] if len(other) >= k else -float("inf")
-                got = tree.search(q[i], bound[i], own, me, k, floor)
-                qs += [me] * len(got)
-                ns += [a for _, a in got]
-                ss += [max(-(2**63), min(2**63 - 1, int(a))) for a, _ in got]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (qs, ns, ss)], ["query_id", "vec_id", "score"])
-
-    rows = data.union(ask).repartition("shard", "block").sortWithinPartitions("shard", "block", "kind")
-    return best(rows.mapInArrow(run, "query_id long, vec_id long, score long"), k, False)
+            both = exact(all_)
+            tree = KDTree(both[kind == 0])
+            out: tuple = ([], [], [], [])
+            for some in np.split(asking, range(1024, len(asking), 1024)):
+                reach = tree.bounds(both[some])
+                for i, b in zip(some.tolist(), reach, strict=True):
+                    got = tree.search(both[i], b, own, int(ids[i]), k, float(floor[i]))
+                    for o, x in zip(out, ([number[i]] * len(got), [ids[i]] * len(got), [a for _, a in got], [max(-(2**63), min(2**63 - 1, int(a))) for a, _ in got]), strict=True):
+                        o += x
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["q", "query_id", "vec_id", "score"])
+
+    def wave(ask: DataFrame, number: int) -> DataFrame:
+        ask = written(ask.select("q", "query_id", "floor", "v").mapInArrow(routed(number), "shard long, q long, query_id long, floor double, v array<double>"), f"wave{number}")
+        blocks = F.broadcast(ask.groupBy("shard").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks")))  # a row for each shard at most
+        data = rows.join(blocks, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(0).cast("long").alias("kind"), F.lit(0).cast("long").alias("q"), "vec_id", F.lit(0.0).alias("floor"), "v")
+        come = ask.join(blocks, "shard").select("shard", F.pmod(F.xxhash64("q"), "blocks").alias("block"), F.lit(1).cast("long").alias("kind"), "q", "query_id", "floor", "v")
+        found = data.union(come).repartition("shard", "block").sortWithinPartitions("shard", "block", "kind").mapInArrow(search, "q long, query_id long, vec_id long, score long")
+        return written(best(found, k, False), f"found{number}")
+
+    asked = queries(rows.select("vec_id", "v"), every)
+    one = wave(asked.withColumn("floor", F.lit(-float("inf"))), 0)
+    floor = one.filter(F.col("rank") == k).select("q", F.col("score").cast("double").alias("floor"))
+    two = wave(asked.join(floor, "q", "left").withColumn("floor", F.coalesce("floor", F.lit(-float("inf")))), 1)
+    return best(one.union(two).drop("rank"), k, False).drop("q")
 
 
 def op9_topk(spark, sf_dir: str) -> DataFrame:
@@ -141,13 +238,13 @@ def op9_topk(spark, sf_dir: str) -> DataFrame:
 
 OP9_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  SELECT row_number() OVER () AS q, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  SELECT q.q, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
 ), r AS (
-  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+  SELECT query_id, (row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
