@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from xxhash import xxh64_intdigest
 
 from tributary.llm import bpe, langid, licenses, mixing, quality, simhash
-from tributary.llm.common import connected_components
+from tributary.llm.common import connected_components, sieve
 
 WORDS = "the of and licence quick brown fox jumps over lazy dog alpha beta gamma delta".split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, copies int, row int, n int, bits double, keep int, whole int, fp int"
@@ -81,8 +81,8 @@ def test_links_split_hot_shards(spark):
     near = {int(0x123456789ABCDEF ^ sum(1 << int(b) for b in rng.choice(64, 3, replace=False))) for _ in range(300)} | {int(x) for x in rng.integers(0, 2**62, 100)}
     fps = sorted(f - (1 << 64) if f >> 63 else f for f in near)
     df = spark.createDataFrame([(f,) for f in fps], "fp long")
-    for most, fine in ((2048, 10**9), (20, 10**9), (50, 0)):
-        root = {r.node: r.root for r in connected_components(simhash.links(df, 3, most, fine)).collect()}
+    for size, most in ((1024, 4096), (10, 20), (1, 50), (0.0001, 50)):  # the last takes two of five blocks
+        root = {r.node: r.root for r in connected_components(simhash.links(df, 3, size, most)).collect()}
         of = groups(len(fps), lambda i, j: ((fps[i] ^ fps[j]) % 2**64).bit_count() <= 3)
         assert {f: root.get(f, f) for f in fps} == {f: fps[g] for f, g in zip(fps, of, strict=True)}
 
@@ -97,6 +97,36 @@ def test_bk_tree_follows_all_edges():
     assert found == set(zip(*(x.tolist() for x in np.nonzero(np.bitwise_count(u[:, None] ^ u) <= 5)), strict=True))
 
 
+def test_bk_tree_leaves_edges_out_of_the_radius_alone():
+    rng = np.random.default_rng(14)
+    keys = rng.integers(-(2**63), 2**63 - 1, 1000)
+    tree, followed, left = simhash.BKTree(keys), 0, 0
+
+    def count(node, q):
+        nonlocal followed, left
+        if isinstance(node, tuple):
+            d = int(np.bitwise_count(tree.keys[node[0]] ^ q))
+            for e, child in node[1].items():
+                if abs(d - e) <= 3:
+                    followed += 1
+                    count(child[0], q)
+                else:
+                    left += 1
+
+    for q in tree.keys[:20]:
+        count(tree.root, q)
+    assert followed > 1000 and left > 500
+
+
+def test_sieve_lets_all_keys_pass(spark):
+    keys = spark.range(3000).selectExpr("xxhash64(id) AS h")
+    rows = spark.range(30_000).selectExpr("id", "xxhash64(id) AS h")
+    passed = {r.id for r in rows.filter(sieve(keys)("h")).collect()}
+    assert set(range(3000)) <= passed and len(passed) < 4500
+    assert rows.filter(sieve(keys.limit(0))("h")).count() == 0
+    assert set(range(3000)) <= {r.id for r in rows.filter(sieve(keys, most_bits=1 << 15)("h")).collect()}
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 2), (2, 3), (3, 1), (7, 8)], [(i, i + 1) for i in range(70)], [(0, i) for i in range(50)] + [(60, 50), (50, 49)]])
 def test_connected_components(spark, edges):
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -134,8 +164,21 @@ def test_near_duplicates_with_repeated_passages(spark):
             texts += [f"{body} {passage}", f"{body}{(' ' + passage) * n}", say(200)]
     of = own_keepers(texts)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for most in (512, 2):
-        assert {(r.doc_id, r.keeper) for r in simhash.near_duplicates(df, most=most).collect()} == {(i, g) for i, g in enumerate(of) if i != g}
+    for most, early in ((512, 4), (2, 4), (512, 1)):
+        assert {(r.doc_id, r.keeper) for r in simhash.near_duplicates(df, most=most, early=early).collect()} == {(i, g) for i, g in enumerate(of) if i != g}
+
+
+def test_near_duplicates_at_the_similarity(spark):
+    rng = np.random.default_rng(15)
+    texts = []
+    for _ in range(40):  # 200 words with a stretch of 1 to 30 exchanged: similarities from 1 to 0.7, many near 0.8
+        w = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+        n, at = int(rng.integers(1, 30)), int(rng.integers(0, 170))
+        texts += [" ".join(w), " ".join(w[:at] + [f"v{x}" for x in rng.integers(0, 5000, n)] + w[at + n :])]
+    of = own_keepers(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.doc_id, r.keeper) for r in simhash.near_duplicates(df).collect()} == {(i, g) for i, g in enumerate(of) if i != g}
+    assert 40 < len(set(of)) < 80
 
 
 def test_near_duplicates_keep_different_texts_of_one_id(spark):

@@ -10,6 +10,8 @@ import uuid
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +80,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sieve(keys: DataFrame, most_bits: int = 1 << 28) -> Callable[[F.Column], F.Column]:
+    """A function of a column of hashes to whether it may be among keys (h long): true for all that are, and for few others.
+
+    A Bloom filter of some 16 bits a key, 32 MB at most, is broadcast; with more keys than that allows, more others pass. What passes
+    is to be joined with the keys themselves: the sieve only saves the shuffle of all the rest.
+    """
+    spark = keys.sparkSession
+    bits = min(most_bits, max(1 << 15, 1 << (16 * keys.count()).bit_length()))
+    place = F.explode(F.array(*(F.shiftright("h", n).bitwiseAND(F.lit(bits - 1)) for n in (0, 32))))
+    maps = keys.select(place.alias("p")).groupBy(F.shiftright("p", 15).alias("bucket")).agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(F.lit(32767))).alias("bits"))
+    full = np.zeros(bits // 8, np.uint8)
+    for r in maps.collect():  # bits // 32768 rows of 4096 bytes at most
+        full[r["bucket"] * 4096 : (r["bucket"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    shared = spark.sparkContext.broadcast(full)
+
+    @F.pandas_udf("boolean")
+    def passes(h: pd.Series) -> pd.Series:
+        x, hit = h.to_numpy().astype(np.int64), np.ones(len(h), bool)
+        for n in (0, 32):
+            p = (x >> n) & (bits - 1)
+            hit &= (shared.value[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+        return pd.Series(hit)
+
+    return passes
+
+
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) for every node of the edges (a long, b long); root is the smallest node that can be reached.
 

@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import evict, scratch, written
+from tributary.llm.common import evict, scratch, sieve, written
 
 ORDER = 5
 #: Before a text stand ORDER - 1 of this symbol, which isn't a code point and is never predicted.
@@ -364,8 +364,10 @@ class Judge:
         ids = written(trusted_ids(labels), "trusted")
         self.names = [f"c{i}" for i in range(len(documents.columns))]
         at = {c: self.names[documents.columns.index(c)] for c in ("doc_id", "text", "lang")}
-        train = documents.join(ids.filter("train").select("doc_id"), "doc_id", "left_semi").select("text").filter("length(text) > 0")
-        table, floor = model(train)
+        train = ids.filter("train").select("doc_id")
+        trusted = sieve(train.select(F.xxhash64("doc_id").alias("h")))
+        texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("length(text) > 0").filter(trusted(F.xxhash64("doc_id")))
+        table, floor = model(texts.join(train, "doc_id", "left_semi"))  # only texts that pass are shuffled
         if keep:  # under names that can't clash
             rows = scored(documents.toDF(*["text" if n == at["text"] else n for n in self.names]), table, floor).withColumnRenamed("text", at["text"])
         else:

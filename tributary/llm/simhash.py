@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from tributary.llm.common import connected_components, evict, written
+from tributary.llm.common import connected_components, evict, sieve, written
 
 SEED = 42
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -63,7 +63,7 @@ class BKTree:
     a bucket, where the distances are taken directly.
     """
 
-    LEAF = 32
+    LEAF = 8
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys.view(np.uint64)  # of a negative number, numpy counts the bits of its absolute value
@@ -181,26 +181,30 @@ def in_parts(shards: DataFrame, key: list[str], salt: str, most: int) -> DataFra
     return cut.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("parts", "other")
 
 
-def block_keys(fp: str, radius: int, blocks: int):
-    """Array of (block, value): two fingerprints within the radius agree in at least one. Of the blocks, all but radius agree."""
+def block_keys(fp: str, radius: int, blocks: int, bits: int):
+    """Array of (block, value): two fingerprints within the radius agree in at least one. Of the blocks, all but radius agree; a value has `bits` bits of these."""
     edge = [64 * i // blocks for i in range(blocks + 1)]
     keys = []
     for n, kept in enumerate(combinations(range(blocks), blocks - radius)):
-        mask = reduce(lambda m, i: m | (((1 << edge[i + 1]) - 1) & ~((1 << edge[i]) - 1)), kept, 0)
+        places = sorted((p - edge[i], p) for i in kept for p in range(edge[i], edge[i + 1]))[:bits]
+        mask = sum(1 << p for _, p in places)
         signed = mask - (1 << 64) if mask >> 63 else mask
         keys.append(F.struct(F.lit(n).cast("long").alias("block"), F.col(fp).bitwiseAND(F.lit(signed).cast("long")).alias("value")))
     return F.array(*keys)
 
 
-def links(fps: DataFrame, radius: int = 3, most: int = 2048, fine_from: int = 4_000_000) -> DataFrame:
+def links(fps: DataFrame, radius: int = 3, size: int = 1024, most: int = 4096) -> DataFrame:
     """Edges (a, b) that join the distinct fingerprints within the radius into their components; no pair is missed.
 
-    A shard holds the fingerprints that agree in one block of bits. The trees of the shards are built in the tasks that hold
-    them, since together they grow with the corpus and can't be broadcast. From fine_from fingerprints on, shards take two of
-    five blocks in place of one of four.
+    A shard holds the fingerprints that agree in some bits of one block out of radius + 1, as many bits as give shards of about
+    `size` fingerprints; when a block has too few bits, in those of two blocks out of radius + 2, and so on. So the work grows with the
+    fingerprints and not with their square. The trees of the shards are built in the tasks that hold them, since together they grow
+    with the corpus and can't be broadcast.
     """
-    blocks = radius + 1 if fps.count() < fine_from else radius + 2
-    shards = fps.select("fp", F.explode(block_keys("fp", radius, blocks)).alias("k")).select("k.block", "k.value", "fp")
+    bits, blocks = max(0, int(max(1, fps.count()) / size).bit_length()), radius + 1
+    while blocks < 64 and (blocks - radius) * (64 // blocks) < min(bits, 40):
+        blocks += 1
+    shards = fps.select("fp", F.explode(block_keys("fp", radius, blocks, bits)).alias("k")).select("k.block", "k.value", "fp")
     rows = in_parts(shards, ["block", "value"], "fp", most).select("block", "value", "i", "j", "part", "fp")
     return rows.repartition("block", "value", "i", "j").sortWithinPartitions("block", "value", "i", "j").mapInArrow(_by_shard(radius), "a long, b long")
 
@@ -217,7 +221,7 @@ def components(documents: DataFrame, k: int = 3, radius: int = 3) -> DataFrame:
 
 # ---- near-duplicates by similarity of shingles
 
-ROWS, BANDS = 4, 14
+ROWS, BANDS = 4, 24
 _RNG = np.random.default_rng(SEED)
 _MULTIPLY = _RNG.integers(1, 2**63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 2**63, ROWS * BANDS, dtype=np.uint64)
@@ -260,16 +264,20 @@ def _key(c: str) -> F.Column:
     return F.unhex(F.md5(F.coalesce(F.col(c), F.lit("")).cast("binary"))).alias("key")
 
 
+def _row() -> F.Column:
+    return F.xxhash64("doc_id", "key")
+
+
 def shingle_sets(documents: DataFrame, k: int) -> DataFrame:
-    """(id, shingles) of rows (id, text): the distinct hashes in order, 32 bits of each."""
+    """(doc_id, key, shingles) of rows (doc_id, key, text): the distinct hashes in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evict()
         for b in batches:
-            out = [np.unique(shingle_hashes(words(t.as_py()), k).astype(np.uint32)).tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["id", "shingles"])
+            out = [np.unique(shingle_hashes(words(t.as_py()), k)).tobytes() for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(out, pa.binary())], ["doc_id", "key", "shingles"])
 
-    return documents.select("id", "text").mapInArrow(run, "id long, shingles binary")
+    return documents.select("doc_id", "key", "text").mapInArrow(run, "doc_id long, key binary, shingles binary")
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -336,7 +344,7 @@ def _verified(radius: int, similarity: float, piece: int = 1_000_000):
         evict()
         for t in _shards(batches):
             fp, ids, (tree, ask) = t.column("fp").to_numpy(), t.column("id").to_numpy(), _sides(t)
-            sets = [np.frombuffer(x, np.uint32) for x in t.column("shingles").to_pylist()]
+            sets = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
             size = np.fromiter(map(len, sets), np.int64, len(sets))
             root = np.arange(len(ids))
 
@@ -364,7 +372,7 @@ def _verified(radius: int, similarity: float, piece: int = 1_000_000):
     return run
 
 
-def near_duplicates(documents: DataFrame, k: int = 5, similarity: float = 0.8, radius: int = 24, most: int = 512) -> DataFrame:
+def near_duplicates(documents: DataFrame, k: int = 5, similarity: float = 0.8, radius: int = 24, most: int = 512, early: int = 4) -> DataFrame:
     """(doc_id, key, keeper) of every document but the first by doc_id and key of its group; keeper is the first one's doc_id.
 
     key is a digest of the text. Groups are of texts, each of which has an id of its own, so a doc_id that is null or that different
@@ -372,34 +380,53 @@ def near_duplicates(documents: DataFrame, k: int = 5, similarity: float = 0.8, r
 
     Documents are linked if their words are the same, or if the Jaccard similarity of their distinct shingles of k words is at
     least `similarity`; a group is what links connect. At 0.8, fingerprints differ in ten bits or so, too many for blocks of equal
-    bits, so a shard holds the documents that agree in a band of minima, which a pair at 0.8 misses once in some thousand times.
+    bits, so a shard holds the documents that agree in a band of minima, which a pair at 0.8 misses once in some 300,000 times.
     Every pair of a shard whose sizes admit the similarity is verified on the shingles themselves, unless its rows are linked
-    already; a BK-tree over the fingerprints of distinct shingles gives the pairs within the radius first.
+    already; a BK-tree over the fingerprints of distinct shingles gives the pairs within the radius first. The `early` bands come
+    first and link most of what is alike; of the others, only shards that hold more than one group so far get shingles.
     """
     docs = documents.select(_id("doc_id"), _key("text"), "text")
     sig = written(signatures(documents, k), "signatures")
     first = sig.groupBy("same").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("bands").alias("bands"))
     first = written(first.withColumn("id", F.monotonically_increasing_id()), "first")
-    shards = first.select(F.explode("bands").alias("band"), "id", "fp", "size")
-    rows = in_parts(shards, ["band"], "id", most).select("band", "i", "j", "part", "id", "fp", "size")
-    near = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_near(similarity), "band long, i long, j long, part long, id long, fp long, size long")
-    near = written(near, "near")
-    held = docs.join(first.join(near.select("id").distinct(), "id", "left_semi").select("id", "least.doc_id", "least.key"), ["doc_id", "key"])
-    whole = near.join(shingle_sets(held, k).dropDuplicates(["id"]), "id").select("band", "i", "j", "part", "id", "fp", "shingles")
-    edges = whole.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_verified(radius, similarity), "a long, b long")
-    root = written(connected_components(edges), "roots")
+    columns = ["band", "i", "j", "part", "id", "fp", "size"]
+
+    def wave(bands: F.Column, root: DataFrame | None) -> DataFrame:
+        """The edges (a, b) that the shards of these bands give."""
+        shards = first.select(F.explode(bands).alias("band"), "id", "fp", "size")
+        if root is not None:
+            mixed = shards.join(root, F.col("id") == F.col("node"), "left").select("band", F.coalesce("root", "id").alias("root"))
+            mixed = mixed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
+            shards = shards.join(mixed, "band", "left_semi")
+        rows = in_parts(shards, ["band"], "id", most).select(columns)
+        near = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_near(similarity), "band long, i long, j long, part long, id long, fp long, size long")
+        near = written(near, "near")
+        asked = written(first.join(near.select("id").distinct(), "id", "left_semi").select("id", "least.doc_id", "least.key"), "asked")
+        held = shingle_sets(docs.filter(sieve(asked.select(_row().alias("h")))(_row())), k).join(asked, ["doc_id", "key"])  # texts stay where they are
+        whole = near.join(held.dropDuplicates(["id"]), "id").select("band", "i", "j", "part", "id", "fp", "shingles")
+        edges = whole.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_verified(radius, similarity), "a long, b long")
+        return written(edges, "edges")
+
+    one = wave(F.slice("bands", 1, early), None)
+    root = written(connected_components(one), "roots")
+    two = wave(F.slice("bands", early + 1, BANDS), root)
+    root = written(connected_components(one.union(two)), "roots")
     group = written(first.join(root, F.col("id") == F.col("node"), "left").select("same", "least", F.coalesce("root", "id").alias("root")), "groups")
     group = group.select("same", "root").join(group.groupBy("root").agg(F.min("least").alias("least")), "root").select("same", "least")
     return sig.select("doc_id", "key", "same").join(group, "same").filter(F.struct("doc_id", "key") != F.col("least")).select("doc_id", "key", F.col("least.doc_id").alias("keeper")).distinct()
 
 
 def deduplicated(documents: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of documents, with all their columns, but one of each group only; of rows that repeat a doc_id and its text, one."""
+    """The rows of documents, with all their columns, but one of each group only; of rows that repeat a doc_id and its text, one.
+
+    Rows that are neither removed nor repeated aren't shuffled, except for the few that pass the sieve by chance.
+    """
     gone = written(near_duplicates(documents, k, similarity).select("doc_id", "key"), "gone")
-    rows = documents.select(F.struct("*").alias("whole"), _id("doc_id"), _key("text")).join(gone, ["doc_id", "key"], "left_anti")
-    if documents.select(_id("doc_id"), _key("text")).groupBy("doc_id", "key").count().filter("count > 1").limit(1).count():
-        rows = rows.dropDuplicates(["doc_id", "key"])
-    return rows.select("whole.*")
+    repeated = documents.select(_id("doc_id"), _key("text")).groupBy("doc_id", "key").count().filter("count > 1").select("doc_id", "key")
+    doubtful = sieve(written(gone.union(repeated).select(_row().alias("h")), "doubtful"))
+    rows = documents.select(F.struct("*").alias("whole"), _id("doc_id"), _key("text")).withColumn("doubt", doubtful(_row()))
+    kept = rows.filter("doubt").join(gone, ["doc_id", "key"], "left_anti").dropDuplicates(["doc_id", "key"])
+    return rows.filter("not doubt").select("whole.*").union(kept.select("whole.*"))
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:
