@@ -367,9 +367,11 @@ def test_perplexity_is_that_of_kneser_ney(spark):
 
 def test_segments_of_a_text_are_the_whole():
     texts = ["abcdefghij" * 3, None, "", "xy", "\U0001f600" * 9]
-    whole = [(int(o), tuple(int(x) for x in k)) for s, at, owner in quality.segments(texts) for o, k in zip(owner, zip(*(x[at] for x in quality.keys(s)), strict=True), strict=True)]
-    cut = [(int(o), tuple(int(x) for x in k)) for s, at, owner in quality.segments(texts, 4) for o, k in zip(owner, zip(*(x[at] for x in quality.keys(s)), strict=True), strict=True)]
-    assert whole == cut and len(whole) == 30 + 2 + 9
+
+    def rows(*most):
+        return [(int(o), tuple(k.tolist())) for s, at, owner in quality.segments(texts, *most) for o, k in zip(owner, quality.keys_at(quality.raw_keys(s), at).T, strict=True)]
+
+    assert rows() == rows(4) and len(rows()) == 30 + 2 + 9
 
 
 def test_quality_trains_on_all_that_is_not_held_out(spark):

@@ -18,7 +18,9 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +38,7 @@ FRACTION, ABSENT = 1024, 0xFFFF
 UNSEEN = float(np.log2(START))
 
 
-def segments(texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def segments(texts: list[str | None], most: int = 500_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(symbols, at, owner) of runs of about `most` characters: at tells where symbols has characters of the texts, owner of which.
 
     Before each of a segment's characters stand ORDER - 1 others or START.
@@ -59,19 +61,30 @@ def segments(texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[n
         yield np.concatenate(part), np.concatenate(where), np.concatenate(owner)
 
 
-def keys(symbols: np.ndarray) -> list[np.ndarray]:
-    """For each order from 1, the key of the n-gram that ends at each symbol."""
-    out, raw = [], np.zeros(len(symbols), np.uint64)
-    c = symbols.astype(np.uint64) + np.uint64(1)
-    for k in range(1, ORDER + 1):
-        raw = np.concatenate([raw[:1], raw[:-1]]) * np.uint64(0x9E3779B97F4A7C15) + c
-        x = raw + np.uint64(k * 0x632BE59BD9B4E019 % 2**64)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        out.append((x ^ (x >> np.uint64(31))) >> np.uint64(64 - KEY))
+def raw_keys(symbols: np.ndarray) -> list[np.ndarray]:
+    """For each order from 1, a number of the n-gram that ends at each symbol, from which mixed() makes its key."""
+    out, c = [], symbols.astype(np.uint64) + np.uint64(1)
+    for _ in range(ORDER):
+        raw = c.copy()
+        if out:
+            raw[1:] += out[-1][:-1] * np.uint64(0x9E3779B97F4A7C15)
+        out.append(raw)
     return out
 
 
+def mixed(raw: np.ndarray, order: int) -> np.ndarray:
+    """The keys of n-grams of one order."""
+    x = raw + np.uint64(order * 0x632BE59BD9B4E019 % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) >> np.uint64(64 - KEY)
+
+
+def keys_at(raw: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    """Rows of keys: of each order's n-gram that ends at the places, then of each order but the highest of what stands before its last character."""
+    return np.stack([mixed(r[at], k + 1) for k, r in enumerate(raw)] + [mixed(r[at - 1], k + 1) for k, r in enumerate(raw[:-1])])
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """(doc_id, train): three quarters of the trusted documents train, by a hash; the others never do."""
     good = labels.filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().dropna()
@@ -83,7 +96,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 GRAMS, BEFORE = [f"g{k}" for k in range(1, ORDER + 1)], [f"b{k}" for k in range(2, ORDER + 1)]
 
 
-def counted(texts: DataFrame, most: int = 2_000_000) -> DataFrame:
+def counted(texts: DataFrame, most: int = 300_000) -> DataFrame:
     """(g1.., b2.., n) over all rows of texts; a task sums its counts before it sends them, whenever it holds `most` n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,18 +106,21 @@ def counted(texts: DataFrame, most: int = 2_000_000) -> DataFrame:
             for i in range(0, len(times), 50_000):
                 yield pa.RecordBatch.from_arrays([*(pa.array(c[i : i + 50_000].astype(np.int64)) for c in seen), pa.array(times[i : i + 50_000])], [*GRAMS, *BEFORE, "n"])
 
-        for b in batches:
+        evict()
+        for b in (s for x in batches for s in slices(x, 0)):
             for symbols, at, _ in segments(b.column(0).to_pylist()):
-                k = keys(symbols)
-                _, first, n = np.unique(k[-1][at], return_index=True, return_counts=True)
-                rows = np.stack([x[at[first]] for x in k] + [x[at[first] - 1] for x in k[:-1]])
-                seen, times = np.concatenate([seen, rows], axis=1), np.concatenate([times, n])
-                _, first, same = np.unique(seen[ORDER - 1], return_index=True, return_inverse=True)
-                seen, times = seen[:, first], np.bincount(same, times, len(first)).astype(np.int64)
+                raw = raw_keys(symbols)
+                code, _ = pd.factorize(raw[-1][at])
+                first = np.flatnonzero(~pd.Series(code).duplicated())
+                seen, times = np.concatenate([seen, keys_at(raw, at[first])], axis=1), np.concatenate([times, np.bincount(code)])
                 if len(times) >= most:
-                    yield from out()
-                    seen, times = seen[:, :0], times[:0]
+                    _, first, same = np.unique(seen[ORDER - 1], return_index=True, return_inverse=True)
+                    seen, times = seen[:, first], np.bincount(same, times, len(first)).astype(np.int64)
+                    if len(times) >= most // 2:
+                        yield from out()
+                        seen, times = seen[:, :0], times[:0]
         yield from out()
+        evict()
 
     found = texts.select("text").mapInArrow(run, ", ".join(f"{c} long" for c in [*GRAMS, *BEFORE, "n"]))
     return found.groupBy(GRAMS[-1]).agg(*(F.min(c).alias(c) for c in [*GRAMS[:-1], *BEFORE]), F.sum("n").alias("n"))
@@ -194,13 +210,13 @@ def costs(texts: list[str | None], table: Table, floor: float) -> np.ndarray:
     """The model's bits for each text: p of the longest n-gram it has, after the weights of the contexts that it has of longer ones."""
     total = np.zeros(len(texts))
     for symbols, at, owner in segments(texts):
-        k, cost, left = keys(symbols), np.zeros(len(at), np.int64), np.arange(len(at))
+        raw, cost, left = raw_keys(symbols), np.zeros(len(at), np.int64), np.arange(len(at))
         for order in range(ORDER, 0, -1):
-            p = table.get(k[order - 1][at[left]], 0)
-            cost[left[p != ABSENT]] += p[p != ABSENT]
+            p = table.get(mixed(raw[order - 1][at[left]], order), 0)
+            cost[left] += np.where(p == ABSENT, 0, p)
             left = left[p == ABSENT]
             if order > 1 and len(left):
-                rest = table.get(k[order - 2][at[left] - 1], 1)
+                rest = table.get(mixed(raw[order - 2][at[left] - 1], order - 1), 1)
                 cost[left] += np.where(rest == ABSENT, 0, rest)
         bits = cost / FRACTION
         bits[left] += UNSEEN - np.log2(floor)
@@ -208,16 +224,13 @@ def costs(texts: list[str | None], table: Table, floor: float) -> np.ndarray:
     return total
 
 
-def slices(batch: pa.RecordBatch, text: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of whole rows whose texts have about `most` characters together."""
-    size, at = 0, 0
-    for i, t in enumerate(batch.column(text)):
-        size += t.as_buffer().size if t.is_valid else 0
-        if size >= most:
-            yield batch.slice(at, i + 1 - at)
-            at, size = i + 1, 0
-    if at < batch.num_rows:
-        yield batch.slice(at)
+def slices(batch: pa.RecordBatch, text: int, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of whole rows whose texts have about `most` bytes together."""
+    end, at = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(text)).cast(pa.int64()), 0)).to_numpy(), 0
+    while at < len(end):
+        to = int(np.searchsorted(end, (end[at - 1] if at else 0) + most)) + 1
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def asked(rows: DataFrame, text: int, shards: int, most: int = 48_000_000) -> DataFrame:
@@ -232,11 +245,12 @@ def asked(rows: DataFrame, text: int, shards: int, most: int = 48_000_000) -> Da
         store, base = fs.FileSystem.from_uri(root)
         store.create_dir(base, recursive=True)
         name = writer = sink = None
-        seen, size = np.zeros(0, np.uint64), 0
+        known, parts, size = np.zeros(0, np.uint64), [], 0
 
         def done() -> pa.RecordBatch:
             writer.close()
             sink.close()
+            seen = np.unique(np.concatenate(parts or [known]))
             shard = (seen % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             cut = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -250,13 +264,17 @@ def asked(rows: DataFrame, text: int, shards: int, most: int = 48_000_000) -> Da
                 writer = pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
             writer.write_batch(b)
             for symbols, at, _ in segments(b.column(text).to_pylist()):
-                used = np.zeros(len(symbols), bool)
-                used[at] = used[at - 1] = True
-                seen = np.unique(np.concatenate([seen, *(np.unique(k[used]) for k in keys(symbols))]))
+                raw = raw_keys(symbols)
+                whole = raw[-1][at]
+                new = np.flatnonzero(~pd.Series(whole).duplicated().to_numpy())  # the highest order's n-grams tell all others
+                if len(known):
+                    new = new[known[np.minimum(np.searchsorted(known, whole[new]), len(known) - 1)] != whole[new]]
+                known = np.sort(np.concatenate([known, whole[new]]))
+                parts.append(np.unique(keys_at(raw, at[new])))
                 size += len(at)
             if size >= most:
                 yield done()
-                writer, seen, size = None, seen[:0], 0
+                writer, known, parts, size = None, known[:0], [], 0
         if writer is not None:
             yield done()
         evict()
