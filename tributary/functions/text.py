@@ -5,6 +5,7 @@ Patterns are Unicode-aware and ignore case by (?iu). Where nothing matches the r
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -27,14 +28,23 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value evaluated once however often `use` names it, in any branch."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _nonempty(v: Column) -> Column:
+    return F.when(v != "", v)
+
+
 def blank_to_null(x) -> Column:
     """Null for text of white space only."""
-    return F.nullif(F.trim(_c(x)), F.lit(""))
+    return let(F.trim(_c(x)), _nonempty)
 
 
 def group(x, pattern: str, n: int = 1) -> Column:
     """Group n of the first match; null without a match or with an empty group."""
-    return F.nullif(F.regexp_extract(_c(x), pattern, n), F.lit(""))
+    return let(F.regexp_extract(_c(x), pattern, n), _nonempty)
 
 
 def first_group(x, patterns: list[str], n: int = 1) -> Column:
@@ -52,6 +62,16 @@ def money(x) -> Column:
     return F.coalesce(F.replace(F.replace(_c(x), F.lit("."), F.lit("")), F.lit(","), F.lit(".")).try_cast("double"), F.lit(0.0))
 
 
+def positive(x) -> Column:
+    """1.234,56 as a number; null for 0 and for anything that isn't one."""
+    return let(F.replace(F.replace(_c(x), F.lit("."), F.lit("")), F.lit(","), F.lit(".")).try_cast("double"), lambda v: F.when(v > 0, v))
+
+
+def first_positive(x, patterns: list[str]) -> Column:
+    """The amount of the first pattern, in their order, whose first match isn't 0."""
+    return F.coalesce(*[positive(group(x, p)) for p in patterns])
+
+
 def money_all(x) -> Column:
     """All amounts above 0, in their order."""
     return F.coalesce(F.filter(F.transform(F.regexp_extract_all(_c(x), F.lit(MONEY), F.lit(1)), money), lambda v: v > 0), F.array().cast("array<double>"))
@@ -64,10 +84,18 @@ def money_max(x) -> Column:
 
 def date_br(x) -> Column:
     """dd/MM/yyyy, dd-MM-yyyy or with two digits of the year, as yyyy-MM-dd. Two digits below 69 are of this century."""
-    t = F.replace(F.trim(_c(x)), F.lit("-"), F.lit("/"))
-    short = F.concat(F.substring(t, 1, 6), F.when(F.substring(t, 7, 2) < "69", "20").otherwise("19"), F.substring(t, 7, 2))
-    whole = F.when(t.rlike(r"^\d{2}/\d{2}/\d{4}$"), t).when(t.rlike(r"^\d{2}/\d{2}/\d{2}$"), short)
-    return F.date_format(F.try_to_date(whole, "dd/MM/yyyy"), "yyyy-MM-dd")
+
+
+    def whole(t: Column) -> Column:
+        short = F.concat(F.substring(t, 1, 6), F.when(F.substring(t, 7, 2) < "69", "20").otherwise("19"), F.substring(t, 7, 2))
+        return F.when(t.rlike(r"^\d{2}/\d{2}/\d{4}$"), t).when(t.rlike(r"^\d{2}/\d{2}/\d{2}$"), short)
+
+    return F.date_format(F.try_to_date(let(F.replace(F.trim(_c(x)), F.lit("-"), F.lit("/")), whole), "dd/MM/yyyy"), "yyyy-MM-dd")
+
+
+def date_loose(x) -> Column:
+    """d/M/yyyy with one or two digits of day and month, as yyyy-MM-dd."""
+    return F.date_format(F.try_to_date(_c(x), "d/M/yyyy"), "yyyy-MM-dd")
 
 
 def first_date(x) -> Column:
@@ -106,19 +134,18 @@ def cpf(x) -> Column:
 
 def cnpj_format(x, otherwise: str = "digits") -> Column:
     """14 digits as 00.000.000/0000-00. Other digit counts stay as digits, or give an empty text with otherwise='empty'."""
-    d = digits(x)
-    shown = F.regexp_replace(d, r"^(\d{2})(\d{3})(\d{3})(\d{4})(\d{2})$", r"$1.$2.$3/$4-$5")
-    return F.when(F.length(d) == 14, shown).otherwise(d if otherwise == "digits" else F.lit(""))
+    shown = lambda d: F.regexp_replace(d, r"^(\d{2})(\d{3})(\d{3})(\d{4})(\d{2})$", r"$1.$2.$3/$4-$5")
+    return let(digits(x), lambda d: F.when(F.length(d) == 14, shown(d)).otherwise(d if otherwise == "digits" else F.lit("")))
 
 
 def cnpj_flexible(x) -> Column:
     """The first run of 14 digits with any one separator between the groups, formatted."""
-    return F.when(_c(x).rlike(CNPJ_LOOSE), cnpj_format(group(x, CNPJ_LOOSE, 0)))
+    return let(group(x, CNPJ_LOOSE, 0), lambda g: F.when(g.isNotNull(), cnpj_format(g)))
 
 
 def cnpj_digits(x) -> Column:
     """The digits of a registration number; null unless there are 14."""
-    return F.when(F.length(digits(x)) == 14, digits(x))
+    return let(digits(x), lambda d: F.when(F.length(d) == 14, d))
 
 
 def cnpjs_all(x) -> Column:
@@ -203,16 +230,18 @@ def money_text(cents: Column) -> Column:
 
 def normalized_number(x) -> Column:
     """The part of a document number that counts: without prefix, year and leading zeros. Empty for null."""
-    t = F.regexp_replace(F.trim(F.coalesce(_c(x), F.lit(""))), r"(?iu)^(NF|NFSE|NFE|NOTA)[_\s\-]*", "")
-    zeros = lambda v: F.coalesce(F.nullif(F.regexp_replace(v, "^0+", ""), F.lit("")), F.lit("0"))
-    long = F.regexp_replace(t, "^0+", "")
-    long = F.when(long.rlike(r"^20(2\d|30)"), zeros(F.substr(long, F.lit(5), F.length(long)))).otherwise(long)
-    return (
-        F.when(t.rlike(r"\d{4}[./\-]\d+$"), zeros(F.regexp_extract(t, r"\d{4}[./\-](\d+)$", 1)))
-        .when(t.rlike(r"^\d{9,}$"), long)
-        .when(t.rlike(r"^\d+$"), zeros(t))
-        .otherwise(t)
-    )
+    zeros = lambda v: let(F.regexp_replace(v, "^0+", ""), lambda z: F.when(z != "", z).otherwise("0"))
+    year = lambda v: F.when(v.rlike(r"^20(2\d|30)"), zeros(F.substr(v, F.lit(5), F.length(v)))).otherwise(v)
+
+    def counted(t: Column) -> Column:
+        return (
+            F.when(t.rlike(r"\d{4}[./\-]\d+$"), zeros(F.regexp_extract(t, r"\d{4}[./\-](\d+)$", 1)))
+            .when(t.rlike(r"^\d{9,}$"), let(F.regexp_replace(t, "^0+", ""), year))
+            .when(t.rlike(r"^\d+$"), zeros(t))
+            .otherwise(t)
+        )
+
+    return let(F.regexp_replace(F.trim(F.coalesce(_c(x), F.lit(""))), r"(?iu)^(NF|NFSE|NFE|NOTA)[_\s\-]*", ""), counted)
 
 
 def same_number(a, b) -> Column:

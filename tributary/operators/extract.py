@@ -6,6 +6,7 @@ order routes the text. Everything is a native expression, so a scan of texts sta
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -22,7 +23,7 @@ DAY = r"(\d{2}/\d{2}/\d{4})"
 @dataclass
 class Extractor:
     name: str
-    doc_type: str
+    doc_type: str | Callable[[str], Column]
     accepts: Callable[[str], Column]
     fields: dict[str, Callable[[str], Column]] = field(default_factory=dict)
 
@@ -53,12 +54,14 @@ def fenced(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def prepared(df: DataFrame, x: str) -> DataFrame:
-    """Adds what the predicates ask many times of a text: its upper-case and compact forms, and whether it has a slip's line."""
-    return fenced(fenced(df, {f"{x}__upper": F.upper(F.coalesce(F.col(x), F.lit(""))), f"{x}__compact": T.compact(x)}), {f"{x}__line": has_slip_line(x)})
+    """Adds what predicates and fields ask many times of a text: its upper-case and compact forms, its lines, and its slip's line."""
+    rows = F.filter(F.transform(F.split(F.coalesce(F.col(x), F.lit("")), "\n"), lambda s: F.trim(s)), lambda s: s != "")
+    first = fenced(df, {f"{x}__upper": F.upper(F.coalesce(F.col(x), F.lit(""))), f"{x}__compact": T.compact(x), f"{x}__lines": rows})
+    return fenced(first, {f"{x}__line": has_slip_line(x), f"{x}__slip": T.first_group(x, [rf"({SLIP_LINE})", r"(\d{47,48})"])})
 
 
 def unprepared(df: DataFrame, x: str) -> DataFrame:
-    return df.drop(f"{x}__upper", f"{x}__compact", f"{x}__line")
+    return df.drop(*(f"{x}__{c}" for c in ("upper", "compact", "lines", "line", "slip")))
 
 
 def count_in(t: Column, words: list[str]) -> Column:
@@ -71,16 +74,32 @@ def any_in(t: Column, words: list[str]) -> Column:
 
 
 def lines(x: str) -> Column:
-    """The lines of a text, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(F.coalesce(F.col(x), F.lit("")), "\n"), lambda s: F.trim(s)), lambda s: s != "")
+    """The lines of a text, trimmed, without empty ones, as prepared() has them."""
+    return F.col(f"{x}__lines")
+
+
+def first_of(rows: Column, pick: Callable[[Column], Column]) -> Column:
+    """The first pick of a row that isn't null."""
+    return F.get(F.array_compact(F.transform(rows, pick)), F.lit(0))
+
+
+def near(x: str, label: Callable[[Column], Column], pick: Callable[[Column], Column], ahead: int, begin: int = 0) -> Column:
+    """The first pick of a line with the label or, from `begin` lines on, one of the `ahead` lines after it, in the order of the lines."""
+    rows = lines(x)
+    spot = lambda s, i: F.when(label(s), first_of(F.slice(rows, i + 1 + begin, ahead + 1 - begin), pick))
+    return F.get(F.array_compact(F.transform(rows, spot)), F.lit(0))
+
+
+def has(pattern: str) -> Callable[[Column], Column]:
+    """A label: whether a line has the pattern."""
+    return lambda s: s.rlike("(?iu)" + pattern)
 
 
 def after_label(x: str, label: str, pattern: str, ahead: int) -> Column:
     """The pattern's group on the first line with the label or one of the `ahead` lines after it."""
     rows = lines(x)
     marked = F.filter(F.transform(rows, lambda s, i: F.when(s.rlike("(?iu)" + label), i)), lambda i: i.isNotNull())
-    near = F.array_join(F.slice(rows, F.coalesce(F.get(marked, F.lit(0)), F.lit(0)) + 1, ahead + 1), "\n")
-    return F.when(F.size(marked) > 0, T.group(near, pattern))
+    return T.let(F.get(marked, F.lit(0)), lambda i: F.when(i.isNotNull(), T.group(F.array_join(F.slice(rows, i + 1, ahead + 1), "\n"), pattern)))
 
 
 # What shows that a long number is an invoice's key and not a slip's line.
@@ -97,44 +116,82 @@ def has_slip_line(x: str) -> Column:
 
 # ---- bank slips
 
-# Words of slips and of invoices, in compact form.
-SLIP_WORDS = ["LINHADIGITAVEL", "BENEFICI", "BENEFICIARIO", "VENCIMENTO", "VALORDODOCUMENTO", "NOSSO", "NOSSONUMERO", "CODIGODEBARRAS", "AGENCIACODIGO", "CEDENTE", "RECIBODOPAGADOR", "RECIBODOSACADO"]
-INVOICE_WORDS = ["NFSE", "NOTAFISCALDESERVICOELETRONICA", "PREFEITURA", "DANFE", "DOCUMENTOAUXILIARDANOTAFISCAL", "DOCUMENTOAUXILIARDANFS", "DANFSE"]
+# Words of slips and of invoices. Each spelling counts, also where two are alike in compact form.
+SLIP_WORDS = [
+    "LINHA DIGITÁVEL", "LINHA DIGITAVEL", "BENEFICI", "BENEFICIÁRIO", "BENEFICIARIO", "VENCIMENTO", "VALOR DO DOCUMENTO", "NOSSO", "NOSSO NÚMERO", "NOSSO NUMERO",
+    "CÓDIGO DE BARRAS", "CODIGO DE BARRAS", "AGÊNCIA/CÓDIGO", "AGENCIA/CODIGO", "CEDENTE", "RECIBO DO PAGADOR", "RECIBO DO SACADO",
+]
+INVOICE_WORDS = ["NFS-E", "NOTA FISCAL DE SERVIÇO ELETRÔNICA", "NOTA FISCAL DE SERVICO ELETRONICA", "PREFEITURA", "DANFE", "DOCUMENTO AUXILIAR DA NOTA FISCAL", "DOCUMENTO AUXILIAR DA NFS", "DANFSE"]
 # Codes of banks.
 BANKS = {"001": "BANCO DO BRASIL", "033": "SANTANDER", "077": "INTER", "104": "CAIXA ECONOMICA FEDERAL", "237": "BRADESCO", "341": "ITAU", "389": "MERCANTIL", "422": "SAFRA", "748": "SICREDI", "756": "SICOOB"}
 
 
+def compacted(words: list[str]) -> list[str]:
+    """Words in compact form, as many as there are."""
+    return [re.sub("[^A-Z0-9]+", "", w.translate(str.maketrans(T.ACCENTED, T.PLAIN)).upper()) for w in words]
+
+
 def is_slip(x: str) -> Column:
     c = compact(x)
-    invoice = any_in(c, ["DANFSE", "DOCUMENTOAUXILIARDANFS"]) | (c.contains("CHAVEDEACESSO") & any_in(c, ["NFSE", "NOTAFISCALDESERVICO"]))
-    return ~invoice & ((count_in(c, SLIP_WORDS) >= 3) | F.col(f"{x}__line")) & (count_in(c, INVOICE_WORDS) < 3)
+    invoice = any_in(c, ["DANFSE", "DOCUMENTOAUXILIARDANFS"]) | (c.contains("DOCUMENTOAUXILIAR") & c.contains("NFS")) | (c.contains("CHAVEDEACESSO") & any_in(c, ["NFSE", "NOTAFISCALDESERVICO"]))
+    return ~invoice & ((count_in(c, compacted(SLIP_WORDS)) >= 3) | F.col(f"{x}__line")) & (count_in(c, compacted(INVOICE_WORDS)) < 3)
 
 
 def slip_line(x: str) -> Column:
-    return T.first_group(x, [rf"({SLIP_LINE})", r"(\d{47,48})"])
+    """The slip's digits, as prepared() has them."""
+    return F.col(f"{x}__slip")
 
 
 def slip_line_cents(x: str) -> Column:
     """The value in a slip's line: its last ten digits are cents; null if they are 0."""
-    d = F.substr(T.digits(slip_line(x)), F.lit(-10), F.lit(10)).try_cast("long")
-    return F.when(slip_line(x).isNotNull() & (d > 0), d)
+    return T.let(F.substr(T.digits(slip_line(x)), F.lit(-10), F.lit(10)).try_cast("long"), lambda d: F.when(d > 0, d))
 
 
-# Labels before a slip's value, due date and number, and before the number of its invoice.
+# Labels before a slip's value and number, and before the number of its invoice.
 SLIP_VALUE = [rf"(?iu)Valor\s+do\s+Documento\s*[:\s]*R\$?\s*{AMOUNT}", rf"(?iu)Valor\s+Nominal\s*[:\s]*R\$?\s*{AMOUNT}", rf"(?iu)Valor\s+Cobrado\s*[:\s]*R\$?\s*{AMOUNT}", rf"(?iu)Valor\s+do\s+Documento[\s\n]+{AMOUNT}\b", rf"(?iu)Valor\s+Nominal[\s\n]+{AMOUNT}\b", rf"(?iu)Valor\s*[:\s]*R\$\s*{AMOUNT}"]
-SLIP_DUE = [rf"(?iu)\bDATA\s+DE\s+VENCIMENTO\b[^\n\d]{{0,60}}{DAY}", rf"(?iu)\bData\s+Vencimento\b[^\n\d]{{0,60}}{DAY}", rf"(?iu)\bVencimento\b[^\n\d]{{0,60}}{DAY}"]
 SLIP_NUMBER = [r"(?iu)N[uú]mero\s+do\s+Documento\s*[:\s]*([0-9]+(?:\.[0-9]+)?)", r"(?iu)Num\.?\s*Documento\s*[:\s]*([0-9]+(?:\.[0-9]+)?)", r"(?iu)N[º°]\s*Documento\s*[:\s]*([0-9]+(?:[/.][0-9]+)?)", r"\b(20\d{2}\.\d+)\b"]
 REFERENCE = [r"(?iu)Ref\.?\s*NF[:\s-]*(\d+)", r"(?iu)Refer[eê]ncia\s*NF[:\s-]*(\d+)", r"(?iu)Nota\s+Fiscal\s*n?[º°]?\s*[:\s]*(\d+)", r"(?iu)\bNFS?-?e?\s*[:\s-]*(\d+)"]
 
 
 def slip_value(x: str) -> Column:
     """The line's cents, else a labelled value, else the largest amount."""
-    labelled = F.coalesce(*[F.when((v := T.money(T.group(x, p))) > 0, v) for p in SLIP_VALUE])
-    return F.coalesce(slip_line_cents(x) / F.lit(100.0), labelled, T.money_max(x))
+    return F.coalesce(slip_line_cents(x) / F.lit(100.0), T.first_positive(x, SLIP_VALUE), T.money_max(x))
+
+
+# The words that speak for or against a due date beside them, and their weights.
+DUE_ALONE, DUE_NUMBER, DUE_AMOUNT, DUE_PROCESSED, DUE_ISSUED, DUE_STARTS = 3, 2, 2, -3, -1, 2
+YEARS = ("2020-01-01", "2035-12-31")
 
 
 def slip_due(x: str) -> Column:
-    return F.coalesce(*[T.date_br(T.group(x, p)) for p in SLIP_DUE], T.date_br(after_label(x, r"\bVencimento\b", rf"\b{DAY}\b", 3)))
+    """The best scored due date of the lines that name one, on the line or the next two; ties go to the latest.
+
+    A header of issue and due date comes first. Without a labelled date it is the latest date of a line that neither names an issue
+    nor a processing date, else the latest of all. Only years from 2020 to 2035 count.
+    """
+    rows, day = lines(x), rf"\b{DAY}\b"
+    valid = lambda d: T.let(T.date_br(d), lambda v: F.when(v.between(*YEARS), v))
+    heads = T.let(
+        F.regexp_extract(F.col(x), r"(?isu)\bEmiss[aã]o\b\s+\bVencim\s*ento\b[\s\S]{0,220}?(\d{2}/\d{2}/\d{4}\s+\d{2}/\d{2}/\d{4})", 1),
+        lambda h: T.let(valid(F.substring(h, -10, 10)), lambda v: F.when(v >= T.date_br(F.substring(h, 1, 10)), v)),
+    )
+
+    def spot(s: Column, i: Column) -> Column:
+        up, around = F.upper(s), F.upper(F.array_join(F.slice(rows, F.greatest(F.lit(1), i), F.lit(3)), " "))
+        score = sum(
+            (F.when(c, w).otherwise(0) for c, w in (
+                (up == "VENCIMENTO", DUE_ALONE), (up.rlike("N[UÚ]MERO DO DOCUMENTO"), DUE_NUMBER), (up.contains("VALOR DO DOCUMENTO"), DUE_AMOUNT),
+                (around.contains("PROCESSAMENTO"), DUE_PROCESSED), (around.rlike("EMISS|DATA DO DOCUMENTO"), DUE_ISSUED))),
+            F.lit(0),
+        )
+        own = valid(T.group(s, rf"(?iu)\bVencimento\b.{{0,130}}?{day}"))
+        later = lambda n: T.let(F.get(rows, i + n), lambda t: F.struct(valid(T.group(t, day)).alias("d"), F.when(t.rlike(rf"^{DAY}"), DUE_STARTS).otherwise(0).alias("w")))
+        below = first_of(F.array(later(1), later(2)), lambda p: F.when(p["d"].isNotNull(), p))
+        return F.when(has(r"\bVencimento\b")(s), T.let(own, lambda o: F.when(o.isNotNull(), F.struct(score.alias("w"), o.alias("d"))).otherwise(T.let(below, lambda p: F.when(p.isNotNull(), F.struct((score + p["w"]).alias("w"), p["d"].alias("d")))))))
+
+    labelled = F.array_max(F.array_compact(F.transform(rows, spot)))["d"]
+    dated = lambda keep: F.array_max(F.flatten(F.transform(F.filter(rows, keep), lambda s: F.filter(T.dates_all(s), lambda d: d.between(*YEARS)))))
+    return F.coalesce(heads, labelled, dated(lambda s: ~F.upper(s).rlike("PROCESSAMENTO|DATA DO DOCUMENTO|EMISS")), dated(lambda s: F.lit(True)))
 
 
 def slip_issued(x: str) -> Column:
@@ -146,15 +203,21 @@ def slip_issued(x: str) -> Column:
 def bank_name(x: str) -> Column:
     """The bank by its code, in the text or the slip's line; BANCO_code for a code without a name."""
     code = F.coalesce(T.group(x, r"(?iu)(?:Banco|C[oó]digo\s+Banco)[^\d\n]{0,20}(\d{3})\b"), F.substring(T.digits(slip_line(x)), 1, 3))
-    code = T.blank_to_null(code)
-    return F.coalesce(*[F.when(code == k, v) for k, v in BANKS.items()], F.concat(F.lit("BANCO_"), code))
+    return T.let(T.blank_to_null(code), lambda c: F.coalesce(*[F.when(c == k, v) for k, v in BANKS.items()], F.concat(F.lit("BANCO_"), c)))
 
 
 # Fixed values in the extractors below: words that show the kind of a document, and labels before its fields.
-register(Extractor("energy", "NFSE", lambda x: count_in(upper(x), ["DISTRIB DE ENERGIA", "DISTRIBUIDORA DE ENERGIA", "ENERGIA ELÉTRICA", "ENERGIA ELETRICA", "CONSUMO", "KWH", "INSTALAÇÃO", "INSTALACAO", "BANDEIRA TARIFÁRIA", "BANDEIRA TARIFARIA", "FATURA DE ENERGIA", "CONTA DE LUZ", "CONTA DE ENERGIA", "CEMIG", "COPEL", "CPFL", "ENERGISA", "NEOENERGIA", "ELEKTRO", "CELESC"]) >= 2, {
+ENERGY_VALUE = [rf"(?iu)TOTAL\s+A\s+PAGAR\s*[:\-]?\s*(?:R\$)?\s*{AMOUNT}", rf"(?iu)VALOR\s+(?:TOTAL|A\s+PAGAR)\s*[:\-]?\s*{AMOUNT}", rf"(?iu)TOTAL\s*[:\-]?\s*(?:R\$)?\s*{AMOUNT}"]
+ENERGY_WORDS = [
+    "DISTRIB DE ENERGIA", "DISTRIBUIDORA DE ENERGIA", "ENERGIA ELÉTRICA", "ENERGIA ELETRICA", "CONSUMO", "KWH", "KWH/MÊS", "KWH/MES", "INSTALAÇÃO", "INSTALACAO",
+    "BANDEIRA TARIFÁRIA", "BANDEIRA TARIFARIA", "FATURA DE ENERGIA", "CONTA DE LUZ", "CONTA DE ENERGIA", "FATURA ELETRÔNICA", "FATURA ELETRONICA",
+    "EDP", "CEMIG", "COPEL", "CPFL", "ENERGISA", "NEOENERGIA", "ELEKTRO", "ENEL", "LIGHT", "COSERN", "CELESC", "CELPE", "COELBA", "COELCE",
+]
+
+register(Extractor("energy", "NFSE", lambda x: count_in(upper(x), ENERGY_WORDS) >= 2, {
     "numero_nota": lambda x: T.first_group(x, [r"(?iu)NOTA\s+FISCAL\s*N[°º]?\s*[:\-]?\s*([0-9.\-]+)", r"(?iu)FATURA\s*N[°º]?\s*[:\-]?\s*([0-9.\-]+)", r"(?iu)DOCUMENTO\s*[:\-]?\s*([0-9.\-]+)"]),
     "instalacao": lambda x: T.first_group(x, [r"(?iu)INSTALA[ÇC][ÃA]O\s*[:\-]?\s*(\d+)", r"(?iu)(\d{8,12})\s*(?:INSTALA[ÇC][ÃA]O|MATR[ÍI]CULA)"]),
-    "valor": lambda x: F.coalesce(*[F.when((v := T.money(T.group(repaired(x), p))) > 0, v) for p in (rf"(?iu)TOTAL\s+A\s+PAGAR\s*[:\-]?\s*(?:R\$)?\s*{AMOUNT}", rf"(?iu)VALOR\s+(?:TOTAL|A\s+PAGAR)\s*[:\-]?\s*{AMOUNT}", rf"(?iu)TOTAL\s*[:\-]?\s*(?:R\$)?\s*{AMOUNT}")], T.money_max(x)),
+    "valor": lambda x: F.coalesce(T.let(repaired(x), lambda t: T.first_positive(t, ENERGY_VALUE)), T.money_max(x)),
     "vencimento": lambda x: T.date_br(T.first_group(x, [rf"(?iu)VENCIMENTO\s*[:\-]?\s*{DAY}", rf"(?iu)VENCE\s+EM\s*[:\-]?\s*{DAY}", rf"(?iu)VENC\.?\s*[:\-]?\s*{DAY}", rf"(?iu)VENCIMENTO[^\d]{{0,30}}{DAY}"])),
     "data_emissao": lambda x: T.date_br(T.first_group(x, [rf"(?iu)EMISS[ÃA]O\s*[:\-]?\s*{DAY}", rf"(?iu)EMITIDO\s+EM\s*[:\-]?\s*{DAY}", rf"\b{DAY}\b"])),
     "cnpj": lambda x: T.cnpj_flexible(x),
@@ -175,7 +238,7 @@ def is_admin(x: str) -> Column:
     """A paper that says what it is and is neither an invoice nor a slip."""
     t = upper(x)
     fiscal = count_in(t, ["NFS-E", "NF-E", "DANFE", "CHAVE DE ACESSO", "PREFEITURA", "CÓDIGO DE VERIFICAÇÃO"])
-    return ~((fiscal >= 2) | t.rlike(r"(?<!\d)\d{44}(?!\d)") | (count_in(compact(x), SLIP_WORDS) >= 3)) & T.any_match(x, list(ADMIN.values()))
+    return ~((fiscal >= 2) | t.rlike(r"(?<!\d)\d{44}(?!\d)") | (count_in(compact(x), list(dict.fromkeys(compacted(SLIP_WORDS)))) >= 3)) & T.any_match(x, list(ADMIN.values()))
 
 
 register(Extractor("admin", "OUTRO", is_admin, {
@@ -199,7 +262,7 @@ OTHER_VALUE = [rf"(?iu)\bTOTAL\s+A\s+PAGAR\b[\s\S]{{0,80}}?{AMOUNT}\b", rf"(?iu)
 register(Extractor("other", "OUTRO", is_other, {
     "subtipo": lambda x: F.when(F.upper(F.col(x)).contains("LOCA"), "LOCACAO").otherwise("FATURA"),
     "numero_documento": lambda x: T.first_group(x, [r"(?iu)\bN[º°o]\.?\s*[:\-]?\s*(\d+)", r"(?iu)FATURA\s*[:\-]?\s*(\d+)"]),
-    "valor": lambda x: F.coalesce(*[F.when((v := T.money(T.group(x, p))) > 0, v) for p in OTHER_VALUE], F.lit(0.0)),
+    "valor": lambda x: F.coalesce(T.first_positive(x, OTHER_VALUE), F.lit(0.0)),
     "vencimento": lambda x: T.date_br(T.first_group(x, [rf"(?iu)\bVENCIMENTO\b\s*[:\-]?\s*{DAY}", rf"(?iu)Data\s+de\s+Vencimento\s+do\s+Contrato\s*[:\-]?\s*{DAY}"])),
     "data_emissao": lambda x: T.date_br(T.group(x, rf"\b{DAY}\b")), "cnpj": lambda x: T.cnpj(x),
     "fornecedor_nome": lambda x: T.entity_name(T.first_group(x, [r"(?iu)(?:Locador|Fornecedor)\s*:\s*([^\n]+)"])),
@@ -223,7 +286,7 @@ def is_product(x: str) -> Column:
 
 def tax(names: list[str]) -> Callable[[str], Column]:
     """The first amount after one of the labels; null without one."""
-    return lambda x: F.coalesce(*[F.when((g := T.group(x, rf"(?iu){n}[:\s]*R?\$?\s*{AMOUNT}")).isNotNull(), T.money(g)) for n in names])
+    return lambda x: T.let(T.first_group(x, [rf"(?iu){n}[:\s]*R?\$?\s*{AMOUNT}" for n in names]), lambda g: F.when(g.isNotNull(), T.money(g)))
 
 
 # Labels before the value and number of a service invoice.
@@ -234,12 +297,12 @@ SERVICE_NUMBER = [r"(?iu)NFS-?e\s*(?:N[º°o]|Num)?\.?\s*[:.-]?\s*(\d{4}[/\-]\d{
 def service_number(x: str) -> Column:
     """The number of a service invoice, once dates and the numbers of receipts, lots and series are out of the way."""
     clean = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(x), F.lit("")), r"\d{2}/\d{2}/\d{4}", " "), r"(?iu)\b(RPS|Lote|Protocolo|Recibo|S[eé]rie)\b\D{0,10}?\d+", " ")
-    return F.coalesce(*[T.group(clean, p) for p in SERVICE_NUMBER])
+    return T.let(clean, lambda t: T.first_group(t, SERVICE_NUMBER))
 
 
 register(Extractor("service", "NFSE", is_service, {
     "numero_nota": service_number,
-    "valor": lambda x: F.coalesce(*[F.when((v := T.money(T.group(x, p))) > 0, v) for p in SERVICE_VALUE], F.lit(0.0)),
+    "valor": lambda x: F.coalesce(T.first_positive(x, SERVICE_VALUE), F.lit(0.0)),
     "data_emissao": lambda x: T.date_br(T.group(x, r"\d{2}/\d{2}/\d{4}", 0)),
     "vencimento": lambda x: T.date_br(T.first_group(x, [rf"(?iu)Vencimento[:\s]+{DAY}", rf"(?iu)Venc[:.\s]+{DAY}"])),
     "cnpj": lambda x: T.cnpj_flexible(x),
@@ -267,10 +330,13 @@ def instalments(x: str) -> Column:
     return F.transform(F.array_sort(rows), lambda r: F.struct(r["parcela"].alias("parcela"), r["vencimento"].alias("vencimento"), r["valor"].alias("valor")))
 
 
+# Labels before the value of a product invoice.
+PRODUCT_VALUE = [r"\bVALOR\s+TOTAL\s+DA\s+NOTA\b", r"\bVALOR\s+TOTAL\s+(?:DOS\s+)?PRODUTOS\b", r"\bV\.?\s*TOTAL\s+DA\s+NOTA\b", r"\bTOTAL\s+DA\s+NOTA\b"]
+
 register(Extractor("product", "DANFE", is_product, {
     "numero_nota": lambda x: T.digits(T.first_group(x, [r"(?iu)\bN[º°o]\.?\s*[:\-]?\s*([0-9]+(?:\.[0-9]+)*)", r"(?iu)\bNF-?E\b[^\n]{0,120}?\bN[º°o.]?\s*[:\-]?\s*([0-9.]{1,20})"])),
     "serie_nf": lambda x: T.group(x, r"(?iu)\bS[ÉE]RIE\s*[:\-]?\s*(\d{1,4})\b"),
-    "valor": lambda x: F.coalesce(*[F.when((v := T.money(T.group(x, rf"(?iu){p}[^\d]{{0,40}}{AMOUNT}"))) > 0, v) for p in (r"\bVALOR\s+TOTAL\s+DA\s+NOTA\b", r"\bVALOR\s+TOTAL\s+(?:DOS\s+)?PRODUTOS\b", r"\bV\.?\s*TOTAL\s+DA\s+NOTA\b", r"\bTOTAL\s+DA\s+NOTA\b")], T.money_max(x)),
+    "valor": lambda x: F.coalesce(T.first_positive(x, [rf"(?iu){p}[^\d]{{0,40}}{AMOUNT}" for p in PRODUCT_VALUE]), T.money_max(x)),
     "data_emissao": lambda x: T.date_br(T.first_group(x, [r"(?iu)DATA\s*(?:DA|DE)?\s*EMISS.O[^\d]{0,30}(\d{2}[/-]\d{2}[/-]\d{2,4})", r"(?iu)\bEMISS[ÃA]O\s*[:\-]?\s*(\d{2}[/-]\d{2}[/-]\d{2,4})"])),
     "chave_acesso": lambda x: F.coalesce(T.group(x, r"(?<!\d)(\d{44})(?!\d)"), T.digits(T.group(x, r"((?:\d{4}\s+){10}\d{4})"))),
     "cnpj": lambda x: T.cnpj(x),
@@ -280,50 +346,17 @@ register(Extractor("product", "DANFE", is_product, {
 }))
 
 
-# ---- layouts of single suppliers, as weighted scans of lines
+def weighted_value(x: str, weight: Callable[[Column, Column], Column], amount: str = AMOUNT) -> Column:
+    """The amount of the largest (weight, value) over all lines; weight(line in upper case, value). 0 without one."""
 
-def weighted_value(x: str, weights: list[tuple[str, int]], ahead: int = 2) -> Column:
-    """The amount of the largest (weight, value) over all lines; a line's weight, by the heaviest pattern it has, also holds for the `ahead` lines after it."""
-    rows = lines(x)
-    weight = lambda s: F.greatest(F.lit(1), *[F.when(s.rlike("(?iu)" + p), w).otherwise(0) for p, w in weights])
-    near = F.transform(rows, lambda s, i: F.struct(weight(s).alias("w"), T.money_max(F.array_join(F.slice(rows, i + 1, ahead + 1), "\n")).alias("v")))
-    return F.coalesce(F.array_max(F.filter(near, lambda r: r["v"] > 0))["v"], F.lit(0.0))
+    def found(s: Column) -> Column:
+        return F.transform(F.regexp_extract_all(s, F.lit(amount), F.lit(1)), lambda a: T.let(T.positive(a), lambda v: F.when(v.isNotNull(), F.struct(weight(F.upper(s), v).alias("w"), v.alias("v")))))
 
+    return F.coalesce(F.array_max(F.array_compact(F.flatten(F.transform(lines(x), found))))["v"], F.lit(0.0))
 
-@dataclass
-class Layout:
-    """A supplier's own layout: the words that show it, and what differs from the generic extractor that it builds on."""
 
-    name: str
-    base: str
-    words: list[str]
-    weights: list[tuple[str, int]]
-    ahead: int = 2
-    constants: dict[str, str] = field(default_factory=dict)
-
-
-# suppliers' own layouts, their words, and the labels that weigh.
-LAYOUTS = [
-    Layout("line_based_slip", "slip", ["REPROMAQ", "BRADESCO"], [(r"Valor\s+do\s+Documento", 3), (r"Valor\s+(Cobrado|Nominal)", 2)], 5),
-    Layout("rental_invoice", "other", ["FATURA DE LOCA", "EMC"], [(r"TOTAL\s*R\$", 3), (r"\bTOTAL\b", 2)], 0, {"subtipo": "FATURA_LOCACAO_EMC"}),
-    Layout("net_slip", "slip", ["NET CENTER", "VENCIMENTO"], [(r"Valor\s+total\s+a\s+pagar", 3), (r"Valor\s+documento", 2)], 1),
-    Layout("montes_claros", "service", ["MONTES CLAROS", "NFS"], [(r"VALOR\s+(TOTAL|L[IÍ]QUIDO)", 2)], 1),
-    Layout("vila_velha", "service", ["VILA VELHA", "NFS"], [(r"VALOR\s+(TOTAL|DOS\s+SERVI[ÇC]OS)", 2)], 1),
-    Layout("telecom_invoice", "service", ["TELCABLES", "NFCOM"], [(r"TOTAL\s+A\s+PAGAR", 3), (r"VALOR\s+TOTAL", 2)], 1),
-    Layout("association_slip", "slip", ["ACIMOC", "SACADO"], [(r"VALOR|TOTAL", 2)], 2),
-    Layout("goods_invoice", "service", ["MUGO", "FATURA"], [(r"VALOR\s+A\s+PAGAR", 10), (r"VALOR\s+TOTAL", 9), (r"\bTOTAL\b", 8)], 2),
-    Layout("panel_slip", "slip", ["PRO PAINEL", "VALOR"], [(r"VALOR\s+DO\s+DOCUMENTO", 12), (r"VALOR\s+A\s+PAGAR", 10), (r"\bTOTAL\b", 8)], 2),
-]
-
-
-def with_layouts(layouts: list[Layout] = LAYOUTS) -> list[Extractor]:
-    """The registry with the suppliers' layouts before the generic extractors."""
-    out, base = [], {e.name: e for e in REGISTRY}
-    for y in layouts:
-        b = base[y.base]
-        fields = b.fields | {"valor": lambda x, y=y: weighted_value(x, y.weights, y.ahead)} | {k: (lambda x, v=v: F.lit(v)) for k, v in y.constants.items()}
-        out.append(Extractor(y.name, b.doc_type, lambda x, y=y: count_in(upper(x), y.words) == len(y.words), fields))
-    return out + REGISTRY
+def kind_of(e: Extractor, x: str) -> Column:
+    return e.doc_type(x) if callable(e.doc_type) else F.lit(e.doc_type)
 
 
 def routed(texts: DataFrame, column: str = "text", registry: list[Extractor] | None = None) -> DataFrame:
@@ -335,19 +368,35 @@ def routed(texts: DataFrame, column: str = "text", registry: list[Extractor] | N
 def extracted(texts: DataFrame, name: str, column: str = "text", registry: list[Extractor] | None = None) -> DataFrame:
     """Adds doc_type and the fields of the named extractor."""
     e = next(x for x in (registry or REGISTRY) if x.name == name)
-    return texts.withColumn("doc_type", F.lit(e.doc_type)).withColumns({k: f(column) for k, f in e.fields.items()})
+    return unprepared(fenced(prepared(texts, column), {"doc_type": kind_of(e, column)} | {k: f(column) for k, f in e.fields.items()}), column)
 
 
 def extracted_all(texts: DataFrame, column: str = "text", registry: list[Extractor] | None = None) -> DataFrame:
-    """Routes each text and adds doc_type and the union of all extractors' fields, those of others null."""
+    """Routes each text and adds doc_type and the union of all extractors' fields, those of others null.
+
+    The route is decided first; a field's expression then begins with the branch of the text's own extractor, and no other is evaluated.
+    """
     use = REGISTRY if registry is None else registry
-    out = routed(texts, column, use)
+    ready = prepared(texts, column)
+    route = F.when(T.blank_to_null(column).isNotNull(), F.coalesce(*[F.when(e.accepts(column), F.lit(e.name)) for e in use]))
+    out = fenced(ready, {"extractor": route})
     names = list(dict.fromkeys(k for e in use for k in e.fields))
-    pick = lambda k: F.coalesce(*[F.when(F.col("extractor") == e.name, e.fields[k](column)) for e in use if k in e.fields])
-    return fenced(out, {"doc_type": F.coalesce(*[F.when(F.col("extractor") == e.name, F.lit(e.doc_type)) for e in use])} | {k: pick(k) for k in names})
+    own = lambda e: F.col("extractor") == e.name
+
+    def pick(f: Callable[[Extractor], Column | None]) -> Column:
+        rule = F
+        for e in use:
+            if (c := f(e)) is not None:
+                rule = rule.when(own(e), c)
+        return rule
+
+    return unprepared(fenced(out, {"doc_type": pick(lambda e: kind_of(e, column))} | {k: pick(lambda e, k=k: e.fields[k](column) if k in e.fields else None) for k in names}), column)
 
 
 def incomplete(texts: DataFrame, x: str = "text") -> DataFrame:
     """Adds incompleto: the text looks as if some of it were missing, with under 300 characters, or as a slip or invoice without any amount."""
     bare = (F.length(F.coalesce(F.col(x), F.lit(""))) < 300) | ((is_slip(x) | is_product(x)) & (T.money_max(x) == 0))
     return unprepared(fenced(prepared(texts, x), {"incompleto": bare}), x)
+
+
+from tributary.operators import suppliers as suppliers  # noqa: E402 - completes the registry, which it builds on

@@ -272,8 +272,82 @@ add("route_extractor", lambda s, d: X.routed(S.invoice_texts(s, d)).groupBy("kin
 add("route_slips", lambda s, d: X.routed(S.slip_texts(s, d)).groupBy("extractor").agg(F.count("*").alias("n")), "SELECT 'slip' AS extractor, count(*) AS n FROM orders")
 add("extract_all", lambda s, d: X.extracted_all(S.invoice_texts(s, d)).groupBy("doc_type", "extractor").agg(F.count("*").alias("n"), F.sum(F.col("valor").cast("decimal(18,2)")).cast("double").alias("total"), F.count("vencimento").alias("com_vencimento")),
     "SELECT CASE kind WHEN 'product' THEN 'DANFE' WHEN 'rental' THEN 'OUTRO' ELSE 'NFSE' END AS doc_type, CASE kind WHEN 'rental' THEN 'other' ELSE kind END AS extractor, count(*) AS n, sum((cents / 100.0)::DECIMAL(18,2))::DOUBLE AS total, count(*) AS com_vencimento FROM invoice_rows GROUP BY ALL", "invoice_rows")
-add("weighted_value", lambda s, d: S.invoice_texts(s, d).filter("kind = 'product'").select("batch_id", "ordinal", X.weighted_value("text", [(r"VALOR\s+TOTAL", 9)], 0).alias("valor")), f"SELECT {_OK}, {_VAL} FROM invoice_rows WHERE kind = 'product'", "invoice_rows")
-add("layout_extractors", lambda s, d: X.extracted_all(S.slip_texts(s, d).withColumn("text", F.concat(F.lit("REPROMAQ LOCACAO\n"), "text")), registry=X.with_layouts()).select("doc_id", "extractor", "valor"), "SELECT doc_id, 'line_based_slip' AS extractor, cents / 100.0::DOUBLE AS valor FROM slip_texts", "slip_texts")
+add("weighted_value", lambda s, d: X.unprepared(X.prepared(S.invoice_texts(s, d).filter("kind = 'product'"), "text").select("*", X.weighted_value("text", lambda u, v: F.when(u.rlike(r"VALOR\s+TOTAL"), 9).otherwise(1)).alias("valor")), "text").select("batch_id", "ordinal", "valor"), f"SELECT {_OK}, {_VAL} FROM invoice_rows WHERE kind = 'product'", "invoice_rows")
+
+# Three layouts of text for each supplier: {v} an amount, {c} its cents in ten digits, {day} and {due} days, {iso} the first of them, {n} a number, {m} one of four digits.
+SUPPLIERS = {
+    "line_based_slip": [
+        "REPROMAQ\nBanco BRADESCO S.A.\nBeneficiário\nREPROMAQ COM. E IND. LTDA - CNPJ: 01.234.567/0001-89\nNúmero do Documento\n01.234.567/0001-89\n{m}-1\nValor do Documento\n1\nR$\n{v}\nVencimento\n{due}\nData do Documento\n{day}\nNosso Número\n{day}\n09/000{m}103-2",
+        "BRADESCO\nREPROMAO LOCACAO\nVencimento: {due}\nValor Cobrado {v}\nEmissão: {day}\nRef {m}-1 CNPJ\nNosso Número: 09/000{m}103-2",
+        "Bradesco boleto REPROMAQ\nVENCIMENTO\n{due}\npago em {day}\nfatura {m}-1\nNosso Número\n\n09/000{m}103-2\n23793.38128 60000.000003 00000.000405 1 8434{c}",
+    ],
+    "rental_invoice": [
+        "FATURA DE LOCAÇÃO Nº {n}\nEMPRESA: EMC TECNOLOGIA LTDA TELEFONE 38 1234\nCNPJ 22.261.093/0001-40\nEmissão: {day} VENCIMENTO: {due}\nCONTRATO: 77\nPERIODO {day} ATÉ {due}\nNOTEBOOK DELL R$ 99.999,00\nTOTAL R$ {v}",
+        "EMC TECNOLOGIA LTDA\nFATURA DE LOCACAO Nº {n}\nEMPRESA X CNPJ: 22.261.093/0001-40\nEmissao {day}\nVENCIMENTO - {due}\nCONTRATO 77\nperíodo entre {day} e {due}\nTOTAL GERAL: {v}",
+        "EMC TECNOLOGIA LTDA 22.261.093/0001-40\nSERVIDOR LENOVO R$ 0,50\nFATURA DE LOCACAO N {n}\nContrato 77 com VENCIMENTO {due}\nEmissão {day}\nperiodo {day} até {due}\nSoma R$ {v}",
+    ],
+    "net_slip": [
+        "NET CENTER UNAI\nVENCIMENTO\n{due}\nCPF/CNPJ: 05.382.200/0001-70\nData do documento {day}\nValor total a pagar: R$ {v}",
+        "NETCENTER\nBeneficiário: CPF/CNPJ 05.382.200/0001-70\nEmissão Vencimento Total\n{day} {due}\nValor documento R$ {v}\nMulta 1,00",
+        "Provedor 05.382.200/0001-70\nLocal de pagamento Vencimento\nQualquer banco {due}\nData do documento {day}\nParcelas 2,00 e {v}",
+    ],
+    "montes_claros": [
+        "PREFEITURA DE MONTES CLAROS\nNº NFSe: 20250{m}0001505\nRazão Social: ALFA SERVICOS LTDA\nCNPJ: 12.345.678/0001-90\nValor dos Serviços: {v}\nISS: R$ 1,50\nEmitida {iso}T10:11:12\nVencimento: {due}",
+        "NOTA.MONTESCLAROS.MG.GOV.BR NOTA FISCAL DE SERVIÇO\nProtocolo 20250{m}0001505\nRazao Social - ALFA SERVICOS LTDA\nCNPJ 12345678000190\nValor R$ {v}\nValor ISS 1,50\nem {iso}\nVencimento {due}",
+        "Montes Claros NFS-e\nPrestador\nALFA SERVICOS LTDA\nCPF: 12.345.678/0001-90\nNFSe numero 20250{m}0001505\nValor Total: {v}\nTotal Aprox 1,50\n{day}\nVencimento: {due}",
+    ],
+    "vila_velha": [
+        "PREFEITURA DE VILA VELHA\n{day} 10:00:41 {day} 10:00:41 000{n}\nPrestador: BETA LTDA\nCNPJ: 12.345.678/0001-90\nValor dos serviços R$ {v}\nLei 12.741/2012 R$ 9,99\nVencimento: {due}",
+        "PREFEITURA MUNICIPAL DE VILA VELHA\nNúmero: 000{n}\nEmitida em: {day}\nPrestador: BETA LTDA\n12.345.678/0001-90\nValor Líquido R$ {v}\nVencimento {due}",
+        "Prefeitura de Vila Velha\nNota Fiscal Nº: 000{n}\n{day}\nPrestador: BETA LTDA\nCNPJ 12.345.678/0001-90\nValor da Nota: R$ {v}\nVencimento: {due}",
+    ],
+    "telecom_invoice": [
+        "DOCUMENTO AUXILIAR DA NOTA FISCAL FATURA DE SERVIÇOS DE COMUNICAÇÃO ELETRÔNICA\nNOME: TELCABLES BRASIL LTDA FILIAL SAO PAULO\nCPF/CNPJ: 20.609.743/0004-13\nNOTA FISCAL FATURA: 0{n}\nSÉRIE: 1 VENCIMENTO: {due}\nDATA DE EMISSÃO: {day}\nTOTAL A PAGAR: R$ {v}",
+        "NOTA FISCAL\nTELCABLES BRASIL LTDA FILIAL SAO PAULO\nCNPJ: 20609743000413\nNOTA FATURA: {n}\nVENC. {due}\nProtocolo de Autorização 99 - {day}\nTOTAL: R$ {v}",
+        "NOME - TELCABLES BRASIL LTDA FILIAL SAO PAULO\nNOTA FISCAL FATURA: {n}\nSERIE: 1 VENCIMENTO: {due}\npago {day}\nR$ 1,00 e R$ {v}",
+    ],
+    "association_slip": [
+        "ACIMOC\nRECIBO DO SACADO\nSacado: MOC COMUNICACAO\nNúmero: 401-{m}\nDATA DO DOCUMENTO\n{day}\nVENCIMENTO\n{due}\nR$ 0,00\nVALOR DO DOCUMENTO R$ {v}\nmulta 999.999.999,99",
+        "ASSOCIAÇÃO COML. INDL. E SERVIÇOS DE MONTES CLAROS\nCEDENTE\nPAGADOR:\nrua x\nMOC\nBoleto 401-{m}\nEMISSÃO {day}\nVCTO {due}\nVALOR {v}",
+        "RECIBO DO SACADO\nA MOC deve\nref 401-{m}\nDATA: {day}\nVENCIMENTO em\nate {due}\nDOCUMENTO\n{v}",
+    ],
+    "goods_invoice": [
+        "MUGO TELECOM\nFATURA Nº 00{n}1234\nRAZÃO SOCIAL: \nITACOLOMI LTDA\nEmissão: {day}\nVencimento: {due}\n1 cabo 100,00 2,00\nDESCRIÇÃO VALOR TOTAL {v}\nV.UNIT 999.999.999,99",
+        "MUGO TELECOM\nDOCUMENTO N 00{n}1234\nCLIENTE: ITACOLOMI\nEmitido em {day}\nVALIDADE\nate\n{due}\nV. TOTAL {v}\n2 itens 3,00",
+        "MUGO TELECOM\nDoc ref 123456\nx 00{n}1234\nITACOLOMI\nData {day}\nVCTO {due}\nTOTAL: R$ {v}",
+    ],
+    "panel_slip": [
+        "PRÓ - PAINEL LTDA\nBOLETO PIX\nPagador: CSC\nDOCUMENTO: {m}\nDATA {day}\nVENCIMENTO {due}\nVALOR DO DOCUMENTO {v}\njuros 0,10",
+        "PRO PAINEL LTDA\nFATURA DE LOCAÇÃO\nEntrada N.O: {m}\nCliente\nx\nCSC GESTAO INTEGRADA\nEmitido {day}\nVcto {due}\nItem 1,00\nTOTAL {v}",
+        "PROPAINEL\nCSC\nFATURA: {m} - MASTERCABO\nEMISSÃO\n{day}\nVENC\n{due}\nVALOR A PAGAR\nVALOR {v}",
+    ],
+}
+
+
+def _supplier_texts(s: SparkSession, d: str, name: str) -> DataFrame:
+    o, cents = S.load(s, d, "orders"), F.round(F.col("o_totalprice") * 100).cast("long")
+    issued = F.add_months("o_orderdate", 360)
+    parts = {"{v}": T.money_text(cents), "{c}": F.lpad(cents.cast("string"), 10, "0"), "{day}": F.date_format(issued, "dd/MM/yyyy"), "{due}": F.date_format(F.date_add(issued, 30), "dd/MM/yyyy"), "{iso}": F.date_format(issued, "yyyy-MM-dd"), "{n}": F.lpad((F.col("o_orderkey") % 100000 + 10000).cast("string"), 6, "1"), "{m}": (F.col("o_orderkey") % 9000 + 1000).cast("string")}
+    text = F.coalesce(*[F.when(F.col("o_orderkey") % 3 == i, F.lit(t)) for i, t in enumerate(SUPPLIERS[name])])
+    for k, v in parts.items():
+        text = F.replace(text, F.lit(k), v)
+    return o.select(F.col("o_orderkey").alias("doc_id"), text.alias("text"))
+
+
+_SUPPLIER = f"SELECT o_orderkey AS doc_id, '{{}}' AS extractor, {{}} AS doc_type, {_CENTS} / 100.0::DOUBLE AS valor, strftime((o_orderdate + INTERVAL 30 YEAR)::DATE + 30, '%Y-%m-%d') AS vencimento, strftime(o_orderdate + INTERVAL 30 YEAR, '%Y-%m-%d') AS data_emissao, {{}} FROM orders"
+_SN, _SM = "lpad((o_orderkey % 100000 + 10000)::VARCHAR, 6, '1')", "(o_orderkey % 9000 + 1000)::VARCHAR"
+for _name, _type, _columns in (
+    ("line_based_slip", "'BOLETO'", {"numero_documento": f"{_SM} || '-1'", "fornecedor_nome": "'REPROMAQ COM. E IND. LTDA'", "banco": "'Bradesco'", "nosso_numero": f"'09/000' || {_SM} || '103-2'", "cnpj": "CASE WHEN o_orderkey % 3 = 0 THEN '01.234.567/0001-89' END"}),
+    ("rental_invoice", "'OUTRO'", {"numero_documento": _SN, "fornecedor_nome": "'EMC TECNOLOGIA LTDA'", "cnpj": "'22.261.093/0001-40'", "contrato": "'77'", "periodo_referencia": "strftime(o_orderdate + INTERVAL 30 YEAR, '%d/%m/%Y') || ' até ' || strftime((o_orderdate + INTERVAL 30 YEAR)::DATE + 30, '%d/%m/%Y')", "subtipo": "'FATURA_LOCACAO_EMC'"}),
+    ("net_slip", "'BOLETO'", {"fornecedor_nome": "'NET CENTER UNAI PROVEDOR DE INTERNET LTDA'", "cnpj": "'05.382.200/0001-70'"}),
+    ("montes_claros", "'NFSE'", {"numero_nota": f"'20250' || {_SM} || '0001505'", "cnpj": "'12.345.678/0001-90'", "valor_iss": "1.5::DOUBLE"}),
+    ("vila_velha", "'NFSE'", {"numero_nota": f"'000' || {_SN}", "cnpj": "'12.345.678/0001-90'", "fornecedor_nome": "'BETA LTDA'"}),
+    ("telecom_invoice", "'NFSE'", {"numero_nota": _SN, "cnpj": "'20.609.743/0004-13'", "serie_nf": "'1'"}),
+    ("association_slip", "'BOLETO'", {"numero_documento": f"'401-' || {_SM}", "cnpj": "'22.677.702/0001-47'", "fornecedor_nome": "'ASSOCIAÇÃO COML. INDL. E SERVIÇOS DE MONTES CLAROS'", "empresa": "'MOC'"}),
+    ("goods_invoice", "'NFSE'", {"numero_nota": f"'00' || {_SN} || '1234'", "cnpj": "'14.732.961/0001-03'", "fornecedor_nome": "'MUGO TELECOMUNICAÇÕES LTDA'", "empresa": "'ITACOLOMI'"}),
+    ("panel_slip", "CASE WHEN o_orderkey % 3 = 0 THEN 'BOLETO' ELSE 'NFSE' END", {"numero_documento": _SM, "cnpj": "'23.129.448/0001-05'", "fornecedor_nome": "'PRÓ - PAINEL LTDA'", "empresa": "'CSC'"}),
+):
+    add(f"supplier_{_name}", lambda s, d, n=_name, c=tuple(_columns): X.extracted_all(_supplier_texts(s, d, n)).select("doc_id", "extractor", "doc_type", "valor", "vencimento", "data_emissao", *c), _SUPPLIER.format(_name, _type, ", ".join(f"{v} AS {k}" for k, v in _columns.items())))
 add("text_incomplete", lambda s, d: X.incomplete(S.slip_texts(s, d)).select("doc_id", "incompleto"), "SELECT doc_id, length(text) < 300 AS incompleto FROM slip_texts", "slip_texts")
 
 

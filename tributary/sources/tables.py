@@ -74,15 +74,15 @@ def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def slip_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The text of a bank slip for each order, with its value, due date and 47-digit line."""
+    """The text of a bank slip for each order, thirty years later, with its value, due date and 47-digit line."""
     o = load(spark, sf_dir, "orders")
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
-    key = F.col("o_orderkey").cast("string")
+    key, issued = F.col("o_orderkey").cast("string"), F.add_months("o_orderdate", 360)
     line = F.concat(F.lit("23793.38128 60000.000003 00000.000405 1 8434"), F.lpad(cents.cast("string"), 10, "0"))
     body = F.concat(
         F.lit("Banco Bradesco S.A.\nBeneficiário: COMERCIAL "), F.col("o_custkey").cast("string"), F.lit(" LTDA CNPJ "), T.cnpj_format(F.concat(F.lpad(F.col("o_custkey").cast("string"), 8, "0"), F.lit("000200"))),
-        F.lit("\nNosso Número: 09/"), F.lpad(key, 11, "0"), F.lit("-4\nNúmero do Documento: "), key, F.lit("\nData do Documento: "), F.date_format("o_orderdate", "dd/MM/yyyy"),
-        F.lit("\nVENCIMENTO: "), F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS"), "dd/MM/yyyy"), F.lit("\nVALOR DO DOCUMENTO: R$ "), T.money_text(cents), F.lit("\n"), line,
+        F.lit("\nNosso Número: 09/"), F.lpad(key, 11, "0"), F.lit("-4\nNúmero do Documento: "), key, F.lit("\nData do Documento: "), F.date_format(issued, "dd/MM/yyyy"),
+        F.lit("\nVENCIMENTO: "), F.date_format(F.date_add(issued, 30), "dd/MM/yyyy"), F.lit("\nVALOR DO DOCUMENTO: R$ "), T.money_text(cents), F.lit("\n"), line,
     )
     return o.select(F.col("o_orderkey").alias("doc_id"), body.alias("text"))
 
@@ -139,11 +139,11 @@ FIXTURE = {
     CASE WHEN event_id % 2 = 0 THEN 'nota' || event_id || CASE WHEN event_id % 4 = 0 THEN '.pdf' ELSE '.png' END END AS attachment,
     event_id % 7 = 0 AS has_attachment, event_id % 3 = 0 AS has_links_nfe, event_id % 5 = 0 AS has_verification_code FROM events)""",
     "slip_texts": r"""slip_texts AS (
-  SELECT o_orderkey AS doc_id, o_custkey, o_orderdate, round(o_totalprice * 100)::BIGINT AS cents,
+  SELECT o_orderkey AS doc_id, o_custkey, (o_orderdate + INTERVAL 30 YEAR)::DATE AS o_orderdate, round(o_totalprice * 100)::BIGINT AS cents,
     'Banco Bradesco S.A.' || chr(10) || 'Beneficiário: COMERCIAL ' || o_custkey || ' LTDA CNPJ ' ||
     regexp_replace(lpad(o_custkey::VARCHAR, 8, '0') || '000200', '^(\d{2})(\d{3})(\d{3})(\d{4})(\d{2})$', '\1.\2.\3/\4-\5') || chr(10) ||
     'Nosso Número: 09/' || lpad(o_orderkey::VARCHAR, 11, '0') || '-4' || chr(10) || 'Número do Documento: ' || o_orderkey || chr(10) ||
-    'Data do Documento: ' || strftime(o_orderdate, '%d/%m/%Y') || chr(10) || 'VENCIMENTO: ' || strftime(o_orderdate + INTERVAL 30 DAY, '%d/%m/%Y') || chr(10) ||
+    'Data do Documento: ' || strftime(o_orderdate + INTERVAL 30 YEAR, '%d/%m/%Y') || chr(10) || 'VENCIMENTO: ' || strftime((o_orderdate + INTERVAL 30 YEAR)::DATE + 30, '%d/%m/%Y') || chr(10) ||
     'VALOR DO DOCUMENTO: R$ ' || replace(format('{:,}', round(o_totalprice * 100)::BIGINT // 100), ',', '.') || ',' || lpad((round(o_totalprice * 100)::BIGINT % 100)::VARCHAR, 2, '0') || chr(10) ||
     '23793.38128 60000.000003 00000.000405 1 8434' || lpad(round(o_totalprice * 100)::BIGINT::VARCHAR, 10, '0') AS text FROM orders)""",
     "invoice_rows": r"""invoice_rows AS (
