@@ -94,36 +94,51 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 #: Of an n-gram of the highest order: its own key, those of its endings, and of each of these the key of what stands before its last character.
 GRAMS, BEFORE = [f"g{k}" for k in range(1, ORDER + 1)], [f"b{k}" for k in range(2, ORDER + 1)]
+#: A symbol has so many bits; a long holds three.
+BITS, SPLIT = 21, 3
 
 
 def counted(texts: DataFrame, most: int = 300_000) -> DataFrame:
-    """(g1.., b2.., n) over all rows of texts; a task sums its counts before it sends them, whenever it holds `most` n-grams."""
+    """(g1.., b2.., n) over all rows of texts; a task sums its counts before it sends them, whenever it holds `most` n-grams.
+
+    What is shuffled is the n-grams themselves, as two longs each; their keys are made once they are counted.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, times = np.zeros((len(GRAMS) + len(BEFORE), 0), np.uint64), np.zeros(0, np.int64)
+        seen, times = np.zeros((2, 0), np.int64), np.zeros(0, np.int64)
 
         def out() -> Iterator[pa.RecordBatch]:
             for i in range(0, len(times), 50_000):
-                yield pa.RecordBatch.from_arrays([*(pa.array(c[i : i + 50_000].astype(np.int64)) for c in seen), pa.array(times[i : i + 50_000])], [*GRAMS, *BEFORE, "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(seen[0, i : i + 50_000]), pa.array(seen[1, i : i + 50_000]), pa.array(times[i : i + 50_000])], ["a", "b", "n"])
 
         evict()
         for b in (s for x in batches for s in slices(x, 0)):
             for symbols, at, _ in segments(b.column(0).to_pylist()):
-                raw = raw_keys(symbols)
-                code, _ = pd.factorize(raw[-1][at])
-                first = np.flatnonzero(~pd.Series(code).duplicated())
-                seen, times = np.concatenate([seen, keys_at(raw, at[first])], axis=1), np.concatenate([times, np.bincount(code)])
+                code, _ = pd.factorize(raw_keys(symbols)[-1][at])
+                first, wide = at[~pd.Series(code).duplicated().to_numpy()], symbols.astype(np.int64)
+                part = lambda places, wide=wide, first=first: sum(wide[first - p] << (BITS * i) for i, p in enumerate(places))
+                seen = np.concatenate([seen, np.stack([part(range(SPLIT)), part(range(SPLIT, ORDER))])], axis=1)
+                times = np.concatenate([times, np.bincount(code)])
                 if len(times) >= most:
-                    _, first, same = np.unique(seen[ORDER - 1], return_index=True, return_inverse=True)
-                    seen, times = seen[:, first], np.bincount(same, times, len(first)).astype(np.int64)
+                    order = np.lexsort(seen)
+                    new = np.flatnonzero(np.r_[True, (seen[:, order[1:]] != seen[:, order[:-1]]).any(axis=0)])
+                    seen, times = seen[:, order[new]], np.add.reduceat(times[order], new)
                     if len(times) >= most // 2:
                         yield from out()
                         seen, times = seen[:, :0], times[:0]
         yield from out()
         evict()
 
-    found = texts.select("text").mapInArrow(run, ", ".join(f"{c} long" for c in [*GRAMS, *BEFORE, "n"]))
-    return found.groupBy(GRAMS[-1]).agg(*(F.min(c).alias(c) for c in [*GRAMS[:-1], *BEFORE]), F.sum("n").alias("n"))
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            a, b = x.column(0).to_numpy(), x.column(1).to_numpy()
+            last_first = [a >> (BITS * i) & (2**BITS - 1) for i in range(SPLIT)] + [b >> (BITS * i) & (2**BITS - 1) for i in range(ORDER - SPLIT)]
+            symbols = np.stack(last_first[::-1], axis=1).ravel().astype(np.uint32)
+            k = keys_at(raw_keys(symbols), np.arange(1, len(a) + 1) * ORDER - 1).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, k), x.column(2)], [*GRAMS, *BEFORE, "n"])
+
+    found = texts.select("text").mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return found.mapInArrow(keyed, ", ".join(f"{c} long" for c in [*GRAMS, *BEFORE, "n"]))
 
 
 def discounts(n: list[int]) -> list[float]:
