@@ -174,3 +174,41 @@ def merged(xml: DataFrame, pdf: DataFrame) -> DataFrame:
     covered = full.filter(is_complete()).select("batch_id", F.col("numero_nota").alias("covered")).distinct()
     left = pdf.join(covered, (pdf["batch_id"] == covered["batch_id"]) & (pdf["numero_nota"] == covered["covered"]), "left_anti")
     return full.unionByName(left.select(xml.columns))
+
+
+def has_note_with_value(docs: DataFrame) -> DataFrame:
+    """(batch_id, nota_com_valor): whether any document that isn't a slip has a value."""
+    return docs.groupBy("batch_id").agg(F.coalesce(F.bool_or((F.col("doc_type") != "BOLETO") & (F.col("valor") > 0)), F.lit(False)).alias("nota_com_valor"))
+
+
+def with_subject(rows: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Adds assunto, the subject of the batch's e-mail. metadata: (batch_id, email_subject)."""
+    return rows.join(metadata.select("batch_id", F.col("email_subject").alias("assunto")).dropDuplicates(["batch_id"]), "batch_id", "left")
+
+
+def correlated(docs: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
+    """The whole correlation: fields from the e-mail and the other documents, then the batch's status on every row.
+
+    Adds referencia_nfse, status_conciliacao, valor_compra, divergencia, duplicados and sem_vencimento. One shuffle by batch serves
+    the windows; the status is an aggregate of the same key.
+    """
+    full = inherited(docs, metadata)
+    twice = duplicates_by_number(full).groupBy("batch_id").agg(F.array_join(F.array_sort(F.collect_list("numero")), ",").alias("duplicados"))
+    state = reconciled(full).select("batch_id", F.col("status").alias("status_conciliacao"), "valor_compra", "divergencia")
+    due = first_due_date(full).select("batch_id", F.col("vencimento").isNull().alias("sem_vencimento"))
+    return full.join(state.join(twice, "batch_id", "left").join(due, "batch_id", "left"), "batch_id")
+
+
+def batch_key(received: str, message: str) -> Column:
+    """An id for a batch, email_yyyyMMdd_HHmmss_ and eight digits of the message's digest: the same message always gets the same."""
+    return F.concat(F.lit("email_"), F.date_format(received, "yyyyMMdd_HHmmss"), F.lit("_"), F.substring(F.sha2(F.coalesce(F.col(message), F.lit("")).cast("binary"), 256), 1, 8))
+
+
+def batch_day(batch: str) -> Column:
+    """The day in a batch's id; null for an id of another form."""
+    return F.try_to_date(F.get(F.split(F.col(batch), "_"), F.lit(1)), "yyyyMMdd")
+
+
+def batch_of_path(path: str) -> Column:
+    """The last folder of a path with either separator; DESCONHECIDO without one."""
+    return F.coalesce(T.blank_to_null(F.element_at(F.split(F.replace(F.col(path), F.lit("\\"), F.lit("/")), "/"), -1)), F.when(T.blank_to_null(path).isNotNull(), F.lit("")), F.lit("DESCONHECIDO"))

@@ -85,17 +85,66 @@ def inferred_supplier(texts: DataFrame, companies: DataFrame, key: str = "doc_id
     return good.groupBy(key).agg(F.max_by("fornecedor", F.struct("_s", -F.col("_pos"))).alias("fornecedor"))
 
 
+# Links, attributes and domains that say nothing about the company an e-mail is for, and words too common to be codes.
+TRACKING = [r"https?://click\.[^\s]+", r"https?://track\.[^\s]+", r"https?://[^\s]*\.cdn\.[^\s]+", r"https?://cdn\.[^\s]+", r"https?://[^\s]+/track/[^\s]+", r"https?://[^\s]+/click/[^\s]+", r'href="[^"]*"', r'src="[^"]*"']
+OWN_DOMAINS = ["soumaster.com.br", "soumaster.com", "gmail.com", "outlook.com", "hotmail.com", "yahoo.com", "yahoo.com.br"]
+COMMON_WORDS = [
+    "SERVICO", "SERVICOS", "SERVICE", "CONSULTORIA", "GESTAO", "INTEGRADA", "COMERCIO", "INDUSTRIA", "TECNOLOGIA", "SOLUCOES", "SISTEMA", "SISTEMAS", "EMPRESA", "EMPRESAS", "ADMINISTRACAO", "ADMINISTRADORA",
+    "PARTICIPACOES", "SOCIETARIAS", "GRUPO", "HOLDING", "COMPANHIA", "CIA", "LTDA", "SA", "S/A", "EIRELI", "EPP", "ME", "PROVEDOR", "ACESSO", "INTERNET", "TELECOM", "TELECOMUNICACOES", "COMUNICACAO", "MATRIZ", "FILIAL",
+    "BRASIL", "BRASILEIRA", "REDE", "CLICK", "TRACK", "VIEW", "OPEN", "LINK", "HTTP", "HTTPS", "WWW", "STYLE", "WIDTH", "HEIGHT", "FONT", "ALIGN", "CENTER", "LEFT", "RIGHT", "VISTA", "ALEGRE", "PAULO", "SAO",
+]
+# What stands on a line before the company that an e-mail is for, and before one that only a password names.
+SAFE_CONTEXT, IGNORED_CONTEXT = r"Para:|To:|Tomador[:\s]|Destinat[áa]rio[:\s]|Cliente[:\s]", r"frase\s+de\s+seguran[çc]a[^:]*:|senha[^:]*:|password[^:]*:|security\s+phrase[^:]*:"
+
+
+def without_noise(x: str) -> Column:
+    """A text without tracking links, own domains, styles and scripts."""
+    t = F.regexp_replace(F.coalesce(F.col(x), F.lit("")), "(?iu)" + "|".join(TRACKING), " ")
+    for d in sorted(OWN_DOMAINS, key=len, reverse=True):
+        t = F.regexp_replace(t, rf"(?iu)[a-z0-9._%+-]*@\Q{d}\E|https?://[^\s]*\Q{d}\E[^\s]*|\b\Q{d}\E\b", " ")
+    return F.regexp_replace(t, r"(?is)<(style|script)\b.*?</\1>", " ")
+
+
 def in_email(texts: DataFrame, companies: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """(key, codigos, codigo): the companies that an e-mail names once links and styles are cut; codigo only if it is a single one."""
-    clean = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(column), F.lit("")), r"(?is)<(style|script)\b.*?</\1>", " "), r"https?://\S+", " ")
-    words = texts.select(key, F.explode(F.array_distinct(F.split(F.upper(T.strip_accents(clean)), "[^A-Z0-9]+"))).alias("codigo")).filter("length(codigo) >= 3")
-    got = words.join(dimension(companies).select("codigo"), "codigo", "left_semi").groupBy(key).agg(F.array_sort(F.collect_set("codigo")).alias("codigos"))
-    return got.withColumn("codigo", F.when(F.size("codigos") == 1, F.get("codigos", F.lit(0))))
+    """(key, codigos, codigo, method): the companies that an e-mail names, and the one it is for.
+
+    A registration number decides. Else it is the first company, in the table's order, on a line that names a recipient; else the
+    only one that the text names outside a password's line. codigos are all codes found. Lines meet codes in an equi-join on words.
+    """
+    clean = texts.select(key, without_noise(column).alias("_t"))
+    rows = clean.select(key, F.posexplode(F.split(F.upper("_t"), "\n")).alias("_line", "_s"))
+    # of a label in the line, what follows it; else the whole line counts as neither safe nor ignored
+    safe, ignored = T.group("_s", rf"(?iu)(?:{SAFE_CONTEXT})(.*)"), T.group("_s", rf"(?iu)(?:{IGNORED_CONTEXT})(.*)")
+    words = lambda c: F.array_distinct(F.split(T.strip_accents(c), "[^A-Z0-9]+"))
+    rows = rows.select(key, F.explode(words(F.col("_s"))).alias("codigo"), words(safe).alias("_safe"), words(ignored).alias("_ignored")).filter((F.length("codigo") >= 3) & ~F.col("codigo").isin(COMMON_WORDS))
+    found = rows.join(dimension(companies).groupBy("codigo").agg(F.min("ordinal").alias("ordinal")), "codigo")
+    found = found.groupBy(key, "codigo", "ordinal").agg(F.max(F.array_contains("_safe", F.col("codigo"))).alias("safe"), F.max(F.array_contains("_ignored", F.col("codigo"))).alias("ignored"))
+    got = found.groupBy(key).agg(
+        F.array_sort(F.collect_set("codigo")).alias("codigos"), F.min_by(F.when(F.col("safe"), F.col("codigo")), F.when(F.col("safe"), F.col("ordinal"))).alias("_safe"),
+        F.collect_set(F.when(~F.col("safe") & ~F.col("ignored"), F.col("codigo"))).alias("_plain"),
+    )
+    by_number = by_cnpj(clean, companies, key, "_t").select(key, F.col("codigo").alias("_number"))
+    out = got.join(by_number, key, "full").withColumn("_name", F.coalesce("_safe", F.when(F.size("_plain") == 1, F.get("_plain", F.lit(0)))))
+    method = F.when(F.col("_number").isNotNull(), "cnpj").when(F.col("_name").isNotNull(), "nome_exato")
+    return out.select(key, F.coalesce("codigos", F.array("_number")).alias("codigos"), F.coalesce("_number", "_name").alias("codigo"), method.alias("method"))
+
+
+def cnpj_by_code(df: DataFrame, companies: DataFrame, code: str = "empresa") -> DataFrame:
+    """Adds empresa_cnpj: the number of the first company, in the table's order, whose name has the code as a word."""
+    known = dimension(companies).select(F.explode(F.array_distinct(F.split(F.upper(T.strip_accents("razao_social")), "[^A-Z0-9]+"))).alias("_w"), "cnpj_digits", "ordinal")
+    first = known.groupBy("_w").agg(F.min_by("cnpj_digits", "ordinal").alias("empresa_cnpj"))
+    return df.join(first, F.upper(df[code]) == F.col("_w"), "left").drop("_w")
+
+
+#: The bank dimension is broadcast; codes have three digits.
+MOST_BANKS = 1000
 
 
 def bank_names(df: DataFrame, banks: DataFrame, code: str = "codigo_banco") -> DataFrame:
-    """Adds banco by code; BANCO_code for a code without a name. banks: (codigo, nome) of at most a thousand three-digit codes."""
-    dim = F.broadcast(banks.select(F.col("codigo").alias("_c"), F.col("nome").alias("_n")).limit(1000))
+    """Adds banco by code; BANCO_code for a code without a name. banks: (codigo, nome), a table of more than a thousand is refused."""
+    if banks.limit(MOST_BANKS + 1).count() > MOST_BANKS:
+        raise ValueError(f"over {MOST_BANKS} banks")
+    dim = F.broadcast(banks.select(F.col("codigo").alias("_c"), F.col("nome").alias("_n")))
     return df.join(dim, df[code] == F.col("_c"), "left").withColumn("banco", F.coalesce("_n", F.concat(F.lit("BANCO_"), F.col(code)))).drop("_c", "_n")
 
 

@@ -103,8 +103,12 @@ def admin_label(x="subject") -> Column:
     return F.when(T.any_match(x, ADMIN_SUBJECTS), label)
 
 
-# Words in links and bodies that announce an invoice or a code.
-LINK_WORDS = ["nfe", "nfse", "nota", "fiscal", "danfe", "boleto", "fatura", "prefeitura", "sefaz", "ginfes", "issnet"]
+# Links that lead to an invoice, and words before a code.
+LINK_PATTERNS = [
+    r"nf[es]?\.", r"nota[^\s]*fiscal", r"danfe", r"sefaz", r"prefeitura", r"\.gov\.br", r"pmf\.", r"issqn", r"iss[.\-]", r"nfse", r"ginfes", r"abrasf", r"webiss", r"tributosmunicipais", r"tributos\.",
+    r"\.omie\.com", r"\.bling\.com", r"\.tiny\.com", r"\.conta\.azul", r"\.nibo\.com", r"\.enotas\.com", r"\.nfe\.io", r"\.focusnfe\.com", r"\.webmaniabr\.com", r"\.plugnotas\.com", r"\.tecnospeed\.com", r"\.senior\.com", r"\.totvs\.com", r"\.sankhya\.com",
+    r"click\.[^\s]+/track", r"\.rdstation\.com", r"\.mailchimp\.com", r"sendgrid\.", r"/consulta[^\s]*nf", r"/download[^\s]*xml", r"/validar", r"/verificar", r"2via", r"fatura", r"conta[^\s]*digital", r"boleto",
+]
 CODE_PATTERNS = [r"c[óo]digo\s+de\s+verifica[çc][ãa]o\s*:?\s*([A-Z0-9\-]{4,})", r"c[óo]d\.?\s*verifica[çc][ãa]o\s*:?\s*([A-Z0-9\-]{4,})", r"autenticidade\s*:?\s*([A-Z0-9\-]{4,})"]
 
 
@@ -114,7 +118,37 @@ def links(x="body") -> Column:
 
 
 def invoice_links(x="body") -> Column:
-    return F.filter(links(x), lambda u: F.lower(u).rlike("|".join(LINK_WORDS)))
+    """The links that may lead to an invoice."""
+    return F.filter(links(x), lambda u: u.rlike("(?iu)https?://[^\\s]*(?:" + "|".join(LINK_PATTERNS) + ")"))
+
+
+def with_filter_inputs(emails: DataFrame, body: str = "body") -> DataFrame:
+    """Adds has_links_nfe and has_verification_code, which the decision asks for, from an e-mail's body."""
+    return emails.withColumn("has_links_nfe", F.size(invoice_links(body)) > 0).withColumn("has_verification_code", verification_code(body).isNotNull())
+
+
+# The content types.
+CONTENT_TYPES = ["ATTACHMENT", "LINK_CODE", "LINK", "CODE", "NONE"]
+
+
+def parsed_content_type(x: str) -> Column:
+    """A content type as it is written; null for anything else."""
+    return F.when(F.col(x).isin(CONTENT_TYPES), F.col(x))
+
+
+def notices(emails: DataFrame, companies: DataFrame, limit: int | None = None) -> DataFrame:
+    """(email_id, subject, sender_address, link, codigo, numero_nota, empresa, aviso) of e-mails without a file that have a link or a code.
+
+    emails: email_id, subject, sender_address, body, attachments. The filter's decision is taken first; limit counts what passes.
+    """
+    from tributary.operators import companies as K
+
+    kept = decided(with_filter_inputs(emails).withColumn("has_attachment", F.lit(False))).filter((F.col("decision") == "PROCESS") & ~F.coalesce(has_valid_attachment(), F.lit(False)))
+    out = kept.withColumn("link", F.get(invoice_links(), F.lit(0))).withColumn("codigo", F.coalesce(verification_code(), code_in_link())).withColumn("numero_nota", F.coalesce(T.first_group("body", BODY_NUMBER), number_in_link()))
+    out = out.filter("link is not null or codigo is not null")
+    told = K.in_email(out.select("email_id", F.concat_ws("\n", "subject", "body").alias("text")), companies, "email_id").select("email_id", F.col("codigo").alias("empresa"))
+    got = out.join(told, "email_id", "left").select("email_id", "subject", "sender_address", "link", "codigo", "numero_nota", "empresa", notice_text().alias("aviso"))
+    return got.limit(limit) if limit else got
 
 
 def verification_code(x="body") -> Column:

@@ -1,12 +1,14 @@
 """Pairing of the invoices of a batch with its bank slips: the exact fold, and a relational form for distinct numbers.
 
-The fold depends on the order of a batch's documents and can't be expressed as a join, so each batch, which is one e-mail, is
-folded in one call of applyInPandas. Everything around it is native.
+The fold depends on the order of a batch's documents and can't be expressed as a join, so the batches, each of which is one e-mail,
+pass through Python as Arrow lists, many in a call. Everything around it is native.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,9 +19,10 @@ from tributary.operators.batches import TOLERANCE
 AUXILIARY = ["demonstrativo", "atestado", "recibo", "comprovante", "declaracao", "declaração", "termo", "contrato", "recs", "recebimento"]
 
 
-def is_auxiliary(supplier="fornecedor_nome", text="texto", value="valor", file="arquivo_origem") -> Column:
+def is_auxiliary(supplier="fornecedor_nome", text: str | Column = "texto", value="valor", file="arquivo_origem") -> Column:
     """Whether a document is no invoice: it attests something, or has no value and a name that says so."""
-    s, t = F.lower(F.trim(F.coalesce(F.col(supplier), F.lit("")))), F.lower(F.substring(F.coalesce(F.col(text), F.lit("")), 1, 200))
+    text = F.col(text) if isinstance(text, str) else text
+    s, t = F.lower(F.trim(F.coalesce(F.col(supplier), F.lit("")))), F.lower(F.substring(F.coalesce(text, F.lit("")), 1, 200))
     name = F.lower(F.coalesce(F.col(file), F.lit("")))
     says = s.rlike("^(atestamos|declaramos)") | t.rlike("atestamos|declaramos")
     return F.when(says, True).when(F.coalesce(F.col(value), F.lit(0.0)) > 0, False).otherwise(name.rlike("|".join(AUXILIARY)))
@@ -40,14 +43,18 @@ def keyed(docs: DataFrame) -> DataFrame:
     slip = F.col("doc_type") == "BOLETO"
     own = T.blank_to_null(F.coalesce("numero_nota", "numero_documento"))
     name = T.number_in_file_name("arquivo_origem")
-    text = F.lit("")
     number = F.when(slip, F.coalesce(name, T.blank_to_null("numero_documento"))).otherwise(F.coalesce(own, name))
-    out = docs.withColumn("texto", text).withColumn("side", F.when(slip, "slip").otherwise("invoice")).withColumn("cents", F.round(F.coalesce(F.col("valor"), F.lit(0.0)) * 100).cast("long"))
-    out = out.filter((slip & (F.col("valor") > 0)) | (~slip & ~is_auxiliary()))
-    return out.withColumn("number", T.normalized_number(number)).drop("texto")
+    out = docs.withColumn("side", F.when(slip, "slip").otherwise("invoice")).withColumn("cents", F.round(F.coalesce(F.col("valor"), F.lit(0.0)) * 100).cast("long"))
+    text = F.col("texto") if "texto" in docs.columns else F.lit("")
+    return out.filter((slip & (F.col("valor") > 0)) | (~slip & ~is_auxiliary(text=text))).withColumn("number", T.normalized_number(number))
 
 
-PAIR = "batch_id long, pair_id string, numero_nota string, valor_nf double, valor_boleto double, forcado boolean, notas array<string>, boletos array<string>"
+#: What a pair takes from the first of its documents that has it, invoices before slips.
+TAKEN = ["fornecedor_nome", "cnpj", "vencimento", "data_emissao", "numero_pedido", "empresa"]
+PAIR = [
+    ("batch_id", pa.int64()), ("pair_id", pa.string()), ("numero_nota", pa.string()), ("nf", pa.int64()), ("slip", pa.int64()), ("forcado", pa.bool_()), ("notas", pa.list_(pa.string())), ("boletos", pa.list_(pa.string())),
+    *((c, pa.string()) for c in TAKEN),
+]
 
 
 def _same(a: str, b: str) -> bool:
@@ -104,28 +111,42 @@ def fold(rows: list[dict]) -> list[dict]:
 
 
 def paired(docs: DataFrame) -> DataFrame:
-    """One row for each pair, with its status and difference."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("ordinal", kind="stable").to_dict("records")
-        batch, names = rows[0]["batch_id"], lambda rs: [r["arquivo_origem"] for r in rs]
-        return pd.DataFrame([{"batch_id": batch, "pair_id": f"{batch}{p['suffix']}", "numero_nota": p["number"] or None, "valor_nf": p["nf"] / 100, "valor_boleto": p["slip"] / 100, "forcado": p["forced"], "notas": names(p["notes"]), "boletos": names(p["papers"])} for p in fold(rows)])
-
-    use = keyed(docs).select("batch_id", "ordinal", "side", "cents", "number", "arquivo_origem")
-    empty = docs.select("batch_id").distinct().join(use.select("batch_id").distinct(), "batch_id", "left_anti")
-    none = empty.select("batch_id", F.col("batch_id").cast("string").alias("pair_id"), F.lit(None).cast("string").alias("numero_nota"), F.lit(0.0).alias("valor_nf"), F.lit(0.0).alias("valor_boleto"), F.lit(False).alias("forcado"), F.array().cast("array<string>").alias("notas"), F.array().cast("array<string>").alias("boletos"))
-    pairs = use.groupBy("batch_id").applyInPandas(run, PAIR).unionByName(none)
-    return pairs.withColumn("diferenca", F.round(F.col("valor_nf") - F.col("valor_boleto"), 2)).withColumn("status", status(F.col("valor_nf"), F.col("valor_boleto"), F.col("forcado")))
+    """One row for each pair: number, values, status, difference, files, and supplier, dates, order number and company of its documents.
+
+    One grouping by batch gives each batch's candidates as a list, in the order of its files; a batch without any gives an empty pair.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for batch, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for p in fold(rows):
+                    both = [*p["notes"], *p["papers"]]
+                    taken = [next((r[c] for r in both if r[c]), None) for c in TAKEN]
+                    out.append((batch, f"{batch}{p['suffix']}", p["number"] or None, p["nf"], p["slip"], p["forced"], [r["arquivo_origem"] for r in p["notes"]], [r["arquivo_origem"] for r in p["papers"]], *taken))
+            columns = zip(*out, strict=True) if out else [()] * len(PAIR)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, PAIR, strict=True)], [n for n, _ in PAIR])
+
+    have = set(docs.columns)
+    more = [(F.col(c) if c in have else F.lit(None)).cast("string").alias(c) for c in TAKEN]
+    k = keyed(docs).select("batch_id", F.struct(F.col("ordinal").cast("int").alias("ordinal"), "arquivo_origem", "side", "cents", "number", *more).alias("row"))
+    every = k.unionByName(docs.select("batch_id").distinct(), allowMissingColumns=True)
+    lists = every.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    kinds = ", ".join(f"{n} {'array<string>' if t == pa.list_(pa.string()) else {'int64': 'long', 'bool': 'boolean'}.get(str(t), str(t))}" for n, t in PAIR)
+    pairs = lists.mapInArrow(run, kinds).withColumn("valor_nf", F.col("nf") / 100.0).withColumn("valor_boleto", F.col("slip") / 100.0).drop("nf", "slip")
+    pairs = pairs.withColumn("fornecedor_nome", T.supplier_name("fornecedor_nome"))
+    state = status(F.col("valor_nf"), F.col("valor_boleto"), F.col("forcado"))
+    note = F.when(T.blank_to_null("vencimento").isNull(), "[VENCIMENTO NÃO ENCONTRADO - verificar urgente]")
+    return pairs.withColumn("diferenca", F.round(F.col("valor_nf") - F.col("valor_boleto"), 2)).withColumn("status", state).withColumn("aviso", note)
 
 
 def paired_by_number(docs: DataFrame) -> DataFrame:
-    """The relational form: the n-th invoice of a number with the n-th slip of that number, full outer. Exact where numbers are distinct and none ends in another."""
+    """The relational form: the n-th invoice of a number with the n-th slip of that number. Exact where numbers are distinct and none ends in another."""
     k = keyed(docs).filter("number <> ''")
-    place = Window.partitionBy("batch_id", "side", "number").orderBy("ordinal")
-    k = k.withColumn("n", F.row_number().over(place))
-    a = k.filter("side = 'invoice' and cents > 0").select("batch_id", "number", "n", F.col("cents").alias("nf"))
-    b = k.filter("side = 'slip'").select("batch_id", "number", "n", F.col("cents").alias("slip"))
-    both = a.join(b, ["batch_id", "number", "n"], "full").select("batch_id", "number", "n", F.coalesce("nf", F.lit(0)).alias("nf"), F.coalesce("slip", F.lit(0)).alias("slip"))
+    place = Window.partitionBy("batch_id", "number", "side").orderBy("ordinal")
+    k = k.withColumn("n", F.row_number().over(place)).filter("side = 'slip' or cents > 0")
+    cents = lambda side: F.coalesce(F.max(F.when(F.col("side") == side, F.col("cents"))), F.lit(0))
+    both = k.groupBy("batch_id", "number", "n").agg(cents("invoice").alias("nf"), cents("slip").alias("slip"))
     return both.select("batch_id", "number", F.col("n").cast("int").alias("n"), (F.col("nf") / 100.0).alias("valor_nf"), (F.col("slip") / 100.0).alias("valor_boleto"), status(F.col("nf") / 100.0, F.col("slip") / 100.0).alias("status"))
 
 

@@ -118,9 +118,62 @@ _KEYED = f"""k AS (
 _STATUS = lambda a, b: f"CASE WHEN {a} > 0 AND {b} > 0 THEN CASE WHEN abs({a} - {b}) <= 1 THEN 'CONCILIADO' ELSE 'DIVERGENTE' END ELSE 'CONFERIR' END"
 add("pair_relational", lambda s, d: P.paired_by_number(S.documents(s, d)),
     f"""WITH {_KEYED}, n AS (SELECT *, row_number() OVER (PARTITION BY batch_id, side, number ORDER BY ordinal) AS n FROM k WHERE number <> ''),
-    a AS (SELECT * FROM n WHERE side = 'invoice' AND cents > 0), b AS (SELECT * FROM n WHERE side = 'slip')
-    SELECT batch_id, number, n::INTEGER AS n, coalesce(a.cents, 0) / 100.0::DOUBLE AS valor_nf, coalesce(b.cents, 0) / 100.0::DOUBLE AS valor_boleto, {_STATUS('coalesce(a.cents, 0)', 'coalesce(b.cents, 0)')} AS status FROM a FULL JOIN b USING (batch_id, number, n)""", "docs")
-add("pair_exact_fold", lambda s, d: P.paired(S.documents(s, d)).withColumn("notas", F.array_join("notas", ",")).withColumn("boletos", F.array_join("boletos", ",")))
+    p AS (SELECT batch_id, number, n, coalesce(max(cents) FILTER (side = 'invoice'), 0) AS nf, coalesce(max(cents) FILTER (side = 'slip'), 0) AS slip FROM n WHERE side = 'slip' OR cents > 0 GROUP BY ALL)
+    SELECT batch_id, number, n::INTEGER AS n, nf / 100.0::DOUBLE AS valor_nf, slip / 100.0::DOUBLE AS valor_boleto, {_STATUS('nf', 'slip')} AS status FROM p""", "docs")
+_NZ = lambda c: f"coalesce(nullif(ltrim({c}, '0'), ''), '0')"
+_SAME = lambda a, b: f"({a} <> '' AND {b} <> '' AND (ends_with({_NZ(a)}, {_NZ(b)}) OR ends_with({_NZ(b)}, {_NZ(a)})))"
+_ROW, _GROUP, _OUT = "{'cents': cents, 'number': number, 'file': arquivo_origem}", "STRUCT(cents BIGINT, number VARCHAR, files VARCHAR[])[]", "STRUCT(suffix VARCHAR, number VARCHAR, nf BIGINT, slip BIGINT, notes VARCHAR[], papers VARCHAR[], forced BOOLEAN)[]"
+_FIRST_WHERE = lambda xs, cond: f"list_filter(list_transform({xs}, lambda y, ix: CASE WHEN {cond} THEN ix END), lambda z: z IS NOT NULL)[1]"
+
+
+def _folded(name: str, source: str, match: str, cents: str, number: str) -> str:
+    """SQL of the groups that rows fall into, one row after the other."""
+    return f"""{name} AS (
+  SELECT batch_id, {source} AS todo, 1 AS i, []::{_GROUP} AS gs FROM lists
+  UNION ALL
+  SELECT batch_id, todo, i + 1, CASE WHEN j IS NULL THEN list_append(gs, {{'cents': x.cents, 'number': x.number, 'files': [x.file]}})
+    ELSE list_transform(gs, lambda y, ix: CASE WHEN ix = j THEN {{'cents': {cents}, 'number': {number}, 'files': list_append(y.files, x.file)}} ELSE y END) END
+  FROM (SELECT *, todo[i] AS x, {_FIRST_WHERE('gs', match)} AS j FROM {name} WHERE i <= len(todo)))"""
+
+
+_FOLD = f"""{_KEYED.replace("AS number\n  FROM", "AS number, arquivo_origem\n  FROM")}, lists AS (
+  SELECT batch_id, coalesce(list({_ROW} ORDER BY ordinal) FILTER (side = 'invoice' AND cents > 0), []) AS inv, coalesce(list({_ROW} ORDER BY ordinal) FILTER (side = 'slip'), []) AS slips,
+    coalesce(list({_ROW} ORDER BY ordinal) FILTER (side = 'invoice' AND cents = 0), []) AS lone
+  FROM (SELECT DISTINCT batch_id FROM docs) LEFT JOIN k USING (batch_id) GROUP BY batch_id
+), {_folded('g', 'inv', f"abs(y.cents - todo[i].cents) <= 1 OR {_SAME('y.number', 'todo[i].number')}", 'y.cents', "CASE WHEN x.number <> '' AND (y.number = '' OR length(x.number) < length(y.number)) THEN x.number ELSE y.number END")},
+{_folded('p', 'slips', _SAME('y.number', 'todo[i].number'), 'y.cents + x.cents', 'y.number')}, w AS (
+  SELECT g.batch_id, g.gs, p.gs AS ps, lone, inv, slips FROM g JOIN p USING (batch_id) JOIN lists USING (batch_id) WHERE g.i > len(g.todo) AND p.i > len(p.todo)
+), m AS (
+  SELECT batch_id, gs, ps, 1 AS i, []::BIGINT[] AS used, []::{_OUT} AS out FROM w
+  UNION ALL
+  SELECT batch_id, gs, ps, i + 1, CASE WHEN j IS NULL THEN used ELSE list_append(used, j) END,
+    list_append(out, {{'suffix': CASE WHEN len(gs) > 1 AND x.number <> '' THEN '_' || x.number ELSE '' END, 'number': coalesce(nullif(x.number, ''), ps[j].number), 'nf': x.cents, 'slip': coalesce(ps[j].cents, 0), 'notes': x.files, 'papers': coalesce(ps[j].files, []), 'forced': false}})
+  FROM (SELECT *, gs[i] AS x, {_FIRST_WHERE('ps', f"NOT list_contains(used, ix) AND ({_SAME('gs[i].number', 'y.number')} OR abs(gs[i].cents - y.cents) <= 1)")} AS j FROM m WHERE i <= len(gs))
+), o AS (
+  SELECT w.batch_id, w.inv, w.lone, w.slips, list_concat(out, list_transform(list_filter(m.ps, lambda y, ix: NOT list_contains(used, ix)), lambda y: {{'suffix': CASE WHEN y.number <> '' THEN '_bol_' || y.number ELSE '_bol' END, 'number': y.number, 'nf': 0, 'slip': y.cents, 'notes': []::VARCHAR[], 'papers': y.files, 'forced': false}})) AS out
+  FROM m JOIN w USING (batch_id) WHERE m.i > len(m.gs)
+), f AS (
+  SELECT batch_id, CASE
+    WHEN len(inv) = 0 AND len(lone) = 0 AND len(slips) = 0 THEN [{{'suffix': '', 'number': NULL, 'nf': 0, 'slip': 0, 'notes': []::VARCHAR[], 'papers': []::VARCHAR[], 'forced': false}}]
+    WHEN len(lone) = 1 AND len(list_filter(out, lambda y: y.nf = 0)) = 1 AND len(list_filter(out, lambda y: y.nf = 0)[1].papers) = 1 THEN list_append(list_filter(out, lambda y: y.nf <> 0 AND y.slip <> 0),
+      {{'suffix': '', 'number': coalesce(nullif(lone[1].number, ''), list_filter(out, lambda y: y.nf = 0)[1].number), 'nf': 0, 'slip': list_filter(out, lambda y: y.nf = 0)[1].slip, 'notes': [lone[1].file], 'papers': list_filter(out, lambda y: y.nf = 0)[1].papers, 'forced': true}})
+    WHEN len(out) = 0 THEN [{{'suffix': '', 'number': list_filter(list_transform(lone, lambda y: y.number), lambda z: z <> '')[1], 'nf': 0, 'slip': 0, 'notes': list_transform(lone, lambda y: y.file), 'papers': []::VARCHAR[], 'forced': false}}]
+    ELSE out END AS out FROM o
+), pairs AS (
+  SELECT batch_id, batch_id || x.suffix AS pair_id, nullif(x.number, '') AS numero_nota, x.nf / 100.0::DOUBLE AS valor_nf, x.slip / 100.0::DOUBLE AS valor_boleto, x.forced AS forcado, array_to_string(x.notes, ',') AS notas, array_to_string(x.papers, ',') AS boletos,
+    round((x.nf - x.slip) / 100.0::DOUBLE, 2) AS diferenca, CASE WHEN x.forced AND x.slip > 0 AND x.nf = 0 THEN 'PAREADO_FORCADO' ELSE {_STATUS('x.nf', 'x.slip')} END AS status
+  FROM (SELECT batch_id, unnest(out) AS x FROM f))"""
+_PAIR_COLUMNS = ["batch_id", "pair_id", "numero_nota", "valor_nf", "valor_boleto", "forcado", "notas", "boletos", "diferenca", "status"]
+add("pair_exact_fold", lambda s, d: P.paired(S.documents(s, d)).withColumn("notas", F.array_join("notas", ",")).withColumn("boletos", F.array_join("boletos", ",")).select(_PAIR_COLUMNS), f"WITH {_FOLD} SELECT * FROM pairs", "docs")
+add("pair_status_counts", lambda s, d: P.paired(S.documents(s, d)).groupBy("status").agg(F.count("*").alias("n")), f"WITH {_FOLD} SELECT status, count(*) AS n FROM pairs GROUP BY status", "docs")
+for _k in ("pair_exact_fold", "pair_status_counts"):
+    ORACLE[_k] = ORACLE[_k].replace("WITH ", "WITH RECURSIVE ", 1)
+_FIRST_OF = lambda c: f"coalesce(arg_min({c}, ordinal) FILTER (side = 'invoice' AND {c} IS NOT NULL), arg_min({c}, ordinal) FILTER (side = 'slip' AND {c} IS NOT NULL)) AS {c}"
+add("pair_assembly", lambda s, d: P.paired(S.documents(s, d).filter("ordinal in (1, 1000)")).filter("status <> 'CONFERIR'").select("batch_id", "fornecedor_nome", "cnpj", "vencimento", "data_emissao", "numero_pedido", "aviso"),
+    f"""WITH {_KEYED.replace("AS number", "AS number, fornecedor_nome, cnpj, vencimento, data_emissao, numero_pedido")}, one AS (SELECT * FROM k WHERE ordinal IN (1, 1000)), n AS (
+      SELECT batch_id, max(cents) FILTER (side = 'invoice') AS nf, max(cents) FILTER (side = 'slip') AS slip, max(number) FILTER (side = 'invoice') AS a, max(number) FILTER (side = 'slip') AS b, {', '.join(_FIRST_OF(c) for c in ('fornecedor_nome', 'cnpj', 'vencimento', 'data_emissao', 'numero_pedido'))} FROM one GROUP BY batch_id)
+    SELECT batch_id, fornecedor_nome, cnpj, vencimento, data_emissao, numero_pedido, CASE WHEN vencimento IS NULL THEN '[VENCIMENTO NÃO ENCONTRADO - verificar urgente]' END AS aviso FROM n
+    WHERE nf IS NOT NULL AND slip IS NOT NULL AND (nf = 0 OR {_SAME('a', 'b')} OR abs(nf - slip) <= 1)""", "docs")
 add("forced_pair", lambda s, d: P.forced(S.documents(s, d)),
     f"""WITH {_KEYED}, g AS (SELECT batch_id, count(*) FILTER (side = 'invoice') AS a, count(*) FILTER (side = 'slip') AS b, coalesce(sum(cents) FILTER (side = 'invoice'), 0) AS nf, coalesce(sum(cents) FILTER (side = 'slip'), 0) AS slip FROM k GROUP BY batch_id)
     SELECT batch_id, slip / 100.0::DOUBLE AS valor_boleto, -slip / 100.0::DOUBLE AS diferenca, 'PAREADO_FORCADO' AS status FROM g WHERE a = 1 AND b = 1 AND nf = 0""", "docs")
@@ -246,7 +299,25 @@ add("company_match_cnpj", lambda s, d: K.by_cnpj(_mentions(s, d), _companies(s,
 add("company_match_name", lambda s, d: K.by_code(_mentions(s, d), _companies(s, d)), f"SELECT s_suppkey AS doc_id, 'Z' || {_TENS} || ' Comercio LTDA' AS razao_social, 'Z' || {_TENS} AS codigo FROM supplier")
 add("company_match_domain", lambda s, d: K.by_domain(_mentions(s, d), _companies(s, d)), f"SELECT s_suppkey AS doc_id, 'Z' || {_TENS} || ' Comercio LTDA' AS razao_social, 'Z' || {_TENS} AS codigo, (7 + least(3, length('Z' || {_TENS})))::INTEGER AS score FROM supplier")
 add("company_match", lambda s, d: K.matched(_mentions(s, d), _companies(s, d)), f"SELECT s_suppkey AS doc_id, 'Z' || {_TENS} || ' Comercio LTDA' AS razao_social, 'Z' || {_TENS} AS codigo, 'cnpj' AS method FROM supplier")
-add("company_in_email", lambda s, d: K.in_email(_mentions(s, d), _companies(s, d)).select("doc_id", "codigo"), f"SELECT s_suppkey AS doc_id, 'Z' || {_TENS} AS codigo FROM supplier WHERE {_TENS} >= 10")
+add("company_in_email", lambda s, d: K.in_email(_mentions(s, d), _companies(s, d)).select("doc_id", "codigo", "method"), f"SELECT s_suppkey AS doc_id, 'Z' || {_TENS} AS codigo, 'cnpj' AS method FROM supplier")
+
+
+def _firms(s: SparkSession, d: str) -> DataFrame:
+    return S.load(s, d, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 14, "1").alias("cnpj"), F.concat(F.lit("FIRMA"), F.col("n_nationkey").cast("string"), F.lit(" Servicos LTDA")).alias("razao_social"), F.col("n_nationkey").alias("ordinal"))
+
+
+def _letters(s: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    a, b = F.concat(F.lit("Firma"), (k % 25).cast("string")), F.concat(F.lit("FIRMA"), ((k + 1) % 25).cast("string"))
+    body = F.when(k % 4 == 0, F.concat(F.lit("To: "), a, F.lit(" SA\nassunto "), b)).when(k % 4 == 1, F.concat(F.lit("oi "), a, F.lit("\nFrase de segurança: "), b)).when(k % 4 == 2, F.concat(a, F.lit(" e "), b)).otherwise(F.concat(F.lit("x@gmail.com https://click."), b, F.lit(".com <style>"), b, F.lit("</style> "), a))
+    return S.load(s, d, "orders").select(k.alias("doc_id"), body.alias("text"), a.alias("a"))
+
+
+add("company_context", lambda s, d: K.in_email(_letters(s, d), _firms(s, d)).select("doc_id", F.array_join("codigos", ",").alias("codigos"), "codigo", "method"),
+    """WITH x AS (SELECT o_orderkey, 'FIRMA' || (o_orderkey % 25) AS a, 'FIRMA' || ((o_orderkey + 1) % 25) AS b FROM orders)
+    SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 4 = 3 THEN a ELSE least(a, b) || ',' || greatest(a, b) END AS codigos, CASE WHEN o_orderkey % 4 <> 2 THEN a END AS codigo, CASE WHEN o_orderkey % 4 <> 2 THEN 'nome_exato' END AS method FROM x""")
+add("company_cnpj_by_code", lambda s, d: K.cnpj_by_code(_letters(s, d).select("doc_id", F.col("a").alias("empresa")).union(S.load(s, d, "region").select("r_regionkey", F.lit("ltda"))), _firms(s, d)).select("doc_id", "empresa", "empresa_cnpj"),
+    "SELECT o_orderkey AS doc_id, 'Firma' || (o_orderkey % 25) AS empresa, lpad((o_orderkey % 25)::VARCHAR, 14, '1') AS empresa_cnpj FROM orders UNION ALL SELECT r_regionkey, 'ltda', lpad('0', 14, '1') FROM region")
 add("company_semi", lambda s, d: K.ours(S.load(s, d, "supplier").withColumn("cnpj", T.cnpj_format(_14())), _companies(s, d)).select("s_suppkey"), "SELECT s_suppkey FROM supplier WHERE s_suppkey % 10 = 0")
 add("company_anti_first", lambda s, d: K.first_foreign_cnpj(_mentions(s, d), _companies(s, d)), f"SELECT s_suppkey AS doc_id, {_D14} AS cnpj_digits FROM supplier WHERE s_suppkey % 10 <> 0")
 add("supplier_inferred", lambda s, d: K.inferred_supplier(_mentions(s, d), _companies(s, d)), "SELECT s_suppkey AS doc_id, 'Alfa LTDA' AS fornecedor FROM supplier WHERE s_suppkey % 10 <> 0")
@@ -499,7 +570,6 @@ add("due_date_to_iso", lambda s, d: S.load(s, d, "orders").select("o_orderkey",
 add("email_key", lambda s, d: _email_keys(s, d), "SELECT event_id, event_id || '@host_' || event_type AS chave FROM events")
 add("metrics_json", lambda s, d: M.as_json(M.counters(S.load(s, d, "events"), "event_type")), """SELECT '{"event_type":"' || event_type || '","n":' || count(*) || '}' AS line FROM events GROUP BY event_type""")
 add("run_totals", lambda s, d: M.run_totals(S.load(s, d, "orders").select(F.when(F.col("o_orderstatus") == "F", "OK").when(F.col("o_orderstatus") == "O", "TIMEOUT").otherwise("ERROR").alias("status"))), "SELECT count(*) AS lotes, count(*) FILTER (o_orderstatus = 'F') AS ok, count(*) FILTER (o_orderstatus = 'O') AS timeout, count(*) FILTER (o_orderstatus = 'P') AS erro FROM orders")
-add("pair_status_counts", lambda s, d: P.paired(S.documents(s, d)).groupBy("status").agg(F.count("*").alias("n")))
 
 
 def _email_keys(s: SparkSession, d: str) -> DataFrame:
