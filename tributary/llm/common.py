@@ -12,6 +12,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,11 +57,18 @@ atexit.register(cleanup)
 _RESIDENT: dict[Hashable, Any] = {}
 
 
+_LIBC = ctypes.CDLL(None)
+_MMAP_THRESHOLD = -3  # of mallopt
+
+
 def evict() -> None:
-    """Frees what resident() keeps, and gives the memory back to the system."""
+    """Frees what resident() keeps, and gives the memory back to the system, now and for arrays to come: workers live on."""
     _RESIDENT.clear()
     gc.collect()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+    pa.default_memory_pool().release_unused()
+    if tune := getattr(_LIBC, "mallopt", None):
+        tune(_MMAP_THRESHOLD, 1 << 18)  # else freed arrays of up to 32 MB stay in the heap
+    if trim := getattr(_LIBC, "malloc_trim", None):
         trim(0)
 
 
@@ -73,10 +81,19 @@ def resident(key: Hashable, build: Callable[[], Any]) -> Any:
     return _RESIDENT[key]
 
 
+#: Bytes of a batch that goes to a Python worker while written() runs; a batch is held in the JVM, in the worker, and as what comes out of it.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read again: this cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    df.write.parquet(path := scratch(spark, name))
+    before = spark.conf.get(BATCH[0])
+    spark.conf.set(*BATCH)
+    try:
+        df.write.parquet(path := scratch(spark, name))
+    finally:
+        spark.conf.set(BATCH[0], before)
     return spark.read.schema(df.schema).parquet(path)
 
 

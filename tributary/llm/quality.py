@@ -38,7 +38,7 @@ FRACTION, ABSENT = 1024, 0xFFFF
 UNSEEN = float(np.log2(START))
 
 
-def segments(texts: list[str | None], most: int = 500_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def segments(texts: list[str | None], most: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(symbols, at, owner) of runs of about `most` characters: at tells where symbols has characters of the texts, owner of which.
 
     Before each of a segment's characters stand ORDER - 1 others or START.
