@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions import text as T
@@ -203,9 +203,39 @@ IGNORED_EXTENSIONS = [".png", ".jpg", ".jpeg", ".gif", ".bmp", ".ics", ".vcf", "
 IGNORED_NAMES = [r"^image\d+", r"^logo", r"assinatura", r"^smime"]
 
 
+def ignored(name: Column) -> Column:
+    """Whether a file of that name never is a document."""
+    return F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1)).isin(IGNORED_EXTENSIONS) | T.any_match(name, IGNORED_NAMES)
+
+
 def ignored_file(x="filename") -> Column:
-    ext = F.lower(F.regexp_extract(F.col(x), r"(\.[^.]*)$", 1))
-    return ext.isin(IGNORED_EXTENSIONS) | T.any_match(x, IGNORED_NAMES)
+    return ignored(F.col(x))
+
+
+# Words of subjects and bodies that an inbox's statistics count.
+INBOX_WORDS = ["nota fiscal", "nf-e", "nfs-e", "boleto", "fatura", "danfe", "cobrança", "pagamento", "vencimento", "código de verificação", "prefeitura", "xml"]
+
+
+def inbox_words(*columns: str) -> Column:
+    """The words of INBOX_WORDS that the columns have, in the list's order."""
+    t = F.lower(F.concat_ws("\n", *columns))
+    return F.array_compact(F.array(*[F.when(t.contains(w), F.lit(w)) for w in INBOX_WORDS]))
+
+
+def inbox_statistics(emails: DataFrame, words: int = 20, senders: int = 15, examples: int = 10) -> DataFrame:
+    """(grupo, valor, n, exemplos): how often each keyword and sender's domain occurs, the first `examples` subjects by email_id.
+
+    A heap of the smallest examples is kept for each group while it is merged, so a common keyword collects no unbounded list.
+    """
+    each = emails.select("email_id", "subject", F.explode(F.concat(F.transform(inbox_words("subject"), lambda w: F.struct(F.lit("palavra").alias("grupo"), w.alias("valor"))), F.array(F.struct(F.lit("remetente").alias("grupo"), F.lower(F.substring_index("sender_address", "@", -1)).alias("valor"))))).alias("x"))
+    each = each.select("email_id", "subject", "x.grupo", "x.valor").filter("valor is not null and valor <> ''")
+    ranked = each.groupBy("grupo", "valor").agg(F.count("*").alias("n"), F.min_by("subject", "email_id").alias("_first"), F.min("email_id").alias("_id"))
+    top = Window.partitionBy("grupo").orderBy(F.desc("n"), "valor")
+    best = ranked.withColumn("_r", F.row_number().over(top)).filter(((F.col("grupo") == "palavra") & (F.col("_r") <= words)) | ((F.col("grupo") == "remetente") & (F.col("_r") <= senders)))
+    place = Window.partitionBy("grupo", "valor").orderBy("email_id")
+    shown = each.join(F.broadcast(best.select("grupo", "valor")), ["grupo", "valor"]).withColumn("_p", F.row_number().over(place)).filter(F.col("_p") <= examples)  # `words` and `senders` rows
+    shown = shown.groupBy("grupo", "valor").agg(F.array_sort(F.collect_list(F.struct("_p", "subject"))).alias("_s")).select("grupo", "valor", F.transform("_s", lambda x: x["subject"]).alias("exemplos"))
+    return best.select("grupo", "valor", "n").join(shown, ["grupo", "valor"])
 
 
 def sender_parts(x="sender") -> DataFrame:

@@ -52,12 +52,27 @@ def batches(log: DataFrame) -> DataFrame:
 
 
 def sessions(log: DataFrame, begins: str, ends: str) -> DataFrame:
-    """(module, sessao, inicio, fim, linhas, completa): from a line that begins a session to the next such line of its module."""
-    order = Window.partitionBy("module").orderBy("ts", "message")
-    marked = log.withColumn("sessao", F.sum(F.col("message").rlike(begins).cast("int")).over(order)).filter("sessao > 0")
+    """(module, sessao, inicio, fim, linhas, completa): from a line that begins a session to the next such line of its module.
+
+    Lines are ordered hour by hour, and an hour's sessions are counted on from those of the hours before, so a busy module is no
+    single task.
+    """
+    begun = log.withColumn("_h", F.date_trunc("hour", "ts")).withColumn("_b", F.col("message").rlike(begins).cast("int"))
+    before = Window.partitionBy("module").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    hours = begun.groupBy("module", "_h").agg(F.sum("_b").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    order = Window.partitionBy("module", "_h").orderBy("ts", "message")
+    marked = begun.withColumn("_n", F.sum("_b").over(order)).join(hours, ["module", "_h"]).withColumn("sessao", F.col("_n") + F.col("_before")).filter("sessao > 0")
     return marked.groupBy("module", "sessao").agg(F.min("ts").alias("inicio"), F.max("ts").alias("fim"), F.count("*").alias("linhas"), F.max(F.col("message").rlike(ends)).alias("completa"))
 
 
+def report(log: DataFrame) -> DataFrame:
+    """(secao, linha) of a text report: entries by level, the slow batches, and the commonest messages."""
+    levels = log.groupBy("level").agg(F.count("*").alias("n")).select(F.lit("niveis").alias("secao"), F.concat_ws(": ", "level", F.col("n").cast("string")).alias("linha"))
+    slow = batches(log).filter("lenta").select(F.lit("lotes lentos").alias("secao"), F.concat("batch_id", F.lit(" em "), F.col("duracao").cast("string"), F.lit("s")).alias("linha"))
+    top = top_messages(log).select(F.lit("mensagens").alias("secao"), F.concat(F.col("vezes").cast("string"), F.lit("x ["), "level", F.lit("] "), "mensagem").alias("linha"))
+    return levels.union(slow).union(top)
+
+
 def extractor_results(log: DataFrame) -> DataFrame:
     """Tries, successes and failures of each extractor that messages name."""
     name = T.group("message", r"(?i)extractor[:\s]+(\w+)")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Upper edges of the histogram's buckets, in seconds.
@@ -43,3 +47,36 @@ def as_json(rows: DataFrame) -> DataFrame:
 def run_totals(results: DataFrame) -> DataFrame:
     """Counts of the status of batches: OK, TIMEOUT, ERROR."""
     return results.agg(F.count("*").alias("lotes"), F.count_if(F.col("status") == "OK").alias("ok"), F.count_if(F.col("status") == "TIMEOUT").alias("timeout"), F.count_if(F.col("status") == "ERROR").alias("erro"))
+
+
+def skipped(decisions: DataFrame) -> DataFrame:
+    """(motivo, n): how many e-mails were left out, by reason."""
+    return decisions.filter(F.startswith("decision", F.lit("SKIP_"))).groupBy(F.lower(F.substring("decision", 6, 100)).alias("motivo")).agg(F.count("*").alias("n"))
+
+
+class Measure:
+    """What a block of work took: its name, seconds, and the rows that passed each observed DataFrame."""
+
+    def __init__(self, name: str):
+        self.name, self.seconds, self._seen = name, 0.0, []
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """df, whose rows are counted by the action that runs it, without another pass."""
+        o = Observation()
+        self._seen.append(o)
+        return df.observe(o, F.count(F.lit(1)).alias("n"))
+
+    @property
+    def counts(self) -> list[int]:
+        """Once an action has run each of them."""
+        return [o.get["n"] for o in self._seen]
+
+
+@contextmanager
+def measured(name: str) -> Iterator[Measure]:
+    """Times a block: `with measured("merge") as m: m.rows(df).write...`."""
+    m, began = Measure(name), time.monotonic()
+    try:
+        yield m
+    finally:
+        m.seconds = time.monotonic() - began

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import text as T
 from tributary.functions.calendar import holidays, with_working_days
+from tributary.operators import audit as A
 from tributary.operators import batches as B
 from tributary.operators import classify as C
 from tributary.operators import companies as K
@@ -19,6 +20,7 @@ from tributary.operators import metrics as M
 from tributary.operators import pairing as P
 from tributary.operators import reports as R
 from tributary.operators import xmls as XM
+from tributary.sources import sinks as W
 from tributary.sources import tables as S
 from tributary.streaming import events as V
 
@@ -576,3 +578,79 @@ def _email_keys(s: SparkSession, d: str) -> DataFrame:
     from tributary.sources.readers import email_key
 
     return S.load(s, d, "events").withColumn("email_id", F.concat(F.col("event_id").cast("string"), F.lit("@host/"), "event_type")).select("event_id", email_key().alias("chave"))
+
+# ---- correlation, audits and what runs keep
+
+add("correlated", lambda s, d: B.correlated(S.documents(s, d), _metadata(s, d)).select(*_KEYS, "numero_nota", "vencimento", "numero_pedido", "status_conciliacao", "valor_compra", "sem_vencimento", "duplicados"),
+    "WITH m AS (SELECT o_orderkey AS batch_id, CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS ev, 'E' || o_orderkey AS ep, o_orderkey::VARCHAR AS en FROM orders), b AS (SELECT batch_id, "
+    + ", ".join([_FIRST("numero_nota", "doc_type IN ('DANFE', 'NFSE')", "x"), _FIRST("numero_documento", "doc_type = 'OUTRO'", "z"), _FIRST("vencimento", "doc_type = 'BOLETO'", "v"), _FIRST("numero_pedido", "true", "p")])
+    + f""" FROM docs GROUP BY batch_id), full_ AS (SELECT d.batch_id, d.ordinal, doc_type, valor, CASE WHEN v IS NULL THEN coalesce(vencimento, ev) WHEN doc_type IN ('DANFE', 'NFSE') THEN coalesce(vencimento, v) ELSE vencimento END AS vencimento,
+    coalesce(numero_pedido, p, ep) AS numero_pedido, CASE WHEN coalesce(x, z) IS NULL AND doc_type IN ('DANFE', 'NFSE') THEN coalesce(numero_nota, en) ELSE numero_nota END AS numero_nota FROM docs d JOIN b USING (batch_id) LEFT JOIN m USING (batch_id)),
+    twice AS (SELECT batch_id, string_agg(numero_nota, ',' ORDER BY numero_nota) AS duplicados FROM (SELECT batch_id, numero_nota FROM full_ WHERE doc_type IN ('NFSE', 'DANFE') AND numero_nota IS NOT NULL GROUP BY ALL HAVING count(*) > 1) GROUP BY batch_id),
+    due AS (SELECT batch_id, count(vencimento) = 0 AS sem_vencimento FROM full_ GROUP BY batch_id), {RECONCILED}
+    SELECT f.batch_id, f.ordinal::INTEGER AS ordinal, numero_nota, f.vencimento, numero_pedido, status AS status_conciliacao, bought::DOUBLE AS valor_compra, sem_vencimento, duplicados
+    FROM full_ f JOIN rec USING (batch_id) JOIN due USING (batch_id) LEFT JOIN twice USING (batch_id)""", "docs")
+add("note_with_value", lambda s, d: B.has_note_with_value(S.documents(s, d)), "SELECT batch_id, bool_or(doc_type <> 'BOLETO' AND valor > 0) AS nota_com_valor FROM docs GROUP BY batch_id", "docs")
+add("subject_by_batch", lambda s, d: B.with_subject(S.slips(s, d).select("batch_id", "valor"), S.load(s, d, "orders").filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("batch_id"), F.concat(F.lit("Lote "), F.col("o_orderkey").cast("string")).alias("email_subject"))), "SELECT batch_id, valor, CASE WHEN batch_id % 3 = 0 THEN 'Lote ' || batch_id END AS assunto FROM slips", "slips")
+add("batch_ids", lambda s, d: S.load(s, d, "events").select("event_id", "ts", F.col("event_id").cast("string").alias("m")).withColumn("b", B.batch_key("ts", "m")).select("event_id", F.col("b").alias("lote"), B.batch_day("b").cast("string").alias("dia"), B.batch_day("m").cast("string").alias("sem_dia")),
+    "SELECT event_id, 'email_' || strftime(ts, '%Y%m%d_%H%M%S') || '_' || sha256(event_id::VARCHAR)[1:8] AS lote, strftime(ts, '%Y-%m-%d') AS dia, NULL::VARCHAR AS sem_dia FROM events")
+add("batch_of_path", lambda s, d: S.load(s, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("C:\\\\mail\\email_"), F.col("o_orderkey").cast("string"))).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("/tmp/email_"), F.col("o_orderkey").cast("string"))).otherwise("").alias("p")).select("o_orderkey", B.batch_of_path("p").alias("lote")), "SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN 'email_' || o_orderkey ELSE 'DESCONHECIDO' END AS lote FROM orders")
+add("content_type_parsed", lambda s, d: S.load(s, d, "events").select("event_id", F.when(F.col("event_id") % 2 == 0, "LINK_CODE").otherwise(F.col("event_type")).alias("t")).select("event_id", E.parsed_content_type("t").alias("tipo")), "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'LINK_CODE' END AS tipo FROM events")
+_URLS = ["https://nfe.cidade.br/1", "http://x.com/nota-fiscal/2", "https://app.omie.com.br/3", "https://portal.com/consulta/nf4", "https://x.com/2VIA", "https://click.mkt.com/track/5", "https://loja.com/produto", "texto sem link", "https://x.gov.br/6", "https://a.com/download/nota.xml"]
+
+
+def _linked(s: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    url = F.element_at(F.array(*map(F.lit, _URLS)), (k % 10 + 1).cast("int"))
+    return S.load(s, d, "orders").select(k.alias("email_id"), F.when(k % 4 == 0, F.lit("Nota Fiscal")).otherwise("Oi").alias("subject"), F.lit("x@y.com").alias("sender_address"), F.concat(F.lit("veja "), url, F.when(k % 5 == 0, " código de verificação: AB12CD").otherwise("")).alias("body"), F.when(k % 7 == 0, F.array(F.lit("a.pdf"))).otherwise(F.array().cast("array<string>")).alias("attachments"))
+
+
+_LINKED = "x AS (SELECT o_orderkey AS email_id, o_orderkey % 10 NOT IN (6, 7) AS has_links_nfe, o_orderkey % 5 = 0 AS has_verification_code, [" + ", ".join(f"'{u}'" for u in _URLS) + "][o_orderkey % 10 + 1] AS url FROM orders)"
+add("filter_inputs", lambda s, d: E.with_filter_inputs(_linked(s, d)).select("email_id", "has_links_nfe", "has_verification_code"), f"WITH {_LINKED} SELECT email_id, has_links_nfe, has_verification_code FROM x")
+add("notices", lambda s, d: E.notices(_linked(s, d), _firms(s, d)).select("email_id", "subject", "link", "codigo", "empresa"),
+    f"WITH {_LINKED} SELECT email_id, 'Nota Fiscal' AS subject, CASE WHEN has_links_nfe THEN url END AS link, CASE WHEN has_verification_code THEN 'AB12CD' END AS codigo, NULL::VARCHAR AS empresa FROM x WHERE email_id % 4 = 0 AND email_id % 7 <> 0 AND (has_links_nfe OR has_verification_code)")
+add("inbox_statistics", lambda s, d: E.inbox_statistics(S.emails(s, d), 3, 2, 2).select("grupo", "valor", "n", F.array_join("exemplos", "|").alias("exemplos")),
+    """WITH w AS (SELECT email_id, subject, 'palavra' AS grupo, unnest(list_filter(['nota fiscal', 'nf-e', 'nfs-e', 'boleto', 'fatura'], lambda k: contains(lower(subject), k))) AS valor FROM emails
+      UNION ALL SELECT email_id, subject, 'remetente', split_part(sender_address, '@', 2) FROM emails),
+    g AS (SELECT grupo, valor, count(*) AS n, list(subject ORDER BY email_id)[1:2] AS e, row_number() OVER (PARTITION BY grupo ORDER BY count(*) DESC, valor) AS r FROM w GROUP BY grupo, valor)
+    SELECT grupo, valor, n, array_to_string(e, '|') AS exemplos FROM g WHERE r <= CASE grupo WHEN 'palavra' THEN 3 ELSE 2 END""", "emails")
+add("skip_reasons", lambda s, d: M.skipped(E.decided(S.emails(s, d))), f"WITH {_DECIDED} SELECT lower(decision[6:]) AS motivo, count(*) AS n FROM final WHERE starts_with(decision, 'SKIP_') GROUP BY 1", "emails")
+
+
+def _cases(s: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    return S.load(s, d, "orders").select(
+        k.alias("batch_id"), F.when(k % 5 == 0, "CNPJ:").when(k % 5 == 1, "").otherwise("ACME LTDA").alias("fornecedor"), F.when(k % 3 == 0, F.lit("2024-02-10")).when(k % 3 == 1, F.lit("2024-02-30")).alias("vencimento"),
+        F.when(k % 2 == 0, 0.0).otherwise(F.col("o_totalprice")).alias("valor_compra"), (k % 2 + 1).cast("int").alias("outros"), F.when(k % 4 == 0, 1).otherwise(0).alias("nfses"), F.lit(None).cast("string").alias("numero_nota"),
+        F.when(k % 6 == 0, "Boleto de maio").when(k % 6 == 1, "NF 12").otherwise("oi").alias("email_subject"),
+    )
+
+
+_CASES = """q AS (SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN 'GENERICO' WHEN 1 THEN 'AUSENTE' ELSE '' END AS fornecedor,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'Valor zero com 1 outros e ' || CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END || ' NFSEs' ELSE '' END AS valor,
+  CASE WHEN o_orderkey % 3 = 1 THEN 'INVALIDO' WHEN o_orderkey % 3 = 2 AND o_orderkey % 4 <> 0 THEN 'Vencimento não extraído (' || CASE WHEN o_orderkey % 6 = 0 THEN 'assunto sugere boleto/fatura)' ELSE 'pode ser boleto)' END ELSE '' END AS vencimento,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'Número da nota não extraído (para NFSE)' ELSE '' END AS numero_nota, CASE o_orderkey % 6 WHEN 0 THEN 'Assunto sugere boleto/fatura' WHEN 1 THEN 'Assunto sugere nota fiscal' ELSE '' END AS extrator,
+  CASE WHEN o_orderkey % 3 = 1 THEN 'Data de vencimento inválida' WHEN o_orderkey % 3 = 2 AND o_orderkey % 4 <> 0 THEN 'Data de vencimento faltante' ELSE '' END AS data FROM orders),
+  c AS (SELECT *, (fornecedor <> '')::INTEGER + (valor <> '')::INTEGER + (vencimento <> '')::INTEGER + (numero_nota <> '')::INTEGER + (data <> '')::INTEGER AS n FROM q)"""
+_SEVERITY = "CASE WHEN n = 0 THEN 'BAIXA' WHEN n <= 2 THEN 'MEDIA' ELSE 'ALTA' END"
+add("case_quality", lambda s, d: A.quality(_cases(s, d)).select("batch_id", *[F.array_join(f"{k}_issues", ";").alias(k) for k in A.ISSUES], "severidade"), f"WITH {_CASES} SELECT k AS batch_id, fornecedor, valor, vencimento, numero_nota, extrator, data, {_SEVERITY} AS severidade FROM c")
+add("case_report", lambda s, d: A.report(A.quality(_cases(s, d))), f"WITH {_CASES} SELECT k AS batch_id, concat_ws(chr(10), 'Caso ' || k || ' | severidade: ' || {_SEVERITY} || ' | problemas: ' || n, " + ", ".join(f"CASE WHEN {k} <> '' THEN '  {k}: ' || {k} END" for k in ("fornecedor", "valor", "vencimento", "numero_nota", "extrator", "data")) + ") AS text FROM c")
+
+
+def _found(s: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    return S.load(s, d, "orders").select(F.when(k % 9 != 0, k).alias("id"), F.when(k % 2 == 0, "ALTA").otherwise("BAIXA").alias("severity"), F.when(k % 3 == 0, "NFSE").otherwise("ADMIN").alias("classification"), F.when(k % 5 == 0, F.array(F.lit("Valor"), F.lit("data"))).otherwise(F.array(F.lit("data"))).alias("issues"))
+
+
+add("case_filter", lambda s, d: A.filtered(_found(s, d), "alta", "nfse", "VALOR", 10, 1000).select("id"), "SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 9 <> 0 AND o_orderkey % 30 = 0 AND o_orderkey BETWEEN 10 AND 1000")
+add("case_counts", lambda s, d: A.counts(_found(s, d), "severity", "classification", "issues"),
+    "SELECT 'severity' AS coluna, CASE WHEN o_orderkey % 2 = 0 THEN 'ALTA' ELSE 'BAIXA' END AS valor, count(*) AS n FROM orders GROUP BY 2 UNION ALL SELECT 'classification', CASE WHEN o_orderkey % 3 = 0 THEN 'NFSE' ELSE 'ADMIN' END, count(*) FROM orders GROUP BY 2 UNION ALL SELECT 'issues', 'data', count(*) FROM orders UNION ALL SELECT 'issues', 'Valor', count(*) FROM orders WHERE o_orderkey % 5 = 0")
+_PDFS = lambda s, d: S.load(s, d, "lineitem").select(F.col("l_orderkey").alias("batch_id"), F.when(F.col("l_returnflag") == "A", "Nota fiscal, prestador X, R$ 10,00").when(F.col("l_returnflag") == "R", "Contrato e proposta").otherwise("nada").alias("text"), F.lit(1).alias("outros"))
+add("batch_class", lambda s, d: A.batch_class(_PDFS(s, d)),
+    """WITH g AS (SELECT l_orderkey AS batch_id, count(*) AS total, count(*) FILTER (l_returnflag = 'A') AS nfse, count(*) FILTER (l_returnflag = 'R') AS admin FROM lineitem GROUP BY 1)
+    SELECT batch_id, total, nfse, admin, nfse AS com_valor, CASE WHEN nfse > 0 AND admin > 0 THEN 'MISTO' WHEN nfse > 0 THEN 'NFSE' WHEN admin > 0 THEN 'ADMIN' ELSE 'DESCONHECIDO' END AS classe,
+    CASE WHEN nfse > 0 THEN 'REVISAR_CLASSIFICACAO' WHEN admin > 0 THEN 'DOCUMENTO_ADMIN_OK' ELSE 'INVESTIGAR_MANUALMENTE' END AS acao FROM g""")
+add("processed_names", lambda s, d: A.processed(S.load(s, d, "part").select(F.when(F.col("p_partkey") % 2 == 0, F.upper("p_brand")).otherwise(F.col("p_brand")).alias("name"))), "SELECT DISTINCT CASE WHEN p_partkey % 2 = 0 THEN upper(p_brand) ELSE p_brand END AS name FROM part")
+add("partial_flattened", lambda s, d: W.flattened(S.documents(s, d).filter("ordinal <= 2").groupBy("batch_id").agg(F.lit("OK").alias("status"), F.array_sort(F.collect_list(F.struct(F.col("arquivo_origem"), "valor"))).alias("documents"))).select("batch_id", "status", "ordinal", "arquivo_origem", "valor"),
+    "SELECT batch_id, 'OK' AS status, (row_number() OVER (PARTITION BY batch_id ORDER BY arquivo_origem, valor))::INTEGER AS ordinal, arquivo_origem, valor FROM docs WHERE ordinal <= 2", "docs")
+add("log_report", lambda s, d: L.report(L.entries(S.log_lines(s, d))).filter("secao = 'niveis'"), "SELECT 'niveis' AS secao, level || ': ' || count(*) AS linha FROM (SELECT CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'click' THEN 'WARNING' ELSE 'INFO' END AS level FROM events) GROUP BY level")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,3 +74,56 @@ def with_history(now: DataFrame, before: DataFrame, key: str) -> DataFrame:
 def retries(batches: DataFrame, limit: float = 300.0) -> DataFrame:
     """(batch_id, limite) of the batches that took too long, with twice the time for the next try."""
     return batches.filter(F.col("seconds") > limit).select("batch_id", F.lit(limit * 2).alias("limite"))
+
+
+def _phase(emails: DataFrame, name: str, rows: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, tell: Callable[[str, dict], None] | None) -> int:
+    """Runs one phase over what is new; gives the rows that it has read."""
+
+    def write(batch: DataFrame, n: int) -> None:
+        rows(batch.dropDuplicates(["email_id"])).write.mode("overwrite").json(f"{out}/{name}/batch={n:08d}")
+
+    query = emails.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start()
+    query.awaitTermination()
+    seen = 0
+    for p in query.recentProgress:
+        seen += p["numInputRows"]
+        if tell:
+            tell(name, {"batch": p["batchId"], "rows": p["numInputRows"]})
+    return seen
+
+
+def run(emails: DataFrame, companies: DataFrame, out: str, checkpoint: str, links_first: bool = False, attachments: bool = True, notices: bool = True, tell: Callable[[str, dict], None] | None = None) -> dict[str, int]:
+    """The whole run over a stream of e-mails: those with files, and those with a link or code only; rows read by phase.
+
+    Each phase has its checkpoint and is resumed by itself. links_first turns their order around. A file that a batch writes again
+    after a failure replaces that of its first try. tell gets each batch's progress.
+    """
+    from tributary.operators import emails as E
+
+    def files(batch: DataFrame) -> DataFrame:
+        return decided(E.with_filter_inputs(batch)).filter((F.col("decision") == "PROCESS") & E.has_valid_attachment())
+
+    phases = [("attachments", files, attachments), ("notices", lambda batch: E.notices(batch, companies), notices)]
+    return {name: _phase(emails, name, rows, out, checkpoint, tell) for name, rows, wanted in (phases[::-1] if links_first else phases) if wanted}
+
+
+def status(spark: SparkSession, out: str) -> DataFrame:
+    """(fase, lotes, emails) of what a run has written so far."""
+    parts = []
+    for name in ("attachments", "notices"):
+        try:
+            rows = spark.read.json(f"{out}/{name}")
+        except Exception as e:  # noqa: BLE001 - a phase that has written nothing has no folder, or files without columns
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            continue
+        if "email_id" in rows.columns:
+            parts.append(rows.agg(F.lit(name).alias("fase"), F.count_distinct("batch").alias("lotes"), F.count("*").alias("emails")))
+    empty = spark.createDataFrame([], "fase string, lotes long, emails long")
+    return reduce(DataFrame.union, parts, empty)
+
+
+def clear(spark: SparkSession, checkpoint: str) -> None:
+    """Forgets what has been processed: the next run reads all e-mails again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
