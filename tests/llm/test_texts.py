@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from xxhash import xxh64_intdigest
 
 from tributary.llm import bpe, langid, licenses, mixing, quality, simhash
-from tributary.llm.common import connected_components, sieve
+from tributary.llm.common import Sieve, connected_components
 
 WORDS = "the of and licence quick brown fox jumps over lazy dog alpha beta gamma delta".split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, copies int, row int, n int, bits double, keep int, whole int, fp int"
@@ -121,10 +121,10 @@ def test_bk_tree_leaves_edges_out_of_the_radius_alone():
 def test_sieve_lets_all_keys_pass(spark):
     keys = spark.range(3000).selectExpr("xxhash64(id) AS h")
     rows = spark.range(30_000).selectExpr("id", "xxhash64(id) AS h")
-    passed = {r.id for r in rows.filter(sieve(keys)("h")).collect()}
+    passed = {r.id for r in rows.filter(Sieve(keys).column("h")).collect()}
     assert set(range(3000)) <= passed and len(passed) < 4500
-    assert rows.filter(sieve(keys.limit(0))("h")).count() == 0
-    assert set(range(3000)) <= {r.id for r in rows.filter(sieve(keys, most_bits=1 << 15)("h")).collect()}
+    assert rows.filter(Sieve(keys.limit(0)).column("h")).count() == 0
+    assert set(range(3000)) <= {r.id for r in rows.filter(Sieve(keys, most_bits=1 << 15).column("h")).collect()}
 
 
 @pytest.mark.parametrize("edges", [[], [(1, 2), (2, 3), (3, 1), (7, 8)], [(i, i + 1) for i in range(70)], [(0, i) for i in range(50)] + [(60, 50), (50, 49)]])

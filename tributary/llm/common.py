@@ -57,18 +57,12 @@ atexit.register(cleanup)
 _RESIDENT: dict[Hashable, Any] = {}
 
 
-_LIBC = ctypes.CDLL(None)
-_MMAP_THRESHOLD = -3  # of mallopt
-
-
 def evict() -> None:
-    """Frees what resident() keeps, and gives the memory back to the system, now and for arrays to come: workers live on."""
+    """Frees what resident() keeps, and gives the memory back to the system: workers live on."""
     _RESIDENT.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
-    if tune := getattr(_LIBC, "mallopt", None):
-        tune(_MMAP_THRESHOLD, 1 << 18)  # else freed arrays of up to 32 MB stay in the heap
-    if trim := getattr(_LIBC, "malloc_trim", None):
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)
 
 
@@ -97,30 +91,38 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sieve(keys: DataFrame, most_bits: int = 1 << 28) -> Callable[[F.Column], F.Column]:
-    """A function of a column of hashes to whether it may be among keys (h long): true for all that are, and for few others.
+class Sieve:
+    """What may be among keys (h long): true for all hashes that are, and for few others.
 
     A Bloom filter of some 16 bits a key, 32 MB at most, is broadcast; with more keys than that allows, more others pass. What passes
     is to be joined with the keys themselves: the sieve only saves the shuffle of all the rest.
     """
-    spark = keys.sparkSession
-    bits = min(most_bits, max(1 << 15, 1 << (16 * keys.count()).bit_length()))
-    place = F.explode(F.array(*(F.shiftright("h", n).bitwiseAND(F.lit(bits - 1)) for n in (0, 32))))
-    maps = keys.select(place.alias("p")).groupBy(F.shiftright("p", 15).alias("bucket")).agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(F.lit(32767))).alias("bits"))
-    full = np.zeros(bits // 8, np.uint8)
-    for r in maps.collect():  # bits // 32768 rows of 4096 bytes at most
-        full[r["bucket"] * 4096 : (r["bucket"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
-    shared = spark.sparkContext.broadcast(full)
-
-    @F.pandas_udf("boolean")
-    def passes(h: pd.Series) -> pd.Series:
-        x, hit = h.to_numpy().astype(np.int64), np.ones(len(h), bool)
+
+    def __init__(self, keys: DataFrame, most_bits: int = 1 << 28):
+        bits = min(most_bits, max(1 << 15, 1 << (16 * keys.count()).bit_length()))
+        place = F.explode(F.array(*(F.shiftright("h", n).bitwiseAND(F.lit(bits - 1)) for n in (0, 32))))
+        maps = keys.select(place.alias("p")).groupBy(F.shiftright("p", 15).alias("bucket")).agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(F.lit(32767))).alias("bits"))
+        full = np.zeros(bits // 8, np.uint8)
+        for r in maps.collect():  # bits // 32768 rows of 4096 bytes at most
+            full[r["bucket"] * 4096 : (r["bucket"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+        self.bits, self.shared = bits, keys.sparkSession.sparkContext.broadcast(full)
+
+    def passes(self, h: np.ndarray) -> np.ndarray:
+        """For use within a Python function over batches, so that a task needs one worker and not two."""
+        hit = np.ones(len(h), bool)
         for n in (0, 32):
-            p = (x >> n) & (bits - 1)
-            hit &= (shared.value[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
-        return pd.Series(hit)
+            p = (h.astype(np.int64) >> n) & (self.bits - 1)
+            hit &= (self.shared.value[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+        return hit
+
+    def column(self, h: F.Column | str) -> F.Column:
+        me = self
+
+        @F.pandas_udf("boolean")
+        def passes(h: pd.Series) -> pd.Series:
+            return pd.Series(me.passes(h.to_numpy()))
 
-    return passes
+        return passes(h)
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:

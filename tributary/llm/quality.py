@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import evict, scratch, sieve, written
+from tributary.llm.common import Sieve, evict, scratch, written
 
 ORDER = 5
 #: Before a text stand ORDER - 1 of this symbol, which isn't a code point and is never predicted.
@@ -38,7 +38,7 @@ FRACTION, ABSENT = 1024, 0xFFFF
 UNSEEN = float(np.log2(START))
 
 
-def segments(texts: list[str | None], most: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def segments(texts: list[str | None], most: int = 250_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(symbols, at, owner) of runs of about `most` characters: at tells where symbols has characters of the texts, owner of which.
 
     Before each of a segment's characters stand ORDER - 1 others or START.
@@ -239,7 +239,7 @@ def costs(texts: list[str | None], table: Table, floor: float) -> np.ndarray:
     return total
 
 
-def slices(batch: pa.RecordBatch, text: int, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: int, most: int = 500_000) -> Iterator[pa.RecordBatch]:
     """The batch in slices of whole rows whose texts have about `most` bytes together."""
     end, at = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(text)).cast(pa.int64()), 0)).to_numpy(), 0
     while at < len(end):
@@ -287,6 +287,8 @@ def asked(rows: DataFrame, text: int, shards: int, most: int = 48_000_000) -> Da
                 known = np.sort(np.concatenate([known, whole[new]]))
                 parts.append(np.unique(keys_at(raw, at[new])))
                 size += len(at)
+                if len(parts) > 1 and sum(map(len, parts[1:])) > len(parts[0]):
+                    parts = [np.unique(np.concatenate(parts))]
             if size >= most:
                 yield done()
                 writer, known, parts, size = None, known[:0], [], 0
@@ -398,8 +400,8 @@ class Judge:
         self.names = [f"c{i}" for i in range(len(documents.columns))]
         at = {c: self.names[documents.columns.index(c)] for c in ("doc_id", "text", "lang")}
         train = ids.filter("train").select("doc_id")
-        trusted = sieve(train.select(F.xxhash64("doc_id").alias("h")))
-        texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("length(text) > 0").filter(trusted(F.xxhash64("doc_id")))
+        trusted = Sieve(train.select(F.xxhash64("doc_id").alias("h")))
+        texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("length(text) > 0").filter(trusted.column(F.xxhash64("doc_id")))
         table, floor = model(texts.join(train, "doc_id", "left_semi"))  # only texts that pass are shuffled
         if keep:  # under names that can't clash
             rows = scored(documents.toDF(*["text" if n == at["text"] else n for n in self.names]), table, floor).withColumnRenamed("text", at["text"])

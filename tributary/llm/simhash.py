@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from tributary.llm.common import connected_components, evict, sieve, written
+from tributary.llm.common import Sieve, connected_components, evict, written
 
 SEED = 42
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -268,16 +268,18 @@ def _row() -> F.Column:
     return F.xxhash64("doc_id", "key")
 
 
-def shingle_sets(documents: DataFrame, k: int) -> DataFrame:
-    """(doc_id, key, shingles) of rows (doc_id, key, text): the distinct hashes in order."""
+def shingle_sets(documents: DataFrame, k: int, wanted: Sieve) -> DataFrame:
+    """(doc_id, key, shingles) of those rows (doc_id, key, text) that pass: the distinct hashes in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evict()
         for b in batches:
-            out = [np.unique(shingle_hashes(words(t.as_py()), k)).tobytes() for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(out, pa.binary())], ["doc_id", "key", "shingles"])
+            b = b.filter(pa.array(wanted.passes(b.column(0).to_numpy())))
+            out = [np.unique(shingle_hashes(words(t.as_py()), k)).tobytes() for t in b.column(3)]
+            yield pa.RecordBatch.from_arrays([*b.columns[1:3], pa.array(out, pa.binary())], ["doc_id", "key", "shingles"])
+        evict()
 
-    return documents.select("doc_id", "key", "text").mapInArrow(run, "doc_id long, key binary, shingles binary")
+    return documents.select(_row().alias("h"), "doc_id", "key", "text").mapInArrow(run, "doc_id long, key binary, shingles binary")
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -402,7 +404,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, similarity: float = 0.8, r
         near = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_near(similarity), "band long, i long, j long, part long, id long, fp long, size long")
         near = written(near, "near")
         asked = written(first.join(near.select("id").distinct(), "id", "left_semi").select("id", "least.doc_id", "least.key"), "asked")
-        held = shingle_sets(docs.filter(sieve(asked.select(_row().alias("h")))(_row())), k).join(asked, ["doc_id", "key"])  # texts stay where they are
+        held = shingle_sets(docs, k, Sieve(asked.select(_row().alias("h")))).join(asked, ["doc_id", "key"])  # texts stay where they are
         whole = near.join(held.dropDuplicates(["id"]), "id").select("band", "i", "j", "part", "id", "fp", "shingles")
         edges = whole.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_verified(radius, similarity), "a long, b long")
         return written(edges, "edges")
@@ -423,8 +425,8 @@ def deduplicated(documents: DataFrame, k: int = 5, similarity: float = 0.8) -> D
     """
     gone = written(near_duplicates(documents, k, similarity).select("doc_id", "key"), "gone")
     repeated = documents.select(_id("doc_id"), _key("text")).groupBy("doc_id", "key").count().filter("count > 1").select("doc_id", "key")
-    doubtful = sieve(written(gone.union(repeated).select(_row().alias("h")), "doubtful"))
-    rows = documents.select(F.struct("*").alias("whole"), _id("doc_id"), _key("text")).withColumn("doubt", doubtful(_row()))
+    doubtful = Sieve(written(gone.union(repeated).select(_row().alias("h")), "doubtful"))
+    rows = documents.select(F.struct("*").alias("whole"), _id("doc_id"), _key("text")).withColumn("doubt", doubtful.column(_row()))
     kept = rows.filter("doubt").join(gone, ["doc_id", "key"], "left_anti").dropDuplicates(["doc_id", "key"])
     return rows.filter("not doubt").select("whole.*").union(kept.select("whole.*"))
 
