@@ -68,6 +68,10 @@ class Codec:
         self._table("merges", {"a": a, "b": b, "rank": rank})
         self._table("vocabulary", {"id": pa.array(self.rank.values(), pa.int32()), "piece": pa.array([t.hex() for t in self.rank])})
 
+    def __del__(self):
+        if db := getattr(self, "db", None):
+            db.close()
+
     def _table(self, name: str, columns: dict) -> None:
         self.db.register("given", pa.table(columns))
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
@@ -190,6 +194,7 @@ def encoded(documents: DataFrame, ranks: bytes | None = None, pattern: str = pub
                 columns, names = [*columns, pa.array(ids, pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
         if not remember:
+            del codec
             evict()
 
     return kept.mapInArrow(run, f"{fields}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)

@@ -248,6 +248,10 @@ def slices(batch: pa.RecordBatch, text: int, most: int = 500_000) -> Iterator[pa
         at = to
 
 
+#: Keys of a row that travels; readers hold thousands of rows at a time.
+PIECE = 2048
+
+
 def asked(rows: DataFrame, text: int, shards: int, most: int = 48_000_000) -> DataFrame:
     """(chunk, shard, keys): writes the rows to chunks, files of about `most` characters, and gives each one's distinct n-grams by shard.
 
@@ -269,12 +273,12 @@ def asked(rows: DataFrame, text: int, shards: int, most: int = 48_000_000) -> Da
             shard = (seen % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             cut = np.searchsorted(shard[order], np.arange(shards + 1))
-            has = np.flatnonzero(np.diff(cut))
-            return pa.RecordBatch.from_arrays([pa.array([name] * (len(has) + 1)), pa.array([-1, *has.tolist()], pa.int64()), pa.array([None, *(packed(seen[order[cut[s] : cut[s + 1]]]) for s in has)], pa.binary())], ["chunk", "shard", "keys"])
+            pieces = [(s, order[i : min(i + PIECE, cut[s + 1])]) for s in np.flatnonzero(np.diff(cut)).tolist() for i in range(cut[s], cut[s + 1], PIECE)]
+            return pa.RecordBatch.from_arrays([pa.array([name] * (len(pieces) + 1)), pa.array([-1, *(s for s, _ in pieces)], pa.int64()), pa.array([None, *(packed(seen[at]) for _, at in pieces)], pa.binary())], ["chunk", "shard", "keys"])
 
         for b in (s for x in batches for s in slices(x, text)):
             if writer is None:
-                name = f"{uuid.uuid4().hex}.arrows"
+                name = uuid.uuid4().hex[:20]
                 sink = store.open_output_stream(f"{base}/{name}")
                 writer = pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
             writer.write_batch(b)
@@ -336,7 +340,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else ([], [], []), (pa.string(), pa.binary(), pa.binary()), strict=True)], ["chunk", "keys", "costs"])
 
 
-def scored(rows: DataFrame, table: DataFrame, floor: float, most: int = 1_000_000) -> DataFrame:
+def scored(rows: DataFrame, table: DataFrame, floor: float, most: int = 200_000) -> DataFrame:
     """The rows with n, the characters of their text, and bits, what the model needs for them. table: (key, p, rest).
 
     The model is cut into shards of about `most` n-grams, however many it has. A shard answers each chunk once for each n-gram,
