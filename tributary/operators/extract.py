@@ -43,6 +43,11 @@ def upper(x: str) -> Column:
     return F.col(f"{x}__upper")
 
 
+def all_digits(x: str) -> Column:
+    """The digits of the text, as prepared() has them."""
+    return F.col(f"{x}__digits")
+
+
 def compact(x: str) -> Column:
     """Upper-case letters and digits of the text, as prepared() has them."""
     return F.col(f"{x}__compact")
@@ -56,12 +61,12 @@ def fenced(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 def prepared(df: DataFrame, x: str) -> DataFrame:
     """Adds what predicates and fields ask many times of a text: its upper-case and compact forms, its lines, and its slip's line."""
     rows = F.filter(F.transform(F.split(F.coalesce(F.col(x), F.lit("")), "\n"), lambda s: F.trim(s)), lambda s: s != "")
-    first = fenced(df, {f"{x}__upper": F.upper(F.coalesce(F.col(x), F.lit(""))), f"{x}__compact": T.compact(x), f"{x}__lines": rows})
+    first = fenced(df, {f"{x}__upper": F.upper(F.coalesce(F.col(x), F.lit(""))), f"{x}__compact": T.compact(x), f"{x}__digits": T.digits(x), f"{x}__lines": rows})
     return fenced(first, {f"{x}__line": has_slip_line(x), f"{x}__slip": T.first_group(x, [rf"({SLIP_LINE})", r"(\d{47,48})"])})
 
 
 def unprepared(df: DataFrame, x: str) -> DataFrame:
-    return df.drop(*(f"{x}__{c}" for c in ("upper", "compact", "lines", "line", "slip")))
+    return df.drop(*(f"{x}__{c}" for c in ("upper", "compact", "digits", "lines", "line", "slip")))
 
 
 def count_in(t: Column, words: list[str]) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import text as T
 from tributary.operators import extract as X
-from tributary.operators.extract import AMOUNT, DAY, SLIP_LINE, Extractor, any_in, compact, compacted, count_in, first_of, has, lines, near, register, slip_line_cents, upper
+from tributary.operators.extract import AMOUNT, DAY, SLIP_LINE, Extractor, all_digits, any_in, compact, compacted, count_in, first_of, has, lines, near, register, slip_line_cents, upper
 
 GENERIC = {e.name: e for e in X.REGISTRY}
 
@@ -140,10 +140,10 @@ NET_WORDS = ["LINHA DIGITAVEL", "LINHA DIGITÁVEL", "BENEFICI", "VENCIMENTO", "V
 
 
 def is_net(x: str) -> Column:
-    t = F.upper(T.strip_accents(x))
-    vendor = compact(x).contains("NETCENTER") | (t.contains("UNAI") & t.contains("NET") & t.contains("CENTER"))
+    c = compact(x)
+    vendor = c.contains("NETCENTER") | (c.contains("UNAI") & c.contains("NET") & c.contains("CENTER"))
     line = F.coalesce(F.col(x).rlike(r"\d{5}[\.\s]\d{5}\s+\d{5}[\.\s]\d{6}\s+\d{5}[\.\s]\d{6}"), F.lit(False))
-    return T.digits(x).contains(NET_DIGITS) | (vendor & (any_in(compact(x), compacted(NET_WORDS)) | line))
+    return all_digits(x).contains(NET_DIGITS) | (vendor & (any_in(c, compacted(NET_WORDS)) | line))
 
 
 def net_value(x: str) -> Column:
@@ -218,7 +218,8 @@ def is_telecom(x: str) -> Column:
     t = upper(x)
     named_ = t.contains("TELCABLES BRASIL") & any_in(t, ["DOCUMENTO AUXILIAR", "CHAVE DE ACESSO", "NOTA FISCAL"])
     marks = sum((t.rlike(p).cast("int") for p in TELECOM_MARKS), F.lit(0))
-    return F.coalesce(T.digits(T.cnpj_flexible(x)) == TELECOM_DIGITS, F.lit(False)) | named_ | (marks >= 2)
+    number = all_digits(x).contains(TELECOM_DIGITS) & F.coalesce(T.digits(T.cnpj_flexible(x)) == TELECOM_DIGITS, F.lit(False))
+    return number | named_ | (any_in(t, ["TELCABLES", "FATURA"]) & (marks >= 2))  # two marks can't be without one of these words
 
 
 def telecom_supplier(t: Column) -> Column:

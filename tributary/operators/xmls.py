@@ -33,12 +33,29 @@ def dialect(x: str = "xml") -> Column:
     return F.coalesce(*[F.when(score(ps) >= n, F.lit(name)) for name, n, ps in DIALECTS])
 
 
+# The named references of XML; the ampersand comes last, so that what it leaves isn't read again.
+REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
+_CDATA = r"<!\[CDATA\[(?s:(.*?))\]\]>"
+
+
+def decoded(v: Column) -> Column:
+    """An element's text with its references resolved; a CDATA section stands as it is."""
+
+    def resolve(t: Column) -> Column:
+        plain = t
+        for ref, char in REFERENCES.items():
+            plain = F.replace(plain, F.lit(ref), F.lit(char))
+        return F.when(t.contains("<![CDATA["), F.regexp_replace(t, _CDATA, "$1")).when(t.contains("&"), plain).otherwise(t)
+
+    return T.let(v, resolve)
+
+
 def element(x: Column, path: str) -> Column:
     """The text of the first element at the path: a/b is b somewhere under a. Read by patterns, so a broken end of a document does no harm."""
     parts = [p for p in path.split("/") if p]
     for p in parts[:-1]:
         x = F.regexp_extract(x, rf"(?s)<{p}(?:\s[^>]*)?>(.*?)</{p}>", 1)
-    return T.blank_to_null(F.regexp_extract(x, rf"(?s)<{parts[-1]}(?:\s[^>]*)?>([^<]*)</{parts[-1]}>", 1))
+    return T.blank_to_null(decoded(F.regexp_extract(x, rf"(?s)<{parts[-1]}(?:\s[^>]*)?>((?:[^<]|<!\[CDATA\[.*?\]\]>)*+)</{parts[-1]}>", 1)))
 
 
 def without_namespaces(x: str) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions import text as T
-from tributary.functions.calendar import holidays, with_working_days
+from tributary.functions.calendar import with_working_days
 from tributary.operators import audit as A
 from tributary.operators import batches as B
 from tributary.operators import classify as C
@@ -436,15 +437,20 @@ def _xmls(s: SparkSession, d: str) -> DataFrame:
     return r.select("batch_id", "ordinal", F.when(m == 0, nfe).when(m == 1, abrasf).when(m == 2, sped).when(m == 3, sig).otherwise("<a><b></a>").alias("xml"))
 
 
+add("xml_references", lambda s, d: XM.parsed(S.load(s, d, "part").select("p_partkey", F.concat(F.lit("<NFSe><infNFSe Id='1'><nNFSe>7</nNFSe><emit><xNome>"), F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("A &amp; B &lt;"), F.col("p_partkey").cast("string"), F.lit("&gt;"))).otherwise(F.concat(F.lit("<![CDATA[A & B <"), F.col("p_partkey").cast("string"), F.lit(">]]>"))), F.lit("</xNome></emit></infNFSe></NFSe>")).alias("xml"))).select("p_partkey", "fornecedor_nome"), "SELECT p_partkey, 'A & B <' || p_partkey || '>' AS fornecedor_nome FROM part")
 _X = lambda k: (lambda s, d: XM.parsed(_xmls(s, d).filter(F.col("ordinal") % 5 == k)).select("batch_id", "ordinal", "dialect", "doc_type", "numero_nota", "cnpj", "fornecedor_nome", "valor", "data_emissao"))
 for _k, _name, _dialect, _type in ((0, "xml_nfe", "NFE", "DANFE"), (1, "xml_nfse", "NFSE", "NFSE"), (2, "xml_sped", "NFSE_SPED", "NFSE"), (3, "xml_sigiss", "NFSE_SIGISS", "NFSE")):
     add(_name, _X(_k), f"SELECT {_OK}, '{_dialect}' AS dialect, '{_type}' AS doc_type, l_partkey::VARCHAR AS numero_nota, lpad(l_suppkey::VARCHAR, 8, '0') || '000100' AS cnpj, s_name AS fornecedor_nome, {_VAL}, {_SHIP} FROM invoice_rows WHERE ordinal % 5 = {_k}", "invoice_rows")
 add("xml_dialect", lambda s, d: XM.parsed(_xmls(s, d)).groupBy("dialect", "_error").agg(F.count("*").alias("n")).withColumnRenamed("_error", "erro"), "SELECT CASE ordinal % 5 WHEN 0 THEN 'NFE' WHEN 1 THEN 'NFSE' WHEN 2 THEN 'NFSE_SPED' WHEN 3 THEN 'NFSE_SIGISS' END AS dialect, CASE WHEN ordinal % 5 = 4 THEN 'unknown dialect' END AS erro, count(*) AS n FROM invoice_rows GROUP BY ALL", "invoice_rows")
-add("payment_name", lambda s, d: S.load(s, d, "orders").select("o_orderkey", XM.payment_name(F.lpad((F.col("o_orderkey") % 20).cast("string"), 2, "0")).alias("forma")), "SELECT o_orderkey, coalesce(n, 'CODIGO_' || c) AS forma FROM (SELECT o_orderkey, lpad((o_orderkey % 20)::VARCHAR, 2, '0') AS c FROM orders) LEFT JOIN (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in XM.PAYMENT.items()) + ") p(k, n) ON c = k")
+add("payment_name", lambda s, d: S.load(s, d, "orders").select("o_orderkey", XM.payment_name(F.lpad((F.col("o_orderkey") % 20).cast("string"), 2, "0")).alias("forma")), "SELECT o_orderkey, coalesce(n, 'CODIGO_' || c) AS forma FROM (SELECT o_orderkey, lpad((o_orderkey % 20)::VARCHAR, 2, '0') AS c FROM orders) LEFT JOIN (VALUES ('01', 'DINHEIRO'), ('02', 'CHEQUE'), ('03', 'CARTAO CREDITO'), ('04', 'CARTAO DEBITO'), ('15', 'BOLETO'), ('16', 'DEPOSITO'), ('17', 'PIX'), ('18', 'TRANSFERENCIA'), ('90', 'SEM PAGAMENTO'), ('99', 'OUTROS')) p(k, n) ON c = k")
 
 # ---- calendar and quality
 
-_HOLIDAYS = "h AS (SELECT unnest([" + ", ".join(f"DATE '{x}'" for x in holidays(1990, 2010)) + "]) AS day)"
+# the days of the law, and the movable ones by the Gregorian rule for Easter
+_HOLIDAYS = """yy AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM range(1990, 2011) r(y)),
+  z AS (SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM yy), l AS (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM z),
+  e AS (SELECT *, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS n FROM l), easter AS (SELECT make_date(y, n // 31, n % 31 + 1) AS day FROM e),
+  h AS (SELECT make_date(y, m, d) AS day FROM yy, (VALUES (1, 1), (1, 25), (4, 21), (5, 1), (9, 7), (10, 12), (11, 2), (11, 15), (11, 20), (12, 25)) f(m, d) UNION SELECT day + n FROM easter, (VALUES (-48), (-47), (-2), (60)) f(n))"""
 _CAL = _HOLIDAYS + ", cal AS (SELECT day, sum(w) OVER (ORDER BY day) AS n FROM (SELECT d::DATE AS day, CASE WHEN isodow(d) < 6 AND d::DATE NOT IN (SELECT day FROM h) THEN 1 ELSE 0 END AS w FROM generate_series(DATE '1990-01-01', DATE '2010-12-31', INTERVAL 1 DAY) g(d)))"
 
 
@@ -614,6 +620,7 @@ add("inbox_statistics", lambda s, d: E.inbox_statistics(S.emails(s, d), 3, 2, 2)
       UNION ALL SELECT email_id, subject, 'remetente', split_part(sender_address, '@', 2) FROM emails),
     g AS (SELECT grupo, valor, count(*) AS n, list(subject ORDER BY email_id)[1:2] AS e, row_number() OVER (PARTITION BY grupo ORDER BY count(*) DESC, valor) AS r FROM w GROUP BY grupo, valor)
     SELECT grupo, valor, n, array_to_string(e, '|') AS exemplos FROM g WHERE r <= CASE grupo WHEN 'palavra' THEN 3 ELSE 2 END""", "emails")
+add("stream_windows_live", lambda s, d: V.run_once(V.windowed(V.read(s, d), late=None), f"windows_{uuid.uuid4().hex[:8]}", "complete"), "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS inicio, event_type, count(*) AS n, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY 1, 2")
 add("skip_reasons", lambda s, d: M.skipped(E.decided(S.emails(s, d))), f"WITH {_DECIDED} SELECT lower(decision[6:]) AS motivo, count(*) AS n FROM final WHERE starts_with(decision, 'SKIP_') GROUP BY 1", "emails")
 
 
