@@ -119,7 +119,7 @@ def email_date(x) -> Column:
 
 def digits(x) -> Column:
     """The digits of a text; empty for null."""
-    return F.regexp_replace(F.coalesce(_c(x), F.lit("")), r"\D", "")
+    return F.regexp_replace(F.coalesce(_c(x), F.lit("")), r"\D+", "")
 
 
 def cnpj(x) -> Column:

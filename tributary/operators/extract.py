@@ -62,7 +62,8 @@ def prepared(df: DataFrame, x: str) -> DataFrame:
     """Adds what predicates and fields ask many times of a text: its upper-case and compact forms, its lines, and its slip's line."""
     rows = F.filter(F.transform(F.split(F.coalesce(F.col(x), F.lit("")), "\n"), lambda s: F.trim(s)), lambda s: s != "")
     first = fenced(df, {f"{x}__upper": F.upper(F.coalesce(F.col(x), F.lit(""))), f"{x}__compact": T.compact(x), f"{x}__digits": T.digits(x), f"{x}__lines": rows})
-    return fenced(first, {f"{x}__line": has_slip_line(x), f"{x}__slip": T.first_group(x, [rf"({SLIP_LINE})", r"(\d{47,48})"])})
+    enough = F.length(all_digits(x)) >= 47  # a slip's line has as many, so most texts need no scan for one
+    return fenced(first, {f"{x}__line": enough & has_slip_line(x), f"{x}__slip": F.when(enough, T.first_group(x, [rf"({SLIP_LINE})", r"(\d{47,48})"]))})
 
 
 def unprepared(df: DataFrame, x: str) -> DataFrame:
