@@ -11,7 +11,7 @@ from tributary.llm.licenses import op10_licenses
 from tributary.llm.mixing import op4_mixing
 from tributary.llm.quality import op8_quality
 from tributary.llm.simhash import op2_simhash
-from tributary.llm.warc import op1_warc
+from tributary.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
@@ -27,6 +27,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_warc": OP1_SQL,
     "op7_chat": OP7_SQL,
     "op9_topk": OP9_SQL,
 }

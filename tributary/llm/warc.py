@@ -26,7 +26,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import scratch, written
+from tributary.llm.common import Sieve, scratch, written
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "2020-01-01T00:00:00Z"
@@ -158,14 +158,18 @@ def parsed(raw: bytes) -> dict:
 def with_revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
     """(page_id, url, payload, refers_to): refers_to is the largest page_id with an equal payload of `least` bytes or more.
 
-    Only digests are grouped, with partial maxima; the join then goes by digest, and one that many pages have is split by adaptive
-    execution, as it is on a side that the other has once.
+    Only digests are grouped, with partial maxima. Payloads that others repeat, by a sieve of their digests, are joined with those
+    maxima; small ones and single ones are not shuffled. A digest that many pages have is split by adaptive execution, as it is on a
+    side that the other has once.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.when(F.length("payload") >= least, F.unhex(F.sha1("payload"))))
     last = rows.filter("digest is not null").groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).filter("n > 1 and last is not null").select("digest", "last")
-    own = rows.join(last, "digest", "left")
-    return own.select("page_id", "url", "payload", F.when(F.col("last") > F.col("page_id"), F.col("last")).alias("refers_to"))
+    last = written(last, "repeated")
+    rows = rows.withColumn("shared", Sieve(last.select(F.xxhash64("digest").alias("h"))).column(F.xxhash64("digest")) & F.col("digest").isNotNull())
+    own = rows.filter("shared").join(last, "digest", "left").select("page_id", "url", "payload", "last")
+    alone = rows.filter("not shared").select("page_id", "url", "payload", F.lit(None).cast("long").alias("last"))
+    return own.union(alone).select("page_id", "url", "payload", F.when(F.col("last") > F.col("page_id"), F.col("last")).alias("refers_to"))
 
 
 def packages(records: DataFrame, most: int = 16_000_000) -> DataFrame:
@@ -259,3 +263,9 @@ def op1_warc(spark, sf_dir: str) -> DataFrame:
     """Whole pages table, written as packages and read back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     listed = written(packages(with_revisits(spark.read.parquet(f"{sf_dir}/pages.parquet"))), "listed")
     return read_packages(listed).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, strlen(coalesce(html, '')) AS n, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS m FROM pages)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(t) AS payload_digest, CASE WHEN n >= 1000 AND m > page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN n >= 1000 AND m > page_id THEN m END AS refers_to FROM p
+"""
