@@ -456,6 +456,48 @@ def test_licenses_add_labels(spark):
     assert got[90][0] == "cc-by-nc" and got[91][0] == "proprietary" and got[92][0] == "" and got[5] == ("", 0.0)
 
 
+def own_labels(texts, coverage=0.6):
+    """Brute force: each template at each place of each text, weighed by document frequencies."""
+    words = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    posted = licenses.postings()
+    idf = {w: np.log((len(texts) + 2) / (sum(w in set(x) for x in words) + 1)) for w, *_ in posted}
+    out = []
+    for x in words:
+        labels, best = {v for k, v in licenses.PHRASES.items() for i in range(len(x)) if x[i : i + len(k.split())] == k.split()}, 0.0
+        base = bool(labels)
+        for n, (label, _, _) in enumerate(licenses.TEMPLATES):
+            mine = [(w, i, must) for w, t, i, must in posted if t == n]
+            for start in range(-max(i for _, i, _ in mine), len(x)):
+                there = [(w, must) for w, i, must in mine if 0 <= start + i < len(x) and x[start + i] == w]
+                share = sum(idf[w] for w, _ in there) / sum(idf[w] for w, _, _ in mine)
+                if sum(m for _, m in there) == sum(m for _, _, m in mine) and share >= coverage:
+                    labels.add(label)
+                    best = max(best, share)
+        out.append((",".join(sorted(labels)), 1.0 if base else min(1.0, best)))
+    return out
+
+
+def test_licenses_are_those_of_brute_force(spark):
+    rng = np.random.default_rng(18)
+    notices = [n for _, n, _ in licenses.TEMPLATES]
+    texts = [None, "", text(rng, 30)]
+    for _ in range(60):
+        parts = []
+        for _ in range(int(rng.integers(1, 4))):
+            w = str(rng.choice(notices)).split()
+            if rng.random() < 0.6:  # a word exchanged, left out or added
+                i = int(rng.integers(0, len(w)))
+                w = [w[:i] + ["odd"] + w[i + 1 :], w[:i] + w[i + 1 :], w[:i] + ["odd"] + w[i:]][int(rng.integers(0, 3))]
+            if rng.random() < 0.3:
+                w = w[int(rng.integers(0, len(w))) :]
+            parts += [text(rng, int(rng.integers(0, 8))), " ".join(w)]
+        texts.append(", ".join(parts))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scanned(df).collect()}
+    for i, (labels, score) in enumerate(own_labels(texts)):
+        assert got[i][0] == labels and abs(got[i][1] - score) < 1e-9, texts[i]
+
+
 def test_licenses_of_one_text_are_all_found(spark):
     rng = np.random.default_rng(10)
     notices = [n for _, n, _ in licenses.TEMPLATES]

@@ -16,24 +16,37 @@ from tributary.llm.common import written
 #: Phrases whose places are counted, and the labels they give.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Label, notice, and the phrase that must stand in it.
+#: Label, words of a licence or its notice, and the phrase that must stand in them. Texts of licences are public.
 TEMPLATES = [
     ("mit", "released under the mit license", "mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "obtaining a copy"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "person obtaining"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so", "software without restriction"),
     ("apache", "licensed under the apache license version 2 0", "apache license"),
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "apache license"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied", "applicable law"),
     ("gpl", "this work is licensed under the gnu general public license version 3", "general public license"),
     ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license", "general public license"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "general public license"),
     ("lgpl", "licensed under the gnu lesser general public license version 3", "lesser general public license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation", "lesser general public license"),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation", "affero general public license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "binary forms"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "above copyright notice"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "promote products derived"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "without fee"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
+    ("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely", "commercial applications"),
     ("cc-by", "licensed under cc by 4 0", "cc by 4"),
     ("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
     ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
+    ("cc0", "dedicated to the public domain under cc0 1 0", "cc0 1 0"),
     ("proprietary", "all rights reserved", "all rights reserved"),
 ]
 
-#: Words too common to have postings.
-COMMON = {"the", "of", "to", "a", "in", "is", "and", "or", "it", "that", "for", "this", "are", "with", "can", "any", "you", "under"}
+#: Words too common to have postings; no mandatory phrase has any.
+COMMON = {"the", "of", "to", "a", "in", "is", "and", "or", "it", "that", "for", "this", "are", "with", "can", "any", "you", "under", "as", "on", "be", "an", "do", "so", "not", "nor", "may", "its"}
 
 #: Of the text before A-Z is put in lower case, what the words are: everything but ASCII that is neither a letter nor a digit.
 WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
