@@ -178,7 +178,7 @@ def encoded(documents: DataFrame, ranks: bytes | None = None, pattern: str = pub
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = resident(key, lambda: Codec(shared.value, pattern, remember or 300_000))
+        codec = resident(key, lambda: Codec(shared.value, pattern, remember or 150_000))
         for batch in chain.from_iterable(pieces(b, len(keep)) for b in batches):
             n, ids_sha, out_sha, ids = [], [], [], []
             for ws in codec.learn(batch.column(len(keep)).to_pylist()):

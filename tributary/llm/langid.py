@@ -188,7 +188,7 @@ def samples(documents: DataFrame, chars: int = 24_000, passage: int = 1_000, tog
     return out
 
 
-def predict(spark, given: dict[str, bytes], piece: int = 4_000_000) -> Callable:
+def predict(spark, given: dict[str, bytes], piece: int = 2_000_000) -> Callable:
     """A function of a text column to (lang_pred, score, bits, size): bits are those of the parse, size the bytes parsed. The samples, whose size has a bound, are broadcast."""
     shared, key = spark.sparkContext.broadcast(given), ("langid", hash(tuple(sorted(given.items()))))
 

@@ -5,14 +5,14 @@ source's target; lambda solves the convex dual by Newton steps, whose sums Spark
 into copies. All sums are of integers, so reruns agree.
 
 Null texts have size 0; documents of size 0 keep rate 1 and take no words. Null is a source like any other, and comes last. Rows
-with the same doc_id are copies of a document and share its fate. An empty table gives an empty result. Other columns aren't read.
+with the same doc_id and size are copies of a document and share its fate. An empty table gives an empty result. Other columns aren't read.
 """
 
 from __future__ import annotations
 
 from math import exp, log
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.common import written
@@ -49,17 +49,19 @@ def targets(size: list[tuple[str | None, int]]) -> dict[str | None, float]:
     return out
 
 
-def _state(spark, rows: list[tuple], columns: str) -> DataFrame:
-    """A small table of one row for each source, whose number solve() has checked."""
-    return F.broadcast(spark.createDataFrame(rows, f"s string, {columns}"))
+def _numbered(docs: DataFrame, ids: dict) -> DataFrame:
+    """Adds sid, the number of the source. What else is told of sources is joined by number: a table by text takes a whole page of each executor's memory."""
+    table = docs.sparkSession.createDataFrame([(s, i) for s, i in ids.items()], "s string, sid long")
+    return docs.join(F.broadcast(table), docs["source"].eqNullSafe(table["s"])).drop("s")  # a row for each source, whose number planned() has checked
 
 
-def _with(df: DataFrame, state: DataFrame) -> DataFrame:
-    return df.join(state, df["source"].eqNullSafe(state["s"])).drop("s")
+def _state(spark, rows: list[tuple], columns: str) -> DataFrame:
+    """A small table of one row for each source, whose number planned() has checked."""
+    return F.broadcast(spark.createDataFrame(rows, f"sid long, {columns}"))
 
 
 def solve(histogram: DataFrame, stats: dict, target: dict, steps: int = 40, close: float = 1e-6) -> dict:
-    """lambda of each source. histogram: (source, size, n), far smaller than the documents.
+    """lambda of each source, by its number. histogram: (sid, size, n), far smaller than the documents.
 
     Newton steps on the logarithm of the mix's words, kept in a bracket that each step narrows; where the target needs all of
     every document MOST times, lambda is infinite.
@@ -83,9 +85,9 @@ def solve(histogram: DataFrame, stats: dict, target: dict, steps: int = 40, clos
         rate = F.least(F.lit(float(MOST)), F.exp(F.least(F.lit(50.0), F.col("lam") * x)))
         slope = F.when(rate < MOST, rate * x).otherwise(0.0)
         fixed = lambda c: F.sum((F.round(c * ONE).cast("decimal(20,0)") * (F.col("size") * F.col("n")).cast("decimal(18,0)")))
-        got = _with(histogram.filter("size > 0"), state).groupBy("source").agg(fixed(rate).alias("g"), fixed(slope).alias("d")).collect()
+        got = histogram.filter("size > 0").join(state, "sid").groupBy("sid").agg(fixed(rate).alias("g"), fixed(slope).alias("d")).collect()
         for r in got:
-            s, g, d = r["source"], float(r["g"]) / ONE, float(r["d"]) / ONE
+            s, g, d = r["sid"], float(r["g"]) / ONE, float(r["d"]) / ONE
             lam, lo, hi = open_[s]
             if abs(g - target[s]) <= close * target[s] + 1e-6:
                 out[s] = lam
@@ -102,12 +104,12 @@ def solve(histogram: DataFrame, stats: dict, target: dict, steps: int = 40, clos
 class Plan:
     """What decides each document's copies, given its source, size and doc_id: a few numbers for each source."""
 
-    def __init__(self, base: list[tuple]):
-        self.base, self.steps = base, []
+    def __init__(self, ids: dict, base: list[tuple]):
+        self.ids, self.base, self.steps = ids, base, []
 
     def applied(self, docs: DataFrame) -> DataFrame:
-        """Adds source_size, target, rate and copies to docs with doc_id, source and size; no shuffle."""
-        out = _with(docs, _state(docs.sparkSession, self.base, "source_size long, target double, lam double, mean double"))
+        """Adds source_size, target, rate and copies to docs with doc_id, sid and size; no shuffle."""
+        out = docs.join(_state(docs.sparkSession, self.base, "source_size long, target double, lam double, mean double"), "sid")
         power = F.when(F.col("size") == 0, 0.0).otherwise(F.least(F.lit(50.0), F.greatest(F.lit(-700.0), F.col("lam") * (F.col("size") / F.col("mean")))))
         rate = F.when(F.col("lam") <= -ENDLESS, 0.0).otherwise(F.least(F.lit(float(MOST)), F.exp(power)))
         out = out.withColumn("rate", rate).drop("lam", "mean")
@@ -122,7 +124,7 @@ class Plan:
         """Joins low, up and room, and adds turn and able: whether a document may be added or taken away once."""
         state = _state(docs.sparkSession, rows, "low double, up int, room long")
         able = F.col("size").between(1, F.col("room")) & F.when(F.col("up") > 0, F.col("copies") < MOST).otherwise(F.col("copies") > 0)
-        return docs.join(state, docs["source"].eqNullSafe(state["s"]), how).drop("s").withColumn("turn", unit(salt)).withColumn("able", able)
+        return docs.join(state, "sid", how).withColumn("turn", unit(salt)).withColumn("able", able)
 
     def _step(self, docs: DataFrame, salt: str, rows: list[tuple]) -> DataFrame:
         out = self._able(docs, salt, rows, "left")
@@ -132,7 +134,8 @@ class Plan:
     def close(self, docs: DataFrame, salt: str, gap: dict, bins: int = 2048, rounds: int = 2) -> DataFrame:
         """Adds a step: documents no larger than a source's gap are added or taken away in the order of a hash, until it closes.
 
-        The place where it does is found by sums over bins, each round within the bin that the last one found. gap: words by source.
+        The place where it does is found by running sums over bins, each round within the bin that the last one found; a row for each
+        source comes back. gap: words by source.
         """
         low, left = {s: 0.0 for s, g in gap.items() if g}, {s: abs(g) for s, g in gap.items() if g}
         if not left:
@@ -141,22 +144,21 @@ class Plan:
         for _ in range(rounds):
             bin_ = F.floor((F.col("turn") - F.col("low")) / (wide / bins)).cast("int")
             here = self._able(docs, salt, rows(), "inner").filter(F.col("able") & (F.col("turn") >= F.col("low")) & (F.col("turn") < F.col("low") + wide))
-            sums: dict = {}
-            for r in here.groupBy("source", bin_.alias("bin")).agg(F.sum("size").alias("words")).collect():
-                sums.setdefault(r["source"], {})[r["bin"]] = r["words"]
+            sums = here.groupBy("sid", bin_.alias("bin")).agg(F.sum("size").alias("words"))
+            upto = sums.withColumn("upto", F.sum("words").over(Window.partitionBy("sid").orderBy("bin")))  # `bins` rows a source at most
+            past = upto.join(_state(docs.sparkSession, list(left.items()), "open long"), "sid").groupBy("sid")
+            cut = {r["sid"]: r for r in past.agg(F.min(F.when(F.col("upto") > F.col("open"), F.col("bin"))).alias("at"), F.max(F.when(F.col("upto") <= F.col("open"), F.col("upto"))).alias("used")).collect()}
             wide /= bins
             for s in left:
-                at = 0
-                while at < bins and left[s] - sums.get(s, {}).get(at, 0) >= 0:
-                    left[s] -= sums.get(s, {}).get(at, 0)
-                    at += 1
-                low[s] += at * wide
+                r = cut.get(s)
+                left[s] -= (r["used"] or 0) if r else 0
+                low[s] += (bins if r is None or r["at"] is None else r["at"]) * wide
         self.steps.append((salt, rows()))
         return self._step(docs, salt, rows()).drop("turn", "able")
 
 
 def unit(salt: str) -> F.Column:
-    """A number in [0, 1) that only the document decides."""
+    """A number in [0, 1) that only the document, by its id and size, decides."""
     return F.pmod(F.xxhash64("doc_id", "size", F.lit(salt)), F.lit(1 << 40)).cast("double") / float(1 << 40)
 
 
@@ -166,19 +168,19 @@ def planned(documents: DataFrame, max_sources: int = 100_000, passes: int = 8, c
     One row for each source is held on the driver and broadcast; more than max_sources raise an error. Copies are added or taken
     away until each source is within `close` of its target, or nothing changes, in so many passes at most.
     """
-    docs = written(sizes(documents, "doc_id"), "sizes")
-    histogram = written(docs.groupBy("source", "size").agg(F.count("*").alias("n")), "histogram")
-    rows = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words"), F.sum(F.when(F.col("size") > 0, F.col("n")).otherwise(0)).alias("n"))
-    rows = rows.limit(max_sources + 1).collect()
+    raw = written(sizes(documents, "doc_id"), "sizes")
+    rows = raw.groupBy("source").agg(F.sum("size").alias("words"), F.count_if(F.col("size") > 0).alias("n")).limit(max_sources + 1).collect()
     if len(rows) > max_sources:
         raise ValueError(f"over {max_sources} sources")
-    stats = {r["source"]: (r["words"], r["n"]) for r in rows}
-    target = targets([(s, w) for s, (w, _) in stats.items()])
-    lam = solve(histogram, stats, target)
-    plan = Plan([(s, w, float(target[s]), max(-ENDLESS, min(ENDLESS, lam[s])), w / n if n else 1.0) for s, (w, n) in stats.items()])
+    ids = {s: i for i, s in enumerate(sorted((r["source"] for r in rows), key=lambda s: (s is None, s or "")))}
+    stats = {ids[r["source"]]: (r["words"], r["n"]) for r in rows}
+    target = {ids[s]: x for s, x in targets([(r["source"], r["words"]) for r in rows]).items()}
+    docs = written(_numbered(raw, ids), "numbered")
+    lam = solve(written(docs.groupBy("sid", "size").agg(F.count("*").alias("n")), "histogram"), stats, target)
+    plan = Plan(ids, [(s, w, float(target[s]), max(-ENDLESS, min(ENDLESS, lam[s])), w / n if n else 1.0) for s, (w, n) in stats.items()])
     out, before = written(plan.applied(docs), "copies"), None
     for n in range(passes):
-        got = {r["source"]: r["words"] for r in out.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("words")).collect()}
+        got = {r["sid"]: r["words"] for r in out.groupBy("sid").agg(F.sum(F.col("copies") * F.col("size")).alias("words")).collect()}
         gap = {s: g for s in got if abs(g := round(target[s]) - got[s]) > close * target[s]}
         if not gap or gap == before:
             break
@@ -195,7 +197,7 @@ def repeated(documents: DataFrame) -> DataFrame:
     """The mix itself: each row of documents, with all its columns, as often as its copies say. The texts aren't shuffled."""
     plan, _ = planned(documents)
     whole = documents.select(F.struct("*").alias("whole"), "doc_id", "text", "source")
-    out = plan.applied(sizes(whole, "doc_id", "whole"))
+    out = plan.applied(_numbered(sizes(whole, "doc_id", "whole"), plan.ids))
     return out.filter("copies > 0").select("whole", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("whole.*")
 
 
