@@ -211,6 +211,12 @@ def supplier_name(x, more_labels: tuple[str, ...] = (), upper: bool = False) ->
     return F.upper(t) if upper else t
 
 
+def html_text(x) -> Column:
+    """The text of a page: without scripts, styles and tags, with single spaces; empty for null."""
+    t = F.regexp_replace(F.coalesce(_c(x), F.lit("")), r"(?is)<(script|style)\b.*?</\1>", " ")
+    return F.trim(F.regexp_replace(F.regexp_replace(t, r"(?s)<[^>]*>", " "), r"[ \n\t]+", " "))
+
+
 def company_code(x) -> Column:
     """The first token of 2 to 15 letters or digits outside parentheses, in upper case."""
     return F.upper(group(F.regexp_replace(strip_accents(x), r"\([^)]*\)", " "), r"\b([A-Za-z0-9]{2,15})\b"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -21,6 +22,7 @@ from tributary.operators import metrics as M
 from tributary.operators import pairing as P
 from tributary.operators import reports as R
 from tributary.operators import xmls as XM
+from tributary.sources import readers as RD
 from tributary.sources import sinks as W
 from tributary.sources import tables as S
 from tributary.streaming import events as V
@@ -281,7 +283,7 @@ add("entity_name", lambda s, d: S.load(s, d, "part").select("p_partkey", T.entit
 add("supplier_normalize", lambda s, d: S.load(s, d, "part").select("p_partkey", T.supplier_name(F.concat(F.lit("Razão Social:  "), "p_name", F.lit("\n x"))).alias("nome"), T.supplier_name(F.concat(F.lit("Beneficiário - "), "p_name"), ("Beneficiário",), True).alias("maiusculo")), "SELECT p_partkey, p_name || ' x' AS nome, upper(p_name) AS maiusculo FROM part")
 add("text_cleanup", lambda s, d: S.load(s, d, "part").select("p_partkey", T.ready(F.concat(F.lit("a–b\t c"), "p_name", F.lit("□ê■  z"))).alias("limpo"), T.compact(F.concat("p_name", F.lit(" Ção-1"))).alias("compacto"), T.company_code(F.concat(F.lit("("), "p_brand", F.lit(") "), "p_name")).alias("codigo")), "SELECT p_partkey, 'a-b c' || p_name || ' z' AS limpo, upper(replace(p_name, ' ', '')) || 'CAO1' AS compacto, upper(split_part(p_name, ' ', 1)) AS codigo FROM part")
 add("domains_distinct", lambda s, d: S.load(s, d, "pages").select("page_id", F.array_join(T.domains_all("url"), ",").alias("dominios")), r"SELECT page_id, regexp_extract(lower(url), 'https?://(?:www\.)?([a-z0-9.-]+\.[a-z]{2,})', 1) AS dominios FROM pages")
-add("html_text", lambda s, d: S.load(s, d, "pages").select("page_id", F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<(script|style)\b.*?</\1>", " "), r"(?s)<[^>]*>", " "), r"[ \n\t]+", " ")).alias("texto")),
+add("html_text", lambda s, d: S.load(s, d, "pages").select("page_id", T.html_text("html").alias("texto")),
     r"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '[ \n\t]+', ' ', 'g')) AS texto FROM pages")
 
 # ---- companies
@@ -529,7 +531,18 @@ add("sheet_row_11", lambda s, d: _plain(R.sheet_11(_sheets(s, d), _TODAY)), f"WI
 add("sheet_row_9", lambda s, d: _plain(R.sheet_9(E.body_fields(_bodies(s, d)).select(F.col("o_orderkey").alias("email_id"), F.lit("Nota").alias("subject"), "numero_pedido", F.lit(None).cast("string").alias("empresa"), F.lit(None).cast("string").alias("fornecedor_nome"), "numero_nota", F.get(E.links(), F.lit(0)).alias("link"), "codigo"), _TODAY)), "SELECT o_orderkey AS c0, '02/05/2024' AS c1, 'Nota' AS c2, o_orderkey::VARCHAR AS c3, '' AS c4, '' AS c5, lpad(o_orderkey::VARCHAR, 6, '0') AS c6, 'https://nfe.cidade.gov.br/nota?nf=' || o_orderkey || '&cod=XYZ9' AS c7, 'AB' || lpad(o_orderkey::VARCHAR, 6, '0') AS c8, 'PENDENTE_DOWNLOAD' AS c9 FROM orders")
 add("consolidated_union", lambda s, d: R.consolidated(S.invoices(s, d).select("batch_id", "ordinal", "numero_nota", "valor"), S.slips(s, d).select("batch_id", "ordinal", "numero_documento", "valor")), "SELECT batch_id, ordinal::INTEGER AS ordinal, numero_nota, valor, NULL::VARCHAR AS numero_documento FROM invoices UNION ALL SELECT batch_id, ordinal, NULL, valor, numero_documento FROM slips", "docs")
 add("csv_dialect", lambda s, d: R.as_csv_columns(S.load(s, d, "orders").select("o_orderkey", F.floor("o_totalprice").cast("double").alias("valor"), F.array(F.col("o_orderstatus"), F.lit("x")).alias("lista"))), "SELECT o_orderkey::VARCHAR AS o_orderkey, floor(o_totalprice)::BIGINT || ',00' AS valor, o_orderstatus || ',x' AS lista FROM orders")
-add("route_sink_by_type", lambda s, d: S.documents(s, d).groupBy((F.col("doc_type") == "BOLETO").alias("boleto"), "doc_type").agg(F.count("*").alias("n")), "SELECT doc_type = 'BOLETO' AS boleto, doc_type, count(*) AS n FROM docs GROUP BY doc_type", "docs")
+
+
+def _written(s: SparkSession, sink: Callable[[DataFrame, str], None], df: DataFrame) -> DataFrame:
+    """What a sink has written, read back as a report: all columns text."""
+    root = s.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tributary-")
+    path = f"{root}/{uuid.uuid4().hex}"
+    sink(df, path)
+    return RD.report_csv(s, path, ";")
+
+
+add("route_sink_by_type", lambda s, d: _written(s, R.write_by_type, S.documents(s, d)).groupBy((F.col("tipo") == "BOLETO").alias("boleto"), F.col("tipo").alias("doc_type")).agg(F.count("*").alias("n"), F.sum(RD.br_number("valor").cast("decimal(18,2)")).cast("double").alias("total")), "SELECT doc_type = 'BOLETO' AS boleto, doc_type, count(*) AS n, sum(valor::DECIMAL(18,2))::DOUBLE AS total FROM docs GROUP BY doc_type", "docs")
+add("csv_round_trip", lambda s, d: _written(s, R.write_csv, S.slips(s, d)).select(F.col("batch_id").cast("long").alias("batch_id"), RD.br_number("valor").alias("valor"), "fornecedor_nome"), "SELECT batch_id, valor, fornecedor_nome FROM slips", "slips")
 add("consolidate_by_subject", lambda s, d: R.by_subject(S.load(s, d, "events").select(F.col("event_id").alias("batch_id"), F.concat(F.lit("  Fatura\t"), F.col("event_type"), F.lit("  "), (F.col("user_id") % 30).cast("string")).alias("subject"))).select("assunto", "n"), "SELECT 'fatura ' || event_type || ' ' || (user_id % 30) AS assunto, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 1")
 add("retention_list", lambda s, d: R.expired(S.load(s, d, "orders").select(F.col("o_orderkey").alias("batch_id"), F.col("o_orderdate").alias("received")), "1998-06-15 00:00:00", 48).select("batch_id"), "SELECT o_orderkey AS batch_id FROM orders WHERE o_orderdate < TIMESTAMP '1998-06-13'")
 add("quality_text", lambda s, d: R.quality_text(C.success_rates(_judged(s, d))), f"SELECT doc_type, rpad(doc_type, 8, ' ') || ' | total ' || count(*) || ' | sucesso ' || count(*) FILTER (ok) || ' | falha ' || (count(*) - count(*) FILTER (ok)) AS line FROM (SELECT doc_type, {_GOOD} AND (doc_type <> 'BOLETO' OR vencimento IS NOT NULL OR batch_id % 2 = 0) AS ok FROM docs) GROUP BY doc_type", "docs")
