@@ -506,3 +506,50 @@ def test_licenses_of_one_text_are_all_found(spark):
     got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[0] == {x for x, _, _ in licenses.TEMPLATES}
     assert all({licenses.TEMPLATES[i][0], licenses.TEMPLATES[j][0]} <= got[1 + k] for k, (i, j) in enumerate(pairs))
+
+
+def own_quantile(values, q):
+    return sorted(values)[max(0, int(np.ceil(q * len(values))) - 1)]
+
+
+def test_quality_decisions_are_those_of_brute_force(spark):
+    rng = np.random.default_rng(19)
+    rows = [(i, text(rng, int(rng.integers(5, 60))), ["en", "de"][i % 2]) for i in range(120)]
+    rows += [(200 + i, "".join(rng.choice(list("abcdefgh xyz.,!"), 120)), ["en", None][i % 2]) for i in range(20)] + [(300, None, "en"), (301, "", "xx"), (302, "fox", "xx"), (None, text(rng, 30), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 120, 2)] + [(i, 1) for i in range(1, 100, 2)], "doc_id long, quality int")
+    train = {r.doc_id: r.train for r in quality.trusted_ids(labels).collect()}
+    model = OwnKneserNey([t for i, t, _ in rows if t and train.get(i)])
+    bits = {n: model.bits(t or "") for n, (_, t, _) in enumerate(rows)}
+    fresh = [n for n, (i, t, _) in enumerate(rows) if t and train.get(i) is False]
+    mean = lambda ns: sum(bits[n] for n in ns) / sum(len(rows[n][1]) for n in ns)
+    by = {x: [n for n in fresh if rows[n][2] == x] for x in {rows[n][2] for n in fresh}}
+    excess = lambda n: (bits[n] + 60 * mean(by.get(rows[n][2], fresh))) / (len(rows[n][1]) + 60)
+    limit = {x: 1.08 * own_quantile([excess(n) for n in ns], 0.995) for x, ns in by.items()}
+    whole = 1.08 * own_quantile([excess(n) for n in fresh], 0.995)
+    for n, r in enumerate(sorted(quality.judged(df, labels).collect(), key=lambda r: (r.doc_id is None, r.doc_id))):
+        i, t, lang = rows[n]
+        assert r.doc_id == i and r.n_chars == len(t or "")
+        if t and abs(excess(n) - limit.get(lang, whole)) > 0.01:
+            assert r.keep == (excess(n) <= limit.get(lang, whole)) and abs(np.log2(r.perplexity) - bits[n] / len(t)) < 0.01
+        elif not t:
+            assert not r.keep and r.perplexity is None
+
+
+def test_language_stage_is_brute_force(spark):
+    rng = np.random.default_rng(20)
+    say = lambda parts, n: " ".join("".join(rng.choice(parts, int(rng.integers(1, 4)))) for _ in range(n))
+    of = {"aa": ["ka", "lo", "mi"], "bb": ["schn", "pfl", "auk"], "cc": ["ка", "ло", "ми"]}
+    rows = [(i, say(of[x], int(rng.integers(1, 200))), x) for i, x in enumerate(list(of) * 30)] + [(200 + i, "".join(rng.choice(list("abcdefghijklmnop"), 400)), None) for i in range(5)] + [(300, None, "aa"), (301, "1 2", "bb"), (302, say(of["cc"], 50), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    given = langid.samples(df)
+
+    def own(t):
+        b = langid.letters(t or "")
+        return min(((own_phrases(b, s) + 1) * np.log2(len(s)), x) for x, s in sorted(given.items())) + (len(b),) if b else None
+
+    found = [own(t) for _, t, _ in rows]
+    told = [f for f, r in zip(found, rows, strict=True) if f and r[2]]
+    mean, top = sum(f[0] for f in told) / sum(f[2] for f in told), own_quantile([f[0] / f[2] for f in told], 0.999)
+    want = {r[0]: r[2] or f[1] for f, r in zip(found, rows, strict=True) if f and (f[0] + 60 * mean) / (f[2] + 60) <= 1.25 * top}
+    assert {r.doc_id: r.lang for r in langid.known(df).collect()} == want and len(want) > 80
