@@ -63,7 +63,7 @@ class Codec:
         self.remember, self.longest, self.known, self.odd = remember, longest, {}, {}
         self.byte = np.array([self.rank[bytes([i])] for i in range(256)], np.int32)
         merges = [(self.rank[t[:i]], self.rank[t[i:]], r) for t, r in self.rank.items() for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "preserve_insertion_order": False})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB", "preserve_insertion_order": False})
         a, b, rank = (pa.array(x, pa.int32()) for x in zip(*merges, strict=True))
         self._table("merges", {"a": a, "b": b, "rank": rank})
         self._table("vocabulary", {"id": pa.array(self.rank.values(), pa.int32()), "piece": pa.array([t.hex() for t in self.rank])})

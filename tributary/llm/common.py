@@ -11,7 +11,6 @@ from collections.abc import Callable, Hashable
 from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +78,11 @@ def resident(key: Hashable, build: Callable[[], Any]) -> Any:
 BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's batches to Python workers as written() does: for jobs of many stages, whose executors keep what each needs at most."""
+    spark.conf.set(*BATCH)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read again: this cuts the lineage and survives lost executors."""
     spark = df.sparkSession
@@ -118,9 +122,9 @@ class Sieve:
     def column(self, h: F.Column | str) -> F.Column:
         me = self
 
-        @F.pandas_udf("boolean")
-        def passes(h: pd.Series) -> pd.Series:
-            return pd.Series(me.passes(h.to_numpy()))
+        @F.arrow_udf("boolean")
+        def passes(h: pa.Array) -> pa.Array:
+            return pa.array(me.passes(h.to_numpy(zero_copy_only=False)))
 
         return passes(h)
 

@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -192,19 +192,21 @@ def predict(spark, given: dict[str, bytes], piece: int = 2_000_000) -> Callable:
     """A function of a text column to (lang_pred, score, bits, size): bits are those of the parse, size the bytes parsed. The samples, whose size has a bound, are broadcast."""
     shared, key = spark.sparkContext.broadcast(given), ("langid", hash(tuple(sorted(given.items()))))
 
-    @F.pandas_udf("lang_pred string, score double, bits double, size long")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    fields = [("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64()), ("size", pa.int64())]
+
+    @F.arrow_udf("lang_pred string, score double, bits double, size long")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = resident(key, lambda: Model(shared.value))
         for texts in batches:
             out, part, size = ([], [], [], []), [], 0
             for i, t in enumerate(texts):
-                part.append(t)
-                size += len(t or "")
+                part.append(t.as_py())
+                size += len(part[-1] or "")
                 if size >= piece or i + 1 == len(texts):
                     for x, y in zip(out, model.predict(part), strict=True):
                         x += y
                     part, size = [], 0
-            yield pd.DataFrame({"lang_pred": pd.Series(out[0], dtype=object), "score": pd.Series(out[1], dtype=float), "bits": pd.Series(out[2], dtype=float), "size": pd.Series(out[3], dtype="int64")})
+            yield pa.StructArray.from_arrays([pa.array(x, t) for x, (_, t) in zip(out, fields, strict=True)], [n for n, _ in fields])
         del model
         evict()
 

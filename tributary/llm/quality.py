@@ -18,7 +18,6 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
@@ -85,6 +84,12 @@ def keys_at(raw: list[np.ndarray], at: np.ndarray) -> np.ndarray:
     return np.stack([mixed(r[at], k + 1) for k, r in enumerate(raw)] + [mixed(r[at - 1], k + 1) for k, r in enumerate(raw[:-1])])
 
 
+def firsts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct value stands first, and for each value the number of its place in that list; by hashing, not sorting."""
+    code = pa.array(x).dictionary_encode().indices.to_numpy()
+    return np.flatnonzero(np.r_[True, code[1:] > np.maximum.accumulate(code)[:-1]]), code
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """(doc_id, train): three quarters of the trusted documents train, by a hash; the others never do."""
     good = labels.filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().dropna()
@@ -114,8 +119,8 @@ def counted(texts: DataFrame, most: int = 300_000) -> DataFrame:
         evict()
         for b in (s for x in batches for s in slices(x, 0)):
             for symbols, at, _ in segments(b.column(0).to_pylist()):
-                code, _ = pd.factorize(raw_keys(symbols)[-1][at])
-                first, wide = at[~pd.Series(code).duplicated().to_numpy()], symbols.astype(np.int64)
+                first, code = firsts(raw_keys(symbols)[-1][at])
+                first, wide = at[first], symbols.astype(np.int64)
                 part = lambda places, wide=wide, first=first: sum(wide[first - p] << (BITS * i) for i, p in enumerate(places))
                 seen = np.concatenate([seen, np.stack([part(range(SPLIT)), part(range(SPLIT, ORDER))])], axis=1)
                 times = np.concatenate([times, np.bincount(code)])
@@ -285,7 +290,7 @@ def asked(rows: DataFrame, text: int, shards: int, most: int = 48_000_000) -> Da
             for symbols, at, _ in segments(b.column(text).to_pylist()):
                 raw = raw_keys(symbols)
                 whole = raw[-1][at]
-                new = np.flatnonzero(~pd.Series(whole).duplicated().to_numpy())  # the highest order's n-grams tell all others
+                new = firsts(whole)[0]  # the highest order's n-grams tell all others
                 if len(known):
                     new = new[known[np.minimum(np.searchsorted(known, whole[new]), len(known) - 1)] != whole[new]]
                 known = np.sort(np.concatenate([known, whole[new]]))

@@ -385,7 +385,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, similarity: float = 0.8, r
     bits, so a shard holds the documents that agree in a band of minima, which a pair at 0.8 misses once in some 300,000 times.
     Every pair of a shard whose sizes admit the similarity is verified on the shingles themselves, unless its rows are linked
     already; a BK-tree over the fingerprints of distinct shingles gives the pairs within the radius first. The `early` bands come
-    first and link most of what is alike; of the others, only shards that hold more than one group so far get shingles.
+    first and link most of what is alike; of the others, only shards get shingles whose rows aren't all linked to one row so far.
     """
     docs = documents.select(_id("doc_id"), _key("text"), "text")
     sig = written(signatures(documents, k), "signatures")
@@ -410,8 +410,8 @@ def near_duplicates(documents: DataFrame, k: int = 5, similarity: float = 0.8, r
         return written(edges, "edges")
 
     one = wave(F.slice("bands", 1, early), None)
-    root = written(connected_components(one), "roots")
-    two = wave(F.slice("bands", early + 1, BANDS), root)
+    ends = one.select(F.col("a").alias("node"), F.col("b").alias("root")).union(one.select("b", "b"))  # what a row is linked to so far: not its whole group, but of it
+    two = wave(F.slice("bands", early + 1, BANDS), written(ends.groupBy("node").agg(F.min("root").alias("root")), "ends"))
     root = written(connected_components(one.union(two)), "roots")
     group = written(first.join(root, F.col("id") == F.col("node"), "left").select("same", "least", F.coalesce("root", "id").alias("root")), "groups")
     group = group.select("same", "root").join(group.groupBy("root").agg(F.min("least").alias("least")), "root").select("same", "least")
