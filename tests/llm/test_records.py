@@ -189,3 +189,40 @@ def test_hot_leaf_is_cut(spark):
         d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
         assert found == sorted((float(s), i) for i, s in enumerate(d) if i != q)[:10]
     assert len(got) == 5
+
+
+def test_leaves_are_bounded():
+    """A broadcast tree has the leaves that it is allowed, and bins of neighbouring leaves hold every row once."""
+    x = np.random.default_rng(3).normal(size=(4000, 8))
+    tree = ann.fit(x, 2, most=300)
+    leaves = (tree["count"] == 0).sum()
+    assert 250 < leaves <= 300
+    seen = ann.visits(tree, x[:50], 40)
+    assert (seen.sum(axis=1) == 40).all() and ann.visits(tree, x[:5], 1000).all()
+    size = dict(zip(*(c.tolist() for c in np.unique(ann.home(tree, x), return_counts=True)), strict=True)) | {10**6: 100}
+    cut = ann.bins(size, 64)
+    assert [c for c in cut if c[0] == 10**6] == [(10**6, 10**6, 0), (10**6, 10**6, 1)]
+    whole = [(lo, hi, sum(n for leaf, n in size.items() if lo <= leaf <= hi)) for lo, hi, part in cut if not part]
+    assert sum(n for *_, n in whole) == 4100 and all(n <= 64 or lo == hi for lo, hi, n in whole) and len(whole) < len(size)
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_bin_agrees_with_brute_force(kind):
+    """Copies, near copies, ties, repeated ids and lengths beyond single precision: the product that rules rows out loses none."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 16)).astype(kind)
+    copies, near = x.copy(), x.copy()
+    copies[:2000] = x[0]
+    near[:1000] = x[0] + (rng.normal(size=(1000, 16)) * 1e-6).astype(kind)
+    once, many = np.arange(3000), rng.integers(0, 60, 3000)
+    leaf = np.sort(rng.integers(3, 10, 3000))
+    at = rng.choice(3000, 60, replace=False)
+    for v, ids in ((x, once), (copies, once), (copies, many), (near, once), (np.round(x), once), (x + kind(1000), once), (x * kind(1e25), once), (x * kind(1e-25), once)):
+        asks = rng.random((60, 7)) < 0.6
+        got = ann.Bin(leaf, ids, v, 10).near(v[at], ids[at], asks, 3)
+        want = []
+        for i, p in enumerate(at):
+            use = np.flatnonzero(asks[i, leaf - 3] & (ids != ids[p]))
+            d = ann.distances(v[use].astype(float), v[p].astype(float))
+            want += [(i, int(ids[use[j]]), float(d[j])) for j in np.lexsort((ids[use], d))[:10]]
+        assert list(zip(*(c.tolist() for c in got), strict=True)) == want
