@@ -1,6 +1,7 @@
 """The corpus pipeline: quality, language, near-duplicates, mixing, tokens. Each stage is written and read again as the next one's documents.
 
-A stage bounds the session's Arrow batches, and leaves them bounded: its result is computed by whoever writes it.
+A stage bounds the session's Arrow batches, and leaves them bounded: its result is computed by whoever writes it. It begins with the
+executors giving back the heap that the one before needed.
 """
 
 from __future__ import annotations
@@ -8,36 +9,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.llm import bpe, langid, mixing, quality, simhash
-from tributary.llm.common import small_batches, written
+from tributary.llm.common import give_back, small_batches, written
+
+
+def _begin(spark: SparkSession) -> None:
+    small_batches(spark)
+    give_back(spark)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents whose perplexity exceeds their language's limit, and those without text."""
-    small_batches(spark)
+    _begin(spark)
     return quality.kept(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def spoken(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents in which no language is found; fills a null lang with the prediction."""
-    small_batches(spark)
+    _begin(spark)
     return langid.known(docs)
 
 
 def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of exact or near copies (five words, similarity 0.8)."""
-    small_batches(spark)
+    _begin(spark)
     return simhash.deduplicated(docs)
 
 
 def in_proportion(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents so that each source's words meet its target."""
-    small_batches(spark)
+    _begin(spark)
     return mixing.repeated(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of each document of the mix, with the digests of its ids and of what they decode to."""
-    small_batches(spark)
+    _begin(spark)
     return bpe.encoded(docs, with_ids=True, keep=("doc_id", "lang", "source"), remember=0)
 
 

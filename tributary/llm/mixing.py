@@ -15,7 +15,7 @@ from math import exp, log
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import written
+from tributary.llm.common import small_table, written
 
 #: No document is taken more often than this, and no source's target exceeds so many times its size.
 MOST = 3
@@ -51,13 +51,13 @@ def targets(size: list[tuple[str | None, int]]) -> dict[str | None, float]:
 
 def _numbered(docs: DataFrame, ids: dict) -> DataFrame:
     """Adds sid, the number of the source. What else is told of sources is joined by number: a table by text takes a whole page of each executor's memory."""
-    table = docs.sparkSession.createDataFrame([(s, i) for s, i in ids.items()], "s string, sid long")
+    table = small_table(docs.sparkSession, list(ids.items()), "s string, sid long")
     return docs.join(F.broadcast(table), docs["source"].eqNullSafe(table["s"])).drop("s")  # a row for each source, whose number planned() has checked
 
 
 def _state(spark, rows: list[tuple], columns: str) -> DataFrame:
     """A small table of one row for each source, whose number planned() has checked."""
-    return F.broadcast(spark.createDataFrame(rows, f"sid long, {columns}"))
+    return F.broadcast(small_table(spark, rows, f"sid long, {columns}"))
 
 
 def solve(histogram: DataFrame, stats: dict, target: dict, steps: int = 40, close: float = 1e-6) -> dict:

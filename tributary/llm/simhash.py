@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from tributary.llm.common import Sieve, connected_components, evict, written
+from tributary.llm.common import Sieve, connected_components, evict, give_back, written
 
 SEED = 42
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -410,8 +410,10 @@ def near_duplicates(documents: DataFrame, k: int = 5, similarity: float = 0.8, r
         return written(edges, "edges")
 
     one = wave(F.slice("bands", 1, early), None)
+    give_back(docs.sparkSession)
     ends = one.select(F.col("a").alias("node"), F.col("b").alias("root")).union(one.select("b", "b"))  # what a row is linked to so far: not its whole group, but of it
     two = wave(F.slice("bands", early + 1, BANDS), written(ends.groupBy("node").agg(F.min("root").alias("root")), "ends"))
+    give_back(docs.sparkSession)
     root = written(connected_components(one.union(two)), "roots")
     group = written(first.join(root, F.col("id") == F.col("node"), "left").select("same", "least", F.coalesce("root", "id").alias("root")), "groups")
     group = group.select("same", "root").join(group.groupBy("root").agg(F.min("least").alias("least")), "root").select("same", "least")
